@@ -63,3 +63,252 @@ def q_customer_mart(spark, sf_dir):
 def q_daily_summary(spark, sf_dir):
     core = scenario.first_load(spark, sf_dir)
     return marts.daily_summary(core.fact, core.dim_date)
+
+
+# --- merge family: new keys, type-1 updates, dedup -------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerline.functions.money import signed_amount  # noqa: E402
+from ledgerline.operators import dimensions as dims  # noqa: E402
+from ledgerline.operators import incremental as inc  # noqa: E402
+from ledgerline.operators import merge, quality  # noqa: E402
+from ledgerline.operators.dedup import latest_per_key, latest_transaction_order  # noqa: E402
+from ledgerline.operators.facts import fact_transaction  # noqa: E402
+from ledgerline.plans import adapter  # noqa: E402
+from ledgerline.schemas import CORE_NOT_NULL, SPEC_BY_NAME, STAGING_TABLES  # noqa: E402
+
+B = adapter.BATCH_TS
+
+
+@query("new_keys_customer")
+def q_new_keys_customer(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    ex = scenario.existing_core(spark, sf_dir, r)
+    return dims.dim_customer(r["customer"], r["city"], r["state"], B, target=ex["DimCustomer"])
+
+
+@query("new_keys_branch")
+def q_new_keys_branch(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    ex = scenario.existing_core(spark, sf_dir, r)
+    return dims.dim_branch(r["branch"], B, target=ex["DimBranch"])
+
+
+@query("new_keys_account")
+def q_new_keys_account(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    ex = scenario.existing_core(spark, sf_dir, r)
+    return dims.dim_account(r["account"], ex["DimDate"], B, target=ex["DimAccount"])
+
+
+@query("new_keys_fact")
+def q_new_keys_fact(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    core = scenario.first_load(spark, sf_dir, raw_tables=r)
+    ex = scenario.existing_core(spark, sf_dir, r)
+    return fact_transaction(r["transaction"], core.dim_account, core.dim_branch,
+                            core.dim_date, B, target=ex["FactTransaction"])
+
+
+@query("merge_type1_customer")
+def q_merge_customer(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    ex = scenario.existing_core(spark, sf_dir, r)
+    return merge.update_dim_customer(ex["DimCustomer"], r["customer"], r["city"], r["state"], B)
+
+
+@query("merge_type1_branch")
+def q_merge_branch(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    ex = scenario.existing_core(spark, sf_dir, r)
+    return merge.update_dim_branch(ex["DimBranch"], r["branch"], B)
+
+
+@query("merge_type1_account")
+def q_merge_account(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    ex = scenario.existing_core(spark, sf_dir, r)
+    return merge.update_dim_account(ex["DimAccount"], r["account"], B)
+
+
+@query("merge_type1_fact")
+def q_merge_fact(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    ex = scenario.existing_core(spark, sf_dir, r)
+    return merge.update_fact_transaction(ex["FactTransaction"], r["transaction"], B)
+
+
+@query("latest_per_key")
+def q_latest_per_key(spark, sf_dir):
+    t = scenario.raw(spark, sf_dir)["transaction"]
+    return latest_per_key(t, "transaction_id", latest_transaction_order())
+
+
+@query("dedup_by_key")
+def q_dedup_by_key(spark, sf_dir):
+    return dims.latest_staged(scenario.raw(spark, sf_dir)["transaction"], "transaction_id")
+
+
+@query("core_run")
+def q_core_run(spark, sf_dir):
+    return scenario.core_run_counts(spark, sf_dir)
+
+
+@query("stage_counts")
+def q_stage_counts(spark, sf_dir):
+    core = scenario.first_load(spark, sf_dir)
+    parts = [(n, df) for n, df in (("DimDate", core.dim_date), ("DimCustomer", core.dim_customer),
+                                   ("DimBranch", core.dim_branch),
+                                   ("DimAccount", core.dim_account),
+                                   ("FactTransaction", core.fact))]
+    out = None
+    for n, df in parts:
+        c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@query("signed_amount")
+def q_signed_amount(spark, sf_dir):
+    f = scenario.first_load(spark, sf_dir).fact
+    return f.select("TransactionID", "TransactionType", "Amount",
+                    signed_amount("TransactionType", "Amount").alias("SignedAmount"))
+
+
+@query("balance_per_customer")
+def q_balance_per_customer(spark, sf_dir):
+    return marts.balance_per_customer(q_customer_mart(spark, sf_dir), "Customer#000000007")
+
+
+@query("daily_summary_range")
+def q_daily_summary_range(spark, sf_dir):
+    return marts.daily_summary_range(q_daily_summary(spark, sf_dir), "19970101", "19971231")
+
+
+# --- staging family ------------------------------------------------------------
+
+def _src_stg(spark, sf_dir):
+    return adapter.source_tables(spark, sf_dir), adapter.staged_before_run(spark, sf_dir)
+
+
+@query("scan_project")
+def q_scan_project(spark, sf_dir):
+    src = adapter.source_tables(spark, sf_dir)["customer"]
+    return src.select(*SPEC_BY_NAME["customer"].columns)
+
+
+@query("high_water_mark")
+def q_high_water_mark(spark, sf_dir):
+    stg = adapter.staged_before_run(spark, sf_dir)
+    out = None
+    for s in STAGING_TABLES:
+        m = inc.high_water_mark(stg[s.name]).select(F.lit(s.name).alias("table_name"), "mark")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@query("incremental_extract")
+def q_incremental_extract(spark, sf_dir):
+    src, stg = _src_stg(spark, sf_dir)
+    spec = SPEC_BY_NAME["transaction"]
+    return inc.incremental_extract(src["transaction"], spec, inc.read_mark(stg["transaction"]), B)
+
+
+@query("incremental_create_only")
+def q_incremental_create_only(spark, sf_dir):
+    src, stg = _src_stg(spark, sf_dir)
+    spec = SPEC_BY_NAME["account"]
+    mark = inc.read_mark(stg["account"])
+    return inc.incremental_extract(src["account"], spec, mark, B, inc.created_since(mark))
+
+
+@query("incremental_by_day")
+def q_incremental_by_day(spark, sf_dir):
+    src, stg = _src_stg(spark, sf_dir)
+    spec = SPEC_BY_NAME["customer"]
+    day = inc.read_mark(stg["customer"])[:10].replace("-", "")
+    return inc.incremental_extract(src["customer"], spec, day, B, inc.changed_since_day(day))
+
+
+@query("staging_purge")
+def q_staging_purge(spark, sf_dir):
+    src, stg = _src_stg(spark, sf_dir)
+    return inc.staging_purge(stg["transaction"], src["transaction"], "transaction_id")
+
+
+@query("staging_upsert")
+def q_staging_upsert(spark, sf_dir):
+    src, stg = _src_stg(spark, sf_dir)
+    spec = SPEC_BY_NAME["account"]
+    return inc.staging_upsert(stg["account"], src["account"], spec,
+                              inc.read_mark(stg["account"]), B)
+
+
+@query("append_staging")
+def q_append_staging(spark, sf_dir):
+    src, stg = _src_stg(spark, sf_dir)
+    spec = SPEC_BY_NAME["transaction"]
+    ext = inc.incremental_extract(src["transaction"], spec, inc.read_mark(stg["transaction"]), B)
+    cols = list(spec.columns) + ["dtmload"]
+    return stg["transaction"].select(*cols).unionByName(ext.select(*cols))
+
+
+def _staging_load_query(name):
+    def fn(spark, sf_dir):
+        src, stg = _src_stg(spark, sf_dir)
+        return inc.staging_load(stg, src, [SPEC_BY_NAME[name]], B)[name]
+    return fn
+
+
+for _s in STAGING_TABLES:
+    QUERIES[f"staging_load_{_s.name}"] = _staging_load_query(_s.name)
+
+
+@query("in_list")
+def q_in_list(spark, sf_dir):
+    src = adapter.source_tables(spark, sf_dir)["customer"]
+    return src.where(F.col("customer_id").isin(4, 5, 7, 8)).select(*SPEC_BY_NAME["customer"].columns)
+
+
+@query("sorted_extract")
+def q_sorted_extract(spark, sf_dir):
+    return q_incremental_create_only(spark, sf_dir).orderBy("dtmcrt", "account_id")
+
+
+# --- quality ---------------------------------------------------------------------
+
+@query("pk_violations")
+def q_pk_violations(spark, sf_dir):
+    return quality.pk_violations(scenario.raw(spark, sf_dir)["transaction"], "transaction_id")
+
+
+@query("fk_violations")
+def q_fk_violations(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    t = r["transaction"]
+    a = quality.fk_violations(t, "account_id", r["account"], "account_id", "transaction_account")
+    b = quality.fk_violations(t, "branch_id", adapter.branches_with_orphans(r["branch"]),
+                              "branch_id", "transaction_branch")
+    c = quality.fk_violations(r["account"], "customer_id", r["customer"], "customer_id",
+                              "account_customer")
+    return a.unionByName(b).unionByName(c)
+
+
+@query("not_null_violations")
+def q_not_null_violations(spark, sf_dir):
+    core = scenario.first_load(spark, sf_dir)
+    cols = list(CORE_NOT_NULL["FactTransaction"])
+    return quality.not_null_violations(core.fact, cols, "FactTransaction")
+
+
+@query("length_violations")
+def q_length_violations(spark, sf_dir):
+    spec = SPEC_BY_NAME["account"]
+    return quality.length_violations(scenario.raw(spark, sf_dir)["account"], spec.varchar,
+                                     "account_raw")
+
+
+@query("rejects")
+def q_rejects(spark, sf_dir):
+    return scenario.fact_rejects(spark, sf_dir)

@@ -214,3 +214,230 @@ SELECT d.FullDate AS TransactionDate, COUNT(f.TransactionID) AS TotalTransaction
        CAST(COALESCE(SUM(f.Amount), 0) AS DECIMAL(18,2)) AS TotalTransactionAmount
 FROM fact f JOIN dim_date d ON f.TransactionDateID = d.DateID
 GROUP BY d.FullDate""")
+
+# --- merge family ------------------------------------------------------------------
+
+SQL["new_keys_customer"] = with_core(
+    "SELECT * FROM dim_customer WHERE CustomerID NOT IN (SELECT CustomerID FROM ex_customer)",
+    existing=True)
+SQL["new_keys_branch"] = with_core(
+    "SELECT * FROM dim_branch WHERE BranchID NOT IN (SELECT BranchID FROM ex_branch)",
+    existing=True)
+SQL["new_keys_account"] = with_core(
+    "SELECT * FROM dim_account WHERE AccountID NOT IN (SELECT AccountID FROM ex_account)",
+    existing=True)
+SQL["new_keys_fact"] = with_core(
+    "SELECT * FROM fact WHERE TransactionID NOT IN (SELECT TransactionID FROM ex_fact)",
+    existing=True)
+
+
+def _mark_of(table: str) -> str:
+    return (f"(SELECT COALESCE(CAST(strftime(max(dtmload), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP), "
+            f"TIMESTAMP '1900-01-01 00:00:00') FROM {table})")
+
+
+def _changes(name: str, raw: str, table: str, target: str) -> str:
+    return latest_cte(name, f"(SELECT * FROM {raw} WHERE dtmload > {_mark_of(target)})", table)
+
+
+def _merge_select(target: str, key: str, change: str, ckey: str, sets: dict, cols: list) -> str:
+    out = []
+    for c in cols:
+        if c in sets:
+            out.append(f"CASE WHEN ch.{ckey} IS NOT NULL THEN {sets[c]} ELSE t.{c} END AS {c}")
+        elif c == "dtmupd":
+            out.append(f"CASE WHEN ch.{ckey} IS NOT NULL THEN {BATCH_TS} ELSE t.dtmupd END AS dtmupd")
+        else:
+            out.append(f"t.{c}")
+    return (f"SELECT {', '.join(out)} FROM {target} t "
+            f"LEFT JOIN {change} ch ON t.{key} = ch.{ckey}")
+
+
+_CUST_COLS = ["CustomerID", "CustomerName", "Address", "CityName", "StateName", "Age",
+              "Gender", "Email", "dtmload", "dtmupd"]
+SQL["merge_type1_customer"] = with_core(",\n" + _changes(
+    "cust_ch0", "customer_raw", "customer", "ex_customer") + """,
+cust_ch AS (
+  SELECT c.customer_id, upper(c.customer_name) AS CustomerName, upper(c.address) AS Address,
+         upper(ci.city_name) AS CityName, upper(st.state_name) AS StateName, c.age AS Age,
+         upper(c.gender) AS Gender, c.email AS Email
+  FROM cust_ch0 c LEFT JOIN city_l ci ON c.city_id = ci.city_id
+       LEFT JOIN state_l st ON ci.state_id = st.state_id)
+""" + _merge_select("ex_customer", "CustomerID", "cust_ch", "customer_id",
+                    {c: f"ch.{c}" for c in _CUST_COLS[1:8]}, _CUST_COLS),
+    existing=True)
+
+SQL["merge_type1_branch"] = with_core(",\n" + _changes(
+    "branch_ch", "branch_raw", "branch", "ex_branch") + "\n" + _merge_select(
+    "ex_branch", "BranchID", "branch_ch", "branch_id",
+    {"BranchName": "upper(ch.branch_name)", "BranchLocation": "upper(ch.branch_location)"},
+    ["BranchID", "BranchName", "BranchLocation", "dtmload", "dtmupd"]), existing=True)
+
+SQL["merge_type1_account"] = with_core(",\n" + _changes(
+    "account_ch", "account_raw", "account", "ex_account") + "\n" + _merge_select(
+    "ex_account", "AccountID", "account_ch", "account_id",
+    {"AccountType": "upper(ch.account_type)",
+     "Balance": "CAST(ch.balance AS DECIMAL(18,2))", "Status": "upper(ch.status)"},
+    ["AccountID", "CustomerID", "AccountType", "Balance", "DateOpenedID", "Status",
+     "dtmload", "dtmupd"]), existing=True)
+
+SQL["merge_type1_fact"] = with_core(",\n" + _changes(
+    "txn_ch", "transaction_raw", "transaction", "ex_fact") + "\n" + _merge_select(
+    "ex_fact", "TransactionID", "txn_ch", "transaction_id",
+    {"Amount": "CAST(ch.amount AS DECIMAL(18,2))",
+     "TransactionType": "upper(ch.transaction_type)"},
+    ["TransactionID", "AccountID", "TransactionDateID", "Amount", "TransactionType",
+     "BranchID", "dtmload", "dtmupd"]), existing=True)
+
+SQL["latest_per_key"] = with_core("""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id
+                               ORDER BY transaction_date DESC NULLS LAST, amount DESC NULLS LAST,
+                                        branch_id ASC NULLS FIRST,
+                                        transaction_type ASC NULLS FIRST) AS rn
+  FROM transaction_raw) WHERE rn = 1""")
+
+SQL["dedup_by_key"] = with_core(",\n" + latest_cte("txn_l", "transaction_raw", "transaction")
+                                + "\nSELECT * FROM txn_l")
+
+SQL["core_run"] = with_core("""
+SELECT 'DimCustomer' AS table_name, 'inserted' AS action, count(*) AS n_rows
+  FROM dim_customer WHERE CustomerID NOT IN (SELECT CustomerID FROM ex_customer)
+UNION ALL SELECT 'DimBranch', 'inserted', count(*)
+  FROM dim_branch WHERE BranchID NOT IN (SELECT BranchID FROM ex_branch)
+UNION ALL SELECT 'DimAccount', 'inserted', count(*)
+  FROM dim_account WHERE AccountID NOT IN (SELECT AccountID FROM ex_account)
+UNION ALL SELECT 'FactTransaction', 'inserted', count(*)
+  FROM fact WHERE TransactionID NOT IN (SELECT TransactionID FROM ex_fact)
+UNION ALL SELECT 'DimCustomer', 'updated', count(*) FROM ex_customer t WHERE EXISTS (
+  SELECT 1 FROM customer_raw c WHERE c.customer_id = t.CustomerID
+    AND c.dtmload > """ + _mark_of("ex_customer") + """)
+UNION ALL SELECT 'DimBranch', 'updated', count(*) FROM ex_branch t WHERE EXISTS (
+  SELECT 1 FROM branch_raw c WHERE c.branch_id = t.BranchID
+    AND c.dtmload > """ + _mark_of("ex_branch") + """)
+UNION ALL SELECT 'DimAccount', 'updated', count(*) FROM ex_account t WHERE EXISTS (
+  SELECT 1 FROM account_raw c WHERE c.account_id = t.AccountID
+    AND c.dtmload > """ + _mark_of("ex_account") + """)
+UNION ALL SELECT 'FactTransaction', 'updated', count(*) FROM ex_fact t WHERE EXISTS (
+  SELECT 1 FROM transaction_raw c WHERE c.transaction_id = t.TransactionID
+    AND c.dtmload > """ + _mark_of("ex_fact") + ")", existing=True)
+
+SQL["stage_counts"] = with_core("""
+SELECT 'DimDate' AS table_name, count(*) AS n_rows FROM dim_date
+UNION ALL SELECT 'DimCustomer', count(*) FROM dim_customer
+UNION ALL SELECT 'DimBranch', count(*) FROM dim_branch
+UNION ALL SELECT 'DimAccount', count(*) FROM dim_account
+UNION ALL SELECT 'FactTransaction', count(*) FROM fact""")
+
+SQL["signed_amount"] = with_core("""
+SELECT TransactionID, TransactionType, Amount,
+       CASE WHEN upper(rtrim(TransactionType)) = 'DEPOSIT' THEN COALESCE(Amount, 0)
+            ELSE COALESCE(-Amount, 0) END AS SignedAmount
+FROM fact""")
+
+SQL["balance_per_customer"] = (
+    SQL["customer_mart"].replace("\nSELECT c.CustomerID", "\nSELECT * FROM (SELECT c.CustomerID", 1)
+    + ") WHERE upper(CustomerName) = upper('Customer#000000007')")
+
+SQL["daily_summary_range"] = (
+    SQL["daily_summary"].replace("\nSELECT d.FullDate", "\nSELECT * FROM (SELECT d.FullDate", 1)
+    + ") WHERE TransactionDate BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'")
+
+# --- staging family ---------------------------------------------------------------
+
+_SPEC_COLS = {
+    "customer": "customer_id, customer_name, address, city_id, age, gender, email, dtmcrt",
+    "city": "city_id, city_name, state_id, dtmcrt",
+    "account": "account_id, customer_id, account_type, balance, date_opened, status, dtmcrt",
+    "branch": "branch_id, branch_name, branch_location, dtmcrt",
+    "state": "state_id, state_name, dtmcrt",
+    "transaction": ("transaction_id, account_id, transaction_date, amount, transaction_type, "
+                    "branch_id, dtmcrt"),
+}
+
+
+def _extract(t: str, pred: str | None = None) -> str:
+    m = _mark_of(f"{t}_stg")
+    pred = pred or f"(dtmcrt > {m} OR COALESCE(dtmupd, TIMESTAMP '1900-01-01') > {m})"
+    return f"SELECT {_SPEC_COLS[t]}, {BATCH_TS} AS dtmload FROM {t}_src WHERE {pred}"
+
+
+def _purged(t: str) -> str:
+    return (f"SELECT {_SPEC_COLS[t]}, dtmload FROM {t}_stg s WHERE NOT EXISTS ("
+            f"SELECT 1 FROM {t}_src src WHERE src.{t}_id = s.{t}_id AND src.dtmupd > s.dtmload)")
+
+
+SQL["scan_project"] = with_src(f"SELECT {_SPEC_COLS['customer']} FROM customer_src")
+SQL["high_water_mark"] = with_src("\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COALESCE(strftime(max(dtmload), '%Y-%m-%d %H:%M:%S'), "
+    f"'1900-01-01 00:00:00') AS mark FROM {t}_stg" for t in
+    ("customer", "city", "account", "branch", "state", "transaction")))
+SQL["incremental_extract"] = with_src(_extract("transaction"))
+SQL["incremental_create_only"] = with_src(
+    _extract("account", f"dtmcrt > {_mark_of('account_stg')}"))
+SQL["incremental_by_day"] = with_src(_extract(
+    "customer",
+    "(strftime(dtmcrt, '%Y%m%d') > strftime(" + _mark_of("customer_stg") + ", '%Y%m%d') OR "
+    "strftime(COALESCE(dtmupd, TIMESTAMP '1900-01-01'), '%Y%m%d') > strftime("
+    + _mark_of("customer_stg") + ", '%Y%m%d'))"))
+SQL["staging_purge"] = with_src(
+    "SELECT * FROM transaction_stg s WHERE NOT EXISTS (SELECT 1 FROM transaction_src src "
+    "WHERE src.transaction_id = s.transaction_id AND src.dtmupd > s.dtmload)")
+SQL["staging_upsert"] = with_src(_purged("account") + "\nUNION ALL\n" + _extract("account"))
+SQL["append_staging"] = with_src(
+    f"SELECT {_SPEC_COLS['transaction']}, dtmload FROM transaction_stg\nUNION ALL\n"
+    + _extract("transaction"))
+for _t in ("customer", "city", "account", "branch", "state", "transaction"):
+    SQL[f"staging_load_{_t}"] = with_src(_purged(_t) + "\nUNION ALL\n" + _extract(_t))
+SQL["in_list"] = with_src(
+    f"SELECT {_SPEC_COLS['customer']} FROM customer_src WHERE customer_id IN (4, 5, 7, 8)")
+SQL["sorted_extract"] = with_src(
+    _extract("account", f"dtmcrt > {_mark_of('account_stg')}") + " ORDER BY dtmcrt, account_id")
+
+# --- quality -------------------------------------------------------------------------
+
+SQL["pk_violations"] = with_core("""
+SELECT transaction_id, count(*) AS n_rows FROM transaction_raw GROUP BY transaction_id
+HAVING count(*) > 1 OR transaction_id IS NULL""")
+
+SQL["fk_violations"] = with_core("""
+SELECT 'transaction_account' AS constraint_name, CAST(account_id AS BIGINT) AS key_value,
+       count(*) AS n_rows
+FROM transaction_raw t WHERE account_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM account_raw a WHERE a.account_id = t.account_id)
+GROUP BY account_id
+UNION ALL
+SELECT 'transaction_branch', CAST(branch_id AS BIGINT), count(*)
+FROM transaction_raw t WHERE branch_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM branch_raw b WHERE b.branch_id = t.branch_id
+                  AND b.branch_id % 10 <> 3)
+GROUP BY branch_id
+UNION ALL
+SELECT 'account_customer', CAST(customer_id AS BIGINT), count(*)
+FROM account_raw a WHERE customer_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM customer_raw c WHERE c.customer_id = a.customer_id)
+GROUP BY customer_id""")
+
+SQL["not_null_violations"] = with_core("\nUNION ALL ".join(
+    f"SELECT 'FactTransaction' AS table_name, '{c}' AS column_name, "
+    f"CAST(count(*) - count({c}) AS BIGINT) AS n_null FROM fact"
+    for c in ("TransactionID", "AccountID", "TransactionDateID", "Amount", "TransactionType",
+              "BranchID")))
+
+SQL["length_violations"] = with_core("\nUNION ALL ".join(
+    f"SELECT 'account_raw' AS table_name, '{c}' AS column_name, {n} AS max_allowed, "
+    f"CAST(sum(CASE WHEN length({c}) > {n} THEN 1 ELSE 0 END) AS BIGINT) AS n_too_long, "
+    f"CAST(max(length({c})) AS INTEGER) AS max_length FROM account_raw"
+    for c, n in (("account_type", 10), ("status", 10))))
+
+SQL["rejects"] = with_core("""
+SELECT reject_reason, count(*) AS n_rows FROM (
+  SELECT CASE WHEN t.transaction_id IS NULL THEN 'null_key'
+              WHEN a.AccountID IS NULL THEN 'no_account'
+              WHEN b.BranchID IS NULL THEN 'no_branch'
+              WHEN d.FullDate IS NULL THEN 'no_date' END AS reject_reason
+  FROM transaction_raw t
+  LEFT JOIN dim_account a ON t.account_id = a.AccountID
+  LEFT JOIN (SELECT BranchID FROM dim_branch WHERE BranchID % 10 <> 3) b ON t.branch_id = b.BranchID
+  LEFT JOIN dim_date d ON CAST(t.transaction_date AS DATE) = d.FullDate)
+WHERE reject_reason IS NOT NULL GROUP BY reject_reason""")

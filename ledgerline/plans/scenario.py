@@ -78,3 +78,62 @@ def existing_core(spark: SparkSession, sf_dir: str, raw_tables: dict | None = No
         out[name] = df.withColumn("dtmload", ntz(adapter.CORE_LOADED_AT))
     out["DimDate"] = full.dim_date
     return out
+
+
+def core_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a core run over the existing core: rows inserted (new
+    keys) and rows updated (target keys with a staged change after the
+    target's mark), per table: ``(table_name, action, n_rows)``."""
+    from ledgerline.operators.incremental import read_mark
+    from ledgerline.operators.joins import semi_keys
+
+    r = raw(spark, sf_dir)
+    ex = existing_core(spark, sf_dir, r)
+    full = first_load(spark, sf_dir, raw_tables=r)
+    inserted = {
+        "DimCustomer": dims.dim_customer(r["customer"], r["city"], r["state"], adapter.BATCH_TS,
+                                         target=ex["DimCustomer"]),
+        "DimBranch": dims.dim_branch(r["branch"], adapter.BATCH_TS, target=ex["DimBranch"]),
+        "DimAccount": dims.dim_account(r["account"], ex["DimDate"], adapter.BATCH_TS,
+                                       target=ex["DimAccount"]),
+        "FactTransaction": fact_transaction(r["transaction"], full.dim_account, full.dim_branch,
+                                            full.dim_date, adapter.BATCH_TS,
+                                            target=ex["FactTransaction"]),
+    }
+    sources = {"DimCustomer": ("customer", "CustomerID"), "DimBranch": ("branch", "BranchID"),
+               "DimAccount": ("account", "AccountID"),
+               "FactTransaction": ("transaction", "TransactionID")}
+    out = None
+    for name, (src, key) in sources.items():
+        mark = read_mark(ex[name])
+        changed = r[src].where(F.col("dtmload") > ntz(mark))
+        upd = semi_keys(ex[name], changed, key, f"{src}_id")
+        for action, df in (("inserted", inserted[name]), ("updated", upd)):
+            c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(name).alias("table_name"), F.lit(action).alias("action"), "n_rows")
+            out = c if out is None else out.unionByName(c)
+    return out
+
+
+def fact_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reject counts of the fact load when every tenth branch is missing:
+    ``(reject_reason, n_rows)`` for null keys and missing account, branch
+    or day (first failing rule wins)."""
+    from ledgerline.operators.joins import broadcast_if_small
+    from ledgerline.operators.quality import reject_counts, tag_rejects
+
+    r = raw(spark, sf_dir)
+    core = first_load(spark, sf_dir, raw_tables=r)
+    br = adapter.branches_with_orphans(core.dim_branch.withColumnRenamed("BranchID", "branch_id"))
+    t = r["transaction"]
+    t = t.join(core.dim_account.select(F.col("AccountID").alias("__a")),
+               F.col("account_id") == F.col("__a"), "left")
+    t = t.join(broadcast_if_small(br.select(F.col("branch_id").alias("__b"))),
+               F.col("branch_id") == F.col("__b"), "left")
+    t = t.join(broadcast_if_small(core.dim_date.select(F.col("FullDate").alias("__d"))),
+               F.to_date("transaction_date") == F.col("__d"), "left")
+    tagged = tag_rejects(t, [("null_key", F.col("transaction_id").isNull()),
+                             ("no_account", F.col("__a").isNull()),
+                             ("no_branch", F.col("__b").isNull()),
+                             ("no_date", F.col("__d").isNull())])
+    return reject_counts(tagged.where(F.col("reject_reason").isNotNull()))
