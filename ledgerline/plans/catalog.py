@@ -312,3 +312,197 @@ def q_length_violations(spark, sf_dir):
 @query("rejects")
 def q_rejects(spark, sf_dir):
     return scenario.fact_rejects(spark, sf_dir)
+
+
+# --- banks: conversion, queries, sinks ---------------------------------------------
+
+from ledgerline.functions.dates import FORMAT_COMPACT, FORMAT_ISO_SECONDS, FORMAT_LOG  # noqa: E402
+from ledgerline.functions.dates import FORMAT_SNAPSHOT, date_id, parse_mixed_dates  # noqa: E402
+from ledgerline.functions.text import drop_last_char, safe_double, safe_long  # noqa: E402
+from ledgerline.operators import bronze, fx  # noqa: E402
+from ledgerline.session import work_path  # noqa: E402
+from ledgerline.sinks import writers  # noqa: E402
+from ledgerline.sources import files, html  # noqa: E402
+
+
+def _banks(spark, sf_dir):
+    sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    return fx.fx_convert(fx.banks_from_suppliers(sup), fx.rates_frame(spark))
+
+
+@query("fx_convert")
+def q_fx_convert(spark, sf_dir):
+    return _banks(spark, sf_dir)
+
+
+@query("avg_gbp")
+def q_avg_gbp(spark, sf_dir):
+    return fx.average(_banks(spark, sf_dir), "MC_GBP_Billion", "avg_gbp")
+
+
+@query("limit5")
+def q_limit5(spark, sf_dir):
+    return fx.first_by_rank(_banks(spark, sf_dir), 5)
+
+
+@query("select_all")
+def q_select_all(spark, sf_dir):
+    return _banks(spark, sf_dir).select("*")
+
+
+@query("adhoc_sql")
+def q_adhoc_sql(spark, sf_dir):
+    return spark.sql("SELECT Country, MC_GBP_Billion FROM {banks} WHERE MC_USD_Billion >= :lo",
+                     args={"lo": 5000.0}, banks=_banks(spark, sf_dir))
+
+
+@query("replace_table")
+def q_replace_table(spark, sf_dir):
+    base = work_path(spark, "tables", "largest_banks")
+    writers.publish_version(_banks(spark, sf_dir), base)      # first run
+    return writers.replace_table(spark, _banks(spark, sf_dir), base)  # replaced
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    path = writers.write_csv(_banks(spark, sf_dir), work_path(spark, "csv", "banks"))
+    schema = ("Rank long, Country string, MC_USD_Billion double, MC_EUR_Billion double, "
+              "MC_GBP_Billion double, MC_INR_Billion double")
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@query("drop_last_char")
+def q_drop_last_char(spark, sf_dir):
+    sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    txt = F.format_string("%.2f", F.col("s_acctbal"))
+    return sup.select(F.col("s_suppkey").alias("Rank"), txt.alias("mc_text"),
+                      drop_last_char(txt).alias("mc_trimmed"),
+                      safe_double(drop_last_char(txt)).alias("MC_USD_Billion"))
+
+
+@query("safe_numeric")
+def q_safe_numeric(spark, sf_dir):
+    sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    rank_txt = F.when(F.col("s_suppkey") % 7 == 0, F.lit("n/a")) \
+        .otherwise(F.col("s_suppkey").cast("string"))
+    mc_txt = F.when(F.col("s_suppkey") % 11 == 0, F.lit("")) \
+        .otherwise(F.format_string("%.2f", F.col("s_acctbal")))
+    return sup.select(F.col("s_suppkey").alias("key"), safe_long(rank_txt).alias("Rank"),
+                      safe_double(mc_txt).alias("MC_USD_Billion"))
+
+
+# --- dates and formats -------------------------------------------------------------
+
+@query("parse_mixed_dates")
+def q_parse_mixed_dates(spark, sf_dir):
+    t = scenario.transaction_texts(spark, sf_dir)
+    return t.select("transaction_id", "date_text",
+                    parse_mixed_dates("date_text").alias("parsed"))
+
+
+@query("date_id")
+def q_date_id(spark, sf_dir):
+    t = adapter.source_tables(spark, sf_dir)["transaction"]
+    return t.select("transaction_id", F.date_format("transaction_date", "yyyyMMdd").alias("day_key"),
+                    date_id("transaction_date").alias("DateID"))
+
+
+@query("format_ts")
+def q_format_ts(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return ev.select("event_id",
+                     F.date_format("ts", FORMAT_ISO_SECONDS).alias("f_iso"),
+                     F.date_format("ts", FORMAT_SNAPSHOT).alias("f_snapshot"),
+                     F.date_format("ts", FORMAT_COMPACT).alias("f_compact"),
+                     F.date_format("ts", FORMAT_LOG).alias("f_log"))
+
+
+# --- bronze bars -------------------------------------------------------------------
+
+# The ticker list of the ingest (one has no data).
+TICKERS = ("click", "purchase", "view", "refund")
+
+
+def _bars(spark, sf_dir):
+    return bronze.bars_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+@query("bronze_last5")
+def q_bronze_last5(spark, sf_dir):
+    return bronze.last_sessions(_bars(spark, sf_dir), 5)
+
+
+@query("ticker_semi")
+def q_ticker_semi(spark, sf_dir):
+    bars = bronze.for_tickers(_bars(spark, sf_dir), bronze.tickers_frame(spark, TICKERS))
+    return bronze.last_sessions(bars, 5)
+
+
+@query("bronze_rejects")
+def q_bronze_rejects(spark, sf_dir):
+    return bronze.missing_tickers(_bars(spark, sf_dir), bronze.tickers_frame(spark, TICKERS))
+
+
+@query("bronze_partitions")
+def q_bronze_partitions(spark, sf_dir):
+    path = work_path(spark, "bronze")
+    bronze.write_bronze(q_ticker_semi(spark, sf_dir), path, B)
+    return bronze.read_bronze(spark, path)
+
+
+@query("bronze_path")
+def q_bronze_path(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    last = ev.groupBy(F.col("event_type").alias("Company")).agg(F.max("ts").alias("stamp"))
+    return bronze.object_paths(last, "stamp")
+
+
+# --- files -------------------------------------------------------------------------
+
+def _file_ingest(spark, sf_dir):
+    base = scenario.write_transaction_files(spark, sf_dir, work_path(spark, "files"))
+    return files.ingest_csv_dir(spark, base, B)
+
+
+@query("file_ingest_csv")
+def q_file_ingest_csv(spark, sf_dir):
+    good, _, _ = _file_ingest(spark, sf_dir)
+    return good.drop("file_path")
+
+
+@query("invalid_dates")
+def q_invalid_dates(spark, sf_dir):
+    _, bad_rows, _ = _file_ingest(spark, sf_dir)
+    return bad_rows.select("transaction_id", F.col("__date_text").alias("date_text"),
+                           "reject_reason")
+
+
+@query("file_isolation")
+def q_file_isolation(spark, sf_dir):
+    _, _, bad_files = _file_ingest(spark, sf_dir)
+    return bad_files.groupBy("reject_reason").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").cast("bigint").alias("n_rows"))
+
+
+@query("union_sources")
+def q_union_sources(spark, sf_dir):
+    good, _, _ = _file_ingest(spark, sf_dir)
+    db = QUERIES["staging_load_transaction"](spark, sf_dir)
+    cols = list(SPEC_BY_NAME["transaction"].columns) + ["dtmload"]
+    return db.select(*cols).unionByName(good.select(*cols))
+
+
+@query("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf_dir):
+    ext = q_incremental_extract(spark, sf_dir)
+    path = writers.write_parquet_parts(ext, work_path(spark, "spool", "transaction"), 10_000)
+    return spark.read.parquet(path)
+
+
+# --- html ---------------------------------------------------------------------------
+
+@query("html_rows")
+def q_html_rows(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    rows = html.extract_rows(pages, container=None, row="li", cell=None)
+    return html.link_rows(rows)

@@ -441,3 +441,127 @@ SELECT reject_reason, count(*) AS n_rows FROM (
   LEFT JOIN (SELECT BranchID FROM dim_branch WHERE BranchID % 10 <> 3) b ON t.branch_id = b.BranchID
   LEFT JOIN dim_date d ON CAST(t.transaction_date AS DATE) = d.FullDate)
 WHERE reject_reason IS NOT NULL GROUP BY reject_reason""")
+
+# --- banks -------------------------------------------------------------------------
+
+BANKS_CTE = """banks AS (
+  SELECT s_suppkey AS Rank, s_name AS Country, s_acctbal AS MC_USD_Billion FROM supplier),
+conv AS (
+  SELECT *,
+    round_even(MC_USD_Billion * CAST(0.93 AS DOUBLE) * 100, 0) / 100 AS MC_EUR_Billion,
+    round_even(MC_USD_Billion * CAST(0.8 AS DOUBLE) * 100, 0) / 100 AS MC_GBP_Billion,
+    round_even(MC_USD_Billion * CAST(82.95 AS DOUBLE) * 100, 0) / 100 AS MC_INR_Billion
+  FROM banks)
+"""
+
+
+def with_banks(select_sql: str) -> str:
+    return "WITH " + BANKS_CTE + select_sql
+
+
+SQL["fx_convert"] = with_banks("SELECT * FROM conv")
+SQL["avg_gbp"] = with_banks("SELECT round(avg(MC_GBP_Billion), 6) AS avg_gbp FROM conv")
+SQL["limit5"] = with_banks("SELECT Country FROM conv ORDER BY Rank LIMIT 5")
+SQL["select_all"] = with_banks("SELECT * FROM conv")
+SQL["adhoc_sql"] = with_banks(
+    "SELECT Country, MC_GBP_Billion FROM conv WHERE MC_USD_Billion >= 5000.0")
+SQL["replace_table"] = with_banks("SELECT * FROM conv")
+SQL["csv_roundtrip"] = with_banks("SELECT * FROM conv")
+SQL["drop_last_char"] = """
+SELECT s_suppkey AS Rank, printf('%.2f', s_acctbal) AS mc_text,
+       substr(printf('%.2f', s_acctbal), 1, length(printf('%.2f', s_acctbal)) - 1) AS mc_trimmed,
+       TRY_CAST(substr(printf('%.2f', s_acctbal), 1, length(printf('%.2f', s_acctbal)) - 1)
+                AS DOUBLE) AS MC_USD_Billion
+FROM supplier"""
+SQL["safe_numeric"] = """
+SELECT s_suppkey AS key,
+       TRY_CAST(CASE WHEN s_suppkey % 7 = 0 THEN 'n/a' ELSE CAST(s_suppkey AS VARCHAR) END
+                AS BIGINT) AS Rank,
+       TRY_CAST(CASE WHEN s_suppkey % 11 = 0 THEN '' ELSE printf('%.2f', s_acctbal) END
+                AS DOUBLE) AS MC_USD_Billion
+FROM supplier"""
+
+# --- dates and formats --------------------------------------------------------------
+
+TEXTS_CTE = """texts AS (
+  SELECT *, CASE transaction_id % 10
+      WHEN 1 THEN strftime(transaction_date, '%d-%m-%Y %H:%M:%S')
+      WHEN 2 THEN strftime(transaction_date, '%Y-%m-%d')
+      WHEN 3 THEN strftime(transaction_date, '%d/%m/%Y')
+      WHEN 4 THEN strftime(transaction_date, '%Y%m%d')
+      WHEN 5 THEN strftime(transaction_date, '%d-%b-%Y')
+      WHEN 6 THEN strftime(transaction_date, '%-d/%-m/%y')
+      ELSE '31-02-' || strftime(transaction_date, '%Y') END AS date_text
+  FROM transaction_src),
+parsed AS (
+  SELECT *, CASE WHEN regexp_full_match(date_text, '\\d{1,2}/\\d{1,2}/\\d{2}')
+                 THEN try_strptime(date_text, '%d/%m/%y')
+                 ELSE COALESCE(try_strptime(date_text, '%d-%m-%Y %H:%M:%S'),
+                               try_strptime(date_text, '%Y-%m-%d'),
+                               try_strptime(date_text, '%d/%m/%Y'),
+                               try_strptime(date_text, '%Y%m%d'),
+                               try_strptime(date_text, '%d-%b-%Y')) END AS parsed
+  FROM texts)"""
+
+SQL["parse_mixed_dates"] = with_src("SELECT transaction_id, date_text, parsed FROM parsed",
+                                    TEXTS_CTE)
+SQL["date_id"] = with_src("""
+SELECT transaction_id, strftime(transaction_date, '%Y%m%d') AS day_key,
+       CAST(strftime(transaction_date, '%Y%m%d') AS INTEGER) AS DateID
+FROM transaction_src""")
+SQL["format_ts"] = """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS f_iso,
+       strftime(ts, '%Y%m%d_%H%M%S') AS f_snapshot, strftime(ts, '%Y%m%d %H:%M:%S') AS f_compact,
+       strftime(ts, '%Y-%b-%d-%H:%M:%S') AS f_log
+FROM events"""
+
+# --- bronze bars ----------------------------------------------------------------------
+
+BARS_CTE = """bars AS (
+  SELECT event_type AS Company, CAST(ts AS DATE) AS Date,
+         arg_min(value, (ts, event_id)) AS Open, max(value) AS High, min(value) AS Low,
+         arg_max(value, (ts, event_id)) AS Close, count(*) AS Volume
+  FROM events GROUP BY event_type, CAST(ts AS DATE)),
+tickers AS (SELECT * FROM (VALUES ('click'), ('purchase'), ('view'), ('refund')) v(Company)),
+last5 AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY Company ORDER BY Date DESC) AS rn FROM bars)
+  WHERE rn <= 5)
+"""
+SQL["bronze_last5"] = "WITH " + BARS_CTE + "SELECT * FROM last5"
+SQL["ticker_semi"] = ("WITH " + BARS_CTE
+                      + "SELECT * FROM last5 WHERE Company IN (SELECT Company FROM tickers)")
+SQL["bronze_rejects"] = ("WITH " + BARS_CTE + "SELECT Company, 'no data returned' AS reject_reason "
+                         "FROM tickers WHERE Company NOT IN (SELECT Company FROM bars)")
+SQL["bronze_partitions"] = ("WITH " + BARS_CTE + "SELECT *, '20020101_000000' AS snapshot_ts "
+                            "FROM last5 WHERE Company IN (SELECT Company FROM tickers)")
+SQL["bronze_path"] = """
+SELECT event_type AS Company,
+       'bronze/' || event_type || '/' || event_type || '_' || strftime(max(ts), '%Y%m%d_%H%M%S')
+       || '.parquet' AS object_path
+FROM events GROUP BY event_type"""
+
+# --- files ---------------------------------------------------------------------------
+
+_FILE_GOOD = ("SELECT transaction_id, account_id, transaction_date, amount, transaction_type, "
+              f"branch_id, transaction_date AS dtmcrt, {BATCH_TS} AS dtmload "
+              "FROM transaction_src WHERE transaction_id % 10 <> 7")
+SQL["file_ingest_csv"] = with_src(_FILE_GOOD)
+SQL["invalid_dates"] = with_src(
+    "SELECT transaction_id, date_text, 'invalid_date' AS reject_reason FROM parsed "
+    "WHERE parsed IS NULL", TEXTS_CTE)
+SQL["file_isolation"] = """
+SELECT 'missing columns: branch_id' AS reject_reason, CAST(1 AS BIGINT) AS n_files,
+       count(*) AS n_rows
+FROM lineitem WHERE l_linenumber = 1"""
+SQL["union_sources"] = with_src(_purged("transaction") + "\nUNION ALL\n" + _extract("transaction")
+                                + "\nUNION ALL\n" + _FILE_GOOD)
+SQL["parquet_roundtrip"] = SQL["incremental_extract"]
+
+# --- html ----------------------------------------------------------------------------
+
+SQL["html_rows"] = """
+SELECT page_id, CAST(row_no AS INTEGER) AS row_no, link_text FROM (
+  SELECT page_id, unnest(range(1, len(l) + 1)) AS row_no, unnest(l) AS link_text
+  FROM (SELECT page_id,
+               regexp_extract_all(html, '<li><a [^>]*>([^<]*)</a></li>', 1) AS l FROM pages))"""

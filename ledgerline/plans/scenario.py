@@ -137,3 +137,38 @@ def fact_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
                              ("no_branch", F.col("__b").isNull()),
                              ("no_date", F.col("__d").isNull())])
     return reject_counts(tagged.where(F.col("reject_reason").isNotNull()))
+
+
+# --- derived inputs for the banks, files and scalar-function queries ---------
+
+# Text formats the test transactions are written in, chosen
+# by line number (transaction_id % 10); line 7 gets an impossible date.
+DATE_TEXT_FORMATS = ((1, "dd-MM-yyyy HH:mm:ss"), (2, "yyyy-MM-dd"), (3, "dd/MM/yyyy"),
+                     (4, "yyyyMMdd"), (5, "dd-MMM-yyyy"), (6, "d/M/yy"))
+
+
+def transaction_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source transactions with ``date_text``: the transaction date as
+    text in one of several formats (and some invalid)."""
+    t = adapter.source_tables(spark, sf_dir)["transaction"]
+    line = F.col("transaction_id") % 10
+    txt = F.concat(F.lit("31-02-"), F.date_format("transaction_date", "yyyy"))
+    for n, fmt in reversed(DATE_TEXT_FORMATS):
+        txt = F.when(line == n, F.date_format("transaction_date", fmt)).otherwise(txt)
+    return t.withColumn("date_text", txt)
+
+
+def write_transaction_files(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """Write the test transactions as CSV files under ``base``: good files
+    (columns reordered, one extra column, mixed date texts) and one file
+    that lacks ``branch_id``."""
+    t = transaction_texts(spark, sf_dir)
+    good = t.select("account_id", "transaction_id", F.col("date_text").alias("transaction_date"),
+                    "amount", "transaction_type", "branch_id",
+                    F.lit("x").alias("note"))
+    good.repartition(3).write.option("header", True).csv(f"{base}/good")
+    bad = (t.where(F.col("transaction_id") % 10 == 1)
+            .select("transaction_id", "account_id", F.col("date_text").alias("transaction_date"),
+                    "amount", "transaction_type"))
+    bad.coalesce(1).write.option("header", True).csv(f"{base}/bad")
+    return base
