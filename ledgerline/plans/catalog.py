@@ -506,3 +506,51 @@ def q_html_rows(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rows = html.extract_rows(pages, container=None, row="li", cell=None)
     return html.link_rows(rows)
+
+
+# --- streaming, run log, whole run ----------------------------------------------
+
+from ledgerline.plans import banks_run, warehouse_run  # noqa: E402
+from ledgerline.streaming import file_ingest as stream  # noqa: E402
+
+
+def _stream_run(spark, sf_dir):
+    base = scenario.write_transaction_files(spark, sf_dir, work_path(spark, "drop"))
+    out = work_path(spark, "stream_out")
+    stream.run_file_ingest(spark, f"{base}/*/*.csv", out, work_path(spark, "stream_ckpt"), B,
+                           max_files_per_trigger=2)
+    return out
+
+
+@query("stream_file_ingest")
+def q_stream_file_ingest(spark, sf_dir):
+    out = _stream_run(spark, sf_dir)
+    return stream.read_staged(spark, out).drop("txn_month", "batch_id")
+
+
+@query("stream_daily_summary")
+def q_stream_daily_summary(spark, sf_dir):
+    return stream.read_summary(spark, _stream_run(spark, sf_dir))
+
+
+@query("run_log")
+def q_run_log(spark, sf_dir):
+    sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    res = banks_run.run_banks(spark, fx.banks_from_suppliers(sup), fx.rates_frame(spark),
+                              work_path(spark, "banks_run"), "banks-run", B)
+    return res["run_log"]
+
+
+def _warehouse(spark, sf_dir):
+    return warehouse_run.run_all(spark, adapter.source_tables(spark, sf_dir),
+                                 work_path(spark, "warehouse"), B)
+
+
+@query("warehouse_run")
+def q_warehouse_run(spark, sf_dir):
+    return spark.read.parquet(_warehouse(spark, sf_dir)["CustomerMart"])
+
+
+@query("warehouse_run_daily")
+def q_warehouse_run_daily(spark, sf_dir):
+    return spark.read.parquet(_warehouse(spark, sf_dir)["DailySummaryMart"])

@@ -565,3 +565,31 @@ SELECT page_id, CAST(row_no AS INTEGER) AS row_no, link_text FROM (
   SELECT page_id, unnest(range(1, len(l) + 1)) AS row_no, unnest(l) AS link_text
   FROM (SELECT page_id,
                regexp_extract_all(html, '<li><a [^>]*>([^<]*)</a></li>', 1) AS l FROM pages))"""
+
+# --- streaming, run log, whole run ----------------------------------------------
+
+SQL["stream_file_ingest"] = SQL["file_ingest_csv"]
+SQL["stream_daily_summary"] = with_src(f"""
+SELECT CAST(transaction_date AS DATE) AS TransactionDate, count(*) AS TotalTransactions,
+       CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS TotalTransactionAmount
+FROM ({_FILE_GOOD}) g GROUP BY CAST(transaction_date AS DATE)""")
+
+_STAGES = (
+    ("start", "Preliminaries complete. Initiating ETL process", False),
+    ("extract", "Data extraction complete. Initiating Transformation process", True),
+    ("transform", "Data transformation complete. Initiating Loading process", True),
+    ("load_csv", "Data saved to CSV file", True),
+    ("db_connect", "SQL Connection initiated", False),
+    ("load_db", "Data loaded to Database as a table, Executing queries", True),
+    ("done", "Process Complete", False),
+    ("close", "Server Connection closed", False),
+)
+SQL["run_log"] = "\nUNION ALL ".join(
+    f"SELECT 'banks-run' AS run_id, {i} AS seq, '{s}' AS stage, {BATCH_TS} AS ts, "
+    f"'{m}' AS message, "
+    + ("(SELECT count(*) FROM supplier)" if counted else "CAST(NULL AS BIGINT)")
+    + f" AS rows, strftime({BATCH_TS}, '%Y-%b-%d-%H:%M:%S') || ' : {m}' AS line"
+    for i, (s, m, counted) in enumerate(_STAGES, start=1))
+
+SQL["warehouse_run"] = SQL["customer_mart"]
+SQL["warehouse_run_daily"] = SQL["daily_summary"]
