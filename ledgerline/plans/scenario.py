@@ -53,13 +53,14 @@ def first_load(spark: SparkSession, sf_dir: str, batch_ts: str = adapter.BATCH_T
 
 # Columns replaced by placeholders in the rows that are already in core,
 # so that an applied update is visible in the result.
-_STALE = {
-    "DimCustomer": {"Address": F.lit("UNKNOWN"), "Email": F.lit("UNKNOWN")},
-    "DimBranch": {"BranchLocation": F.lit("UNKNOWN")},
-    "DimAccount": {"Status": F.lit("UNKNOWN"), "Balance": F.lit(0).cast(MONEY)},
-    "FactTransaction": {"TransactionType": F.lit("UNKNOWN"),
-                        "Amount": F.lit(0).cast(MONEY)},
-}
+def _stale() -> dict:
+    return {
+        "DimCustomer": {"Address": F.lit("UNKNOWN"), "Email": F.lit("UNKNOWN")},
+        "DimBranch": {"BranchLocation": F.lit("UNKNOWN")},
+        "DimAccount": {"Status": F.lit("UNKNOWN"), "Balance": F.lit(0).cast(MONEY)},
+        "FactTransaction": {"TransactionType": F.lit("UNKNOWN"),
+                            "Amount": F.lit(0).cast(MONEY)},
+    }
 
 
 def existing_core(spark: SparkSession, sf_dir: str, raw_tables: dict | None = None) -> dict:
@@ -71,9 +72,10 @@ def existing_core(spark: SparkSession, sf_dir: str, raw_tables: dict | None = No
               "DimAccount": (full.dim_account, "AccountID"),
               "FactTransaction": (full.fact, "TransactionID")}
     out = {}
+    stale = _stale()
     for name, (df, key) in tables.items():
         df = df.where(adapter.is_existing(F.col(key)))
-        for col, val in _STALE[name].items():
+        for col, val in stale[name].items():
             df = df.withColumn(col, val)
         out[name] = df.withColumn("dtmload", ntz(adapter.CORE_LOADED_AT))
     out["DimDate"] = full.dim_date
