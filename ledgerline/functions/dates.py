@@ -35,29 +35,27 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Parse patterns in the order they are tried. Day-first wins over
-# month-first; ISO (year first) is read as year-month-day first.
+# Shapes of date text and the parse patterns tried for each, in order.
+# A shape is checked with one regex; only its patterns are attempted, so a
+# row costs a few regex tests and at most two parse attempts. Day-first
+# wins over month-first; year-first text is read year-month-day first.
+_TIME_RX = r"( \d{1,2}:\d{2}(:\d{2})?)?"
 _TIME = "[ H:mm[:ss]]"
-_PATTERNS_ORDERED = (
-    "yyyy-M-d" + _TIME,
-    "yyyy-M-d'T'H:mm[:ss]",
-    "yyyy/M/d" + _TIME,
-    "d-M-yyyy" + _TIME,
-    "d/M/yyyy" + _TIME,
-    "d.M.yyyy" + _TIME,
-    "d-MMM-yyyy" + _TIME,
-    "d MMM yyyy" + _TIME,
-    "d MMM yyyy ha",
-    "d MMM yyyy h:mma",
-    "d MMMM yyyy" + _TIME,
-    "MMM d yyyy" + _TIME,
-    "MMM d, yyyy" + _TIME,
-    # month-first fallback (day part above 12)
-    "M-d-yyyy" + _TIME,
-    "M/d/yyyy" + _TIME,
-    # year-day-month fallback (month part above 12)
-    "yyyy-d-M" + _TIME,
-    "yyyy/d/M" + _TIME,
+_SHAPES = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}" + _TIME_RX + "$", ("yyyy-M-d" + _TIME, "yyyy-d-M" + _TIME)),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}(:\d{2})?$", ("yyyy-M-d'T'H:mm[:ss]",)),
+    (r"^\d{4}/\d{1,2}/\d{1,2}" + _TIME_RX + "$", ("yyyy/M/d" + _TIME, "yyyy/d/M" + _TIME)),
+    (r"^\d{1,2}-\d{1,2}-\d{4}" + _TIME_RX + "$", ("d-M-yyyy" + _TIME, "M-d-yyyy" + _TIME)),
+    (r"^\d{1,2}/\d{1,2}/\d{4}" + _TIME_RX + "$", ("d/M/yyyy" + _TIME, "M/d/yyyy" + _TIME)),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}" + _TIME_RX + "$", ("d.M.yyyy" + _TIME,)),
+    (r"^\d{8}$", ("yyyyMMdd",)),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}" + _TIME_RX + "$", ("d-MMM-yyyy" + _TIME,)),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}" + _TIME_RX + "$", ("d MMM yyyy" + _TIME,)),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}[AP]M$", ("d MMM yyyy ha",)),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}[AP]M$", ("d MMM yyyy h:mma",)),
+    (r"^\d{1,2} [A-Za-z]{4,} \d{4}" + _TIME_RX + "$", ("d MMMM yyyy" + _TIME,)),
+    (r"^[A-Za-z]{3} \d{1,2},? \d{4}" + _TIME_RX + "$", ("MMM d yyyy" + _TIME,
+                                                       "MMM d, yyyy" + _TIME)),
 )
 
 
@@ -76,9 +74,10 @@ def _expand_two_digit_year(s: Column) -> Column:
 def parse_mixed_dates(c) -> Column:
     """Parse text holding dates in mixed formats, day first; bad -> null.
 
-    The first pattern that yields a valid timestamp wins. ``yyyyMMdd`` is
-    only tried on exactly eight digits; AM/PM markers are upper-cased so
-    ``3pm`` parses. Result type is ``timestamp_ntz``.
+    The text's shape picks the patterns to try; within a shape the first
+    pattern that yields a valid timestamp wins (day-first, then the
+    month-first fallback). Two-digit years are widened first; AM/PM markers
+    are upper-cased so ``3pm`` parses. Result type is ``timestamp_ntz``.
     """
     s = F.trim(_col(c))
     s = F.regexp_replace(s, r"\s+", " ")
@@ -86,11 +85,12 @@ def parse_mixed_dates(c) -> Column:
     s = F.regexp_replace(s, r"(?i)(\d)\s*a\.?m\.?$", "$1AM")
     s = F.regexp_replace(s, r"(?i)(\d)\s*p\.?m\.?$", "$1PM")
     s = _expand_two_digit_year(s)
-    tries = [F.when(s.rlike(r"^\d{8}$"),
-                    F.try_to_timestamp(s, F.lit("yyyyMMdd")).cast("timestamp_ntz"))]
-    for p in _PATTERNS_ORDERED:
-        tries.append(F.try_to_timestamp(s, F.lit(p)).cast("timestamp_ntz"))
-    return F.coalesce(*tries)
+    out = None
+    for rx, patterns in _SHAPES:
+        parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(p)).cast("timestamp_ntz")
+                              for p in patterns])
+        out = F.when(s.rlike(rx), parsed) if out is None else out.when(s.rlike(rx), parsed)
+    return out
 
 
 def date_id(c) -> Column:

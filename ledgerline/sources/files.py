@@ -1,14 +1,16 @@
 """Transaction files: CSV directories (and Excel workbooks via
 ``sources.xlsx``) with a per-file header check and reject sets.
 
-One distributed scan reads every file with an all-string schema and
+A distributed scan reads every file with an all-string schema and
 ``header=false``. The header of each file is its first row: the row with
 the smallest ``monotonically_increasing_id`` among rows of the file's first
 split (ids increase in row order inside a task, and a split never mixes two
-files' row orders). Only one row per file travels through the shuffle to
-build the header table. Data rows are then mapped to columns *by header
-name*, per file, so files with reordered or extra columns load correctly
-and files missing a required column are rejected as a whole.
+files' row orders). The header table (one row per file) is built from the
+first splits only and broadcast back onto the data rows, which are then
+mapped to columns *by header name*, per file: files with reordered or
+extra columns load correctly and files missing a required column are
+rejected as a whole. A file with a header and no data rows produces no
+rows and no reject.
 """
 
 from __future__ import annotations
@@ -23,8 +25,11 @@ from ledgerline.functions.dates import ntz, parse_mixed_dates
 from ledgerline.functions.text import safe_double, safe_long, trim_ws
 from ledgerline.operators.joins import broadcast_if_small
 from ledgerline.schemas import REQUIRED_FILE_COLUMNS
+from ledgerline.session import BROADCAST_LIMIT_BYTES
 
 MAX_FILE_COLUMNS = 32
+# Upper bound of one header-table row (file path + up to 32 short names).
+HEADER_ROW_BYTES = 8192
 
 
 def wide_string_schema(n: int = MAX_FILE_COLUMNS) -> T.StructType:
@@ -46,30 +51,51 @@ def with_file_columns(df: DataFrame) -> DataFrame:
                      F.col("_metadata.file_block_start").alias("block_start"))
 
 
-def split_header(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(headers: one row per file with ``header`` array, data rows with
-    ``cells`` array and the file's header attached)."""
+def _per_file_side(df: DataFrame, n_files: int | None) -> DataFrame:
+    """Broadcast a one-row-per-file table when the file count (known from
+    the listing) proves it small; otherwise leave the choice to AQE."""
+    if n_files is not None and n_files * HEADER_ROW_BYTES <= BROADCAST_LIMIT_BYTES:
+        return F.broadcast(df)
+    return broadcast_if_small(df)
+
+
+def _file_count(df: DataFrame) -> int | None:
+    try:
+        return len(df.inputFiles())
+    except Exception:
+        return None
+
+
+def header_table(rows: DataFrame, required: Sequence[str],
+                 n_files: int | None = None) -> DataFrame:
+    """One row per file: ``file_path, __hrid`` (row id of the header line),
+    ``header`` (trimmed names) and ``missing`` (required names absent).
+
+    The header id is a hash aggregate over longs; the header cells are then
+    fetched with a broadcast probe on ``(file_path, __rid)``, so no array
+    values are sorted or shuffled.
+    """
+    first = (rows.where(F.col("block_start") == 0)
+                 .groupBy("file_path").agg(F.min("__rid").alias("__hrid")))
+    cells = rows.select("file_path", F.col("__rid").alias("__hrid"), "cells").join(
+        _per_file_side(first, n_files), ["file_path", "__hrid"], "left_semi")
+    header = F.filter(F.transform("cells", lambda x: trim_ws(x)), lambda x: x.isNotNull())
+    req = F.array(*[F.lit(c) for c in required])
+    return (cells.select("file_path", "__hrid", header.alias("header"))
+                 .withColumn("missing", F.array_except(req, F.col("header"))))
+
+
+def attach_header(lines: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Data rows (header lines removed) with their file's ``header`` and
+    ``missing`` arrays attached (broadcast of one row per file)."""
     cells = F.array(*[c for c in lines.columns if c.startswith("_c")])
     rows = lines.select("file_path", "block_start", cells.alias("cells"),
                         F.monotonically_increasing_id().alias("__rid"))
-    headers = (rows.where(F.col("block_start") == 0)
-                   .groupBy("file_path")
-                   .agg(F.min_by("cells", "__rid").alias("__hcells"),
-                        F.min("__rid").alias("__hrid")))
-    headers = headers.select(
-        "file_path", "__hrid",
-        F.filter(F.transform("__hcells", lambda x: trim_ws(x)), lambda x: x.isNotNull())
-         .alias("header"))
-    data = (rows.join(broadcast_if_small(headers), "file_path", "inner")
+    n_files = _file_count(lines)
+    headers = header_table(rows, required, n_files)
+    return (rows.join(_per_file_side(headers, n_files), "file_path", "inner")
                 .where(F.col("__rid") != F.col("__hrid"))
-                .drop("__hrid", "block_start"))
-    return headers.drop("__hrid"), data
-
-
-def check_required(headers: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Add ``missing`` (required columns absent from the header)."""
-    req = F.array(*[F.lit(c) for c in required])
-    return headers.withColumn("missing", F.array_except(req, F.col("header")))
+                .drop("__hrid", "block_start", "__rid"))
 
 
 def by_name(data: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -81,6 +107,10 @@ def by_name(data: DataFrame, columns: Sequence[str]) -> DataFrame:
     return data.select("file_path", *sel)
 
 
+def _missing_text():
+    return F.concat(F.lit("missing columns: "), F.array_join("missing", ", "))
+
+
 def ingest_lines(lines: DataFrame, batch_ts: str,
                  required: Sequence[str] = REQUIRED_FILE_COLUMNS
                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -94,27 +124,13 @@ def ingest_lines(lines: DataFrame, batch_ts: str,
       (``reject_reason = 'invalid_date'``), the rest are typed, get
       ``dtmcrt = transaction_date`` and ``dtmload = batch_ts``.
     """
-    headers, data = split_header(lines)
-    headers = check_required(headers, required)
-    bad_files = headers.where(F.size("missing") > 0)
-    ok_files = headers.where(F.size("missing") == 0).select("file_path")
-    rows_bad_files = data.join(broadcast_if_small(bad_files.select("file_path", "missing")),
-                               "file_path", "inner")
-    rejected_files = (rows_bad_files.groupBy("file_path", "missing")
-                      .agg(F.count(F.lit(1)).alias("n_rows"))
-                      .select("file_path",
-                              F.concat(F.lit("missing columns: "),
-                                       F.array_join("missing", ", ")).alias("reject_reason"),
-                              "n_rows"))
-    # files with a header and no data rows are rejected as well, with 0 rows
-    empty_bad = bad_files.join(rows_bad_files.select("file_path").distinct(), "file_path",
-                               "left_anti").select(
-        "file_path", F.concat(F.lit("missing columns: "), F.array_join("missing", ", "))
-        .alias("reject_reason"), F.lit(0).cast("long").alias("n_rows"))
-    rejected_files = rejected_files.unionByName(empty_bad)
-
-    picked = by_name(data.join(broadcast_if_small(ok_files), "file_path", "left_semi"),
-                     list(required))
+    data = attach_header(lines, required)
+    ok = F.size("missing") == 0
+    rejected_files = (data.where(~ok).groupBy("file_path", "missing")
+                          .agg(F.count(F.lit(1)).alias("n_rows"))
+                          .select("file_path", _missing_text().alias("reject_reason"),
+                                  "n_rows"))
+    picked = by_name(data.where(ok), list(required))
     typed = picked.select(
         "file_path",
         safe_long("transaction_id").alias("transaction_id"),
