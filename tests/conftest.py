@@ -19,7 +19,9 @@ def spark():
     from ledgerline.session import build_session
 
     s = build_session("local[4]", app="ledgerline-tests", shuffle_partitions=8,
-                      extra={"spark.driver.memory": "8g"})
+                      extra={"spark.driver.memory": "8g",
+                             "spark.sql.warehouse.dir":
+                                 tempfile.mkdtemp(prefix="ledgerline-test-wh-")})
     # tests only: no cluster-provided checkpoint folder, so use a temp one
     if not s.conf.get("spark.checkpoint.dir", None):
         d = tempfile.mkdtemp(prefix="ledgerline-test-ckpt-")
