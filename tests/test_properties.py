@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import signed_amount
 from ledgerline.plans import adapter, scenario
-from ledgerline.plans.warehouse_run import run_all
-from ledgerline.session import work_path
+from ledgerline.plans.warehouse_run import read_fact, run_all
+from ledgerline.session import local_path, work_path
 
 
 def _rows(df):
@@ -25,8 +27,12 @@ def test_second_run_changes_nothing(spark):
         a, b = spark.read.parquet(first[t]), spark.read.parquet(second[t])
         assert _rows(a) == _rows(b), t
     # nothing changed after the first run's marks, so no row was updated again
-    fact2 = spark.read.parquet(second["FactTransaction"])
-    assert fact2.where(F.col("dtmupd") > F.lit("2010-01-01").cast("timestamp_ntz")).count() == 0
+    # nothing was inserted or updated, so the second run wrote no fact month
+    assert not [d for d in os.listdir(local_path(second["FactTransaction"]))
+                if d.startswith("__part=")]
+    shape = scenario.first_load(spark, SF_SMALL).fact
+    fact = read_fact(spark, base, shape)
+    assert _rows(fact) == _rows(spark.read.parquet(first["FactTransaction"]).drop("__part"))
 
 
 def test_mart_sums_match_fact(spark):
@@ -43,3 +49,23 @@ def test_mart_sums_match_fact(spark):
         .join(core.dim_customer.select("CustomerID"), "CustomerID") \
         .agg(F.sum(signed_amount("TransactionType", "Amount")).alias("x")).first().x
     assert delta == signed
+
+
+def test_update_rewrites_only_its_month(spark):
+    base = work_path(spark, "prop_wh_upd")
+    src = adapter.source_tables(spark, SF_SMALL)
+    run_all(spark, src, base, "2010-01-01 00:00:00")
+    one = src["transaction"].orderBy("transaction_id").first()
+    changed = dict(src)
+    changed["transaction"] = src["transaction"].withColumn(
+        "amount", F.when(F.col("transaction_id") == one.transaction_id, F.lit(1.5))
+                   .otherwise(F.col("amount"))).withColumn(
+        "dtmupd", F.when(F.col("transaction_id") == one.transaction_id,
+                         F.lit("2010-01-01 12:00:00").cast("timestamp_ntz"))
+                   .otherwise(F.col("dtmupd")))
+    second = run_all(spark, changed, base, "2010-01-02 00:00:00")
+    parts = [d for d in os.listdir(local_path(second["FactTransaction"])) if d.startswith("__part=")]
+    assert parts == [f"__part={one.transaction_date.year * 100 + one.transaction_date.month}"]
+    shape = scenario.first_load(spark, SF_SMALL).fact
+    row = read_fact(spark, base, shape).where(F.col("TransactionID") == one.transaction_id).first()
+    assert float(row.Amount) == 1.5 and row.dtmupd.isoformat() == "2010-01-02T00:00:00"
