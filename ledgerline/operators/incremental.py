@@ -83,11 +83,22 @@ def staging_purge(staged: DataFrame, src: DataFrame, key: str) -> DataFrame:
     aggregation), so duplicate source keys neither fan out nor skew the
     anti join.
     """
+    upd, cond = _latest_updates(src, key)
+    return staged.join(upd, cond, "left_anti")
+
+
+def staging_purged(staged: DataFrame, src: DataFrame, key: str) -> DataFrame:
+    """The staged rows the purge removes (complement of ``staging_purge``)."""
+    upd, cond = _latest_updates(src, key)
+    return staged.join(upd, cond, "left_semi")
+
+
+def _latest_updates(src: DataFrame, key: str):
     upd = (src.where(F.col("dtmupd").isNotNull())
               .groupBy(F.col(key).alias("__k"))
               .agg(F.max("dtmupd").alias("__upd")))
     cond = (F.col(key) == F.col("__k")) & (F.col("__upd") > F.col("dtmload"))
-    return staged.join(upd, cond, "left_anti")
+    return upd, cond
 
 
 def staging_upsert(staged: DataFrame, src: DataFrame, spec: TableSpec, mark: str,
