@@ -70,3 +70,16 @@ def daily_summary_range(daily: DataFrame, date_from: str, date_to: str) -> DataF
     lo = F.to_date(F.lit(date_from), "yyyyMMdd")
     hi = F.to_date(F.lit(date_to), "yyyyMMdd")
     return daily.where(F.col("TransactionDate").between(lo, hi))
+
+
+def balance_per_customer_sql(spark, mart: DataFrame, name: str) -> DataFrame:
+    """The same read as a parameterised SQL statement (named marker)."""
+    return spark.sql("SELECT * FROM {mart} WHERE upper(CustomerName) = upper(:name)",
+                     args={"name": name}, mart=mart)
+
+
+def daily_summary_range_sql(spark, daily: DataFrame, date_from: str, date_to: str) -> DataFrame:
+    """The same range read as parameterised SQL (``yyyyMMdd`` bounds)."""
+    return spark.sql(
+        "SELECT * FROM {daily} WHERE TransactionDate BETWEEN to_date(:f, 'yyyyMMdd') "
+        "AND to_date(:t, 'yyyyMMdd')", args={"f": date_from, "t": date_to}, daily=daily)
