@@ -71,6 +71,17 @@ def _expand_two_digit_year(s: Column) -> Column:
     return F.when(s.rlike(rx), rebuilt).otherwise(s)
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def _try_parse_ntz(s: Column, pattern: str) -> Column:
+    """``try_to_timestamp`` read as wall-clock time, whatever the session
+    time zone: the text is parsed as UTC and the instant's UTC wall clock is
+    rebuilt as ``timestamp_ntz`` (no DST gap can shift it)."""
+    t = F.try_to_timestamp(F.concat(s, F.lit(" +0000")), F.lit(pattern + " Z"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(t), ntz(_EPOCH_NTZ))
+
+
 def parse_mixed_dates(c) -> Column:
     """Parse text holding dates in mixed formats, day first; bad -> null.
 
@@ -87,8 +98,7 @@ def parse_mixed_dates(c) -> Column:
     s = _expand_two_digit_year(s)
     out = None
     for rx, patterns in _SHAPES:
-        parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(p)).cast("timestamp_ntz")
-                              for p in patterns])
+        parsed = F.coalesce(*[_try_parse_ntz(s, p) for p in patterns])
         out = F.when(s.rlike(rx), parsed) if out is None else out.when(s.rlike(rx), parsed)
     return out
 

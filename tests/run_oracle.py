@@ -20,7 +20,10 @@ from ledgerline.session import build_session  # noqa: E402
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = build_session("local[8]", shuffle_partitions=8)
+    extra = {}
+    if os.environ.get("ORACLE_SESSION_TZ"):   # check results do not depend on it
+        extra["spark.sql.session.timeZone"] = os.environ["ORACLE_SESSION_TZ"]
+    spark = build_session("local[8]", shuffle_partitions=8, extra=extra)
     con = duck(sf_dir)
     qs, sql = E.queries(), E.oracle_sql()
     bad = 0

@@ -41,3 +41,14 @@ def test_two_digit_year_pivot(spark):
 def test_date_id(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 5),)], "d date")
     assert df.select(date_id("d").alias("k")).first().k == 20240105
+
+
+def test_parse_ignores_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("10-03-2024 02:30:00",)], "s string")
+        got = df.select(parse_mixed_dates("s").alias("p")).first().p
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == dt.datetime(2024, 3, 10, 2, 30)   # inside the DST gap there
