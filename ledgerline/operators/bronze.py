@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import FORMAT_SNAPSHOT, ntz
 from ledgerline.functions.text import object_path
+from ledgerline.operators.joins import broadcast_if_small
 
 BAR_COLUMNS = ("Company", "Date", "Open", "High", "Low", "Close", "Volume")
 
@@ -49,8 +50,9 @@ def last_sessions(bars: DataFrame, n: int = 5) -> DataFrame:
 
 def for_tickers(bars: DataFrame, tickers: DataFrame) -> DataFrame:
     """Bars of the requested tickers only (semi join; the ticker list is a
-    configuration table, broadcast)."""
-    return bars.join(F.broadcast(tickers.select("Company").distinct()), "Company", "left_semi")
+    small configuration table, broadcast after the size check)."""
+    return bars.join(broadcast_if_small(tickers.select("Company").distinct()), "Company",
+                     "left_semi")
 
 
 def missing_tickers(bars: DataFrame, tickers: DataFrame,

@@ -1,9 +1,13 @@
 """Join helpers: size-checked broadcast, NOT-IN style anti join, lookups.
 
 Broadcasting is never unconditional. ``broadcast_if_small`` asks Catalyst
-for the optimized plan's size estimate (an upper bound for scans, filters
-and projections) and only hints a broadcast below the limit; above it the
-join stays a shuffle join and AQE decides at run time from real sizes.
+for the optimized plan's size estimate and only hints a broadcast below the
+limit; above it the join stays a shuffle join and AQE decides at run time
+from real shuffle sizes. The estimate of a Parquet scan is its compressed
+file bytes (scaled to the selected columns), which can understate the
+decoded size, so it is multiplied by ``DECODE_FACTOR`` before the check.
+Filters, projections, joins and aggregates only keep or raise Catalyst's
+estimate, so the check never sees less than the scanned input allows.
 """
 
 from __future__ import annotations
@@ -14,19 +18,24 @@ from pyspark.sql import functions as F
 from ledgerline.session import BROADCAST_LIMIT_BYTES
 
 
+# Assumed worst-case ratio of decoded (in-memory) to compressed Parquet bytes.
+DECODE_FACTOR = 4
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` in bytes, or None if unknown."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:
         return None
+    # py4j hands Scala's BigInt over as a Python int (or a JVM object)
+    return int(size) if isinstance(size, int) else int(size.toString())
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast only when the estimated size is proven below ``limit``."""
     size = estimated_bytes(df)
-    if size is not None and size <= limit:
+    if size is not None and size * DECODE_FACTOR <= limit:
         return F.broadcast(df)
     return df
 

@@ -9,9 +9,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ledgerline.operators import marts
-from ledgerline.plans import scenario
+from pyspark.sql import functions as F
+
+from ledgerline.functions.dates import (FORMAT_COMPACT, FORMAT_ISO_SECONDS, FORMAT_LOG,
+                                        FORMAT_SNAPSHOT, date_id, parse_mixed_dates)
+from ledgerline.functions.money import signed_amount
+from ledgerline.functions.text import drop_last_char, safe_double, safe_long
+from ledgerline.operators import bronze, fx, marts, merge, quality
+from ledgerline.operators import dimensions as dims
+from ledgerline.operators import incremental as inc
+from ledgerline.operators.dedup import latest_per_key, latest_transaction_order
+from ledgerline.operators.facts import fact_transaction
+from ledgerline.plans import adapter, banks_run, scenario, warehouse_run
+from ledgerline.schemas import CORE_NOT_NULL, SPEC_BY_NAME, STAGING_TABLES
+from ledgerline.session import work_path
+from ledgerline.sinks import writers
+from ledgerline.sources import files, html
+from ledgerline.streaming import file_ingest as stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -67,16 +81,7 @@ def q_daily_summary(spark, sf_dir):
 
 # --- merge family: new keys, type-1 updates, dedup -------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
 
-from ledgerline.functions.money import signed_amount  # noqa: E402
-from ledgerline.operators import dimensions as dims  # noqa: E402
-from ledgerline.operators import incremental as inc  # noqa: E402
-from ledgerline.operators import merge, quality  # noqa: E402
-from ledgerline.operators.dedup import latest_per_key, latest_transaction_order  # noqa: E402
-from ledgerline.operators.facts import fact_transaction  # noqa: E402
-from ledgerline.plans import adapter  # noqa: E402
-from ledgerline.schemas import CORE_NOT_NULL, SPEC_BY_NAME, STAGING_TABLES  # noqa: E402
 
 B = adapter.BATCH_TS
 
@@ -316,13 +321,6 @@ def q_rejects(spark, sf_dir):
 
 # --- banks: conversion, queries, sinks ---------------------------------------------
 
-from ledgerline.functions.dates import FORMAT_COMPACT, FORMAT_ISO_SECONDS, FORMAT_LOG  # noqa: E402
-from ledgerline.functions.dates import FORMAT_SNAPSHOT, date_id, parse_mixed_dates  # noqa: E402
-from ledgerline.functions.text import drop_last_char, safe_double, safe_long  # noqa: E402
-from ledgerline.operators import bronze, fx  # noqa: E402
-from ledgerline.session import work_path  # noqa: E402
-from ledgerline.sinks import writers  # noqa: E402
-from ledgerline.sources import files, html  # noqa: E402
 
 
 def _banks(spark, sf_dir):
@@ -510,8 +508,6 @@ def q_html_rows(spark, sf_dir):
 
 # --- streaming, run log, whole run ----------------------------------------------
 
-from ledgerline.plans import banks_run, warehouse_run  # noqa: E402
-from ledgerline.streaming import file_ingest as stream  # noqa: E402
 
 
 def _stream_run(spark, sf_dir):

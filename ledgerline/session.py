@@ -54,18 +54,6 @@ def build_session(master: str | None = None, app: str = "ledgerline",
     return spark
 
 
-def apply_conf(spark: SparkSession) -> None:
-    """Apply the result-relevant settings to a session built elsewhere."""
-    for k in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone",
-              "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled",
-              "spark.sql.sources.partitionOverwriteMode"):
-        try:
-            spark.conf.set(k, DEFAULT_CONF[k])
-        except Exception:  # static conf in some deployments
-            pass
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
@@ -98,7 +86,3 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return path
-
-
-def exists_local(path: str) -> bool:
-    return os.path.exists(local_path(path))
