@@ -28,18 +28,33 @@ def dim_date_between(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> DataF
     return days.select(*[c.alias(n) for n, c in date_parts(F.col("__d")).items()])
 
 
-def dim_date_covering(*date_cols: tuple[DataFrame, str]) -> DataFrame:
-    """Date dimension spanning every date found in the given columns.
+def calendar_bounds(*date_cols: tuple[DataFrame, str]) -> tuple[str | None, str | None]:
+    """First and last day found in the given columns (``yyyy-MM-dd``).
 
-    Only the min and max of each column travel (partial aggregation);
-    the calendar is then generated from that single row.
+    One aggregation job: only the min and max of each column travel
+    (partial aggregation); the driver receives two dates.
     """
     parts = [df.agg(F.min(F.to_date(c)).alias("lo"), F.max(F.to_date(c)).alias("hi"))
              for df, c in date_cols]
     b = parts[0]
     for p in parts[1:]:
         b = b.unionByName(p)
-    return dim_date_between(b.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    row = b.agg(F.date_format(F.min("lo"), "yyyy-MM-dd").alias("lo"),
+                F.date_format(F.max("hi"), "yyyy-MM-dd").alias("hi")).first()
+    return row["lo"], row["hi"]
+
+
+def dim_date_covering(spark, *date_cols: tuple[DataFrame, str]) -> DataFrame:
+    """Date dimension spanning every date found in the given columns.
+
+    The bounds are read first (two dates), then the calendar is generated
+    from literals: the plan holds no scan, and its size is known from the
+    bounds (one row per day).
+    """
+    lo, hi = calendar_bounds(*date_cols)
+    if lo is None:
+        return dim_date_range(spark, "1900-01-01", "1900-01-01").limit(0)
+    return dim_date_range(spark, lo, hi)
 
 
 def dim_date_range(spark, start: str, end: str) -> DataFrame:
@@ -88,8 +103,8 @@ def customer_rows(customer: DataFrame, city: DataFrame, state: DataFrame) -> Dat
 def dim_customer(customer_raw: DataFrame, city_raw: DataFrame, state_raw: DataFrame,
                  batch_ts: str, target: DataFrame | None = None) -> DataFrame:
     """New ``DimCustomer`` rows. Customers whose city or state is missing
-    are not loaded (their names are NOT NULL); ``quality.customer_rejects``
-    reports them."""
+    are not loaded (their names are NOT NULL); ``customer_rejects`` reports
+    them."""
     c = customer_raw.where(F.col("customer_id").isNotNull())
     if target is not None:
         c = anti_new_keys(c, target, "customer_id", "CustomerID")
@@ -98,6 +113,21 @@ def dim_customer(customer_raw: DataFrame, city_raw: DataFrame, state_raw: DataFr
     return _stamp(rows.drop("__staged_at"), batch_ts)
 
 
+def customer_rejects(customer_raw: DataFrame, city_raw: DataFrame,
+                     state_raw: DataFrame) -> DataFrame:
+    """Customers the load leaves out, with the reason: ``(CustomerID,
+    reject_reason)`` for a null key, a missing city or a missing state."""
+    c = latest_staged(customer_raw.where(F.col("customer_id").isNotNull()), "customer_id")
+    rows = customer_rows(c, city_raw, state_raw)
+    missing = (rows.where(F.col("CityName").isNull() | F.col("StateName").isNull())
+                   .select("CustomerID", F.when(F.col("CityName").isNull(), F.lit("no_city"))
+                           .otherwise(F.lit("no_state")).alias("reject_reason")))
+    null_keys = (customer_raw.where(F.col("customer_id").isNull())
+                 .select(F.col("customer_id").alias("CustomerID"),
+                         F.lit("null_key").alias("reject_reason")))
+    return missing.unionByName(null_keys)
+
+
 def branch_rows(branch: DataFrame) -> DataFrame:
     return branch.select(
         F.col("branch_id").alias("BranchID"),

@@ -35,7 +35,8 @@ def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def dim_date_for(raw_tables: dict[str, DataFrame]) -> DataFrame:
     """Calendar covering every opening day and transaction day."""
-    return dims.dim_date_covering((raw_tables["account"], "date_opened"),
+    acct = raw_tables["account"]
+    return dims.dim_date_covering(acct.sparkSession, (acct, "date_opened"),
                                   (raw_tables["transaction"], "transaction_date"))
 
 

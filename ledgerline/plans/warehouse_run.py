@@ -195,7 +195,7 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
             raw[s.name] = spark.read.parquet(written[s.raw_name])
 
     # core: date dimension, marks, inserts, then updates
-    dd_new = dims.dim_date_covering((raw["account"], "date_opened"),
+    dd_new = dims.dim_date_covering(spark, (raw["account"], "date_opened"),
                                     (raw["transaction"], "transaction_date"))
     dd_old = store.read("core/DimDate", dd_new)
     dd = dd_old.unionByName(dd_new.join(dd_old.select("DateID"), "DateID", "left_anti"))

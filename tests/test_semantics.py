@@ -225,3 +225,23 @@ def test_xlsx_ingest(spark, tmp_dir):
     good, bad_rows, bad_files = ingest_lines(read_xlsx_lines(spark, tmp_dir), "2024-03-01 00:00:00")
     assert [(r.transaction_id, r.amount) for r in good.collect()] == [(1, 100.0)]
     assert bad_rows.count() == 1 and bad_files.count() == 0
+
+
+def test_customer_rejects_missing_city(spark):
+    from ledgerline.operators.dimensions import customer_rejects, dim_customer
+    cust = spark.createDataFrame([
+        (1, "a", "x", 10, 30, "m", "e", T("2024-01-01 00:00:00"), T("2024-01-02 00:00:00")),
+        (2, "b", "y", 99, 30, "f", "e", T("2024-01-01 00:00:00"), T("2024-01-02 00:00:00")),
+        (None, "c", "z", 10, 30, "f", "e", T("2024-01-01 00:00:00"), T("2024-01-02 00:00:00")),
+    ], "customer_id long, customer_name string, address string, city_id long, age int, "
+       "gender string, email string, dtmcrt timestamp_ntz, dtmload timestamp_ntz")
+    city = spark.createDataFrame([(10, "c10", 1, T("2024-01-01 00:00:00"), T("2024-01-02 00:00:00"))],
+                                 "city_id long, city_name string, state_id long, "
+                                 "dtmcrt timestamp_ntz, dtmload timestamp_ntz")
+    state = spark.createDataFrame([(1, "s1", T("2024-01-01 00:00:00"), T("2024-01-02 00:00:00"))],
+                                  "state_id long, state_name string, dtmcrt timestamp_ntz, "
+                                  "dtmload timestamp_ntz")
+    assert [r.CustomerID for r in dim_customer(cust, city, state, "2024-02-01 00:00:00").collect()] == [1]
+    rej = sorted((r.CustomerID or 0, r.reject_reason)
+                 for r in customer_rejects(cust, city, state).collect())
+    assert rej == [(0, "null_key"), (2, "no_city")]
