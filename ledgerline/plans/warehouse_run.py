@@ -1,7 +1,7 @@
 """Whole daily run: staging -> core -> marts, on versioned Parquet tables.
 
 Plain Parquet tables take no ``UPDATE``/``DELETE``, so every table write is
-a new version directory ``{base}/{table}/v_{stamp}_{id}``; a version is
+a new version directory ``{base}/{table}/v_{stamp}_{time}_{id}``; a version is
 current once Spark has committed it (``_SUCCESS``). Readers always open
 the latest committed version, and a version being read is never
 overwritten. Marks for every table are read before anything is written.
@@ -21,6 +21,7 @@ Each table is one Spark job; AQE sizes the shuffles.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,7 +69,7 @@ class VersionedStore:
         return self.spark.read.schema(schema_like.schema).parquet(path)
 
     def write(self, table: str, df: DataFrame, stamp: str) -> str:
-        path = f"{self.base}/{table}/v_{stamp}_{uuid.uuid4().hex[:8]}"
+        path = f"{self.base}/{table}/{version_name(stamp)}"
         df.write.mode("errorifexists").parquet(path)
         return path
 
@@ -76,7 +77,7 @@ class VersionedStore:
 class PartitionedStore:
     """A table partitioned by one value, versioned partition by partition.
 
-    Layout ``{base}/v_{stamp}_{id}/__part={value}/part-*.parquet``. A run
+    Layout ``{base}/v_{stamp}_{time}_{id}/__part={value}/part-*.parquet``. A run
     writes only the partitions it changed; the current table is, per value,
     the leaf of the latest committed run holding it. Listing touches only
     directories (driver metadata), never data.
@@ -114,7 +115,7 @@ class PartitionedStore:
         return self.spark.read.schema(shape.schema).parquet(*paths)
 
     def write(self, df: DataFrame, part: Column, stamp: str) -> str:
-        path = f"{self.base}/v_{stamp}_{uuid.uuid4().hex[:8]}"
+        path = f"{self.base}/{version_name(stamp)}"
         (df.withColumn("__part", part).write.mode("errorifexists")
            .partitionBy("__part").parquet(path))
         return path
@@ -155,6 +156,12 @@ def read_fact(spark: SparkSession, base: str, shape: DataFrame) -> DataFrame:
     return PartitionedStore(spark, f"{base.rstrip('/')}/core/FactTransaction").read(shape)
 
 
+def version_name(stamp: str) -> str:
+    """``v_{batch stamp}_{write time ns}_{id}``: sorts by batch, then by
+    write time, so a re-run of the same batch supersedes the earlier one."""
+    return f"v_{stamp}_{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+
+
 def _stamp(spark: SparkSession, batch_ts: str) -> str:
     return spark.range(1).select(
         F.date_format(F.lit(batch_ts).cast("timestamp_ntz"), FORMAT_SNAPSHOT)).first()[0]

@@ -30,6 +30,17 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Extra settings for a large cluster: many initial shuffle partitions that
+# AQE coalesces to ~128 MB each, and skew splitting even when it costs an
+# extra shuffle.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 # Largest side, in bytes of the optimizer's size estimate, that the library
 # broadcasts on its own. Beyond it a shuffle join is planned (AQE may still
 # switch to a broadcast when the runtime size turns out small).
@@ -38,12 +49,15 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 def build_session(master: str | None = None, app: str = "ledgerline",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Create (or fetch) a session with the library's settings."""
+                  extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """Create (or fetch) a session with the library's settings
+    (``cluster=True`` adds the large-cluster profile)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -59,3 +59,11 @@ def test_versioned_store_reads_latest(spark, tmp_dir):
     store.write("t", spark.range(3).withColumnRenamed("id", "k"), "20240101_000000")
     store.write("t", spark.range(5).withColumnRenamed("id", "k"), "20240102_000000")
     assert store.read("t", shape).count() == 5
+
+
+def test_rerun_of_same_batch_supersedes(spark, tmp_dir):
+    store = VersionedStore(spark, tmp_dir)
+    shape = spark.createDataFrame([], "k long")
+    for n in (3, 4, 2):   # three writes with the same batch stamp
+        store.write("t", spark.range(n).withColumnRenamed("id", "k"), "20240101_000000")
+    assert store.read("t", shape).count() == 2
