@@ -8,7 +8,7 @@ import contextlib
 import io
 import os
 
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 from pyspark.sql import functions as F
 
 from ledgerline.operators import incremental, marts
@@ -75,3 +75,54 @@ def test_broadcast_only_below_checked_size(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "BroadcastHashJoin" in j_small
     assert "BroadcastHashJoin" not in j_big and "SortMergeJoin" in j_big
+
+
+def test_core_table_name_mapping():
+    from ledgerline.schemas import core_table_for
+    assert core_table_for("customer") == "DimCustomer"
+    assert core_table_for("DimAccount") == "DimAccount"
+    assert core_table_for("factTransaction") == "FactTransaction"
+    assert core_table_for("other") == "other"
+
+
+def test_hot_customer_is_split_by_aqe(spark, tmp_dir, monkeypatch):
+    """One customer owns a third of all accounts. With the core tables read
+    back from storage (as the whole run does) and the customer table too
+    large to broadcast, the mart join on CustomerID is a shuffle join that
+    AQE splits for the hot key; the result is unchanged."""
+    monkeypatch.setattr(marts, "broadcast_if_small", lambda df, *a, **k: df)
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+            # tiny test data would otherwise be coalesced into one map task,
+            # and a partition written by one task cannot be split
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        core = scenario.first_load(spark, SF_ORACLE)   # enough rows to split
+        acct = core.dim_account.withColumn(
+            "CustomerID", F.when(F.col("AccountID") % 3 == 0, F.lit(7)).otherwise(F.col("CustomerID")))
+        tables = {"c": core.dim_customer, "a": acct, "f": core.fact}
+        for name, df in tables.items():
+            # several files, so the hot partition comes from several map tasks
+            # (AQE splits a skewed partition along map outputs)
+            df.repartition(8).write.parquet(os.path.join(tmp_dir, name))
+        c, a, f = (spark.read.parquet(os.path.join(tmp_dir, n)) for n in ("c", "a", "f"))
+        mart = marts.customer_mart(c, a, f)
+        n = mart.count()
+        hot = mart.where(F.col("CustomerID") == 7).count()
+        mart.collect()
+        final = plan(mart, "simple") + plan(mart, "formatted")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert n == a.count() and hot >= n // 3
+    assert "skew=true" in final
