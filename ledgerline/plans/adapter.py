@@ -41,6 +41,7 @@ CORE_LOADED_AT = "2000-01-01 00:00:00"   # dtmload of rows already in core
 UPDATE_EVERY = 5                         # key % 5 = 0 -> row was updated
 EXISTING_EVERY = 3                       # key % 3 = 0 -> already in core
 ORPHAN_BRANCH = (10, 3)                  # suppkey % 10 = 3 -> branch missing
+ORPHAN_CITY = (5, 3)                     # nationkey % 5 = 3 -> city missing
 TYPE_BY_FLAG = (("A", "Deposit"), ("N", "Withdrawal"), ("R", "Payment"))
 
 
@@ -165,5 +166,11 @@ def branches_with_orphans(raw_branch: DataFrame) -> DataFrame:
     return raw_branch.where(F.col("branch_id") % m != r)
 
 
+def cities_with_orphans(raw_city: DataFrame) -> DataFrame:
+    """City lookup with every fifth city missing (customers lose their city)."""
+    m, r = ORPHAN_CITY
+    return raw_city.where(F.col("city_id") % m != r)
+
+
 def is_existing(key: Column) -> Column:
     return key % EXISTING_EVERY == 0

@@ -191,6 +191,30 @@ def q_daily_summary_range(spark, sf_dir):
     return marts.daily_summary_range(q_daily_summary(spark, sf_dir), "19970101", "19971231")
 
 
+@query("balance_per_customer_sql")
+def q_balance_per_customer_sql(spark, sf_dir):
+    return marts.balance_per_customer_sql(spark, q_customer_mart(spark, sf_dir),
+                                          "Customer#000000007")
+
+
+@query("daily_summary_range_sql")
+def q_daily_summary_range_sql(spark, sf_dir):
+    return marts.daily_summary_range_sql(spark, q_daily_summary(spark, sf_dir),
+                                         "19970101", "19971231")
+
+
+@query("customer_rejects")
+def q_customer_rejects(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    return dims.customer_rejects(r["customer"], adapter.cities_with_orphans(r["city"]), r["state"])
+
+
+@query("dim_customer_orphans")
+def q_dim_customer_orphans(spark, sf_dir):
+    r = scenario.raw(spark, sf_dir)
+    return dims.dim_customer(r["customer"], adapter.cities_with_orphans(r["city"]), r["state"], B)
+
+
 # --- staging family ------------------------------------------------------------
 
 def _src_stg(spark, sf_dir):

@@ -593,3 +593,29 @@ SQL["run_log"] = "\nUNION ALL ".join(
 
 SQL["warehouse_run"] = SQL["customer_mart"]
 SQL["warehouse_run_daily"] = SQL["daily_summary"]
+
+# --- parameterised reads as SQL, missing lookups --------------------------------
+
+SQL["balance_per_customer_sql"] = SQL["balance_per_customer"]
+SQL["daily_summary_range_sql"] = SQL["daily_summary_range"]
+
+_ORPHAN_CUST = """
+SELECT c.customer_id AS CustomerID, ci.city_name, st.state_name, c.customer_name, c.address,
+       c.age, c.gender, c.email
+FROM cust_l c
+LEFT JOIN (SELECT * FROM city_l WHERE city_id % 5 <> 3) ci ON c.city_id = ci.city_id
+LEFT JOIN state_l st ON ci.state_id = st.state_id"""
+
+SQL["customer_rejects"] = with_core(f"""
+SELECT CustomerID, CASE WHEN city_name IS NULL THEN 'no_city' ELSE 'no_state' END AS reject_reason
+FROM ({_ORPHAN_CUST}) j WHERE city_name IS NULL OR state_name IS NULL
+UNION ALL
+SELECT customer_id AS CustomerID, 'null_key' AS reject_reason FROM customer_raw
+WHERE customer_id IS NULL""")
+
+SQL["dim_customer_orphans"] = with_core(f"""
+SELECT CustomerID, upper(customer_name) AS CustomerName, upper(address) AS Address,
+       upper(city_name) AS CityName, upper(state_name) AS StateName, age AS Age,
+       upper(gender) AS Gender, email AS Email, {BATCH_TS} AS dtmload,
+       CAST(NULL AS TIMESTAMP) AS dtmupd
+FROM ({_ORPHAN_CUST}) j WHERE city_name IS NOT NULL AND state_name IS NOT NULL""")
