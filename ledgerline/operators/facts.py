@@ -56,3 +56,27 @@ def fact_transaction(txn_raw: DataFrame, dim_account: DataFrame, dim_branch: Dat
     return (fact_rows(t)
             .withColumn("dtmload", ntz(batch_ts))
             .withColumn("dtmupd", F.lit(None).cast("timestamp_ntz")))
+
+
+def fact_rejects(txn_raw: DataFrame, dim_account: DataFrame, dim_branch: DataFrame,
+                 dim_date: DataFrame) -> DataFrame:
+    """Staged transactions the fact load drops, with ``reject_reason``: the
+    first of null key, missing account, missing branch, missing day.
+
+    Lookups are key sets (one row per key), so the left joins never fan
+    out; account keys stay a shuffle join unless proven small.
+    """
+    from ledgerline.operators.quality import tag_rejects
+
+    t = txn_raw.join(broadcast_if_small(dim_account.select(F.col("AccountID").alias("__a"))),
+                     F.col("account_id") == F.col("__a"), "left")
+    t = t.join(broadcast_if_small(dim_branch.select(F.col("BranchID").alias("__b"))),
+               F.col("branch_id") == F.col("__b"), "left")
+    t = t.join(broadcast_if_small(dim_date.select(F.col("FullDate").alias("__d"))),
+               F.to_date("transaction_date") == F.col("__d"), "left")
+    tagged = tag_rejects(t, [("null_key", F.col("transaction_id").isNull()),
+                             ("no_account", F.col("__a").isNull()),
+                             ("no_branch", F.col("__b").isNull()),
+                             ("no_date", F.col("__d").isNull())])
+    return (tagged.where(F.col("reject_reason").isNotNull())
+                  .drop("__a", "__b", "__d"))

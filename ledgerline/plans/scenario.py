@@ -122,24 +122,15 @@ def fact_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reject counts of the fact load when every tenth branch is missing:
     ``(reject_reason, n_rows)`` for null keys and missing account, branch
     or day (first failing rule wins)."""
-    from ledgerline.operators.joins import broadcast_if_small
-    from ledgerline.operators.quality import reject_counts, tag_rejects
+    from ledgerline.operators.facts import fact_rejects as tag_fact_rejects
+    from ledgerline.operators.quality import reject_counts
 
     r = raw(spark, sf_dir)
     core = first_load(spark, sf_dir, raw_tables=r)
-    br = adapter.branches_with_orphans(core.dim_branch.withColumnRenamed("BranchID", "branch_id"))
-    t = r["transaction"]
-    t = t.join(core.dim_account.select(F.col("AccountID").alias("__a")),
-               F.col("account_id") == F.col("__a"), "left")
-    t = t.join(broadcast_if_small(br.select(F.col("branch_id").alias("__b"))),
-               F.col("branch_id") == F.col("__b"), "left")
-    t = t.join(broadcast_if_small(core.dim_date.select(F.col("FullDate").alias("__d"))),
-               F.to_date("transaction_date") == F.col("__d"), "left")
-    tagged = tag_rejects(t, [("null_key", F.col("transaction_id").isNull()),
-                             ("no_account", F.col("__a").isNull()),
-                             ("no_branch", F.col("__b").isNull()),
-                             ("no_date", F.col("__d").isNull())])
-    return reject_counts(tagged.where(F.col("reject_reason").isNotNull()))
+    m, rem = adapter.ORPHAN_BRANCH
+    br = core.dim_branch.where(F.col("BranchID") % m != rem)   # every tenth branch missing
+    return reject_counts(tag_fact_rejects(r["transaction"], core.dim_account, br,
+                                          core.dim_date))
 
 
 # --- derived inputs for the banks, files and scalar-function queries ---------

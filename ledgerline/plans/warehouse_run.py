@@ -31,8 +31,9 @@ from ledgerline.functions.dates import FORMAT_SNAPSHOT
 from ledgerline.operators import dimensions as dims
 from ledgerline.operators import incremental as inc
 from ledgerline.operators import marts, merge
-from ledgerline.operators.facts import fact_transaction
+from ledgerline.operators.facts import fact_rejects, fact_transaction
 from ledgerline.schemas import STAGING_TABLES
+from ledgerline.sinks import writers
 
 
 class VersionedStore:
@@ -262,4 +263,38 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     written["CustomerMart"] = store.write("mart/CustomerMart", cm, stamp)
     ds = marts.daily_summary(fact_now, dim_date)
     written["DailySummaryMart"] = store.write("mart/DailySummaryMart", ds, stamp)
+
+    # reject sets of this run's loads
+    rej_c = dims.customer_rejects(raw["customer"], raw["city"], raw["state"])
+    written["rejects_customer"] = store.write("rejects/customer", rej_c, stamp)
+    rej_t = fact_rejects(raw["transaction"], dim_account, dim_branch, dim_date)
+    written["rejects_transaction"] = store.write("rejects/transaction", rej_t, stamp)
+
+    _log_run(spark, store, written, stamp, batch_ts)
     return written
+
+
+def _rows_written(spark: SparkSession, path: str) -> DataFrame:
+    """One-row frame ``rows``: rows in a written version (0 for a run that
+    wrote no partition). Counted by Spark from the files, not collected."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    has_data = any(st.getPath().getName().startswith(("part-", "__part="))
+                   for st in fs.listStatus(p))
+    if not has_data:
+        return spark.range(1).select(F.lit(0).cast("long").alias("rows"))
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _log_run(spark: SparkSession, store: "VersionedStore", written: dict[str, str],
+             stamp: str, batch_ts: str) -> None:
+    """Append one record per table written: ``run_log(run_id, seq, stage, ts,
+    message, rows)`` with the rows of the version this run wrote."""
+    log = f"{store.base}/run_log"
+    for seq, (stage, path) in enumerate(written.items(), start=1):
+        writers.append_run_log(spark, log, stamp, seq, stage, batch_ts,
+                               f"{stage} written", _rows_written(spark, path))
+
+
+def read_run_log(spark: SparkSession, base: str) -> DataFrame:
+    return writers.read_run_log(spark, f"{base.rstrip('/')}/run_log")

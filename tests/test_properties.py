@@ -75,3 +75,14 @@ def test_update_rewrites_only_its_month(spark):
     shape = scenario.first_load(spark, SF_SMALL).fact
     row = read_fact(spark, base, shape).where(F.col("TransactionID") == one.transaction_id).first()
     assert float(row.Amount) == 1.5 and row.dtmupd.isoformat() == "2010-01-02T00:00:00"
+
+
+def test_run_writes_rejects_and_log(spark):
+    from ledgerline.plans.warehouse_run import read_run_log
+    base = work_path(spark, "prop_wh_log")
+    written = run_all(spark, adapter.source_tables(spark, SF_SMALL), base, "2010-01-01 00:00:00")
+    log = {r.stage: r.rows for r in read_run_log(spark, base).collect()}
+    assert log["transaction_raw"] == spark.read.parquet(written["transaction_raw"]).count()
+    assert log["CustomerMart"] == spark.read.parquet(written["CustomerMart"]).count()
+    assert log["rejects_transaction"] == 0 and log["rejects_customer"] == 0
+    assert len(log) == len(written)
