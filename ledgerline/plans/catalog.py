@@ -574,3 +574,10 @@ def q_warehouse_run(spark, sf_dir):
 @query("warehouse_run_daily")
 def q_warehouse_run_daily(spark, sf_dir):
     return spark.read.parquet(_warehouse(spark, sf_dir)["DailySummaryMart"])
+
+
+@query("warehouse_run_log")
+def q_warehouse_run_log(spark, sf_dir):
+    base = work_path(spark, "warehouse")
+    warehouse_run.run_all(spark, adapter.source_tables(spark, sf_dir), base, B)
+    return warehouse_run.read_run_log(spark, base)

@@ -619,3 +619,22 @@ SELECT CustomerID, upper(customer_name) AS CustomerName, upper(address) AS Addre
        upper(gender) AS Gender, email AS Email, {BATCH_TS} AS dtmload,
        CAST(NULL AS TIMESTAMP) AS dtmupd
 FROM ({_ORPHAN_CUST}) j WHERE city_name IS NOT NULL AND state_name IS NOT NULL""")
+
+# --- whole run: one log record per table written, with its row count ------------
+
+SQL["warehouse_run_log"] = with_core(f"""
+SELECT '20020101_000000' AS run_id, 1 AS seq, 'customer_raw' AS stage, {BATCH_TS} AS ts, 'customer_raw written' AS message, CAST((SELECT count(*) FROM customer_src) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 2 AS seq, 'city_raw' AS stage, {BATCH_TS} AS ts, 'city_raw written' AS message, CAST((SELECT count(*) FROM city_src) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 3 AS seq, 'account_raw' AS stage, {BATCH_TS} AS ts, 'account_raw written' AS message, CAST((SELECT count(*) FROM account_src) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 4 AS seq, 'branch_raw' AS stage, {BATCH_TS} AS ts, 'branch_raw written' AS message, CAST((SELECT count(*) FROM branch_src) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 5 AS seq, 'state_raw' AS stage, {BATCH_TS} AS ts, 'state_raw written' AS message, CAST((SELECT count(*) FROM state_src) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 6 AS seq, 'transaction_raw' AS stage, {BATCH_TS} AS ts, 'transaction_raw written' AS message, CAST((SELECT count(*) FROM transaction_src) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 7 AS seq, 'DimDate' AS stage, {BATCH_TS} AS ts, 'DimDate written' AS message, CAST((SELECT count(*) FROM dim_date) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 8 AS seq, 'DimCustomer' AS stage, {BATCH_TS} AS ts, 'DimCustomer written' AS message, CAST((SELECT count(*) FROM dim_customer) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 9 AS seq, 'DimBranch' AS stage, {BATCH_TS} AS ts, 'DimBranch written' AS message, CAST((SELECT count(*) FROM dim_branch) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 10 AS seq, 'DimAccount' AS stage, {BATCH_TS} AS ts, 'DimAccount written' AS message, CAST((SELECT count(*) FROM dim_account) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 11 AS seq, 'FactTransaction' AS stage, {BATCH_TS} AS ts, 'FactTransaction written' AS message, CAST((SELECT count(*) FROM fact) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 12 AS seq, 'CustomerMart' AS stage, {BATCH_TS} AS ts, 'CustomerMart written' AS message, CAST((SELECT count(*) FROM dim_customer c JOIN dim_account a ON c.CustomerID = a.CustomerID) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 13 AS seq, 'DailySummaryMart' AS stage, {BATCH_TS} AS ts, 'DailySummaryMart written' AS message, CAST((SELECT count(DISTINCT f.TransactionDateID) FROM fact f JOIN dim_date d ON f.TransactionDateID = d.DateID) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 14 AS seq, 'rejects_customer' AS stage, {BATCH_TS} AS ts, 'rejects_customer written' AS message, CAST((SELECT count(*) FROM cust_l c LEFT JOIN city_l ci ON c.city_id = ci.city_id LEFT JOIN state_l st ON ci.state_id = st.state_id WHERE ci.city_name IS NULL OR st.state_name IS NULL) AS BIGINT) AS rows
+UNION ALL SELECT '20020101_000000' AS run_id, 15 AS seq, 'rejects_transaction' AS stage, {BATCH_TS} AS ts, 'rejects_transaction written' AS message, CAST((SELECT count(*) FROM transaction_raw t LEFT JOIN dim_account a ON t.account_id = a.AccountID LEFT JOIN dim_branch b ON t.branch_id = b.BranchID LEFT JOIN dim_date d ON CAST(t.transaction_date AS DATE) = d.FullDate WHERE t.transaction_id IS NULL OR a.AccountID IS NULL OR b.BranchID IS NULL OR d.FullDate IS NULL) AS BIGINT) AS rows""")

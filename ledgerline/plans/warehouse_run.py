@@ -289,11 +289,16 @@ def _rows_written(spark: SparkSession, path: str) -> DataFrame:
 def _log_run(spark: SparkSession, store: "VersionedStore", written: dict[str, str],
              stamp: str, batch_ts: str) -> None:
     """Append one record per table written: ``run_log(run_id, seq, stage, ts,
-    message, rows)`` with the rows of the version this run wrote."""
-    log = f"{store.base}/run_log"
+    message, rows)`` with the rows of the version this run wrote. All
+    records are one union written in one job."""
+    recs = None
     for seq, (stage, path) in enumerate(written.items(), start=1):
-        writers.append_run_log(spark, log, stamp, seq, stage, batch_ts,
-                               f"{stage} written", _rows_written(spark, path))
+        rec = _rows_written(spark, path).select(
+            F.lit(stamp).alias("run_id"), F.lit(seq).alias("seq"), F.lit(stage).alias("stage"),
+            F.lit(batch_ts).cast("timestamp_ntz").alias("ts"),
+            F.lit(f"{stage} written").alias("message"), F.col("rows").cast("long").alias("rows"))
+        recs = rec if recs is None else recs.unionByName(rec)
+    recs.coalesce(1).write.mode("append").parquet(f"{store.base}/run_log")
 
 
 def read_run_log(spark: SparkSession, base: str) -> DataFrame:
