@@ -67,3 +67,29 @@ def test_rerun_of_same_batch_supersedes(spark, tmp_dir):
     for n in (3, 4, 2):   # three writes with the same batch stamp
         store.write("t", spark.range(n).withColumnRenamed("id", "k"), "20240101_000000")
     assert store.read("t", shape).count() == 2
+
+
+def test_cli_warehouse_and_banks(spark, tmp_dir, capsys):
+    import json as _json
+
+    from conftest import SF_SMALL
+
+    from ledgerline import cli
+    from ledgerline.plans import adapter
+    src_dir = os.path.join(tmp_dir, "src")
+    for name, df in adapter.source_tables(spark, SF_SMALL).items():
+        df.write.parquet(os.path.join(src_dir, name))
+    assert cli.main(["warehouse", "--sources", src_dir, "--base", os.path.join(tmp_dir, "wh"),
+                     "--batch-ts", "2010-01-01 00:00:00"]) == 0
+    out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert spark.read.parquet(out["CustomerMart"]).count() > 0
+    banks = os.path.join(tmp_dir, "banks")
+    spark.createDataFrame([(1, "A", 100.0), (2, "B", 50.0)],
+                          "Rank long, Country string, MC_USD_Billion double").write.parquet(banks)
+    rates = os.path.join(tmp_dir, "rates.csv")
+    with open(rates, "w") as fh:
+        fh.write("Currency,Rate\nEUR,0.93\nGBP,0.8\nINR,82.95\n")
+    assert cli.main(["banks", "--banks", banks, "--rates", rates, "--out",
+                     os.path.join(tmp_dir, "bo"), "--batch-ts", "2026-01-14 15:22:30"]) == 0
+    log = writers.read_run_log(spark, os.path.join(tmp_dir, "bo", "run_log"))
+    assert log.count() == 8
