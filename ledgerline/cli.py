@@ -1,5 +1,5 @@
-"""Command-line jobs (``spark-submit -m ledgerline.cli ...`` or
-``python -m ledgerline.cli ...``).
+"""Command-line jobs (``spark-submit --py-files ledgerline.zip
+ledgerline/cli.py ...`` or ``python -m ledgerline.cli ...``).
 
 * ``warehouse`` — one daily run staging -> core -> marts over six source
   tables stored as Parquet directories ``{sources}/{customer,city,state,
