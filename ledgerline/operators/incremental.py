@@ -59,8 +59,17 @@ def created_since(mark: str, created: str = "dtmcrt") -> Column:
 
 def changed_since_day(day: str, created: str = "dtmcrt", updated: str = "dtmupd") -> Column:
     """Day-granular predicate on ``yyyyMMdd`` text: created or updated on a
-    later day (a missing update counts as 1900-01-01)."""
+    later day (a missing update counts as 1900-01-01).
+
+    ``to_date(ts) > d`` equals ``ts >= d + 1 day``; that form is used so
+    both disjuncts push down to the scan. For days before 1900-01-01 the
+    ``ISNULL`` default could be later than the day, so the literal form is
+    kept there.
+    """
     d = F.to_date(F.lit(day), FORMAT_DAY_KEY)
+    if day >= DEFAULT_MARK[:10].replace("-", ""):
+        nxt = F.timestamp_add("DAY", F.lit(1), d.cast("timestamp_ntz"))
+        return (F.col(created) >= nxt) | (F.col(updated) >= nxt)
     return ((F.to_date(F.col(created)) > d)
             | (F.to_date(F.coalesce(F.col(updated), ntz(DEFAULT_MARK))) > d))
 
