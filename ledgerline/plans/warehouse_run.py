@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -168,10 +169,27 @@ def _stamp(spark: SparkSession, batch_ts: str) -> str:
         F.date_format(F.lit(batch_ts).cast("timestamp_ntz"), FORMAT_SNAPSHOT)).first()[0]
 
 
+def _concurrently(tasks: dict, workers: int = 4) -> dict:
+    """Run independent steps from a small thread pool so Spark schedules
+    their jobs side by side (small tables do not leave executors idle while
+    a large one runs). Results keep the order of ``tasks``."""
+    if len(tasks) <= 1:
+        return {k: fn() for k, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as ex:
+        futures = {k: ex.submit(fn) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
             batch_ts: str) -> dict[str, str]:
     """One daily run over ``sources`` (the six source tables with
-    ``dtmcrt``/``dtmupd``). Returns the path of every table version written."""
+    ``dtmcrt``/``dtmupd``). Returns the path of every table version written.
+
+    Dependencies: staging tables are independent of each other; the date
+    dimension needs staging; customer, branch and account need the date
+    dimension; the fact needs account and branch; marts and reject sets
+    need the fact. Steps without a dependency between them run together.
+    """
     store = VersionedStore(spark, base)
     stamp = _stamp(spark, batch_ts)
     written: dict[str, str] = {}
@@ -188,19 +206,21 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
             staged_now[s.name] = pstores[s.name].read(shape)
         else:
             staged_now[s.name] = store.read(f"staging/{s.raw_name}", shape)
-    marks = {s.name: inc.read_mark(staged_now[s.name]) for s in STAGING_TABLES}
-    raw = {}
-    for s in STAGING_TABLES:
+    marks = _concurrently({s.name: (lambda s=s: inc.read_mark(staged_now[s.name]))
+                           for s in STAGING_TABLES})
+
+    def upsert(s):
         if s.name in pstores:
-            written[s.raw_name] = _upsert_partitioned(
-                pstores[s.name], staged_now[s.name], sources[s.name], s, marks[s.name],
-                batch_ts, stamp)
-            raw[s.name] = pstores[s.name].read(staged_now[s.name])
-        else:
-            new = inc.staging_upsert(staged_now[s.name], sources[s.name], s, marks[s.name],
-                                     batch_ts)
-            written[s.raw_name] = store.write(f"staging/{s.raw_name}", new, stamp)
-            raw[s.name] = spark.read.parquet(written[s.raw_name])
+            return _upsert_partitioned(pstores[s.name], staged_now[s.name], sources[s.name], s,
+                                       marks[s.name], batch_ts, stamp)
+        new = inc.staging_upsert(staged_now[s.name], sources[s.name], s, marks[s.name], batch_ts)
+        return store.write(f"staging/{s.raw_name}", new, stamp)
+
+    paths = _concurrently({s.raw_name: (lambda s=s: upsert(s)) for s in STAGING_TABLES})
+    written.update(paths)
+    raw = {s.name: (pstores[s.name].read(staged_now[s.name]) if s.name in pstores
+                    else spark.read.parquet(paths[s.raw_name]))
+           for s in STAGING_TABLES}
 
     # core: date dimension, marks, inserts, then updates
     dd_new = dims.dim_date_covering(spark, (raw["account"], "date_opened"),
@@ -220,23 +240,29 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
                                   dim_date, batch_ts)
     fact_store = PartitionedStore(spark, f"{store.base}/core/FactTransaction")
     old["FactTransaction"] = fact_store.read(fact_shape)
-    core_marks = {n: inc.read_mark(df) for n, df in old.items()}
-
-    cust = old["DimCustomer"].unionByName(dims.dim_customer(
-        raw["customer"], raw["city"], raw["state"], batch_ts, target=old["DimCustomer"]))
-    cust = merge.update_dim_customer(cust, raw["customer"], raw["city"], raw["state"], batch_ts,
-                                     core_marks["DimCustomer"])
-    written["DimCustomer"] = store.write("core/DimCustomer", cust, stamp)
-
-    br = old["DimBranch"].unionByName(dims.dim_branch(raw["branch"], batch_ts,
-                                                      target=old["DimBranch"]))
-    br = merge.update_dim_branch(br, raw["branch"], batch_ts, core_marks["DimBranch"])
-    written["DimBranch"] = store.write("core/DimBranch", br, stamp)
-
-    acct = old["DimAccount"].unionByName(dims.dim_account(raw["account"], dim_date, batch_ts,
-                                                          target=old["DimAccount"]))
-    acct = merge.update_dim_account(acct, raw["account"], batch_ts, core_marks["DimAccount"])
-    written["DimAccount"] = store.write("core/DimAccount", acct, stamp)
+    core_marks = _concurrently({n: (lambda n=n: inc.read_mark(old[n])) for n in old})
+
+    def load_customer():
+        cust = old["DimCustomer"].unionByName(dims.dim_customer(
+            raw["customer"], raw["city"], raw["state"], batch_ts, target=old["DimCustomer"]))
+        cust = merge.update_dim_customer(cust, raw["customer"], raw["city"], raw["state"],
+                                         batch_ts, core_marks["DimCustomer"])
+        return store.write("core/DimCustomer", cust, stamp)
+
+    def load_branch():
+        br = old["DimBranch"].unionByName(dims.dim_branch(raw["branch"], batch_ts,
+                                                          target=old["DimBranch"]))
+        br = merge.update_dim_branch(br, raw["branch"], batch_ts, core_marks["DimBranch"])
+        return store.write("core/DimBranch", br, stamp)
+
+    def load_account():
+        acct = old["DimAccount"].unionByName(dims.dim_account(
+            raw["account"], dim_date, batch_ts, target=old["DimAccount"]))
+        acct = merge.update_dim_account(acct, raw["account"], batch_ts, core_marks["DimAccount"])
+        return store.write("core/DimAccount", acct, stamp)
+
+    written.update(_concurrently({"DimCustomer": load_customer, "DimBranch": load_branch,
+                                  "DimAccount": load_account}))
 
     dim_account = spark.read.parquet(written["DimAccount"])
     dim_branch = spark.read.parquet(written["DimBranch"])
@@ -257,18 +283,21 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
                                          batch_ts, core_marks["FactTransaction"])
     written["FactTransaction"] = fact_store.write(fact, fact_month(), stamp)
 
-    # marts: full rebuild into new versions
+    # marts (full rebuild into new versions) and reject sets of this run
     fact_now = fact_store.read(fact_shape)
-    cm = marts.customer_mart(spark.read.parquet(written["DimCustomer"]), dim_account, fact_now)
-    written["CustomerMart"] = store.write("mart/CustomerMart", cm, stamp)
-    ds = marts.daily_summary(fact_now, dim_date)
-    written["DailySummaryMart"] = store.write("mart/DailySummaryMart", ds, stamp)
-
-    # reject sets of this run's loads
-    rej_c = dims.customer_rejects(raw["customer"], raw["city"], raw["state"])
-    written["rejects_customer"] = store.write("rejects/customer", rej_c, stamp)
-    rej_t = fact_rejects(raw["transaction"], dim_account, dim_branch, dim_date)
-    written["rejects_transaction"] = store.write("rejects/transaction", rej_t, stamp)
+    dim_customer = spark.read.parquet(written["DimCustomer"])
+    written.update(_concurrently({
+        "CustomerMart": lambda: store.write(
+            "mart/CustomerMart", marts.customer_mart(dim_customer, dim_account, fact_now), stamp),
+        "DailySummaryMart": lambda: store.write(
+            "mart/DailySummaryMart", marts.daily_summary(fact_now, dim_date), stamp),
+        "rejects_customer": lambda: store.write(
+            "rejects/customer",
+            dims.customer_rejects(raw["customer"], raw["city"], raw["state"]), stamp),
+        "rejects_transaction": lambda: store.write(
+            "rejects/transaction",
+            fact_rejects(raw["transaction"], dim_account, dim_branch, dim_date), stamp),
+    }))
 
     _log_run(spark, store, written, stamp, batch_ts)
     return written
