@@ -46,3 +46,18 @@ def test_parameterised_reads_match(spark):
     x = marts.daily_summary_range(daily, "19970101", "19970131").collect()
     y = marts.daily_summary_range_sql(spark, daily, "19970101", "19970131").collect()
     assert sorted(x) == sorted(y) and len(x) > 0
+
+
+def test_cli_ingest_files(spark, tmp_dir, capsys):
+    import json
+
+    from ledgerline import cli
+    src = os.path.join(tmp_dir, "drop", "in")
+    _drop(src, "a.csv", ["1,10,21-01-2024 14:00:00,100,Deposit,4\n"])
+    out = os.path.join(tmp_dir, "out")
+    assert cli.main(["ingest-files", "--glob", f"{tmp_dir}/drop/*/*.csv", "--out", out,
+                     "--checkpoint", os.path.join(tmp_dir, "ckpt"),
+                     "--batch-ts", "2024-02-01 00:00:00"]) == 0
+    paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert paths["staged"].endswith("/staged")
+    assert [r.transaction_id for r in stream.read_staged(spark, out).collect()] == [1]
