@@ -8,6 +8,9 @@ ledgerline/cli.py ...`` or ``python -m ledgerline.cli ...``).
 * ``ingest-files`` — take every new CSV file under a drop folder once
   (stream with ``Trigger.AvailableNow``) into staged transactions, rejects
   and the incremental daily summary;
+* ``bronze`` — land the last five sessions of daily bars for a ticker list
+  as one snapshot (``Company``/``snapshot_ts`` partitions), with rejects
+  and a run log;
 * ``banks`` — convert a banks table (``Rank, Country, MC_USD_Billion``,
   Parquet) with a rate CSV, write CSV + table + run log.
 
@@ -60,6 +63,15 @@ def cmd_banks(spark: SparkSession, a: argparse.Namespace) -> dict:
             "run_log": f"{a.out}/run_log"}
 
 
+def cmd_bronze(spark: SparkSession, a: argparse.Namespace) -> dict:
+    from ledgerline.operators import bronze
+    from ledgerline.plans.bronze_run import run_bronze
+
+    bars = spark.read.parquet(a.bars)
+    tickers = bronze.tickers_frame(spark, [t for t in a.tickers.split(",") if t])
+    return run_bronze(spark, bars, tickers, a.out, a.batch_ts)
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="ledgerline")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -79,10 +91,15 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--out", required=True)
     b.add_argument("--run-id", default="banks")
     b.add_argument("--batch-ts", required=True)
+    z = sub.add_parser("bronze")
+    z.add_argument("--bars", required=True, help="Parquet: Company, Date, Open..Volume")
+    z.add_argument("--tickers", required=True, help="comma-separated")
+    z.add_argument("--out", required=True)
+    z.add_argument("--batch-ts", required=True)
     a = p.parse_args(argv)
     spark = _session()
     handler = {"warehouse": cmd_warehouse, "ingest-files": cmd_ingest_files,
-               "banks": cmd_banks}[a.cmd]
+               "banks": cmd_banks, "bronze": cmd_bronze}[a.cmd]
     print(json.dumps(handler(spark, a)))
     return 0
 

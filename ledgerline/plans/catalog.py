@@ -20,7 +20,7 @@ from ledgerline.operators import dimensions as dims
 from ledgerline.operators import incremental as inc
 from ledgerline.operators.dedup import latest_per_key, latest_transaction_order
 from ledgerline.operators.facts import fact_transaction
-from ledgerline.plans import adapter, banks_run, scenario, warehouse_run
+from ledgerline.plans import adapter, banks_run, bronze_run, scenario, warehouse_run
 from ledgerline.schemas import CORE_NOT_NULL, SPEC_BY_NAME, STAGING_TABLES
 from ledgerline.session import work_path
 from ledgerline.sinks import writers
@@ -472,6 +472,14 @@ def q_bronze_partitions(spark, sf_dir):
     return bronze.read_bronze(spark, path)
 
 
+@query("bronze_run")
+def q_bronze_run(spark, sf_dir):
+    out = work_path(spark, "bronze_run")
+    paths = bronze_run.run_bronze(spark, _bars(spark, sf_dir), bronze.tickers_frame(spark, TICKERS),
+                                  out, B)
+    return bronze.read_bronze(spark, paths["bronze"])
+
+
 @query("bronze_path")
 def q_bronze_path(spark, sf_dir):
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")

@@ -638,3 +638,5 @@ UNION ALL SELECT '20020101_000000' AS run_id, 12 AS seq, 'CustomerMart' AS stage
 UNION ALL SELECT '20020101_000000' AS run_id, 13 AS seq, 'DailySummaryMart' AS stage, {BATCH_TS} AS ts, 'DailySummaryMart written' AS message, CAST((SELECT count(DISTINCT f.TransactionDateID) FROM fact f JOIN dim_date d ON f.TransactionDateID = d.DateID) AS BIGINT) AS rows
 UNION ALL SELECT '20020101_000000' AS run_id, 14 AS seq, 'rejects_customer' AS stage, {BATCH_TS} AS ts, 'rejects_customer written' AS message, CAST((SELECT count(*) FROM cust_l c LEFT JOIN city_l ci ON c.city_id = ci.city_id LEFT JOIN state_l st ON ci.state_id = st.state_id WHERE ci.city_name IS NULL OR st.state_name IS NULL) AS BIGINT) AS rows
 UNION ALL SELECT '20020101_000000' AS run_id, 15 AS seq, 'rejects_transaction' AS stage, {BATCH_TS} AS ts, 'rejects_transaction written' AS message, CAST((SELECT count(*) FROM transaction_raw t LEFT JOIN dim_account a ON t.account_id = a.AccountID LEFT JOIN dim_branch b ON t.branch_id = b.BranchID LEFT JOIN dim_date d ON CAST(t.transaction_date AS DATE) = d.FullDate WHERE t.transaction_id IS NULL OR a.AccountID IS NULL OR b.BranchID IS NULL OR d.FullDate IS NULL) AS BIGINT) AS rows""")
+
+SQL["bronze_run"] = SQL["bronze_partitions"]

@@ -245,3 +245,22 @@ def test_customer_rejects_missing_city(spark):
     rej = sorted((r.CustomerID or 0, r.reject_reason)
                  for r in customer_rejects(cust, city, state).collect())
     assert rej == [(0, "null_key"), (2, "no_city")]
+
+
+def test_bronze_run_snapshots_and_log(spark, tmp_dir):
+    from ledgerline.plans.bronze_run import run_bronze
+    from ledgerline.sinks import writers
+    rows = [(c, T(f"2024-01-0{d} 10:00:00"), float(d), d) for c in ("AAA", "BBB") for d in range(1, 8)]
+    ticks = spark.createDataFrame(rows, "c string, ts timestamp_ntz, v double, id long")
+    bars = bronze.daily_bars(ticks, "c", "ts", "v", "id")
+    tick = bronze.tickers_frame(spark, ["AAA", "ZZZ"])
+    out = os.path.join(tmp_dir, "b")
+    run_bronze(spark, bars, tick, out, "2024-01-08 06:00:00")
+    run_bronze(spark, bars, tick, out, "2024-01-09 06:00:00")   # second daily run
+    snap = bronze.read_bronze(spark, os.path.join(out, "bronze"))
+    assert snap.count() == 10 and {r.Company for r in snap.collect()} == {"AAA"}
+    assert bronze.latest_snapshot_per_day(snap).count() == 5
+    rej = spark.read.parquet(os.path.join(out, "rejects")).collect()
+    assert {r.Company for r in rej} == {"ZZZ"} and len(rej) == 2
+    log = writers.read_run_log(spark, os.path.join(out, "run_log"))
+    assert [r.rows for r in log.where("stage = 'ingestion_end'").collect()] == [5, 5]
