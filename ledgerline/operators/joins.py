@@ -6,8 +6,9 @@ limit; above it the join stays a shuffle join and AQE decides at run time
 from real shuffle sizes. The estimate of a Parquet scan is its compressed
 file bytes (scaled to the selected columns), which can understate the
 decoded size, so it is multiplied by ``DECODE_FACTOR`` before the check.
-Filters, projections, joins and aggregates only keep or raise Catalyst's
-estimate, so the check never sees less than the scanned input allows.
+Without CBO, Catalyst assumes every scanned row survives filters and
+aggregates (sizes are only rescaled to the output row width) and multiplies
+the sides of a join, so the estimate does not undercount rows.
 """
 
 from __future__ import annotations
