@@ -59,7 +59,7 @@ def cmd_banks(spark: SparkSession, a: argparse.Namespace) -> dict:
 
     banks = spark.read.parquet(a.banks)
     run_banks(spark, banks, fx.read_rates(spark, a.rates), a.out, a.run_id, a.batch_ts)
-    return {"table": f"{a.out}/largest_banks", "csv": f"{a.out}/largest_banks_csv",
+    return {"table": f"{a.out}/banks_table", "csv": f"{a.out}/banks_csv",
             "run_log": f"{a.out}/run_log"}
 
 

@@ -45,10 +45,10 @@ def run_banks(spark: SparkSession, extracted: DataFrame, rates: DataFrame | dict
     step("extract", _count(extracted))
     converted = fx.fx_convert(extracted, rates)
     step("transform", _count(converted))
-    csv_path = writers.write_csv(converted, f"{out_dir}/largest_banks_csv")
+    csv_path = writers.write_csv(converted, f"{out_dir}/banks_csv")
     step("load_csv", _count(spark.read.option("header", True).csv(csv_path)))
     step("db_connect")
-    table = writers.replace_table(spark, converted, f"{out_dir}/largest_banks")
+    table = writers.replace_table(spark, converted, f"{out_dir}/banks_table")
     step("load_db", _count(table))
     results = {
         "table": table,

@@ -380,7 +380,7 @@ def q_adhoc_sql(spark, sf_dir):
 
 @query("replace_table")
 def q_replace_table(spark, sf_dir):
-    base = work_path(spark, "tables", "largest_banks")
+    base = work_path(spark, "tables", "banks_table")
     writers.publish_version(_banks(spark, sf_dir), base)      # first run
     return writers.replace_table(spark, _banks(spark, sf_dir), base)  # replaced
 
