@@ -6,9 +6,13 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 
 import duckdb
 
+# ORACLE_EXACT=1 compares doubles bit for bit and decimals with their scale
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -26,9 +30,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return repr(v) if EXACT else round(v, 6)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return str(v) if EXACT else round(float(v), 6)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):
