@@ -23,7 +23,15 @@ def main() -> int:
     extra = {}
     if os.environ.get("ORACLE_SESSION_TZ"):   # check results do not depend on it
         extra["spark.sql.session.timeZone"] = os.environ["ORACLE_SESSION_TZ"]
-    spark = build_session("local[8]", shuffle_partitions=8, extra=extra)
+    if os.environ.get("ORACLE_PLAIN_SESSION") == "1":   # a session without our settings
+        from pyspark.sql import SparkSession
+        b = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        for k, v in extra.items():
+            b = b.config(k, v)
+        spark = b.getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8, extra=extra)
     con = duck(sf_dir)
     qs, sql = E.queries(), E.oracle_sql()
     bad = 0
