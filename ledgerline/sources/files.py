@@ -77,8 +77,9 @@ def header_table(rows: DataFrame, required: Sequence[str],
     """
     first = (rows.where(F.col("block_start") == 0)
                  .groupBy("file_path").agg(F.min("__rid").alias("__hrid")))
-    cells = rows.select("file_path", F.col("__rid").alias("__hrid"), "cells").join(
-        _per_file_side(first, n_files), ["file_path", "__hrid"], "left_semi")
+    cells = (rows.where(F.col("block_start") == 0)
+                 .select("file_path", F.col("__rid").alias("__hrid"), "cells")
+                 .join(_per_file_side(first, n_files), ["file_path", "__hrid"], "left_semi"))
     header = F.filter(F.transform("cells", lambda x: trim_ws(x)), lambda x: x.isNotNull())
     req = F.array(*[F.lit(c) for c in required])
     return (cells.select("file_path", "__hrid", header.alias("header"))
