@@ -60,47 +60,95 @@ _SHAPES = (
 
 
 def _expand_two_digit_year(s: Column) -> Column:
-    """``d/M/yy[ rest]`` -> ``d/M/yyyy[ rest]`` with a fixed century pivot."""
-    rx = r"^(\d{1,2})([-/.])(\d{1,2})([-/.])(\d{2})(\s.*)?$"
-    yy = F.regexp_extract(s, rx, 5).cast("int")
-    yyyy = F.when(yy < TWO_DIGIT_YEAR_PIVOT, yy + 2000).otherwise(yy + 1900)
-    rebuilt = F.concat(
-        F.regexp_extract(s, rx, 1), F.regexp_extract(s, rx, 2),
-        F.regexp_extract(s, rx, 3), F.regexp_extract(s, rx, 4),
-        yyyy.cast("string"), F.regexp_extract(s, rx, 6))
-    return F.when(s.rlike(rx), rebuilt).otherwise(s)
+    """``d/M/yy[ rest]`` -> ``d/M/yyyy[ rest]`` with a fixed century pivot.
+
+    Two chained replacements (below the pivot -> 20yy, else 19yy); each
+    refers to its input once, so the expression stays small when the
+    parser refers to the result many times.
+    """
+    pivot = TWO_DIGIT_YEAR_PIVOT
+    lo = f"(?:[0-{pivot // 10 - 1}]\\d|{pivot // 10}[0-{pivot % 10 - 1}])"
+    hi = f"(?:{pivot // 10}[{pivot % 10}-9]|[{pivot // 10 + 1}-9]\\d)"
+    head = r"^(\d{1,2}[-/.]\d{1,2}[-/.])"
+    tail = r"(\s.*)?$"
+    s = F.regexp_replace(s, head + "(" + lo + ")" + tail, "$120$2$3")
+    return F.regexp_replace(s, head + "(" + hi + ")" + tail, "$119$2$3")
 
 
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
-def _try_parse_ntz(s: Column, pattern: str) -> Column:
+def _try_parse_ntz(s: Column, pattern) -> Column:
     """``try_to_timestamp`` read as wall-clock time, whatever the session
     time zone: the text is parsed as UTC and the instant's UTC wall clock is
-    rebuilt as ``timestamp_ntz`` (no DST gap can shift it)."""
-    t = F.try_to_timestamp(F.concat(s, F.lit(" +0000")), F.lit(pattern + " Z"))
+    rebuilt as ``timestamp_ntz`` (no DST gap can shift it). ``pattern`` is
+    a string or a string column (null pattern -> null)."""
+    pat = F.lit(pattern) if isinstance(pattern, str) else pattern
+    t = F.try_to_timestamp(F.concat(s, F.lit(" +0000")), F.concat(pat, F.lit(" Z")))
     return F.timestamp_add("MICROSECOND", F.unix_micros(t), ntz(_EPOCH_NTZ))
 
 
-def parse_mixed_dates(c) -> Column:
-    """Parse text holding dates in mixed formats, day first; bad -> null.
-
-    The text's shape picks the patterns to try; within a shape the first
-    pattern that yields a valid timestamp wins (day-first, then the
-    month-first fallback). Two-digit years are widened first; AM/PM markers
-    are upper-cased so ``3pm`` parses. Result type is ``timestamp_ntz``.
-    """
+def normalize_date_text(c) -> Column:
+    """Text prepared for ``parse_normalized_dates``: trimmed, single
+    spaces, AM/PM markers upper-cased and glued ("3 p.m." -> "3PM"),
+    two-digit years widened."""
     s = F.trim(_col(c))
     s = F.regexp_replace(s, r"\s+", " ")
-    # "3pm" / "3 p.m." -> "3PM"
     s = F.regexp_replace(s, r"(?i)(\d)\s*a\.?m\.?$", "$1AM")
     s = F.regexp_replace(s, r"(?i)(\d)\s*p\.?m\.?$", "$1PM")
-    s = _expand_two_digit_year(s)
-    out = None
-    for rx, patterns in _SHAPES:
-        parsed = F.coalesce(*[_try_parse_ntz(s, p) for p in patterns])
-        out = F.when(s.rlike(rx), parsed) if out is None else out.when(s.rlike(rx), parsed)
-    return out
+    return _expand_two_digit_year(s)
+
+
+def date_shape(c) -> Column:
+    """Index (1-based) of the first shape in ``_SHAPES`` the normalized
+    text matches; null when none does."""
+    s = _col(c)
+    idx = None
+    for i, (rx, _) in enumerate(_SHAPES, start=1):
+        idx = F.when(s.rlike(rx), F.lit(i)) if idx is None else idx.when(s.rlike(rx), F.lit(i))
+    return idx
+
+
+def parse_shaped_dates(c, shape) -> Column:
+    """Parse normalized text whose shape index is known: the shape's first
+    pattern, then its fallback (day-first, then month-first). At most two
+    parse calls appear in the generated code."""
+    s, idx = _col(c), _col(shape)
+    first = F.array(*[F.lit(p[0]) for _, p in _SHAPES])
+    second = F.array(*[F.lit(p[1] if len(p) > 1 else None).cast("string") for _, p in _SHAPES])
+    return F.coalesce(_try_parse_ntz(s, F.try_element_at(first, idx)),
+                      _try_parse_ntz(s, F.try_element_at(second, idx)))
+
+
+def parse_normalized_dates(c) -> Column:
+    """Parse normalized date text (see ``normalize_date_text``); bad -> null."""
+    return parse_shaped_dates(c, date_shape(c))
+
+
+def parse_mixed_dates(c) -> Column:
+    """Parse text holding dates in mixed formats, day first; bad -> null.
+    Result type is ``timestamp_ntz``.
+
+    One expression for convenience; on large data prefer
+    ``with_mixed_dates``, which normalizes in its own projection so the
+    parser refers to a column instead of repeating the normalization.
+    """
+    return parse_normalized_dates(normalize_date_text(c))
+
+
+def with_mixed_dates(df, src: str, out: str):
+    """``df`` with ``out`` = ``src`` parsed as mixed-format day-first dates.
+
+    Three projections: normalized text, then its shape index, then the
+    parse. Catalyst keeps them apart because each costly value is referenced
+    more than once, so every step is computed once per row and the
+    generated code stays small.
+    """
+    norm, shape = f"__{out}_norm", f"__{out}_shape"
+    return (df.withColumn(norm, normalize_date_text(src))
+              .withColumn(shape, date_shape(F.col(norm)))
+              .withColumn(out, parse_shaped_dates(F.col(norm), F.col(shape)))
+              .drop(norm, shape))
 
 
 def date_id(c) -> Column:

@@ -24,13 +24,15 @@ def drop_last_char(c) -> Column:
 
 
 def safe_long(c) -> Column:
-    """Number parse, bad -> null (``to_numeric(errors='coerce')`` to Int64)."""
-    return trim_ws(c).try_cast("bigint")
+    """Number parse, bad -> null (``to_numeric(errors='coerce')`` to Int64).
+    Spark's string-to-number cast already ignores surrounding white space
+    and control characters, so no extra trim (and no regex) is needed."""
+    return _col(c).try_cast("bigint")
 
 
 def safe_double(c) -> Column:
-    """Number parse, bad -> null, as double."""
-    return trim_ws(c).try_cast("double")
+    """Number parse, bad -> null, as double (surrounding white space ignored)."""
+    return _col(c).try_cast("double")
 
 
 def norm_upper(c) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import (FORMAT_COMPACT, FORMAT_ISO_SECONDS, FORMAT_LOG,
-                                        FORMAT_SNAPSHOT, date_id, parse_mixed_dates)
+                                        FORMAT_SNAPSHOT, date_id, with_mixed_dates)
 from ledgerline.functions.money import signed_amount
 from ledgerline.functions.text import drop_last_char, safe_double, safe_long
 from ledgerline.operators import bronze, fx, marts, merge, quality
@@ -417,9 +417,8 @@ def q_safe_numeric(spark, sf_dir):
 
 @query("parse_mixed_dates")
 def q_parse_mixed_dates(spark, sf_dir):
-    t = scenario.transaction_texts(spark, sf_dir)
-    return t.select("transaction_id", "date_text",
-                    parse_mixed_dates("date_text").alias("parsed"))
+    t = scenario.transaction_texts(spark, sf_dir).select("transaction_id", "date_text")
+    return with_mixed_dates(t, "date_text", "parsed")
 
 
 @query("date_id")

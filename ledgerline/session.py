@@ -72,17 +72,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment (HDFS / object store path)
-    and is read, never replaced. Only when it is unset (local tests) a
-    folder under the system temp directory is created and registered.
+    and is read, never replaced. If only the context has a checkpoint folder
+    (``setCheckpointDir``), that one is used. Only when neither exists
+    (local tests) a folder under the system temp directory is created and
+    registered on the context (the conf key itself cannot be set at run
+    time).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.dates import ntz, parse_mixed_dates
+from ledgerline.functions.dates import ntz, with_mixed_dates
 from ledgerline.functions.text import safe_double, safe_long, trim_ws
 from ledgerline.operators.joins import broadcast_if_small
 from ledgerline.schemas import REQUIRED_FILE_COLUMNS
@@ -131,12 +131,13 @@ def ingest_lines(lines: DataFrame, batch_ts: str,
                           .agg(F.count(F.lit(1)).alias("n_rows"))
                           .select("file_path", _missing_text().alias("reject_reason"),
                                   "n_rows"))
-    picked = by_name(data.where(ok), list(required))
+    picked = with_mixed_dates(by_name(data.where(ok), list(required)),
+                              "transaction_date", "__parsed_date")
     typed = picked.select(
         "file_path",
         safe_long("transaction_id").alias("transaction_id"),
         safe_long("account_id").alias("account_id"),
-        parse_mixed_dates("transaction_date").alias("transaction_date"),
+        F.col("__parsed_date").alias("transaction_date"),
         F.col("transaction_date").alias("__date_text"),
         safe_double("amount").alias("amount"),
         F.col("transaction_type").alias("transaction_type"),

@@ -22,11 +22,9 @@ def spark():
                       extra={"spark.driver.memory": "8g",
                              "spark.sql.warehouse.dir":
                                  tempfile.mkdtemp(prefix="ledgerline-test-wh-")})
-    # tests only: no cluster-provided checkpoint folder, so use a temp one
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="ledgerline-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    # tests only: without a cluster-provided checkpoint folder use a temp one
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-test-ckpt-"))
     yield s
     s.stop()
 
