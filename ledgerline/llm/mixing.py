@@ -3,7 +3,9 @@
 Every source gets a target share of the budget. Its documents are shuffled and queued; a copy
 of a document has the virtual finish time (words of its source queued up to and including it)
 / (the source's target). All copies are put in one global order of finish times, cut where
-the running total of words passes the budget.
+the running total of words passes the budget. A long document at the cut can leave its source
+short of the target, so each short source then takes up to ``FILL_ROUNDS`` further whole
+documents, each the longest that still fits.
 
 DataFrame functions only. Documents are reduced to a narrow row (id, source, size, text
 digest) before anything is shuffled. The two global orders (the queue of a source that may
@@ -27,6 +29,7 @@ from ledgerline.llm.common import running_total, table, word_count, written
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 ROWS_PER_BUCKET = 2000
+FILL_ROUNDS = 3
 
 
 def source_targets(sizes: DataFrame, budget_share: float = 1.0, max_repeats: int = MAX_REPEATS,
@@ -117,8 +120,32 @@ def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS, weights: tuple[int, ...
         taken = sum(F.when((finish(F.lit(i)) < at)
                            | ((finish(F.lit(i)) == at) & (F.col("rank") <= rank)), 1).otherwise(0)
                     for i in range(max_repeats))
-    return u.select("doc_id", "source", "digest", "rows", "size", "source_size", "target",
-                    F.when(F.col("size") > 0, taken).otherwise(0).cast("int").alias("copies"))
+    u = u.withColumn("copies", F.when(F.col("size") > 0, taken).otherwise(0).cast("int"))
+    extra = _fill(u, max_repeats).select(F.col("rank").alias("__rank"), F.col("last.doc_id").alias("__id"),
+                                         F.col("last.digest").alias("__digest"), F.lit(1).alias("extra"))
+    return (u.join(extra, (F.col("rank") == F.col("__rank")) & (F.col("digest") == F.col("__digest"))
+                   & F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+            .select("doc_id", "source", "digest", "rows", "size", "source_size", "target",
+                    (F.col("copies") + F.coalesce("extra", F.lit(0))).alias("copies")))
+
+
+def _fill(u: DataFrame, max_repeats: int) -> DataFrame:
+    """(rank, gap, last): the documents that short sources take beyond the cut. Picks of one
+    source fall strictly in (words, h, doc_id, digest), so none is picked twice."""
+    key = F.struct("words", "h", "doc_id", "digest")
+    gap = F.first("target") - F.sum(F.col("words") * F.col("copies"))
+    gaps = u.groupBy("rank").agg(gap.alias("gap")).where("gap > 0").withColumn(
+        "last", F.lit(None).cast(u.select(key.alias("k")).schema["k"].dataType))
+    more = u.where((F.col("copies") < max_repeats) & (F.col("words") > 0))
+    picks = None
+    for _ in range(FILL_ROUNDS):
+        best = (more.join(gaps, "rank")
+                .where((F.col("words") <= F.col("gap")) & (F.col("last").isNull() | (key < F.col("last"))))
+                .groupBy("rank").agg(F.max(key).alias("pick")))
+        gaps = written(gaps.join(best, "rank").select("rank", (F.col("gap") - F.col("pick.words")).alias("gap"),
+                                                      F.col("pick").alias("last")), "mix-fill")
+        picks = gaps if picks is None else picks.unionByName(gaps)
+    return picks
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -170,7 +197,20 @@ c AS (SELECT q.*, (e.i * CAST(source_size AS DOUBLE) + CAST(queued AS DOUBLE)) /
 g AS (SELECT doc_id, size, sum(size) OVER (ORDER BY finish, rank
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM c),
 k AS (SELECT doc_id, sum(size) AS taken FROM g
-      WHERE upto <= (SELECT sum(source_size) FROM s) GROUP BY doc_id)
-SELECT q.doc_id, q.size, q.source_size, q.target, CAST(coalesce(k.taken, 0) AS BIGINT) AS taken
-FROM q LEFT JOIN k USING (doc_id)
+      WHERE upto <= (SELECT sum(source_size) FROM s) GROUP BY doc_id),
+m AS (SELECT q.*, coalesce(k.taken, 0) AS cut FROM q LEFT JOIN k USING (doc_id)),
+p0 AS (SELECT rank, any_value(target) - sum(cut) AS gap, NULL::STRUCT(a BIGINT, b VARCHAR, c BIGINT) AS last
+       FROM m GROUP BY rank HAVING any_value(target) - sum(cut) > 0),
+""" + "".join(f"""p{i} AS (
+  SELECT rank, gap - best.a AS gap, best AS last
+  FROM (SELECT m.rank, any_value(p.gap) AS gap, max({{'a': m.size, 'b': md5(m.doc_id || ':mix'), 'c': m.doc_id}}) AS best
+        FROM m JOIN p{i - 1} p USING (rank)
+        WHERE m.size > 0 AND m.cut < 3 * m.size AND m.size <= p.gap
+          AND (p.last IS NULL OR {{'a': m.size, 'b': md5(m.doc_id || ':mix'), 'c': m.doc_id}} < p.last)
+        GROUP BY m.rank)),
+""" for i in range(1, FILL_ROUNDS + 1)) + """x AS (""" + " UNION ALL ".join(
+    f"SELECT last.c AS doc_id FROM p{i}" for i in range(1, FILL_ROUNDS + 1)) + """)
+SELECT m.doc_id, m.size, m.source_size, m.target,
+       CAST(m.cut + CASE WHEN x.doc_id IS NULL THEN 0 ELSE m.size END AS BIGINT) AS taken
+FROM m LEFT JOIN x USING (doc_id)
 """

@@ -1,14 +1,18 @@
 """Queries of the training-data operators and the SQL of those that SQL can express."""
 
-from ledgerline.llm import line_dedup, mixing, sharding
+from ledgerline.llm import kdtree, line_dedup, mixing, sharding, simhash_dedup, warc
 
 QUERIES = {
+    "op2_warc": warc.op2_warc,
+    "op3_kdtree_topk": kdtree.op3_kdtree_topk,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op6_simhash_dedup": simhash_dedup.op6_simhash_dedup,
     "op10_shard": sharding.op10_shard,
 }
 
 SQL = {
+    "op3_kdtree_topk": kdtree.OP3_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
     "op5_mix_sources": mixing.OP5_SQL,
 }
