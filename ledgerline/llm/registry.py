@@ -1,6 +1,6 @@
 """Queries of the training-data operators and the SQL of those that SQL can express."""
 
-from ledgerline.llm import kdtree, line_dedup, mixing, sharding, simhash_dedup, warc
+from ledgerline.llm import kdtree, line_dedup, mixing, quality, sharding, simhash_dedup, warc
 
 QUERIES = {
     "op2_warc": warc.op2_warc,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_simhash_dedup": simhash_dedup.op6_simhash_dedup,
+    "op7_quality": quality.op7_quality,
     "op10_shard": sharding.op10_shard,
 }
 
