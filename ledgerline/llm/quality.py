@@ -23,6 +23,7 @@ Cases: a null text is scored as the empty one; without any trusted positive ever
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,12 +64,15 @@ def features(text: str | None) -> np.ndarray:
     rates = np.sqrt(pairs / max(1, len(c) - 1))
     words, lines = data.split(), data.split(b"\n")
     n = max(1, len(words))
+    again = sum(map(bytes.__eq__, words, words[1:])) / n  # a word right after itself
+    most = max(Counter(words).values(), default=0) / n
     more = [math.log1p(len(data)), len(data) / n, len(set(words)) / n, len(set(lines)) / len(lines),
-            sum(w.isupper() for w in words) / n, len(words) / len(lines) / 100]
+            sum(map(bytes.isupper, words)) / n, len(words) / len(lines) / 100, again, most]
     return np.r_[rates, more].astype(np.float32)
 
 
-N_FEATURES = N_CLASSES * N_CLASSES + 6
+N_STATISTICS = 8
+N_FEATURES = N_CLASSES * N_CLASSES + N_STATISTICS
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,18 +87,25 @@ class Network:
     def __init__(self, x: np.ndarray, seed: int, hidden: int = HIDDEN):
         rng = np.random.default_rng(seed)
         self.mean, self.scale = x.mean(axis=0), 1 / (x.std(axis=0) + 0.01)
-        self.p = [rng.normal(0, 1 / math.sqrt(x.shape[1]), (x.shape[1], hidden)), np.zeros(hidden),
-                  rng.normal(0, 1 / math.sqrt(hidden), hidden), np.zeros(1)]
+        self.p = [w.astype(np.float32) for w in (
+            rng.normal(0, 1 / math.sqrt(x.shape[1]), (x.shape[1], hidden)), np.zeros(hidden),
+            rng.normal(0, 1 / math.sqrt(hidden), hidden), np.zeros(1))]
         self.m, self.v, self.t = [np.zeros_like(w) for w in self.p], [np.zeros_like(w) for w in self.p], 0
 
-    def logit(self, x: np.ndarray) -> np.ndarray:
+    def prepare(self, x: np.ndarray) -> np.ndarray:
+        z = np.clip((x - self.mean) * self.scale, -8, 8)
+        z[:, -N_STATISTICS:] *= 3  # few against hundreds of pair rates
+        return z
+
+    def logit(self, z: np.ndarray) -> np.ndarray:
+        """Logits of prepared rows."""
         w, b, u, c = self.p
-        return np.tanh(np.clip((x - self.mean) * self.scale, -8, 8) @ w + b) @ u + c[0]
+        return np.tanh(z @ w + b) @ u + c[0]
 
-    def step(self, x: np.ndarray, slope: np.ndarray, rate: float = 0.003, decay: float = 1e-3) -> None:
-        """One Adam step against d(loss)/d(logit) = ``slope``."""
+    def step(self, z: np.ndarray, slope: np.ndarray, rate: float = 0.003, decay: float = 1e-4) -> None:
+        """One Adam step against d(loss)/d(logit) = ``slope`` at the prepared rows ``z``."""
         w, b, u, c = self.p
-        z = np.clip((x - self.mean) * self.scale, -8, 8)
+        slope = slope.astype(np.float32)
         h = np.tanh(z @ w + b)
         back = slope[:, None] * u * (1 - h * h)
         grads = [z.T @ back + decay * w, back.sum(axis=0), h.T @ slope + decay * u, np.array([slope.sum()])]
@@ -126,11 +137,12 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 0, steps: int =
         if not len(fit_p) or not len(fit_u):
             return 0.5
         net = Network(np.r_[fit_p, fit_u], seed)
+        fit_p, fit_u = net.prepare(fit_p), net.prepare(fit_u)
         for i, j in _batches(rng, len(fit_p), len(fit_u), steps, 256):
             sp, su = sigmoid(net.logit(fit_p[i])), sigmoid(net.logit(fit_u[j]))
             net.step(np.r_[fit_p[i], fit_u[j]], np.r_[(sp - 1) / len(i), su / len(j)])
         rest_p, rest_u = (pos[hp:], unl[hu:]) if a.start is None else (pos[:hp], unl[:hu])
-        scores.append((np.sort(net.logit(rest_p)), np.sort(net.logit(rest_u))))
+        scores.append((np.sort(net.logit(net.prepare(rest_p))), np.sort(net.logit(net.prepare(rest_u)))))
     found = []
     for sp, su in scores:
         # a bin: all scores of at least c; it must be wide enough for the bound to mean something
@@ -140,7 +152,9 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 0, steps: int =
         noise = math.sqrt(math.log(40) / 2 / len(sp)) + math.sqrt(math.log(40) / 2 / len(su))
         best = np.argmin((q_u + noise) / q_p)
         found.append(q_u[best] / q_p[best])
-    return float(np.clip(np.mean(found), 0.05, 0.98))
+    # the best bin bounds the prior from above: go two standard errors below it
+    at = float(np.clip(np.mean(found), 0.05, 0.98))
+    return max(0.05, at - 2 * math.sqrt(at * (1 - at) / max(1, min(hu, len(unl) - hu))))
 
 
 def fit(pos: np.ndarray, unl: np.ndarray, seed: int = 1, steps: int = 1500, size: int = 256) -> Network | None:
@@ -149,6 +163,7 @@ def fit(pos: np.ndarray, unl: np.ndarray, seed: int = 1, steps: int = 1500, size
         return None
     prior = estimate_prior(pos, unl)
     rng, net = np.random.default_rng(seed), Network(np.r_[pos, unl], seed)
+    pos, unl = net.prepare(pos), net.prepare(unl)
     for i, j in _batches(rng, len(pos), len(unl), steps, size):
         p, u = pos[i], unl[j]
         zp, zu = net.logit(p), net.logit(u)
@@ -171,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), dtype=np.float32).reshape(-1, N_FEATURES)
     y = rows.column("y").to_numpy()
     # the order rows arrive in must not matter
-    order = np.lexsort((x[:, -6], x[:, -5], y)) if len(y) else np.empty(0, int)
+    order = np.lexsort((x[:, -8], x[:, -7], y)) if len(y) else np.empty(0, int)
     x, y = x[order], y[order]
     return fit(x[y == 1], x[y == 0])
 
@@ -182,7 +197,8 @@ def _scorer(net: Network | None):
             if net is None:
                 s = np.full(batch.num_rows, 0.5)
             elif batch.num_rows:
-                s = sigmoid(net.logit(np.stack([features(t.as_py()) for t in batch.column("text")])))
+                s = sigmoid(net.logit(net.prepare(
+                    np.stack([features(t.as_py()) for t in batch.column("text")])))).astype(np.float64)
             else:
                 s = np.empty(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())],
