@@ -1,8 +1,9 @@
 """Queries of the training-data operators and the SQL of those that SQL can express."""
 
-from ledgerline.llm import kdtree, line_dedup, mixing, quality, sharding, simhash_dedup, warc
+from ledgerline.llm import kdtree, line_dedup, mixing, quality, sharding, simhash_dedup, toxicity, warc
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_warc": warc.op2_warc,
     "op3_kdtree_topk": kdtree.op3_kdtree_topk,
     "op4_line_dedup": line_dedup.op4_line_dedup,
