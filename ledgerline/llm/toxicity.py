@@ -37,10 +37,10 @@ from ledgerline.llm.sampling import labelled, sample_rows, smallest_hashes
 
 WINDOW, STRIDE = 64, 32
 MAX_TOXIC, MAX_CLEAN, MAX_WINDOWS = 1500, 4500, 16
-WORD_BUCKETS, GRAM_BUCKETS = 1 << 14, 1 << 14
+WORD_BUCKETS, GRAM_BUCKETS = 1 << 16, 1 << 16
 EMBED, STATES, ATTENTION = 8, 12, 8
 DROP, DECAY, SLOW = 0.15, 0.05, 0.1
-CACHE_WORDS = 150_000
+CACHE_WORDS = 300_000
 CHUNK = 1024
 SEPARATORS = bytes.maketrans(bytes(c for c in range(33, 127) if not chr(c).isalnum()),
                              b" " * sum(not chr(c).isalnum() for c in range(33, 127)))
@@ -58,19 +58,22 @@ def window_starts(n: int) -> np.ndarray:
     return np.append(starts, n - WINDOW)
 
 
-def grams_of(word: bytes) -> list[int]:
-    """Hashed character 3- and 4-grams with boundaries (the whole word if it is shorter)."""
-    w = b"^" + word + b"$"
-    return [zlib.crc32(w[i:i + k]) % GRAM_BUCKETS for k in (3, 4) for i in range(max(1, len(w) - k + 1))]
-
-
 def word_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word buckets, all n-gram buckets, and where each word's n-grams start."""
-    grams = [grams_of(w) for w in words]
-    sizes = np.fromiter(map(len, grams), dtype=np.int64, count=len(words))
-    flat = np.fromiter((g for x in grams for g in x), dtype=np.int64, count=int(sizes.sum()))
+    """Word buckets, the buckets of all character 3- and 4-grams, and where each word's start.
+
+    Words are bounded by ^ and $$, so each has at least one n-gram. All words are hashed at
+    once, over their bytes laid end to end."""
     buckets = np.fromiter((zlib.crc32(w) % WORD_BUCKETS for w in words), dtype=np.int64, count=len(words))
-    return buckets, flat, np.cumsum(sizes) - sizes
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 3
+    data = np.frombuffer(b"^" + b"$$^".join(words) + b"$$", dtype=np.uint8).astype(np.uint64)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))  # bytes up to the word's end
+    padded = np.r_[data, np.zeros(3, np.uint64)]
+    three = sum(padded[i:i + len(data)] << np.uint64(8 * i) for i in range(3))
+    both = np.stack([three, three | padded[3:] << np.uint64(24) | np.uint64(1 << 40)], axis=1)
+    use = np.stack([left >= 3, left >= 4], axis=1)
+    flat = ((both[use] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % GRAM_BUCKETS
+    counts = np.add.reduceat(use.sum(axis=1), np.cumsum(sizes) - sizes)
+    return buckets, flat, np.cumsum(counts) - counts
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -335,7 +338,7 @@ class Scorer:
         if new:
             n = len(known)
             if n + len(new) > len(self.table):
-                grown = np.zeros((2 * (n + len(new)), 6 * STATES), np.float32)
+                grown = np.zeros((3 * (n + len(new)) // 2, 6 * STATES), np.float32)
                 grown[:n] = self.table[:n]
                 self.table = grown
             for i in range(0, len(new), 20_000):
