@@ -36,7 +36,7 @@ from ledgerline.llm.common import held_out, table
 from ledgerline.llm.sampling import labelled, sample_rows, smallest_hashes
 
 WINDOW, STRIDE = 64, 32
-MAX_TOXIC, MAX_CLEAN, MAX_WINDOWS = 1500, 4500, 16
+MAX_TOXIC, MAX_CLEAN, MAX_WINDOWS = 1500, 3000, 10
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 16, 1 << 16
 EMBED, STATES, ATTENTION = 8, 12, 8
 DROP, DECAY, SLOW = 0.15, 0.05, 0.1
@@ -229,20 +229,23 @@ def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                                          names=["windows", "y"])
 
 
-def _index(windows: list[list[bytes]], vocabulary: dict) -> tuple[np.ndarray, np.ndarray]:
-    idx = np.zeros((len(windows), WINDOW), dtype=np.int64)
-    for i, w in enumerate(windows):
+def _index(windows: list[bytes], vocabulary: dict) -> tuple[np.ndarray, np.ndarray]:
+    idx, mask = np.zeros((len(windows), WINDOW), dtype=np.int32), np.zeros((len(windows), WINDOW), dtype=bool)
+    for i, window in enumerate(windows):
+        w = window.split()
         idx[i, :len(w)] = [vocabulary.setdefault(x, len(vocabulary)) for x in w]
-    sizes = np.fromiter(map(len, windows), dtype=np.int64, count=len(windows))
-    return idx, np.arange(WINDOW)[None, :] < sizes[:, None]
+        mask[i, :len(w)] = True
+    return idx, mask
 
 
-def _surprise(owner: np.ndarray, bucket: np.ndarray, y: np.ndarray, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _surprise(texts, y: np.ndarray, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """For each of ``n`` buckets: how many standard deviations more toxic texts hold it than if
-    it were spread evenly (within 6, below 2.5 is chance: 0), and whether ``least`` texts hold it."""
-    seen = np.unique(owner * np.int64(n) + bucket)
-    texts, cell = seen // n, seen % n
-    all_, toxic = np.bincount(cell, minlength=n), np.bincount(cell, weights=y[texts], minlength=n)
+    it were spread evenly (within 6, below 2.5 is chance: 0), and whether ``least`` texts hold
+    it. ``texts`` yields the distinct buckets of one text after the other."""
+    all_, toxic = np.zeros(n), np.zeros(n)
+    for label, cell in zip(y, texts):
+        all_[cell] += 1
+        toxic[cell] += label
     expected = all_ * y.mean()
     z = np.clip((toxic - expected) / np.sqrt(expected + 1), -6, 6)
     return np.where(np.abs(z) < 2.5, 0, z).astype(np.float32), all_ >= least
@@ -253,33 +256,42 @@ def fit(texts: list[list[bytes]], y: np.ndarray, seed: int = 0, batch: int = 192
     updates = int(np.clip(15 * len(y) / batch, 120, 300))
     rng, net, vocabulary = np.random.default_rng(seed), BiGRU(seed), {b"": 0}
     owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    idx, mask = _index([w.split() for t in texts for w in t], vocabulary)
+    idx, mask = _index([w for t in texts for w in t], vocabulary)
     words = list(vocabulary)
-    buckets, flat, starts = word_inputs(words)
-    sizes = np.diff(np.append(starts, len(flat)))
+    parts = [word_inputs(words[i:i + 20_000]) for i in range(0, len(words), 20_000)]
+    buckets, flat = (np.concatenate([p[i] for p in parts]).astype(np.int32) for i in (0, 1))
+    sizes = np.concatenate([np.diff(np.append(p[2], len(p[1]))) for p in parts])
+    starts = np.cumsum(sizes) - sizes
+    del words, parts, vocabulary
+
+    def of_rows(cells: np.ndarray):
+        """Inputs of the distinct words of some windows, and the windows in their terms."""
+        used, local = np.unique(cells, return_inverse=True)
+        n = sizes[used]
+        at = np.repeat(starts[used] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return (buckets[used], flat[at], np.cumsum(n) - n), local.reshape(cells.shape)
+
     # embeddings only for what several texts share
     least = max(3, len(y) // 200)
-    of_text, cell = owner[np.nonzero(mask)[0]], idx[mask]
-    pairs = np.unique(of_text * np.int64(len(words)) + cell)
-    of_text, cell = pairs // len(words), pairs % len(words)
-    gram_at = (flat[np.repeat(starts[cell] - np.cumsum(sizes[cell]) + sizes[cell], sizes[cell])
-                    + np.arange(sizes[cell].sum())])
+    counts = np.bincount(owner, minlength=len(texts))
+    first = np.cumsum(counts) - counts
+    cells = lambda: (np.unique(idx[a:a + n][mask[a:a + n]]) for a, n in zip(first, counts))
+    grams = (np.unique(np.concatenate([flat[starts[v]:starts[v] + sizes[v]] for v in c] or [flat[:0]])) for c in cells())
     usual = {}
-    for k, o, c, n in (("word", of_text, buckets[cell], WORD_BUCKETS),
-                       ("gram", np.repeat(of_text, sizes[cell]), gram_at, GRAM_BUCKETS)):
-        z, usual[k] = _surprise(o, c, y, n, least)
+    for k, per_text, n in (("word", (np.unique(buckets[c]) for c in cells()), WORD_BUCKETS),
+                           ("gram", grams, GRAM_BUCKETS)):
+        z, usual[k] = _surprise(per_text, y, n, least)
         net.p[k][:, 0] = 0.4 * z
         net.p[k] *= usual[k][:, None]
-    counts = np.bincount(owner, minlength=len(texts))
-    first = np.cumsum(counts) - counts
     done, rounds = 0, 0
     while done < updates:
         if rounds < 2:  # any window, until the network knows something
             logits = rng.random(len(owner))
         else:
-            proj = net.project((buckets, flat, starts))
-            logits = np.concatenate([net.forward(proj, idx[i:i + CHUNK], mask[i:i + CHUNK])
-                                     for i in range(0, len(idx), CHUNK)])
+            logits = np.empty(len(owner), np.float32)
+            for i in range(0, len(idx), CHUNK):
+                inputs, local = of_rows(idx[i:i + CHUNK])
+                logits[i:i + CHUNK] = net.forward(net.project(inputs), local, mask[i:i + CHUNK])
         order = np.lexsort((-logits, owner))
         # each text's worst window, and for clean texts any other one as well
         any_ = first + (rng.random(len(y)) * counts).astype(int)
@@ -287,10 +299,7 @@ def fit(texts: list[list[bytes]], y: np.ndarray, seed: int = 0, batch: int = 192
         for _ in range(max(1, min(4, 40 * batch // len(y)))):
             for part in np.array_split(rng.permutation(len(y_)), max(1, len(y_) // batch)):
                 rows = rows_[part]
-                used, local = np.unique(idx[rows], return_inverse=True)
-                at = np.concatenate([np.arange(starts[v], starts[v] + sizes[v]) for v in used])
-                inputs = (buckets[used], flat[at], np.cumsum(sizes[used]) - sizes[used])
-                local, kept = local.reshape(len(rows), WINDOW), {}
+                (inputs, local), kept = of_rows(idx[rows]), {}
                 real = mask[rows] & (rng.random((len(rows), WINDOW)) > DROP)
                 z = net.forward(net.project(inputs), local, real, kept)
                 slope = ((sigmoid(z) - y_[part]) / len(part)).astype(np.float32)
