@@ -1,6 +1,6 @@
 """Queries of the training-data operators and the SQL of those that SQL can express."""
 
-from ledgerline.llm import decontaminate, kdtree, line_dedup, mixing, quality, sharding, simhash_dedup, toxicity, warc
+from ledgerline.llm import decontaminate, kdtree, line_dedup, mixing, pseudonyms, quality, sharding, simhash_dedup, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_simhash_dedup": simhash_dedup.op6_simhash_dedup,
     "op7_quality": quality.op7_quality,
+    "op8_pseudonyms": pseudonyms.op8_pseudonyms,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_shard": sharding.op10_shard,
 }
