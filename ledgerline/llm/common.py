@@ -23,6 +23,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def own(df: DataFrame, c: str) -> Column:
+    """Column ``c`` of ``df`` itself, whatever characters its name has."""
+    return df["`" + c.replace("`", "``") + "`"]
+
+
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, narrow rows whose number was counted, marked for broadcast up to a fixed bound."""
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
+
+
 def word_count(text: Column) -> Column:
     """Words in the whole text (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

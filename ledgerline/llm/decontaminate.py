@@ -167,9 +167,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFra
     """``docs`` without the contaminated ones."""
     bad = contaminated(docs, benchmark, **options).select(
         F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
-    d = docs.withColumn("__d", F.xxhash64("text"))
-    return (d.join(bad, (d["__d"] == bad["__digest"]) & d["doc_id"].eqNullSafe(bad["__id"]), "left_anti")
-            .select(*docs.columns))
+    return docs.join(bad, (F.xxhash64(docs["text"]) == bad["__digest"])
+                     & docs["doc_id"].eqNullSafe(bad["__id"]), "left_anti")
 
 
 def op9_decontaminate(spark, sf_dir) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table, written
+from ledgerline.llm.common import fresh, own, table, written
 
 WINDOW = 3
 
@@ -49,14 +49,13 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"),
         F.array_distinct(F.flatten(F.transform("positions", lambda p: F.sequence(p, p + window - 1))))
         .alias("__covered"))
-    d = docs.withColumn("__d", F.xxhash64("text"))
-    j = d.join(hits, (d["__d"] == hits["__digest"]) & d["doc_id"].eqNullSafe(hits["__id"]), "left")
-    covered = F.transform(F.split("text", "\n", -1),
-                          lambda line, i: F.when(~F.array_contains("__covered", i), line))
-    kept = F.array_join(covered, "\n")  # nulls, the covered lines, are left out
-    return j.select(*[F.when(F.col("__covered").isNull(), F.col("text")).otherwise(kept).alias("text")
-                      if c == "text" else d[c] for c in docs.columns],
-                    F.coalesce(F.size("__covered"), F.lit(0)).cast("long").alias("removed_lines"))
+    text, covered = docs["text"], hits["__covered"]
+    j = docs.join(hits, (F.xxhash64(text) == hits["__digest"]) & docs["doc_id"].eqNullSafe(hits["__id"]), "left")
+    lines = F.transform(F.split(text, "\n", -1), lambda line, i: F.when(~F.array_contains(covered, i), line))
+    kept = F.array_join(lines, "\n")  # nulls, the covered lines, are left out
+    return j.select(*[F.when(covered.isNull(), text).otherwise(kept).alias(c) if c == "text" else own(docs, c)
+                      for c in docs.columns],
+                    F.coalesce(F.size(covered), F.lit(0)).cast("long").alias(fresh(docs, "removed_lines")))
 
 
 def op4_line_dedup(spark, sf_dir) -> DataFrame:

@@ -30,8 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerline.llm.common import held_out, table
+from ledgerline.llm.common import fresh, held_out, table
 from ledgerline.llm.sampling import labelled, sample_rows, smallest_hashes
 
 MAX_POSITIVES = 3000
@@ -183,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
     web = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
     picks = [smallest_hashes(good, max_positives, 1, F.lit(1)), smallest_hashes(web, max_unlabelled, 2, F.lit(0))]
     rows = sample_rows(docs, picks).mapInArrow(_feature_rows, "x binary, y int").toArrow()
-    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), dtype=np.float32).reshape(-1, N_FEATURES)
+    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), dtype=np.float32).reshape(len(rows), N_FEATURES)
     y = rows.column("y").to_numpy()
     # the order rows arrive in must not matter
     order = np.lexsort((x[:, -8], x[:, -7], y)) if len(y) else np.empty(0, int)
@@ -191,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
     return fit(x[y == 1], x[y == 0])
 
 
-def _scorer(net: Network | None):
+def _scorer(net: Network | None, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if net is None:
@@ -202,22 +203,21 @@ def _scorer(net: Network | None):
             else:
                 s = np.empty(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())],
-                                             names=[*batch.schema.names, "quality_score"])
+                                             names=[*batch.schema.names, out])
     return run
 
 
-def score(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` with ``quality_score`` added."""
-    from pyspark.sql import types as T
-
+def score(docs: DataFrame, labels: DataFrame, out: str = "quality_score", **options) -> DataFrame:
+    """``docs`` with the score added as column ``out``."""
     net = train(docs, labels, **options)
-    schema = T.StructType([*docs.schema.fields, T.StructField("quality_score", T.DoubleType())])
-    return docs.mapInArrow(_scorer(net), schema)
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
+    return docs.mapInArrow(_scorer(net, out), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """The documents that the classifier does not reject."""
-    return score(docs, labels, **options).where(F.col("quality_score") >= threshold).drop("quality_score")
+    out = fresh(docs, "quality_score")
+    return score(docs, labels, out, **options).where(F.col(out) >= threshold).drop(out)
 
 
 def op7_quality(spark, sf_dir) -> DataFrame:

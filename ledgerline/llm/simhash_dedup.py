@@ -258,8 +258,8 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     """``docs`` without those that are not the smallest doc_id of their component. Rows that
     share a doc_id are one document and stay or go together; rows without one stay."""
     gone = (near_duplicates(docs, shingle, radius).where("component_id < doc_id")
-            .select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+            .select(F.col("doc_id").alias("__id")).distinct())
+    return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
 
 
 def op6_simhash_dedup(spark, sf_dir) -> DataFrame:

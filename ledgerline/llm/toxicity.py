@@ -388,24 +388,24 @@ class Scorer:
             np.maximum.at(worst, owner[i:i + CHUNK], self.net.forward(self.table, idx, mask))
 
 
-def _scorer(net):
+def _scorer(net, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Scorer(net) if isinstance(net, BiGRU) else None
         for batch in batches:
             texts = batch.column("text").to_pylist()
             s = model.scores(texts) if model and texts else np.full(len(texts), 0.0 if model else net)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())],
-                                             names=[*batch.schema.names, "toxicity"])
+                                             names=[*batch.schema.names, out])
     return run
 
 
-def score(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` with ``toxicity`` added."""
+def score(docs: DataFrame, labels: DataFrame, out: str = "toxicity", **options) -> DataFrame:
+    """``docs`` with the score added as column ``out``."""
     net = train(docs, labels, **options)
     if isinstance(net, BiGRU):
         net.m = net.v = None  # not needed to score
-    schema = T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())])
-    return docs.mapInArrow(_scorer(net), schema)
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
+    return docs.mapInArrow(_scorer(net, out), schema)
 
 
 def op1_toxicity(spark, sf_dir) -> DataFrame:
