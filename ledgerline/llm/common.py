@@ -55,21 +55,40 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(crc % 5 == 0, F.lit(True))
 
 
+PREFIX_ROWS = 4096
+
+
+def _totals_before(sums: DataFrame, group: list[str], b: str, out: str, buckets: int) -> DataFrame:
+    """(group, b, out): the total of ``__sum`` over the group's smaller ``b``, in windows of at
+    most ``PREFIX_ROWS`` rows."""
+    coarse = f"{b}_" if buckets > PREFIX_ROWS else None
+    within = [*group, coarse] if coarse else group
+    if coarse:
+        sums = sums.withColumn(coarse, F.floor(F.col(b) / PREFIX_ROWS))
+    before = Window.partitionBy(*within).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    inner = sums.select(*within, b, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias(out))
+    if not coarse:
+        return inner
+    above = f"{out}_"
+    upper = _totals_before(sums.groupBy(*within).agg(F.sum("__sum").alias("__sum")), group, coarse, above,
+                           buckets // PREFIX_ROWS + 1)
+    return inner.join(upper, within).select(*group, b, (F.col(out) + F.col(above)).alias(out))
+
+
 def running_total(df: DataFrame, group: list[str], order: list[str], value: str, out: str,
                   spread: Column, buckets: int) -> DataFrame:
     """Inclusive running total of ``value`` inside each group, in the order
     (``bucket``, ``order``), without one task per group.
 
     ``spread`` is an evenly spread non-negative long per row; rows go to ``pmod(spread,
-    buckets)``. Bucket sums are pre-aggregated, their prefix is taken over the small table of
-    buckets, and each window holds the rows of one bucket of one group. With ``value`` 1 the
+    buckets)``. Bucket sums are pre-aggregated, their prefix is taken over the table of buckets
+    (itself in coarser buckets when there are many), and each window holds the rows of one
+    bucket of one group. With ``value`` 1 the
     total is a rank from 1. Ties in ``order`` are broken arbitrarily among equal rows.
     """
     b, base = "__bucket", "__base"
     df = df.withColumn(b, F.pmod(spread, F.lit(buckets)))
-    sums = df.groupBy(*group, b).agg(F.sum(value).alias("__sum"))
-    before = Window.partitionBy(*group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*group, b, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias(base))
+    sums = _totals_before(df.groupBy(*group, b).agg(F.sum(value).alias("__sum")), group, b, base, buckets)
     w = (Window.partitionBy(*group, b).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (df.join(sums, [*group, b])

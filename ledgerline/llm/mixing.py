@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import running_total, table, word_count, written
+from ledgerline.llm.common import fresh, own, running_total, small, table, word_count, written
 
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
@@ -80,14 +80,17 @@ def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS, weights: tuple[int, ...
                                         F.lit(f":{seed}")))),
         "mix-units")
     n, total = units.agg(F.count(F.lit(1)), F.coalesce(F.sum("words"), F.lit(0))).first()
-    targets = source_targets(units.groupBy("source").agg(F.sum("words").alias("source_size")),
-                             max_repeats=max_repeats, weights=weights)
+    by_source = written(units.groupBy("source").agg(F.sum("words").alias("source_size")), "mix-sources")
+    sources = by_source.count()
+    targets = source_targets(by_source, max_repeats=max_repeats, weights=weights)
     digits = 1
     while 16 ** digits * ROWS_PER_BUCKET < n:
         digits += 1
     # leading hexadecimal digits: buckets follow the order of h itself
     spread = F.conv(F.substring("h", 1, digits), 16, 10).cast("long")
-    t = targets.withColumnRenamed("source", "__source")
+    # a hot source never gathers in one task: few sources are broadcast, a join of many is
+    # split by AQE
+    t = small(targets.withColumnRenamed("source", "__source"), sources)
     u = units.join(t, units["source"].eqNullSafe(t["__source"])).drop("__source")
     u = written(running_total(u, ["rank"], ["h", "doc_id", "digest"], "words", "queued",
                               spread, 16 ** digits), "mix-queue")
@@ -121,7 +124,7 @@ def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS, weights: tuple[int, ...
                            | ((finish(F.lit(i)) == at) & (F.col("rank") <= rank)), 1).otherwise(0)
                     for i in range(max_repeats))
     u = u.withColumn("copies", F.when(F.col("size") > 0, taken).otherwise(0).cast("int"))
-    extra = _fill(u, max_repeats).select(F.col("rank").alias("__rank"), F.col("last.doc_id").alias("__id"),
+    extra = small(_fill(u, max_repeats, sources), FILL_ROUNDS * sources).select(F.col("rank").alias("__rank"), F.col("last.doc_id").alias("__id"),
                                          F.col("last.digest").alias("__digest"), F.lit(1).alias("extra"))
     return (u.join(extra, (F.col("rank") == F.col("__rank")) & (F.col("digest") == F.col("__digest"))
                    & F.col("doc_id").eqNullSafe(F.col("__id")), "left")
@@ -129,7 +132,7 @@ def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS, weights: tuple[int, ...
                     (F.col("copies") + F.coalesce("extra", F.lit(0))).alias("copies")))
 
 
-def _fill(u: DataFrame, max_repeats: int) -> DataFrame:
+def _fill(u: DataFrame, max_repeats: int, sources: int) -> DataFrame:
     """(rank, gap, last): the documents that short sources take beyond the cut. Picks of one
     source fall strictly in (words, h, doc_id, digest), so none is picked twice."""
     key = F.struct("words", "h", "doc_id", "digest")
@@ -139,7 +142,7 @@ def _fill(u: DataFrame, max_repeats: int) -> DataFrame:
     more = u.where((F.col("copies") < max_repeats) & (F.col("words") > 0))
     picks = None
     for _ in range(FILL_ROUNDS):
-        best = (more.join(gaps, "rank")
+        best = (more.join(small(gaps, sources), "rank")
                 .where((F.col("words") <= F.col("gap")) & (F.col("last").isNull() | (key < F.col("last"))))
                 .groupBy("rank").agg(F.max(key).alias("pick")))
         gaps = written(gaps.join(best, "rank").select("rank", (F.col("gap") - F.col("pick.words")).alias("gap"),
@@ -153,12 +156,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     plan = mix(docs, **options).where("copies > 0").select(
         F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
         F.col("digest").alias("__digest"), F.col("copies").alias("__copies"))
-    d = docs.withColumn("__d", F.xxhash64("text"))
-    return (d.join(plan, (d["__d"] == plan["__digest"]) & d["doc_id"].eqNullSafe(plan["__id"])
-                   & d["source"].eqNullSafe(plan["__source"]))
-            .select(*[d[c] for c in docs.columns],
-                    F.explode(F.expr("array_repeat(0, __copies)")).alias("__copy"))
-            .drop("__copy"))
+    copy = fresh(docs, "__copy")
+    return (docs.join(plan, (F.xxhash64(docs["text"]) == plan["__digest"])
+                      & docs["doc_id"].eqNullSafe(plan["__id"]) & docs["source"].eqNullSafe(plan["__source"]))
+            .select(*[own(docs, c) for c in docs.columns],
+                    F.explode(F.array_repeat(F.lit(0), plan["__copies"])).alias(copy))
+            .drop(copy))
 
 
 def op5_mix_sources(spark, sf_dir) -> DataFrame:
