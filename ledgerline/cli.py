@@ -4,15 +4,17 @@ ledgerline/cli.py ...`` or ``python -m ledgerline.cli ...``).
 * ``warehouse`` — one daily run staging -> core -> marts over six source
   tables stored as Parquet directories ``{sources}/{customer,city,state,
   branch,account,transaction}`` (columns as in ``schemas.STAGING_TABLES``
-  plus ``dtmupd``), into versioned tables under ``--base``;
+  plus ``dtmupd``) and the transaction files under ``--files``, into
+  versioned tables under ``--base``;
 * ``ingest-files`` — take every new CSV file under a drop folder once
   (stream with ``Trigger.AvailableNow``) into staged transactions, rejects
   and the incremental daily summary;
 * ``bronze`` — land the last five sessions of daily bars for a ticker list
   as one snapshot (``Company``/``snapshot_ts`` partitions), with rejects
   and a run log;
-* ``banks`` — convert a banks table (``Rank, Country, MC_USD_Billion``,
-  Parquet) with a rate CSV, write CSV + table + run log.
+* ``banks`` — take the banks table (``Rank, Country, MC_USD_Billion``) from
+  HTML pages (Parquet: ``page_id, html``) or as it is (Parquet), convert it
+  with a rate CSV, write CSV + table + run log.
 
 The session comes from the submitting environment; only settings that the
 results depend on are set here when missing.
@@ -41,7 +43,7 @@ def cmd_warehouse(spark: SparkSession, a: argparse.Namespace) -> dict:
 
     sources = {s.name: spark.read.parquet(f"{a.sources.rstrip('/')}/{s.name}")
                for s in STAGING_TABLES}
-    return run_all(spark, sources, a.base, a.batch_ts)
+    return run_all(spark, sources, a.base, a.batch_ts, a.files)
 
 
 def cmd_ingest_files(spark: SparkSession, a: argparse.Namespace) -> dict:
@@ -50,14 +52,15 @@ def cmd_ingest_files(spark: SparkSession, a: argparse.Namespace) -> dict:
     run_file_ingest(spark, a.glob, a.out, a.checkpoint, a.batch_ts,
                     max_files_per_trigger=a.max_files)
     return {"staged": f"{a.out}/staged", "rejects": f"{a.out}/rejects",
-            "daily_summary": f"{a.out}/daily_summary"}
+            "rejected_files": f"{a.out}/rejected_files", "daily_summary": f"{a.out}/daily_summary"}
 
 
 def cmd_banks(spark: SparkSession, a: argparse.Namespace) -> dict:
     from ledgerline.operators import fx
     from ledgerline.plans.banks_run import run_banks
+    from ledgerline.sources import html
 
-    banks = spark.read.parquet(a.banks)
+    banks = html.banks(spark.read.parquet(a.pages)) if a.pages else spark.read.parquet(a.banks)
     run_banks(spark, banks, fx.read_rates(spark, a.rates), a.out, a.run_id, a.batch_ts)
     return {"table": f"{a.out}/banks_table", "csv": f"{a.out}/banks_csv",
             "run_log": f"{a.out}/run_log"}
@@ -78,6 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     w = sub.add_parser("warehouse")
     w.add_argument("--sources", required=True)
     w.add_argument("--base", required=True)
+    w.add_argument("--files", help="folder of CSV and Excel transaction files, each taken once")
     w.add_argument("--batch-ts", required=True, help="yyyy-MM-dd HH:mm:ss")
     f = sub.add_parser("ingest-files")
     f.add_argument("--glob", required=True)
@@ -86,7 +90,9 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--batch-ts", required=True)
     f.add_argument("--max-files", type=int, default=1000)
     b = sub.add_parser("banks")
-    b.add_argument("--banks", required=True)
+    source = b.add_mutually_exclusive_group(required=True)
+    source.add_argument("--banks")
+    source.add_argument("--pages")
     b.add_argument("--rates", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--run-id", default="banks")

@@ -2,7 +2,6 @@
 
 * ``parse_mixed_dates``  mixed-format, day-first parse, bad input -> null
 * ``date_id``            ``yyyyMMdd`` integer key of a date
-* ``format_ts``          the timestamp formats used by the pipelines
 * ``date_parts``         calendar columns of the date dimension
 * ``ntz``                a ``TIMESTAMP_NTZ`` literal
 """
@@ -139,16 +138,15 @@ def parse_mixed_dates(c) -> Column:
 def with_mixed_dates(df, src: str, out: str):
     """``df`` with ``out`` = ``src`` parsed as mixed-format day-first dates.
 
-    Three projections: normalized text, then its shape index, then the
-    parse. Catalyst keeps them apart because each costly value is referenced
-    more than once, so every step is computed once per row and the
-    generated code stays small.
+    The text is parsed once per row: each costly value (normalized text, shape
+    index) is bound by a one-element ``transform``, and the result comes out of
+    an ``explode`` of one element, which later filters on ``out`` do not cross,
+    so the parse is neither repeated nor inlined into conditions. The lambdas
+    run outside generated code, which keeps that code small.
     """
-    norm, shape = f"__{out}_norm", f"__{out}_shape"
-    return (df.withColumn(norm, normalize_date_text(src))
-              .withColumn(shape, date_shape(F.col(norm)))
-              .withColumn(out, parse_shaped_dates(F.col(norm), F.col(shape)))
-              .drop(norm, shape))
+    parsed = F.transform(F.array(normalize_date_text(src)), lambda s: F.get(
+        F.transform(F.array(date_shape(s)), lambda i: parse_shaped_dates(s, i)), F.lit(0)))
+    return df.select("*", F.explode(parsed).alias(out))
 
 
 def date_id(c) -> Column:
@@ -157,10 +155,6 @@ def date_id(c) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
-def format_ts(c, fmt: str = FORMAT_ISO_SECONDS) -> Column:
-    return F.date_format(_col(c), fmt)
-
-
 def date_parts(c) -> dict[str, Column]:
     """Calendar columns of a date: ISO week, Sunday = 1, weekend = {1, 7}."""
     d = _col(c)
@@ -176,8 +170,3 @@ def date_parts(c) -> dict[str, Column]:
         "DayOfWeek": dow,
         "IsWeekend": dow.isin(1, 7),
     }
-
-
-def mark_text(c) -> Column:
-    """A high-water mark rendered as the reference renders it."""
-    return F.date_format(_col(c), FORMAT_ISO_SECONDS)

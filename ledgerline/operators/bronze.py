@@ -16,15 +16,22 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import FORMAT_SNAPSHOT, ntz
 from ledgerline.functions.text import object_path
-from ledgerline.operators.joins import broadcast_if_small
 
 BAR_COLUMNS = ("Company", "Date", "Open", "High", "Low", "Close", "Volume")
 
 
 def daily_bars(ticks: DataFrame, company: str, ts: str, price: str, tie: str) -> DataFrame:
-    """OHLC + count per company and day from tick rows. ``tie`` breaks
-    equal timestamps for open/close."""
-    order = F.struct(F.col(ts), F.col(tie))
+    """OHLC + count per company and day from tick rows. ``tie`` (an integer)
+    breaks equal timestamps for open/close.
+
+    The order of ticks is one fixed-width number - microseconds of the day,
+    then the tie - so the whole aggregate runs by hash, without a sort.
+    """
+    number = lambda c: c.cast("decimal(20,0)")
+    micros = (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("bigint") * 1_000_000 \
+        + (F.date_part(F.lit("SECOND"), F.col(ts)) * 1_000_000).cast("bigint")
+    order = (number(micros).cast("decimal(38,0)") * F.lit(str(10 ** 19)).cast("decimal(20,0)")
+             + number(F.col(tie)) + F.lit(str(2 ** 63)).cast("decimal(20,0)")).cast("decimal(38,0)")
     return (ticks.groupBy(F.col(company).alias("Company"), F.to_date(ts).alias("Date"))
                  .agg(F.min_by(price, order).alias("Open"), F.max(price).alias("High"),
                       F.min(price).alias("Low"), F.max_by(price, order).alias("Close"),
@@ -49,10 +56,9 @@ def last_sessions(bars: DataFrame, n: int = 5) -> DataFrame:
 
 
 def for_tickers(bars: DataFrame, tickers: DataFrame) -> DataFrame:
-    """Bars of the requested tickers only (semi join; the ticker list is a
-    small configuration table, broadcast after the size check)."""
-    return bars.join(broadcast_if_small(tickers.select("Company").distinct()), "Company",
-                     "left_semi")
+    """Bars of the requested tickers only (semi join with the
+    ticker list)."""
+    return bars.join(tickers.select("Company").distinct(), "Company", "left_semi")
 
 
 def missing_tickers(bars: DataFrame, tickers: DataFrame,
@@ -73,9 +79,10 @@ def with_snapshot(bars: DataFrame, batch_ts: str) -> DataFrame:
 
 
 def write_bronze(bars: DataFrame, path: str, batch_ts: str) -> None:
-    """Append one snapshot: ``{path}/Company=../snapshot_ts=../part-*.parquet``.
-    Snapshots are never overwritten (append of a new partition)."""
-    (with_snapshot(bars, batch_ts).write.mode("append")
+    """Write one snapshot: ``{path}/Company=../snapshot_ts=../part-*.parquet``. Other
+    snapshots are never touched; the same batch written again replaces its own."""
+    (with_snapshot(bars, batch_ts).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("Company", "snapshot_ts").parquet(path))
 
 

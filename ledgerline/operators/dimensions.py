@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import date_parts, ntz
 from ledgerline.functions.money import to_money
 from ledgerline.operators.dedup import latest_per_key, staged_row_order
-from ledgerline.operators.joins import anti_new_keys, broadcast_if_small
+from ledgerline.operators.joins import anti_new_keys, calendar
 
 
 def dim_date_between(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
@@ -28,33 +28,17 @@ def dim_date_between(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> DataF
     return days.select(*[c.alias(n) for n, c in date_parts(F.col("__d")).items()])
 
 
-def calendar_bounds(*date_cols: tuple[DataFrame, str]) -> tuple[str | None, str | None]:
-    """First and last day found in the given columns (``yyyy-MM-dd``).
-
-    One aggregation job: only the min and max of each column travel
-    (partial aggregation); the driver receives two dates.
-    """
-    parts = [df.agg(F.min(F.to_date(c)).alias("lo"), F.max(F.to_date(c)).alias("hi"))
-             for df, c in date_cols]
-    b = parts[0]
-    for p in parts[1:]:
-        b = b.unionByName(p)
-    row = b.agg(F.date_format(F.min("lo"), "yyyy-MM-dd").alias("lo"),
-                F.date_format(F.max("hi"), "yyyy-MM-dd").alias("hi")).first()
-    return row["lo"], row["hi"]
-
-
-def dim_date_covering(spark, *date_cols: tuple[DataFrame, str]) -> DataFrame:
+def dim_date_covering(*date_cols: tuple[DataFrame, str]) -> DataFrame:
     """Date dimension spanning every date found in the given columns.
 
-    The bounds are read first (two dates), then the calendar is generated
-    from literals: the plan holds no scan, and its size is known from the
-    bounds (one row per day).
+    Lazy: the bounds are one row (a min and max per column, aggregated on the
+    map side) inside the plan, and the calendar is generated from it.
     """
-    lo, hi = calendar_bounds(*date_cols)
-    if lo is None:
-        return dim_date_range(spark, "1900-01-01", "1900-01-01").limit(0)
-    return dim_date_range(spark, lo, hi)
+    bounds = None
+    for df, c in date_cols:
+        part = df.agg(F.min(F.to_date(c)).alias("lo"), F.max(F.to_date(c)).alias("hi"))
+        bounds = part if bounds is None else bounds.unionByName(part)
+    return dim_date_between(bounds.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
 
 
 def dim_date_range(spark, start: str, end: str) -> DataFrame:
@@ -85,8 +69,8 @@ def customer_rows(customer: DataFrame, city: DataFrame, state: DataFrame) -> Dat
         F.col("city_id").alias("__city_id"), "city_name", F.col("state_id").alias("__state_id"))
     st = latest_staged(state, "state_id").select(
         F.col("state_id").alias("__sid"), "state_name")
-    ci = ci.join(broadcast_if_small(st), F.col("__state_id") == F.col("__sid"), "left")
-    j = customer.join(broadcast_if_small(ci), F.col("city_id") == F.col("__city_id"), "left")
+    ci = ci.join(st, F.col("__state_id") == F.col("__sid"), "left")
+    j = customer.join(ci, F.col("city_id") == F.col("__city_id"), "left")
     return j.select(
         F.col("customer_id").alias("CustomerID"),
         F.upper("customer_name").alias("CustomerName"),
@@ -148,9 +132,7 @@ def dim_branch(branch_raw: DataFrame, batch_ts: str,
 def account_rows(account: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Accounts with their opening-date key; accounts whose opening day is
     missing from the date dimension drop out (inner join)."""
-    d = broadcast_if_small(dim_date.select(F.col("FullDate").alias("__day"),
-                                           F.col("DateID").alias("DateOpenedID")))
-    j = account.join(d, F.to_date("date_opened") == F.col("__day"), "inner")
+    j = account.join(calendar(dim_date, "__day", "DateOpenedID"), F.to_date("date_opened") == F.col("__day"), "inner")
     return j.select(
         F.col("account_id").alias("AccountID"),
         F.col("customer_id").alias("CustomerID"),

@@ -5,10 +5,10 @@ account, branch and day exist in the core (inner joins drop orphans), and
 the version kept per transaction id is ranked *after* those joins, so an
 orphaned newest version falls back to the newest valid one.
 
-Plan shape: account and branch membership are semi joins (no fan-out);
-the date key comes from a join with the bounded date dimension; then one
-shuffle on the transaction id ranks versions, and the anti join against
-the existing fact reuses that partitioning.
+Plan shape: keys already loaded are removed first (keys are independent, so
+only new ones are joined, shuffled and ranked); account and branch membership
+are semi joins (no fan-out); the date key comes from a join with the bounded
+date dimension; then one shuffle on the transaction id ranks versions.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import ntz
 from ledgerline.functions.money import to_money
 from ledgerline.operators.dedup import latest_per_key, latest_transaction_order
-from ledgerline.operators.joins import anti_new_keys, broadcast_if_small, semi_keys
+from ledgerline.operators.joins import anti_new_keys, calendar, semi_keys
 
 
 def valid_transactions(txn: DataFrame, dim_account: DataFrame, dim_branch: DataFrame,
@@ -29,9 +29,8 @@ def valid_transactions(txn: DataFrame, dim_account: DataFrame, dim_branch: DataF
     t = txn.where(F.col("transaction_id").isNotNull())
     t = semi_keys(t, dim_account, "account_id", "AccountID")
     t = semi_keys(t, dim_branch, "branch_id", "BranchID")
-    d = broadcast_if_small(dim_date.select(F.col("FullDate").alias("__day"),
-                                           F.col("DateID").alias("TransactionDateID")))
-    return t.join(d, F.to_date("transaction_date") == F.col("__day"), "inner").drop("__day")
+    return t.join(calendar(dim_date, "__day", "TransactionDateID"),
+                   F.to_date("transaction_date") == F.col("__day"), "inner").drop("__day")
 
 
 def fact_rows(t: DataFrame) -> DataFrame:
@@ -49,10 +48,10 @@ def fact_transaction(txn_raw: DataFrame, dim_account: DataFrame, dim_branch: Dat
                      dim_date: DataFrame, batch_ts: str,
                      target: DataFrame | None = None) -> DataFrame:
     """New ``FactTransaction`` rows, one per transaction id."""
+    if target is not None:
+        txn_raw = anti_new_keys(txn_raw, target, "transaction_id", "TransactionID")
     t = valid_transactions(txn_raw, dim_account, dim_branch, dim_date)
     t = latest_per_key(t, "transaction_id", latest_transaction_order())
-    if target is not None:
-        t = anti_new_keys(t, target, "transaction_id", "TransactionID")
     return (fact_rows(t)
             .withColumn("dtmload", ntz(batch_ts))
             .withColumn("dtmupd", F.lit(None).cast("timestamp_ntz")))
@@ -64,19 +63,19 @@ def fact_rejects(txn_raw: DataFrame, dim_account: DataFrame, dim_branch: DataFra
     first of null key, missing account, missing branch, missing day.
 
     Lookups are key sets (one row per key), so the left joins never fan
-    out; account keys stay a shuffle join unless proven small.
+    out.
     """
     from ledgerline.operators.quality import tag_rejects
 
-    t = txn_raw.join(broadcast_if_small(dim_account.select(F.col("AccountID").alias("__a"))),
+    t = txn_raw.join(dim_account.select(F.col("AccountID").alias("__a")),
                      F.col("account_id") == F.col("__a"), "left")
-    t = t.join(broadcast_if_small(dim_branch.select(F.col("BranchID").alias("__b"))),
+    t = t.join(dim_branch.select(F.col("BranchID").alias("__b")),
                F.col("branch_id") == F.col("__b"), "left")
-    t = t.join(broadcast_if_small(dim_date.select(F.col("FullDate").alias("__d"))),
+    t = t.join(calendar(dim_date, "__d", "__date_id"),
                F.to_date("transaction_date") == F.col("__d"), "left")
     tagged = tag_rejects(t, [("null_key", F.col("transaction_id").isNull()),
                              ("no_account", F.col("__a").isNull()),
                              ("no_branch", F.col("__b").isNull()),
                              ("no_date", F.col("__d").isNull())])
     return (tagged.where(F.col("reject_reason").isNotNull())
-                  .drop("__a", "__b", "__d"))
+                  .drop("__a", "__b", "__d", "__date_id"))

@@ -3,9 +3,8 @@
 ``MC_{CUR}_Billion = round(MC_USD_Billion * rate[CUR], 2)`` with numpy's
 rounding (``rint`` of the value scaled by 100). The rate table is a small
 configuration table: one row per currency, the last row of a repeated
-currency wins, a missing currency is an error. It is bounded by the number
-of currencies, so it is read once to the driver and applied as literals
-(no join at all in the plan).
+currency wins, a missing currency is an error. The wanted rates are aggregated
+from it, one value each, and applied as literals (no join at all in the plan).
 """
 
 from __future__ import annotations
@@ -21,7 +20,6 @@ from ledgerline.functions.money import round2_half_even
 DEFAULT_RATES = (("EUR", 0.93), ("GBP", 0.8), ("INR", 82.95))
 TARGET_CURRENCIES = ("EUR", "GBP", "INR")
 RATE_SCHEMA = "Currency string, Rate double"
-MAX_RATE_ROWS = 10_000
 
 
 def rates_frame(spark: SparkSession, rates: Sequence[tuple[str, float]] = DEFAULT_RATES) -> DataFrame:
@@ -33,16 +31,13 @@ def read_rates(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RATE_SCHEMA).option("header", True).csv(path)
 
 
-def rate_lookup(rates: DataFrame) -> dict[str, float]:
-    """The rate table as a dict; later rows override earlier ones."""
+def rate_lookup(rates: DataFrame, currencies: Sequence[str] = TARGET_CURRENCIES) -> dict[str, float]:
+    """The rates of the wanted currencies; of repeated ones the last row counts. One aggregate
+    over the table: only the wanted currencies' rows reach the driver, one each."""
     rows = (rates.withColumn("__pos", F.monotonically_increasing_id())
-                 .orderBy("__pos").limit(MAX_RATE_ROWS + 1).collect())
-    if len(rows) > MAX_RATE_ROWS:
-        raise ValueError(f"rate table has more than {MAX_RATE_ROWS} rows")
-    out: dict[str, float] = {}
-    for r in rows:
-        out[r["Currency"]] = r["Rate"]
-    return out
+            .where(F.col("Currency").isin(list(currencies)))
+            .groupBy("Currency").agg(F.max_by("Rate", "__pos").alias("Rate")).collect())
+    return {r["Currency"]: r["Rate"] for r in rows}
 
 
 def fx_convert(banks: DataFrame, rates: DataFrame | dict,
@@ -50,10 +45,10 @@ def fx_convert(banks: DataFrame, rates: DataFrame | dict,
                usd_col: str = "MC_USD_Billion") -> DataFrame:
     """Add ``MC_{CUR}_Billion`` for each currency; raises ``KeyError`` when
     a currency has no rate."""
-    lookup = rates if isinstance(rates, dict) else rate_lookup(rates)
+    lookup = rates if isinstance(rates, dict) else rate_lookup(rates, currencies)
     out = banks
     for cur in currencies:
-        if cur not in lookup:
+        if lookup.get(cur) is None:
             raise KeyError(f"no exchange rate for {cur}")
         out = out.withColumn(f"MC_{cur}_Billion",
                              round2_half_even(F.col(usd_col) * F.lit(float(lookup[cur]))))

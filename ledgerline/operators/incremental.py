@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import DEFAULT_MARK, FORMAT_DAY_KEY, FORMAT_ISO_SECONDS, ntz
+from ledgerline.operators.quality import with_default
 from ledgerline.schemas import TableSpec
 
 
@@ -77,11 +78,12 @@ def changed_since_day(day: str, created: str = "dtmcrt", updated: str = "dtmupd"
 def incremental_extract(src: DataFrame, spec: TableSpec, mark: str, batch_ts: str,
                         predicate: Column | None = None) -> DataFrame:
     """Source rows changed after ``mark``, with the spec's columns and
-    ``dtmload = batch_ts``."""
+    ``dtmload = batch_ts``; a missing ``dtmcrt`` gets the batch time
+    where the column is declared NOT NULL."""
     cond = changed_since(mark) if predicate is None else predicate
-    return (src.where(cond)
-               .select(*spec.columns)
-               .withColumn("dtmload", ntz(batch_ts)))
+    rows = src.where(cond).select(*spec.columns).withColumn("dtmload", ntz(batch_ts))
+    # declared column default of the tables whose dtmcrt is NOT NULL
+    return with_default(rows, "dtmcrt", ntz(batch_ts)) if "dtmcrt" in spec.not_null else rows
 
 
 def staging_purge(staged: DataFrame, src: DataFrame, key: str) -> DataFrame:

@@ -1,44 +1,30 @@
-"""Join helpers: size-checked broadcast, NOT-IN style anti join, lookups.
+"""Join helpers: bounded broadcast sides, NOT-IN style anti join, semi join.
 
-Broadcasting is never unconditional. ``broadcast_if_small`` asks Catalyst
-for the optimized plan's size estimate and only hints a broadcast below the
-limit; above it the join stays a shuffle join and AQE decides at run time
-from real shuffle sizes. The estimate of a Parquet scan is its compressed
-file bytes (scaled to the selected columns), which can understate the
-decoded size, so it is multiplied by ``DECODE_FACTOR`` before the check.
-Without CBO, Catalyst assumes every scanned row survives filters and
-aggregates (sizes are only rescaled to the output row width) and multiplies
-the sides of a join, so the estimate does not undercount rows.
+A side is hinted for broadcast only when its size is bounded by construction
+(the calendar) or its rows were counted (``small``). Every other join is left
+to Catalyst and AQE, which decide from file sizes and run-time shuffle sizes;
+asking the optimizer for an estimate at every join would cost more than the
+small joins themselves.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.session import BROADCAST_LIMIT_BYTES
+# Rows up to which a counted, narrow side is broadcast.
+SMALL_ROWS = 100_000
 
 
-# Assumed worst-case ratio of decoded (in-memory) to compressed Parquet bytes.
-DECODE_FACTOR = 4
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, whose rows were counted, as a broadcast side up to ``SMALL_ROWS``."""
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` in bytes, or None if unknown."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:
-        return None
-    # py4j hands Scala's BigInt over as a Python int (or a JVM object)
-    return int(size) if isinstance(size, int) else int(size.toString())
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimated size is proven below ``limit``."""
-    size = estimated_bytes(df)
-    if size is not None and size * DECODE_FACTOR <= limit:
-        return F.broadcast(df)
-    return df
+def calendar(dim_date: DataFrame, day: str, key: str) -> DataFrame:
+    """``(day, key)`` of the date dimension as a broadcast side: one narrow row
+    per day, so at most the days of the calendar whatever the data's size."""
+    return F.broadcast(dim_date.select(F.col("FullDate").alias(day), F.col("DateID").alias(key)))
 
 
 def anti_new_keys(rows: DataFrame, target: DataFrame, key: str,
@@ -48,22 +34,15 @@ def anti_new_keys(rows: DataFrame, target: DataFrame, key: str,
     SQL ``NOT IN`` never returns a null key, so null keys are dropped here
     (they belong to the reject set). Target keys are primary keys and never
     null, so a plain ``left_anti`` equals ``NOT IN`` on the rest. Spark's
-    null-aware ``NOT IN`` plan would broadcast the target; this is a
-    shuffle (or size-checked broadcast) anti join instead.
+    null-aware ``NOT IN`` plan would broadcast the target; this is an
+    ordinary anti join instead.
     """
     tk = target_key or key
     keys = target.select(F.col(tk).alias("__k")).where(F.col("__k").isNotNull())
-    return (rows.where(F.col(key).isNotNull())
-                .join(broadcast_if_small(keys), F.col(key) == F.col("__k"), "left_anti"))
+    return rows.where(F.col(key).isNotNull()).join(keys, F.col(key) == F.col("__k"), "left_anti")
 
 
 def semi_keys(rows: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
-    """Rows whose ``key`` exists in ``parent`` (inner-join filter without
-    fan-out)."""
+    """Rows whose ``key`` exists in ``parent`` (inner-join filter without fan-out)."""
     keys = parent.select(F.col(parent_key).alias("__pk"))
-    return rows.join(broadcast_if_small(keys), F.col(key) == F.col("__pk"), "left_semi")
-
-
-def lookup(rows: DataFrame, table: DataFrame, on: Column | str, how: str = "left") -> DataFrame:
-    """Join a lookup table, broadcasting it only under the size limit."""
-    return rows.join(broadcast_if_small(table), on, how)
+    return rows.join(keys, F.col(key) == F.col("__pk"), "left_semi")

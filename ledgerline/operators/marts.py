@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import signed_amount, to_money
-from ledgerline.operators.joins import broadcast_if_small
+from ledgerline.operators.joins import calendar
 from ledgerline.schemas import MONEY
 
 
@@ -36,7 +36,7 @@ def customer_mart(dim_customer: DataFrame, dim_account: DataFrame,
     a = dim_account.select("AccountID", "CustomerID", "AccountType", "Balance")
     a = a.join(net, "AccountID", "left")
     c = dim_customer.select("CustomerID", "CustomerName")
-    j = a.join(broadcast_if_small(c), "CustomerID", "inner")
+    j = a.join(c, "CustomerID", "inner")
     return j.select(
         "CustomerID", "CustomerName", "AccountID", "AccountType",
         F.col("Balance").cast(MONEY).alias("BaseBalance"),
@@ -51,8 +51,7 @@ def daily_summary(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     per_day = fact.groupBy("TransactionDateID").agg(
         F.count("TransactionID").alias("TotalTransactions"),
         F.sum("Amount").alias("__amt"))
-    d = broadcast_if_small(dim_date.select(F.col("DateID").alias("__id"), "FullDate"))
-    j = per_day.join(d, F.col("TransactionDateID") == F.col("__id"), "inner")
+    j = per_day.join(calendar(dim_date, "FullDate", "__id"), F.col("TransactionDateID") == F.col("__id"), "inner")
     return j.select(
         F.col("FullDate").alias("TransactionDate"),
         F.col("TotalTransactions"),

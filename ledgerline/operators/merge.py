@@ -47,8 +47,11 @@ def changes_after(raw: DataFrame, key: str, mark: str) -> DataFrame:
 
 def update_dim_customer(target: DataFrame, customer_raw: DataFrame, city_raw: DataFrame,
                         state_raw: DataFrame, batch_ts: str, mark: str | None = None) -> DataFrame:
+    """All columns follow the source. A changed customer whose city or state is
+    missing keeps its row (the names are NOT NULL); ``customer_rejects`` reports it."""
     mark = mark or read_mark(target)
     ch = customer_rows(changes_after(customer_raw, "customer_id", mark), city_raw, state_raw)
+    ch = ch.where(F.col("CityName").isNotNull() & F.col("StateName").isNotNull())
     cols = ("CustomerName", "Address", "CityName", "StateName", "Age", "Gender", "Email")
     return merge_type1(target, "CustomerID", ch, "CustomerID",
                        {c: F.col(c) for c in cols}, batch_ts)

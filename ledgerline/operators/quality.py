@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import broadcast_if_small
-
 
 def pk_violations(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their count ``n_rows``.
@@ -33,7 +31,7 @@ def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str,
     n_rows)``. Null foreign keys are allowed (SQL semantics)."""
     parents = parent.select(F.col(pk).alias("__pk")).where(F.col("__pk").isNotNull())
     orphans = child.where(F.col(fk).isNotNull()).join(
-        broadcast_if_small(parents), F.col(fk) == F.col("__pk"), "left_anti")
+        parents, F.col(fk) == F.col("__pk"), "left_anti")
     return (orphans.groupBy(F.col(fk).cast("bigint").alias("key_value"))
                    .agg(F.count(F.lit(1)).alias("n_rows"))
                    .select(F.lit(name).alias("constraint_name"), "key_value", "n_rows"))
@@ -67,6 +65,24 @@ def length_violations(df: DataFrame, limits: dict[str, int], table: str) -> Data
              .select(F.lit(table).alias("table_name"), "r.*"))
 
 
+def key_summary(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row ``(table_name, n_duplicate_keys, n_null_keys)`` for a declared primary key."""
+    v = pk_violations(df, keys)
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    return v.agg(F.count(F.when(~null_key, 1)).alias("n_duplicate_keys"),
+                 F.coalesce(F.sum(F.when(null_key, F.col("n_rows"))), F.lit(0)).cast("bigint")
+                 .alias("n_null_keys")).select(F.lit(table).alias("table_name"), "*")
+
+
+def reference_summary(name: str, child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """One row ``(constraint_name, n_keys, n_rows)`` for a declared foreign key."""
+    v = fk_violations(child, fk, parent, pk, name)
+    return v.agg(F.count(F.lit(1)).alias("n_keys"), F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint")
+                 .alias("n_rows")).select(F.lit(name).alias("constraint_name"), "*")
+
+
 def tag_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
     """Add ``reject_reason``: the first rule (name, bad-row condition) that
     a row breaks, null for good rows. One pass; split with ``where``."""
@@ -76,13 +92,6 @@ def tag_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame
     return df.withColumn("reject_reason", reason)
 
 
-def split_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:
-    tagged = tag_rejects(df, rules)
-    good = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    bad = tagged.where(F.col("reject_reason").isNotNull())
-    return good, bad
-
-
 def reject_counts(rejected: DataFrame) -> DataFrame:
     return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -42,6 +42,10 @@ UPDATE_EVERY = 5                         # key % 5 = 0 -> row was updated
 EXISTING_EVERY = 3                       # key % 3 = 0 -> already in core
 ORPHAN_BRANCH = (10, 3)                  # suppkey % 10 = 3 -> branch missing
 ORPHAN_CITY = (5, 3)                     # nationkey % 5 = 3 -> city missing
+FILE_ID_OFFSET = 1_000_000_000_000       # added to the ids of transactions in files
+MOVED_MONTH = (1995, 3)                  # created then -> re-dated by the second run
+MOVED_BY_MONTHS = 2
+MOVED_AT = "2001-06-01 00:00:00"
 TYPE_BY_FLAG = (("A", "Deposit"), ("N", "Withdrawal"), ("R", "Payment"))
 
 
@@ -174,3 +178,20 @@ def cities_with_orphans(raw_city: DataFrame) -> DataFrame:
 
 def is_existing(key: Column) -> Column:
     return key % EXISTING_EVERY == 0
+
+
+def two_runs(spark: SparkSession, sf_dir: str) -> tuple[dict, dict]:
+    """Source tables of two successive runs. The first sees the rows created before
+    ``PREV_RUN_END``, none updated. The second sees all rows with their updates, and the
+    transactions created in ``MOVED_MONTH`` re-dated by some months at ``MOVED_AT``."""
+    second = source_tables(spark, sf_dir)
+    first = {n: df.where(F.col("dtmcrt") < ntz(PREV_RUN_END))
+             .withColumn("dtmupd", F.lit(None).cast("timestamp_ntz")) for n, df in second.items()}
+    year, month = MOVED_MONTH
+    moved = (F.year("dtmcrt") == year) & (F.month("dtmcrt") == month)
+    t = second["transaction"].withColumn("__moved", moved)
+    second["transaction"] = (
+        t.withColumn("dtmupd", F.when(F.col("__moved"), ntz(MOVED_AT)).otherwise(F.col("dtmupd")))
+         .withColumn("dtmcrt", F.when(F.col("__moved"), F.timestamp_add("MONTH", F.lit(MOVED_BY_MONTHS), "dtmcrt")
+                                      .cast("timestamp_ntz")).otherwise(F.col("dtmcrt"))).drop("__moved"))
+    return first, second

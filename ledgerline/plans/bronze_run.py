@@ -39,7 +39,8 @@ def run_bronze(spark: SparkSession, bars: DataFrame, tickers: DataFrame, out_dir
     bronze.write_bronze(landed, f"{out_dir}/bronze", batch_ts)
     missing = bronze.missing_tickers(bars, tickers).withColumn(
         "snapshot_ts", bronze.snapshot_stamp(batch_ts))
-    missing.write.mode("append").parquet(f"{out_dir}/rejects")
+    (missing.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("snapshot_ts").parquet(f"{out_dir}/rejects"))
     snap = bronze.read_bronze(spark, f"{out_dir}/bronze").where(
         F.col("snapshot_ts") == bronze.snapshot_stamp(batch_ts))
     step(3, "ingestion_end", snap.agg(F.count(F.lit(1)).alias("rows")))

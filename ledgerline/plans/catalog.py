@@ -21,10 +21,11 @@ from ledgerline.operators import incremental as inc
 from ledgerline.operators.dedup import latest_per_key, latest_transaction_order
 from ledgerline.operators.facts import fact_transaction
 from ledgerline.plans import adapter, banks_run, bronze_run, scenario, warehouse_run
-from ledgerline.schemas import CORE_NOT_NULL, SPEC_BY_NAME, STAGING_TABLES
+from ledgerline.schemas import (CORE_NOT_NULL, FOREIGN_KEYS, PRIMARY_KEYS, SPEC_BY_NAME,
+                                STAGING_TABLES, VARCHAR_LIMITS)
 from ledgerline.session import work_path
 from ledgerline.sinks import writers
-from ledgerline.sources import files, html
+from ledgerline.sources import files, html, xlsx
 from ledgerline.streaming import file_ingest as stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -120,28 +121,39 @@ def q_new_keys_fact(spark, sf_dir):
 def q_merge_customer(spark, sf_dir):
     r = scenario.raw(spark, sf_dir)
     ex = scenario.existing_core(spark, sf_dir, r)
-    return merge.update_dim_customer(ex["DimCustomer"], r["customer"], r["city"], r["state"], B)
+    return merge.update_dim_customer(ex["DimCustomer"], r["customer"], r["city"], r["state"], B,
+                                     scenario.EXISTING_MARK)
 
 
 @query("merge_type1_branch")
 def q_merge_branch(spark, sf_dir):
     r = scenario.raw(spark, sf_dir)
     ex = scenario.existing_core(spark, sf_dir, r)
-    return merge.update_dim_branch(ex["DimBranch"], r["branch"], B)
+    return merge.update_dim_branch(ex["DimBranch"], r["branch"], B, scenario.EXISTING_MARK)
 
 
 @query("merge_type1_account")
 def q_merge_account(spark, sf_dir):
     r = scenario.raw(spark, sf_dir)
     ex = scenario.existing_core(spark, sf_dir, r)
-    return merge.update_dim_account(ex["DimAccount"], r["account"], B)
+    return merge.update_dim_account(ex["DimAccount"], r["account"], B, scenario.EXISTING_MARK)
 
 
 @query("merge_type1_fact")
 def q_merge_fact(spark, sf_dir):
     r = scenario.raw(spark, sf_dir)
     ex = scenario.existing_core(spark, sf_dir, r)
-    return merge.update_fact_transaction(ex["FactTransaction"], r["transaction"], B)
+    return merge.update_fact_transaction(ex["FactTransaction"], r["transaction"], B,
+                                         scenario.EXISTING_MARK)
+
+
+@query("merge_type1_customer_orphans")
+def q_merge_customer_orphans(spark, sf_dir):
+    """Changed customers whose city is missing keep their row."""
+    r = scenario.raw(spark, sf_dir)
+    ex = scenario.existing_core(spark, sf_dir, r)
+    return merge.update_dim_customer(ex["DimCustomer"], r["customer"], adapter.cities_with_orphans(r["city"]),
+                                     r["state"], B, scenario.EXISTING_MARK)
 
 
 @query("latest_per_key")
@@ -338,6 +350,44 @@ def q_length_violations(spark, sf_dir):
                                      "account_raw")
 
 
+def _union(parts):
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("declared_primary_keys")
+def q_declared_primary_keys(spark, sf_dir):
+    tables = scenario.declared_tables(spark, sf_dir)
+    staged = scenario.raw(spark, sf_dir)
+    return _union([quality.key_summary(n, tables[n], keys) for n, keys in PRIMARY_KEYS.items()]
+                  + [quality.key_summary(s.raw_name, staged[s.name], [s.key]) for s in STAGING_TABLES])
+
+
+@query("declared_foreign_keys")
+def q_declared_foreign_keys(spark, sf_dir):
+    tables = scenario.declared_tables(spark, sf_dir)
+    return _union(quality.reference_summary(f"{child}_{fk}", tables[child], fk, tables[parent], pk)
+                  for child, fk, parent, pk in FOREIGN_KEYS)
+
+
+@query("declared_not_null")
+def q_declared_not_null(spark, sf_dir):
+    tables = scenario.declared_tables(spark, sf_dir)
+    staged = scenario.raw(spark, sf_dir)
+    return _union([quality.not_null_violations(tables[n], cols, n) for n, cols in CORE_NOT_NULL.items()]
+                  + [quality.not_null_violations(staged[s.name], s.not_null, s.raw_name) for s in STAGING_TABLES])
+
+
+@query("declared_lengths")
+def q_declared_lengths(spark, sf_dir):
+    tables = scenario.declared_tables(spark, sf_dir)
+    staged = scenario.raw(spark, sf_dir)
+    return _union([quality.length_violations(tables[n], limits, n) for n, limits in VARCHAR_LIMITS.items()]
+                  + [quality.length_violations(staged[s.name], s.varchar, s.raw_name) for s in STAGING_TABLES])
+
+
 @query("rejects")
 def q_rejects(spark, sf_dir):
     return scenario.fact_rejects(spark, sf_dir)
@@ -349,7 +399,7 @@ def q_rejects(spark, sf_dir):
 
 def _banks(spark, sf_dir):
     sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-    return fx.fx_convert(fx.banks_from_suppliers(sup), fx.rates_frame(spark))
+    return fx.fx_convert(fx.banks_from_suppliers(sup), scenario.rates_csv(spark))
 
 
 @query("fx_convert")
@@ -479,6 +529,15 @@ def q_bronze_run(spark, sf_dir):
     return bronze.read_bronze(spark, paths["bronze"])
 
 
+@query("bronze_rerun")
+def q_bronze_rerun(spark, sf_dir):
+    """The same batch landed twice gives one snapshot."""
+    out = work_path(spark, "bronze_rerun")
+    for _ in range(2):
+        paths = bronze_run.run_bronze(spark, _bars(spark, sf_dir), bronze.tickers_frame(spark, TICKERS), out, B)
+    return bronze.read_bronze(spark, paths["bronze"])
+
+
 @query("bronze_path")
 def q_bronze_path(spark, sf_dir):
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -513,6 +572,26 @@ def q_file_isolation(spark, sf_dir):
         F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").cast("bigint").alias("n_rows"))
 
 
+def _workbook_ingest(spark, sf_dir):
+    base = scenario.write_transaction_workbooks(spark, sf_dir, work_path(spark, "workbooks"))
+    return xlsx.ingest_xlsx(spark, [base], B)
+
+
+@query("file_ingest_xlsx")
+def q_file_ingest_xlsx(spark, sf_dir):
+    good, _, _ = _workbook_ingest(spark, sf_dir)
+    return good.drop("file_path")
+
+
+@query("xlsx_rejected_files")
+def q_xlsx_rejected_files(spark, sf_dir):
+    _, bad_rows, bad_files = _workbook_ingest(spark, sf_dir)
+    per_file = bad_files.select("reject_reason", F.lit(1).alias("n_files"), F.lit(0).alias("n_bad_rows"))
+    per_row = bad_rows.select("reject_reason", F.lit(0).alias("n_files"), F.lit(1).alias("n_bad_rows"))
+    return per_file.unionByName(per_row).groupBy("reject_reason").agg(
+        F.sum("n_files").cast("bigint").alias("n_files"), F.sum("n_bad_rows").cast("bigint").alias("n_bad_rows"))
+
+
 @query("union_sources")
 def q_union_sources(spark, sf_dir):
     good, _, _ = _file_ingest(spark, sf_dir)
@@ -537,6 +616,19 @@ def q_html_rows(spark, sf_dir):
     return html.link_rows(rows)
 
 
+@query("html_table")
+def q_html_table(spark, sf_dir):
+    return html.bank_rows(html.extract_rows(scenario.bank_pages(spark, sf_dir)))
+
+
+@query("banks_pipeline")
+def q_banks_pipeline(spark, sf_dir):
+    """Pages -> table rows -> conversion with rates from a CSV -> CSV and table."""
+    res = banks_run.run_banks(spark, html.banks(scenario.bank_pages(spark, sf_dir)), scenario.rates_csv(spark),
+                              work_path(spark, "banks_pipeline"), "banks-run", B)
+    return res["table"]
+
+
 # --- streaming, run log, whole run ----------------------------------------------
 
 
@@ -555,6 +647,13 @@ def q_stream_file_ingest(spark, sf_dir):
     return stream.read_staged(spark, out).drop("txn_month", "batch_id")
 
 
+@query("stream_rejected_files")
+def q_stream_rejected_files(spark, sf_dir):
+    rejected = stream.read_rejected_files(spark, _stream_run(spark, sf_dir))
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_files"),
+                                                 F.sum("n_rows").cast("bigint").alias("n_rows"))
+
+
 @query("stream_daily_summary")
 def q_stream_daily_summary(spark, sf_dir):
     return stream.read_summary(spark, _stream_run(spark, sf_dir))
@@ -563,7 +662,7 @@ def q_stream_daily_summary(spark, sf_dir):
 @query("run_log")
 def q_run_log(spark, sf_dir):
     sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-    res = banks_run.run_banks(spark, fx.banks_from_suppliers(sup), fx.rates_frame(spark),
+    res = banks_run.run_banks(spark, fx.banks_from_suppliers(sup), scenario.rates_csv(spark),
                               work_path(spark, "banks_run"), "banks-run", B)
     return res["run_log"]
 
@@ -588,3 +687,44 @@ def q_warehouse_run_log(spark, sf_dir):
     base = work_path(spark, "warehouse")
     warehouse_run.run_all(spark, adapter.source_tables(spark, sf_dir), base, B)
     return warehouse_run.read_run_log(spark, base)
+
+
+@query("warehouse_run_files")
+def q_warehouse_run_files(spark, sf_dir):
+    """The customer mart of a run that also takes transaction files (ids of their own)."""
+    folder = scenario.write_transaction_files(spark, sf_dir, work_path(spark, "daily_files"),
+                                              adapter.FILE_ID_OFFSET)
+    paths = warehouse_run.run_all(spark, adapter.source_tables(spark, sf_dir), work_path(spark, "warehouse"), B,
+                                  files_dir=folder)
+    return spark.read.parquet(paths["CustomerMart"])
+
+
+@query("warehouse_second_run")
+def q_warehouse_second_run(spark, sf_dir):
+    """Staged transactions after a second run: late updates purge and re-extract rows, and the
+    rows of one month all move to other months, so that month is empty."""
+    base = work_path(spark, "warehouse")
+    first, second = adapter.two_runs(spark, sf_dir)
+    warehouse_run.run_all(spark, first, base, adapter.PREV_RUN_END)
+    warehouse_run.run_all(spark, second, base, B)
+    return warehouse_run.read_staged_transactions(spark, base)
+
+
+@query("namespaces")
+def q_namespaces(spark, sf_dir):
+    """One table of each layer registered in its namespace, counted through the catalog."""
+    from ledgerline.sinks.writers import ensure_namespaces, register_table
+
+    layers = ensure_namespaces(spark)
+    core = scenario.first_load(spark, sf_dir)
+    tables = {"staging.branch_raw": scenario.raw(spark, sf_dir)["branch"], "core.dimbranch": core.dim_branch,
+              "mart.dailysummarymart": marts.daily_summary(core.fact, core.dim_date)}
+    out = None
+    for name, df in tables.items():
+        t = register_table(df, name, work_path(spark, "namespaces"))
+        namespace, table = name.split(".")
+        c = t.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(namespace).alias("namespace"), F.lit(table).alias("table_name"),
+            F.lit(namespace in layers).alias("listed"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out

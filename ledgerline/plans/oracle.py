@@ -309,16 +309,16 @@ UNION ALL SELECT 'DimAccount', 'inserted', count(*)
   FROM dim_account WHERE AccountID NOT IN (SELECT AccountID FROM ex_account)
 UNION ALL SELECT 'FactTransaction', 'inserted', count(*)
   FROM fact WHERE TransactionID NOT IN (SELECT TransactionID FROM ex_fact)
-UNION ALL SELECT 'DimCustomer', 'updated', count(*) FROM ex_customer t WHERE EXISTS (
+UNION ALL SELECT 'DimCustomer', 'updated', count(*) FROM dim_customer t WHERE EXISTS (
   SELECT 1 FROM customer_raw c WHERE c.customer_id = t.CustomerID
     AND c.dtmload > """ + _mark_of("ex_customer") + """)
-UNION ALL SELECT 'DimBranch', 'updated', count(*) FROM ex_branch t WHERE EXISTS (
+UNION ALL SELECT 'DimBranch', 'updated', count(*) FROM dim_branch t WHERE EXISTS (
   SELECT 1 FROM branch_raw c WHERE c.branch_id = t.BranchID
     AND c.dtmload > """ + _mark_of("ex_branch") + """)
-UNION ALL SELECT 'DimAccount', 'updated', count(*) FROM ex_account t WHERE EXISTS (
+UNION ALL SELECT 'DimAccount', 'updated', count(*) FROM dim_account t WHERE EXISTS (
   SELECT 1 FROM account_raw c WHERE c.account_id = t.AccountID
     AND c.dtmload > """ + _mark_of("ex_account") + """)
-UNION ALL SELECT 'FactTransaction', 'updated', count(*) FROM ex_fact t WHERE EXISTS (
+UNION ALL SELECT 'FactTransaction', 'updated', count(*) FROM fact t WHERE EXISTS (
   SELECT 1 FROM transaction_raw c WHERE c.transaction_id = t.TransactionID
     AND c.dtmload > """ + _mark_of("ex_fact") + ")", existing=True)
 
@@ -574,15 +574,14 @@ SELECT CAST(transaction_date AS DATE) AS TransactionDate, count(*) AS TotalTrans
        CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS TotalTransactionAmount
 FROM ({_FILE_GOOD}) g GROUP BY CAST(transaction_date AS DATE)""")
 
+# The stages of the banks run log and their messages.
 _STAGES = (
     ("start", "Preliminaries complete. Initiating ETL process", False),
     ("extract", "Data extraction complete. Initiating Transformation process", True),
     ("transform", "Data transformation complete. Initiating Loading process", True),
     ("load_csv", "Data saved to CSV file", True),
-    ("db_connect", "SQL Connection initiated", False),
     ("load_db", "Data loaded to Database as a table, Executing queries", True),
     ("done", "Process Complete", False),
-    ("close", "Server Connection closed", False),
 )
 SQL["run_log"] = "\nUNION ALL ".join(
     f"SELECT 'banks-run' AS run_id, {i} AS seq, '{s}' AS stage, {BATCH_TS} AS ts, "
@@ -640,3 +639,142 @@ UNION ALL SELECT '20020101_000000' AS run_id, 14 AS seq, 'rejects_customer' AS s
 UNION ALL SELECT '20020101_000000' AS run_id, 15 AS seq, 'rejects_transaction' AS stage, {BATCH_TS} AS ts, 'rejects_transaction written' AS message, CAST((SELECT count(*) FROM transaction_raw t LEFT JOIN dim_account a ON t.account_id = a.AccountID LEFT JOIN dim_branch b ON t.branch_id = b.BranchID LEFT JOIN dim_date d ON CAST(t.transaction_date AS DATE) = d.FullDate WHERE t.transaction_id IS NULL OR a.AccountID IS NULL OR b.BranchID IS NULL OR d.FullDate IS NULL) AS BIGINT) AS rows""")
 
 SQL["bronze_run"] = SQL["bronze_partitions"]
+
+# --- merges and checks over every declared table --------------------------------------
+
+SQL["merge_type1_customer_orphans"] = with_core(",\n" + _changes(
+    "cust_ch0", "customer_raw", "customer", "ex_customer") + """,
+cust_ch AS (
+  SELECT c.customer_id, upper(c.customer_name) AS CustomerName, upper(c.address) AS Address,
+         upper(ci.city_name) AS CityName, upper(st.state_name) AS StateName, c.age AS Age,
+         upper(c.gender) AS Gender, c.email AS Email
+  FROM cust_ch0 c JOIN (SELECT * FROM city_l WHERE city_id % 5 <> 3) ci ON c.city_id = ci.city_id
+       JOIN state_l st ON ci.state_id = st.state_id
+  WHERE ci.city_name IS NOT NULL AND st.state_name IS NOT NULL)
+""" + _merge_select("ex_customer", "CustomerID", "cust_ch", "customer_id",
+                    {c: f"ch.{c}" for c in _CUST_COLS[1:8]}, _CUST_COLS),
+    existing=True)
+
+_MARTS = f"""
+, branch_less AS (SELECT * FROM dim_branch WHERE BranchID % 10 <> 3),
+customer_mart AS (SELECT * FROM ({SQL["customer_mart"][SQL["customer_mart"].rindex("SELECT c.CustomerID, c.CustomerName, a.AccountID"):]})),
+daily AS (SELECT * FROM ({SQL["daily_summary"][SQL["daily_summary"].rindex("SELECT d.FullDate AS TransactionDate"):]}))
+"""
+_DECLARED = {"DimDate": "dim_date", "DimCustomer": "dim_customer", "DimAccount": "dim_account",
+             "DimBranch": "branch_less", "FactTransaction": "fact", "DailySummaryMart": "daily",
+             "CustomerMart": "customer_mart"}
+
+
+def _keys(name: str, table: str, keys: str) -> str:
+    null = " OR ".join(f"{k.strip()} IS NULL" for k in keys.split(","))
+    return (f"SELECT '{name}' AS table_name, "
+            f"CAST((SELECT count(*) FROM (SELECT {keys} FROM {table} WHERE NOT ({null}) GROUP BY {keys} "
+            f"HAVING count(*) > 1)) AS BIGINT) AS n_duplicate_keys, "
+            f"CAST((SELECT count(*) FROM {table} WHERE {null}) AS BIGINT) AS n_null_keys")
+
+
+SQL["declared_primary_keys"] = with_core(_MARTS + "\nUNION ALL ".join(
+    [_keys(n, _DECLARED[n], k) for n, k in (
+        ("DimDate", "DateID"), ("DimCustomer", "CustomerID"), ("DimAccount", "AccountID"),
+        ("DimBranch", "BranchID"), ("FactTransaction", "TransactionID"),
+        ("DailySummaryMart", "TransactionDate"), ("CustomerMart", "CustomerID, AccountID"))]
+    + [_keys(f"{t}_raw", f"{t}_raw", f"{t}_id") for t in TABLES]))
+
+
+def _reference(child: str, fk: str, parent: str, pk: str) -> str:
+    orphans = (f"FROM {_DECLARED[child]} c WHERE c.{fk} IS NOT NULL AND NOT EXISTS "
+               f"(SELECT 1 FROM {_DECLARED[parent]} p WHERE p.{pk} = c.{fk})")
+    return (f"SELECT '{child}_{fk}' AS constraint_name, CAST((SELECT count(DISTINCT c.{fk}) {orphans}) AS BIGINT) AS n_keys, "
+            f"CAST((SELECT count(*) {orphans}) AS BIGINT) AS n_rows")
+
+
+SQL["declared_foreign_keys"] = with_core(_MARTS + "\nUNION ALL ".join(
+    _reference(*x) for x in (("DimAccount", "CustomerID", "DimCustomer", "CustomerID"),
+                             ("DimAccount", "DateOpenedID", "DimDate", "DateID"),
+                             ("FactTransaction", "AccountID", "DimAccount", "AccountID"),
+                             ("FactTransaction", "BranchID", "DimBranch", "BranchID"))))
+
+_NOT_NULL = {
+    "DimDate": "DateID FullDate",
+    "DimCustomer": "CustomerID CustomerName Address CityName StateName Age Gender Email",
+    "DimAccount": "AccountID CustomerID AccountType Balance DateOpenedID Status",
+    "DimBranch": "BranchID BranchName BranchLocation",
+    "FactTransaction": "TransactionID AccountID TransactionDateID Amount TransactionType BranchID",
+}
+_RAW_NOT_NULL = {"customer": "dtmload", "city": "dtmload", "account": "dtmcrt dtmload", "branch": "dtmcrt dtmload",
+                 "state": "dtmcrt dtmload", "transaction": "dtmcrt dtmload"}
+
+
+def _nulls(name: str, table: str, cols: str) -> list[str]:
+    return [f"SELECT '{name}' AS table_name, '{c}' AS column_name, "
+            f"CAST((SELECT count(*) FROM {table} WHERE {c} IS NULL) AS BIGINT) AS n_null" for c in cols.split()]
+
+
+SQL["declared_not_null"] = with_core(_MARTS + "\nUNION ALL ".join(
+    [q for n, cols in _NOT_NULL.items() for q in _nulls(n, _DECLARED[n], cols)]
+    + [q for t, cols in _RAW_NOT_NULL.items() for q in _nulls(f"{t}_raw", f"{t}_raw", cols)]))
+
+# Declared VARCHAR limits.
+_LENGTHS = (
+    ("DimCustomer", "CustomerName", 200), ("DimCustomer", "Address", 300), ("DimCustomer", "CityName", 200),
+    ("DimCustomer", "StateName", 200), ("DimCustomer", "Gender", 20), ("DimCustomer", "Email", 200),
+    ("DimAccount", "AccountType", 50), ("DimAccount", "Status", 50),
+    ("DimBranch", "BranchName", 200), ("DimBranch", "BranchLocation", 300),
+    ("FactTransaction", "TransactionType", 50),
+    ("CustomerMart", "CustomerName", 200), ("CustomerMart", "AccountType", 50),
+    ("customer_raw", "customer_name", 100), ("customer_raw", "address", 200), ("customer_raw", "gender", 10),
+    ("customer_raw", "email", 100), ("city_raw", "city_name", 50),
+    ("account_raw", "account_type", 10), ("account_raw", "status", 10),
+    ("branch_raw", "branch_name", 50), ("branch_raw", "branch_location", 50),
+    ("state_raw", "state_name", 50), ("transaction_raw", "transaction_type", 50),
+)
+SQL["declared_lengths"] = with_core(_MARTS + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_allowed, "
+    f"CAST(COALESCE(sum(CASE WHEN length({c}) > {n} THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_too_long, "
+    f"CAST(max(length({c})) AS INTEGER) AS max_length FROM {_DECLARED.get(t, t)}" for t, c, n in _LENGTHS))
+
+# --- workbooks, banks from pages, snapshots, further runs -------------------------------
+
+SQL["file_ingest_xlsx"] = SQL["file_ingest_csv"]
+SQL["xlsx_rejected_files"] = with_src("""
+SELECT 'invalid_date' AS reject_reason, CAST(0 AS BIGINT) AS n_files, count(*) AS n_bad_rows
+FROM parsed WHERE parsed IS NULL
+UNION ALL SELECT 'unreadable workbook: BadZipFile', CAST(1 AS BIGINT), CAST(0 AS BIGINT)""", TEXTS_CTE)
+SQL["stream_rejected_files"] = SQL["file_isolation"]
+
+SQL["html_table"] = """
+SELECT CAST(floor((s_suppkey - 1) / 25) AS BIGINT) AS page_id,
+       CAST(1 + row_number() OVER (PARTITION BY floor((s_suppkey - 1) / 25) ORDER BY s_suppkey) AS INTEGER) AS row_no,
+       s_suppkey AS Rank, s_name AS Country, CAST(printf('%.2f', s_acctbal) AS DOUBLE) AS MC_USD_Billion
+FROM supplier"""
+SQL["banks_pipeline"] = SQL["fx_convert"]
+SQL["bronze_rerun"] = SQL["bronze_partitions"]
+
+SQL["warehouse_run_files"] = (SQL["customer_mart"].replace("transaction_raw AS (\n", "transaction_raw0 AS (\n").replace(
+    "bounds AS (", f"""transaction_raw AS (
+  SELECT * FROM transaction_raw0
+  UNION ALL BY NAME
+  SELECT transaction_id + 1000000000000 AS transaction_id, account_id, transaction_date, amount, transaction_type,
+         branch_id, transaction_date AS dtmcrt, {BATCH_TS} AS dtmload
+  FROM transaction_src WHERE transaction_id % 10 <> 7),
+bounds AS (""", 1))
+
+SQL["warehouse_second_run"] = with_src(f"""
+SELECT {_SPEC_COLS['transaction']}, dtmload FROM first_run s WHERE NOT EXISTS (
+  SELECT 1 FROM second_src src WHERE src.transaction_id = s.transaction_id AND src.dtmupd > s.dtmload)
+UNION ALL
+SELECT {_SPEC_COLS['transaction']}, {BATCH_TS} AS dtmload FROM second_src
+WHERE dtmcrt > {PREV_RUN_END} OR COALESCE(dtmupd, TIMESTAMP '1900-01-01') > {PREV_RUN_END}""", f"""
+first_run AS (
+  SELECT * EXCLUDE (dtmupd), {PREV_RUN_END} AS dtmload FROM transaction_src WHERE dtmcrt < {PREV_RUN_END}),
+second_src AS (
+  SELECT * REPLACE (
+    CASE WHEN year(dtmcrt) = 1995 AND month(dtmcrt) = 3 THEN dtmcrt + INTERVAL 2 MONTH ELSE dtmcrt END AS dtmcrt,
+    CASE WHEN year(dtmcrt) = 1995 AND month(dtmcrt) = 3 THEN TIMESTAMP '2001-06-01' ELSE dtmupd END AS dtmupd)
+  FROM transaction_src)""")
+
+SQL["namespaces"] = with_core("""
+SELECT 'staging' AS namespace, 'branch_raw' AS table_name, true AS listed, count(*) AS n_rows FROM branch_raw
+UNION ALL SELECT 'core', 'dimbranch', true, count(*) FROM dim_branch
+UNION ALL SELECT 'mart', 'dailysummarymart', true, count(DISTINCT f.TransactionDateID)
+  FROM fact f JOIN dim_date d ON f.TransactionDateID = d.DateID""")

@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import ntz
 from ledgerline.operators import dimensions as dims
+from ledgerline.operators import fx, marts, merge
 from ledgerline.operators.facts import fact_transaction
 from ledgerline.plans import adapter
 from ledgerline.schemas import MONEY
+from ledgerline.session import work_path
+from ledgerline.sinks import xlsx as xlsx_sink
 
 
 @dataclass
@@ -36,8 +39,7 @@ def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def dim_date_for(raw_tables: dict[str, DataFrame]) -> DataFrame:
     """Calendar covering every opening day and transaction day."""
     acct = raw_tables["account"]
-    return dims.dim_date_covering(acct.sparkSession, (acct, "date_opened"),
-                                  (raw_tables["transaction"], "transaction_date"))
+    return dims.dim_date_covering((acct, "date_opened"), (raw_tables["transaction"], "transaction_date"))
 
 
 def first_load(spark: SparkSession, sf_dir: str, batch_ts: str = adapter.BATCH_TS,
@@ -83,41 +85,56 @@ def existing_core(spark: SparkSession, sf_dir: str, raw_tables: dict | None = No
     return out
 
 
-def core_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of a core run over the existing core: rows inserted (new
-    keys) and rows updated (target keys with a staged change after the
-    target's mark), per table: ``(table_name, action, n_rows)``."""
-    from ledgerline.operators.incremental import read_mark
-    from ledgerline.operators.joins import semi_keys
+# The mark of every existing core table: they were all loaded at that time.
+EXISTING_MARK = adapter.CORE_LOADED_AT
+
 
+def core_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A core run over the existing core: for each table the new keys are loaded, then the
+    type-1 merge of the staged changes after the table's mark runs over old and new rows."""
     r = raw(spark, sf_dir)
-    ex = existing_core(spark, sf_dir, r)
-    full = first_load(spark, sf_dir, raw_tables=r)
-    inserted = {
-        "DimCustomer": dims.dim_customer(r["customer"], r["city"], r["state"], adapter.BATCH_TS,
-                                         target=ex["DimCustomer"]),
-        "DimBranch": dims.dim_branch(r["branch"], adapter.BATCH_TS, target=ex["DimBranch"]),
-        "DimAccount": dims.dim_account(r["account"], ex["DimDate"], adapter.BATCH_TS,
-                                       target=ex["DimAccount"]),
-        "FactTransaction": fact_transaction(r["transaction"], full.dim_account, full.dim_branch,
-                                            full.dim_date, adapter.BATCH_TS,
-                                            target=ex["FactTransaction"]),
+    old = existing_core(spark, sf_dir, r)
+    b, mark = adapter.BATCH_TS, EXISTING_MARK
+    cust = old["DimCustomer"].unionByName(
+        dims.dim_customer(r["customer"], r["city"], r["state"], b, target=old["DimCustomer"]))
+    branch = old["DimBranch"].unionByName(dims.dim_branch(r["branch"], b, target=old["DimBranch"]))
+    account = old["DimAccount"].unionByName(dims.dim_account(r["account"], old["DimDate"], b, target=old["DimAccount"]))
+    fact = old["FactTransaction"].unionByName(fact_transaction(
+        r["transaction"], account, branch, old["DimDate"], b, target=old["FactTransaction"]))
+    return {
+        "DimCustomer": merge.update_dim_customer(cust, r["customer"], r["city"], r["state"], b, mark),
+        "DimBranch": merge.update_dim_branch(branch, r["branch"], b, mark),
+        "DimAccount": merge.update_dim_account(account, r["account"], b, mark),
+        "FactTransaction": merge.update_fact_transaction(fact, r["transaction"], b, mark),
     }
-    sources = {"DimCustomer": ("customer", "CustomerID"), "DimBranch": ("branch", "BranchID"),
-               "DimAccount": ("account", "AccountID"),
-               "FactTransaction": ("transaction", "TransactionID")}
-    out = None
-    for name, (src, key) in sources.items():
-        mark = read_mark(ex[name])
-        changed = r[src].where(F.col("dtmload") > ntz(mark))
-        upd = semi_keys(ex[name], changed, key, f"{src}_id")
-        for action, df in (("inserted", inserted[name]), ("updated", upd)):
-            c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(name).alias("table_name"), F.lit(action).alias("action"), "n_rows")
-            out = c if out is None else out.unionByName(c)
+
+
+def core_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows inserted and rows updated by ``core_run``, counted in its result by their stamps:
+    ``(table_name, action, n_rows)``."""
+    batch, out = ntz(adapter.BATCH_TS), None
+    for name, df in core_run(spark, sf_dir).items():
+        c = df.agg(F.count(F.when(F.col("dtmload") == batch, 1)).alias("inserted"),
+                   F.count(F.when(F.col("dtmupd") == batch, 1)).alias("updated"))
+        c = c.unpivot([], ["inserted", "updated"], "action", "n_rows").select(
+            F.lit(name).alias("table_name"), "action", "n_rows")
+        out = c if out is None else out.unionByName(c)
     return out
 
 
+def declared_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every table with declared constraints: core tables and marts of a first load, with every
+    tenth branch missing from its table (so that references can fail)."""
+    core = first_load(spark, sf_dir)
+    m, rem = adapter.ORPHAN_BRANCH
+    return {
+        "DimDate": core.dim_date, "DimCustomer": core.dim_customer, "DimAccount": core.dim_account,
+        "DimBranch": core.dim_branch.where(F.col("BranchID") % m != rem), "FactTransaction": core.fact,
+        "DailySummaryMart": marts.daily_summary(core.fact, core.dim_date),
+        "CustomerMart": marts.customer_mart(core.dim_customer, core.dim_account, core.fact),
+    }
+
+
 def fact_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reject counts of the fact load when every tenth branch is missing:
     ``(reject_reason, n_rows)`` for null keys and missing account, branch
@@ -152,17 +169,65 @@ def transaction_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.withColumn("date_text", txt)
 
 
-def write_transaction_files(spark: SparkSession, sf_dir: str, base: str) -> str:
-    """Write the test transactions as CSV files under ``base``: good files
-    (columns reordered, one extra column, mixed date texts) and one file
-    that lacks ``branch_id``."""
-    t = transaction_texts(spark, sf_dir)
-    good = t.select("account_id", "transaction_id", F.col("date_text").alias("transaction_date"),
-                    "amount", "transaction_type", "branch_id",
-                    F.lit("x").alias("note"))
-    good.repartition(3).write.option("header", True).csv(f"{base}/good")
+# Columns a file has besides the required ones: a wide file, and texts with quotes and commas.
+EXTRA_COLUMNS = 40
+
+
+def _file_columns(t: DataFrame) -> DataFrame:
+    """The columns of a good file: reordered, extra ones before and after the required ones."""
+    extra = [F.lit(f"x{i}").alias(f"extra_{i}") for i in range(EXTRA_COLUMNS)]
+    return t.select("account_id", *extra, "transaction_id", F.lit('Dep "x", y').alias("note"),
+                    F.col("date_text").alias("transaction_date"), "amount", "transaction_type", "branch_id")
+
+
+def write_transaction_files(spark: SparkSession, sf_dir: str, base: str, id_offset: int = 0) -> str:
+    """Write the test transactions as CSV files under ``base``: good files (columns reordered,
+    40 extra columns, doubled quotes, mixed date texts) and one file that lacks ``branch_id``.
+    ``id_offset`` is added to the transaction ids."""
+    t = transaction_texts(spark, sf_dir).withColumn("transaction_id", F.col("transaction_id") + id_offset)
+    (_file_columns(t).repartition(3).write.option("header", True).option("escape", '"').csv(f"{base}/good"))
     bad = (t.where(F.col("transaction_id") % 10 == 1)
             .select("transaction_id", "account_id", F.col("date_text").alias("transaction_date"),
                     "amount", "transaction_type"))
     bad.coalesce(1).write.option("header", True).csv(f"{base}/bad")
     return base
+
+
+def write_transaction_workbooks(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """Write the test transactions as workbooks under ``base``, among them one file that is no
+    workbook (a text file of the branches under a workbook's name)."""
+    cells = _file_columns(transaction_texts(spark, sf_dir))
+    text = cells.select(*[F.col(c).cast("string").alias(c) for c in cells.columns]).repartition(4)
+    xlsx_sink.write_workbooks(text, f"{base}/books").write.parquet(work_path(spark, "workbook-listing"))
+    names = adapter.source_tables(spark, sf_dir)["branch"].select("branch_name").coalesce(1)
+    names.write.text(f"{base}/broken")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    for st in fs.listStatus(hadoop(f"{base}/broken")):
+        if st.getPath().getName().startswith("part-"):
+            fs.rename(st.getPath(), hadoop(f"{base}/broken/broken.xlsx"))
+    return base
+
+
+def rates_csv(spark: SparkSession) -> DataFrame:
+    """The rate table, written as CSV and read as the banks run reads it."""
+    path = work_path(spark, "rates")
+    fx.rates_frame(spark).coalesce(1).write.option("header", True).csv(path)
+    return fx.read_rates(spark, path)
+
+
+def bank_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages ``(page_id, html)`` with a table of banks, 25 to a page, made from the suppliers:
+    rank, a cell with two links (flag, name), market cap with a marker after the figure; a
+    header row without cells and a row without a link, which are no banks."""
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    row = F.format_string(
+        '<tr><td> %d\n</td><td><a href="/f"><img src="f.png"></a> <a href="/b">%s</a></td><td>%.2f*\n</td></tr>',
+        F.col("s_suppkey"), F.col("s_name"), F.col("s_acctbal"))
+    rows = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("s_suppkey", row.alias("row")))),
+                                    lambda x: x["row"]), "")
+    return (s.groupBy(F.floor((F.col("s_suppkey") - 1) / 25).alias("page_id")).agg(rows.alias("rows"))
+            .select("page_id", F.concat(
+                F.lit("<html><body><table><tbody><tr><th>Rank</th><th>Bank name</th><th>Cap</th></tr>"), "rows",
+                F.lit("<tr><td>-</td><td>total</td><td>0*</td></tr></tbody></table><table><tbody><tr><td>1</td>"
+                      '<td><a href="/z">other table</a></td><td>9*</td></tr></tbody></table></body></html>')).alias("html")))

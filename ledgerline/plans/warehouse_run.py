@@ -1,40 +1,44 @@
 """Whole daily run: staging -> core -> marts, on versioned Parquet tables.
 
 Plain Parquet tables take no ``UPDATE``/``DELETE``, so every table write is
-a new version directory ``{base}/{table}/v_{stamp}_{time}_{id}``; a version is
-current once Spark has committed it (``_SUCCESS``). Readers always open
-the latest committed version, and a version being read is never
-overwritten. Marks for every table are read before anything is written.
-
-The fact table is the one that grows without bound, so it is not copied
-per run: it is partitioned by month (``TransactionDateID // 100``) and each
-month is versioned on its own (``PartitionedStore``). A run writes only the
-months it changed — months of inserted rows and months holding a row
-touched by an update — and readers take, per month, the leaf of the latest
-run that wrote it. New-key detection and the months of updated keys come
-from one scan of the key columns.
-
-Order of work (the reference's task chain): all staging tables, then core
-inserts (customer, branch, account, fact) and updates, then both marts.
-Each table is one Spark job; AQE sizes the shuffles.
+a new version directory (``sinks.writers``); a version is current once Spark
+has committed it. Readers open the latest committed version, and a version
+being read is never overwritten. Marks for every table are read before
+anything is written.
+
+The fact and the staged transactions grow without bound, so they are not
+copied per run: they are partitioned by month and each month is versioned on
+its own (``PartitionedStore``). A run writes only the months it changed and
+one small manifest, month -> directory, that replaces the previous one; a
+month that a run empties is absent from it. Their marks are kept in a small
+table written with the run, so no run scans them for a maximum.
+
+Order of work (the reference's task chain): all staging tables, then the
+transaction files, then core inserts (customer, branch, account, fact) and
+updates, then both marts. Each table is one Spark job; AQE sizes the shuffles.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.dates import FORMAT_SNAPSHOT
+from ledgerline.functions.dates import DEFAULT_MARK, FORMAT_SNAPSHOT
 from ledgerline.operators import dimensions as dims
 from ledgerline.operators import incremental as inc
 from ledgerline.operators import marts, merge
 from ledgerline.operators.facts import fact_rejects, fact_transaction
 from ledgerline.schemas import STAGING_TABLES
+from ledgerline.session import work_path
 from ledgerline.sinks import writers
+from ledgerline.sources import files, xlsx
+
+MANIFEST = "part string, leaf string"
+MARKS = "table_name string, mark string"
+FILES_TAKEN = "file_path string, modified timestamp, length long"
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 
 class VersionedStore:
@@ -42,84 +46,58 @@ class VersionedStore:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
-        jvm = spark._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.base).getFileSystem(
-            spark._jsc.hadoopConfiguration())
-
-    def _versions(self, table: str) -> list[str]:
-        p = self._Path(f"{self.base}/{table}")
-        if not self._fs.exists(p):
-            return []
-        out = []
-        for st in self._fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v_") and self._fs.exists(
-                    self._Path(f"{self.base}/{table}/{name}/_SUCCESS")):
-                out.append(name)
-        return sorted(out)
 
     def current(self, table: str) -> str | None:
-        v = self._versions(table)
-        return f"{self.base}/{table}/{v[-1]}" if v else None
+        return writers.current_version(self.spark, f"{self.base}/{table}")
 
-    def read(self, table: str, schema_like: DataFrame) -> DataFrame:
+    def read(self, table: str, schema) -> DataFrame:
         """Latest committed version, or an empty frame with the given schema."""
         path = self.current(table)
         if path is None:
-            return self.spark.createDataFrame([], schema_like.schema)
-        return self.spark.read.schema(schema_like.schema).parquet(path)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def write(self, table: str, df: DataFrame, stamp: str) -> str:
-        path = f"{self.base}/{table}/{version_name(stamp)}"
-        df.write.mode("errorifexists").parquet(path)
-        return path
+        return writers.publish_version(df, f"{self.base}/{table}", stamp)
 
 
 class PartitionedStore:
     """A table partitioned by one value, versioned partition by partition.
 
-    Layout ``{base}/v_{stamp}_{time}_{id}/__part={value}/part-*.parquet``. A run
-    writes only the partitions it changed; the current table is, per value,
-    the leaf of the latest committed run holding it. Listing touches only
-    directories (driver metadata), never data.
+    ``{base}/data/v_../__part={value}/part-*.parquet`` holds what one run wrote;
+    ``{base}/manifests/v_..`` is one small table (part, leaf) per run, the latest of
+    which is the current state. Values are calendar months, so a manifest has as
+    many rows as months.
     """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
-        self._Path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.base).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.manifests = VersionedStore(spark, self.base)
 
     def leaves(self) -> dict[str, str]:
-        root = self._Path(self.base)
-        if not self._fs.exists(root):
-            return {}
-        runs = sorted(st.getPath().getName() for st in self._fs.listStatus(root)
-                      if st.getPath().getName().startswith("v_"))
-        out: dict[str, str] = {}
-        for run in runs:
-            if not self._fs.exists(self._Path(f"{self.base}/{run}/_SUCCESS")):
-                continue
-            for st in self._fs.listStatus(self._Path(f"{self.base}/{run}")):
-                name = st.getPath().getName()
-                if name.startswith("__part="):
-                    out[name[len("__part="):]] = f"{self.base}/{run}/{name}"
-        return out
+        return {r["part"]: r["leaf"] for r in self.manifests.read("manifests", MANIFEST).collect()}
 
     def read(self, shape: DataFrame, values=None) -> DataFrame:
         """Current rows (of the given partition values only, if given)."""
-        leaves = self.leaves()
-        keep = None if values is None else {
-            "__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in values}
-        paths = [p for v, p in sorted(leaves.items()) if keep is None or v in keep]
+        keep = None if values is None else {NULL_PART if v is None else str(v) for v in values}
+        paths = [p for v, p in sorted(self.leaves().items()) if keep is None or v in keep]
         if not paths:
             return self.spark.createDataFrame([], shape.schema)
         return self.spark.read.schema(shape.schema).parquet(*paths)
 
-    def write(self, df: DataFrame, part: Column, stamp: str) -> str:
-        path = f"{self.base}/{version_name(stamp)}"
-        (df.withColumn("__part", part).write.mode("errorifexists")
-           .partitionBy("__part").parquet(path))
+    def write(self, df: DataFrame, part: Column, stamp: str, touched: list) -> str:
+        """Replace the partitions ``touched`` by the rows of ``df``."""
+        path = f"{self.base}/data/{writers.version_name(stamp)}"
+        df.withColumn("__part", part).write.mode("errorifexists").partitionBy("__part").parquet(path)
+        gone = {NULL_PART if v is None else str(v) for v in touched}
+        leaves = {p: leaf for p, leaf in self.leaves().items() if p not in gone}
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for st in fs.listStatus(hadoop(path)):
+            name = st.getPath().getName()
+            if name.startswith("__part="):
+                leaves[name[len("__part="):]] = f"{path}/{name}"
+        self.manifests.write("manifests", self.spark.createDataFrame(sorted(leaves.items()), MANIFEST).coalesce(1), stamp)
         return path
 
 
@@ -131,22 +109,22 @@ def created_month(c: str = "dtmcrt") -> Column:
     return (F.year(c) * 100 + F.month(c)).cast("int")
 
 
-def _upsert_partitioned(pstore: "PartitionedStore", staged: DataFrame, src: DataFrame,
-                        spec, mark: str, batch_ts: str, stamp: str) -> str:
-    """Staging upsert that rewrites only the months it changes: months of
-    staged rows the purge removes and months of newly extracted rows. The
-    purge test needs one scan of the staged key/load/create columns."""
-    extract = inc.incremental_extract(src, spec, mark, batch_ts)
+def _upsert_partitioned(pstore: "PartitionedStore", staged: DataFrame, src: DataFrame, spec, mark: str,
+                        batch_ts: str, stamp: str, appended: DataFrame | None = None) -> str:
+    """Staging upsert that rewrites only the months it changes: months of staged rows the
+    purge removes, of newly extracted rows and of ``appended`` rows (from files). The purge
+    test needs one scan of the staged key/load/create columns."""
+    cols = list(spec.columns) + ["dtmload"]
+    extract = inc.incremental_extract(src, spec, mark, batch_ts).select(*cols)
+    if appended is not None:
+        extract = extract.unionByName(appended.select(*cols))
     purged = inc.staging_purged(staged.select(spec.key, "dtmload", "dtmcrt"), src, spec.key)
     touched = (extract.select(created_month().alias("m"))
                .unionByName(purged.select(created_month().alias("m"))).distinct())
     # bounded by calendar months: a small driver-side list
     months = [r["m"] for r in touched.collect()]
-    part_old = pstore.read(staged, months)
-    cols = list(spec.columns) + ["dtmload"]
-    new = (inc.staging_purge(part_old, src, spec.key).select(*cols)
-           .unionByName(extract.select(*cols)))
-    return pstore.write(new, created_month(), stamp)
+    kept = inc.staging_purge(pstore.read(staged, months), src, spec.key).select(*cols)
+    return pstore.write(kept.unionByName(extract), created_month(), stamp, months)
 
 
 def fact_month(c: str = "TransactionDateID") -> Column:
@@ -158,10 +136,14 @@ def read_fact(spark: SparkSession, base: str, shape: DataFrame) -> DataFrame:
     return PartitionedStore(spark, f"{base.rstrip('/')}/core/FactTransaction").read(shape)
 
 
-def version_name(stamp: str) -> str:
-    """``v_{batch stamp}_{write time ns}_{id}``: sorts by batch, then by
-    write time, so a re-run of the same batch supersedes the earlier one."""
-    return f"v_{stamp}_{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+STAGED_TRANSACTIONS = ("transaction_id long, account_id long, transaction_date timestamp_ntz, amount double, "
+                       "transaction_type string, branch_id long, dtmcrt timestamp_ntz, dtmload timestamp_ntz")
+
+
+def read_staged_transactions(spark: SparkSession, base: str) -> DataFrame:
+    """The current ``transaction_raw`` of a warehouse under ``base``."""
+    shape = spark.createDataFrame([], STAGED_TRANSACTIONS)
+    return PartitionedStore(spark, f"{base.rstrip('/')}/staging/transaction_raw").read(shape)
 
 
 def _stamp(spark: SparkSession, batch_ts: str) -> str:
@@ -180,10 +162,36 @@ def _concurrently(tasks: dict, workers: int = 4) -> dict:
         return {k: f.result() for k, f in futures.items()}
 
 
-def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
-            batch_ts: str) -> dict[str, str]:
-    """One daily run over ``sources`` (the six source tables with
-    ``dtmcrt``/``dtmupd``). Returns the path of every table version written.
+def _take_files(spark: SparkSession, store: VersionedStore, folder: str, batch_ts: str,
+                stamp: str) -> tuple[DataFrame | None, dict[str, str]]:
+    """Rows of the files under ``folder`` that no earlier run took, and the paths written:
+    the list of files taken (path, time, length) and both reject sets."""
+    taken = store.read("staging/files_taken", FILES_TAKEN)
+    listed = files.list_files(spark, [folder], "*.csv").unionByName(files.list_files(spark, [folder], "*.xlsx"))
+    new = listed.join(taken, ["file_path", "modified", "length"], "left_anti")
+    paths = [r["file_path"] for r in new.select("file_path").collect()]  # the files of one day
+    parts = [ingest(spark, [p for p in paths if p.endswith(end)], batch_ts)
+             for end, ingest in ((".csv", files.ingest_csv), (".xlsx", xlsx.ingest_xlsx))
+             if any(p.endswith(end) for p in paths)]
+    if not parts:
+        return None, {}
+    good, bad, rejected = map(list, zip(*parts))
+    union = lambda dfs: dfs[0] if len(dfs) == 1 else dfs[0].unionByName(dfs[1])
+    path = work_path(spark, "file-transactions")
+    union(good).drop("file_path").write.parquet(path)
+    written = {
+        "rejects_file_rows": store.write("rejects/file_rows", union(bad).withColumnRenamed("__date_text", "date_text"), stamp),
+        "rejects_files": store.write("rejects/files", union(rejected), stamp),
+        "files_taken": store.write("staging/files_taken", taken.unionByName(new), stamp),
+    }
+    return spark.read.parquet(path), written
+
+
+def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str, batch_ts: str,
+            files_dir: str | None = None) -> dict[str, str]:
+    """One daily run over ``sources`` (the six source tables with ``dtmcrt``/``dtmupd``) and,
+    if given, the transaction files (CSV, Excel) under ``files_dir`` that no earlier run took;
+    they are appended after the table's own rows. Returns the path of every version written.
 
     Dependencies: staging tables are independent of each other; the date
     dimension needs staging; customer, branch and account need the date
@@ -193,10 +201,9 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     store = VersionedStore(spark, base)
     stamp = _stamp(spark, batch_ts)
     written: dict[str, str] = {}
+    kept_marks = {r["table_name"]: r["mark"] for r in store.read("marks", MARKS).collect()}
 
-    # staging: marks first, then one upsert per table. The transaction
-    # table grows like the fact, so it is partitioned by month of creation
-    # and only months with purged or newly extracted rows are rewritten.
+    # staging: marks first, then one upsert per table
     staged_now, pstores = {}, {}
     for s in STAGING_TABLES:
         shape = sources[s.name].select(*s.columns).withColumn(
@@ -205,27 +212,29 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
             pstores[s.name] = PartitionedStore(spark, f"{store.base}/staging/{s.raw_name}")
             staged_now[s.name] = pstores[s.name].read(shape)
         else:
-            staged_now[s.name] = store.read(f"staging/{s.raw_name}", shape)
+            staged_now[s.name] = store.read(f"staging/{s.raw_name}", shape.schema)
     marks = _concurrently({s.name: (lambda s=s: inc.read_mark(staged_now[s.name]))
-                           for s in STAGING_TABLES})
+                           for s in STAGING_TABLES if s.name not in pstores})
+    marks.update({n: kept_marks.get(n, DEFAULT_MARK) for n in pstores})
+    file_rows, file_paths = _take_files(spark, store, files_dir, batch_ts, stamp) if files_dir else (None, {})
 
     def upsert(s):
         if s.name in pstores:
             return _upsert_partitioned(pstores[s.name], staged_now[s.name], sources[s.name], s,
-                                       marks[s.name], batch_ts, stamp)
+                                       marks[s.name], batch_ts, stamp, file_rows)
         new = inc.staging_upsert(staged_now[s.name], sources[s.name], s, marks[s.name], batch_ts)
         return store.write(f"staging/{s.raw_name}", new, stamp)
 
     paths = _concurrently({s.raw_name: (lambda s=s: upsert(s)) for s in STAGING_TABLES})
     written.update(paths)
+    written.update(file_paths)
     raw = {s.name: (pstores[s.name].read(staged_now[s.name]) if s.name in pstores
                     else spark.read.parquet(paths[s.raw_name]))
            for s in STAGING_TABLES}
 
     # core: date dimension, marks, inserts, then updates
-    dd_new = dims.dim_date_covering(spark, (raw["account"], "date_opened"),
-                                    (raw["transaction"], "transaction_date"))
-    dd_old = store.read("core/DimDate", dd_new)
+    dd_new = dims.dim_date_covering((raw["account"], "date_opened"), (raw["transaction"], "transaction_date"))
+    dd_old = store.read("core/DimDate", dd_new.schema)
     dd = dd_old.unionByName(dd_new.join(dd_old.select("DateID"), "DateID", "left_anti"))
     written["DimDate"] = store.write("core/DimDate", dd, stamp)
     dim_date = spark.read.parquet(written["DimDate"])
@@ -235,12 +244,13 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
         "DimBranch": dims.dim_branch(raw["branch"], batch_ts),
         "DimAccount": dims.dim_account(raw["account"], dim_date, batch_ts),
     }
-    old = {n: store.read(f"core/{n}", df) for n, df in shapes.items()}
+    old = {n: store.read(f"core/{n}", df.schema) for n, df in shapes.items()}
     fact_shape = fact_transaction(raw["transaction"], shapes["DimAccount"], shapes["DimBranch"],
                                   dim_date, batch_ts)
     fact_store = PartitionedStore(spark, f"{store.base}/core/FactTransaction")
     old["FactTransaction"] = fact_store.read(fact_shape)
-    core_marks = _concurrently({n: (lambda n=n: inc.read_mark(old[n])) for n in old})
+    core_marks = _concurrently({n: (lambda n=n: inc.read_mark(old[n])) for n in shapes})
+    core_marks["FactTransaction"] = kept_marks.get("FactTransaction", DEFAULT_MARK)
 
     def load_customer():
         cust = old["DimCustomer"].unionByName(dims.dim_customer(
@@ -267,8 +277,10 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     dim_account = spark.read.parquet(written["DimAccount"])
     dim_branch = spark.read.parquet(written["DimBranch"])
     keys = old["FactTransaction"].select("TransactionID", "TransactionDateID")
-    inserted = fact_transaction(raw["transaction"], dim_account, dim_branch, dim_date,
-                                batch_ts, target=keys)
+    # the new rows are ranked once: they give the list of months and the rows to write
+    new_path = work_path(spark, "new-facts")
+    fact_transaction(raw["transaction"], dim_account, dim_branch, dim_date, batch_ts, target=keys).write.parquet(new_path)
+    inserted = spark.read.schema(fact_shape.schema).parquet(new_path)
     changed = merge.changes_after(raw["transaction"], "transaction_id",
                                   core_marks["FactTransaction"]).select(
         F.col("transaction_id").alias("TransactionID"))
@@ -281,7 +293,13 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     part_old = fact_store.read(fact_shape, months)
     fact = merge.update_fact_transaction(part_old.unionByName(inserted), raw["transaction"],
                                          batch_ts, core_marks["FactTransaction"])
-    written["FactTransaction"] = fact_store.write(fact, fact_month(), stamp)
+    written["FactTransaction"] = fact_store.write(fact, fact_month(), stamp, months)
+
+    # marks of the two growing tables: the latest load time of the rows this run wrote
+    new_marks = {n: max(m, inc.read_mark(written_rows)) for n, m, written_rows in (
+        ("transaction", marks["transaction"], _written(spark, written["transaction_raw"], staged_now["transaction"])),
+        ("FactTransaction", core_marks["FactTransaction"], _written(spark, written["FactTransaction"], fact_shape)))}
+    store.write("marks", spark.createDataFrame(sorted(new_marks.items()), MARKS).coalesce(1), stamp)
 
     # marts (full rebuild into new versions) and reject sets of this run
     fact_now = fact_store.read(fact_shape)
@@ -303,16 +321,16 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     return written
 
 
+def _written(spark: SparkSession, path: str, shape: DataFrame) -> DataFrame:
+    """The rows of one written run of a partitioned table (none if it wrote no partition)."""
+    return spark.read.schema(shape.schema).option("recursiveFileLookup", True).parquet(path)
+
+
 def _rows_written(spark: SparkSession, path: str) -> DataFrame:
     """One-row frame ``rows``: rows in a written version (0 for a run that
-    wrote no partition). Counted by Spark from the files, not collected."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    has_data = any(st.getPath().getName().startswith(("part-", "__part="))
-                   for st in fs.listStatus(p))
-    if not has_data:
-        return spark.range(1).select(F.lit(0).cast("long").alias("rows"))
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+    wrote no partition). Counted by Spark from the files' footers, not collected."""
+    return (spark.read.schema("__any int").option("recursiveFileLookup", True).parquet(path)
+            .agg(F.count(F.lit(1)).alias("rows")))
 
 
 def _log_run(spark: SparkSession, store: "VersionedStore", written: dict[str, str],

@@ -8,7 +8,7 @@ counts, join strategies and skewed partitions are re-planned at run time.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -41,11 +41,6 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
 }
 
-# Largest side, in bytes of the optimizer's size estimate, that the library
-# broadcasts on its own. Beyond it a shuffle join is planned (AQE may still
-# switch to a broadcast when the runtime size turns out small).
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
 
 def build_session(master: str | None = None, app: str = "ledgerline",
                   shuffle_partitions: int | None = None,
@@ -73,13 +68,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     On a cluster this is set by the deployment (HDFS / object store path)
     and is read, never replaced. If only the context has a checkpoint folder
-    (``setCheckpointDir``), that one is used. Only when neither exists
-    (local tests) a folder under the system temp directory is created and
-    registered on the context (the conf key itself cannot be set at run
-    time).
+    (``setCheckpointDir``), that one is used. Without either, a session whose
+    tasks all run in this process (master ``local``) gets a temporary folder;
+    anywhere else that is an error, since executors would not share it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")

@@ -1,4 +1,4 @@
-"""Writers: Parquet parts, appends, table replace, CSV, run log, namespaces.
+"""Writers: Parquet parts, table replace, CSV, run log, namespaces.
 
 Writes go to paths the caller names (on a cluster: a shared file system or
 object store). A replaced table is written to a new version directory and
@@ -7,6 +7,7 @@ only then published, so readers never see a half-written or empty table.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -25,25 +26,35 @@ def write_parquet_parts(df: DataFrame, path: str, max_records: int = 10_000,
     return path
 
 
-def append_rows(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> str:
-    """Append to a Parquet table; columns are matched by name."""
-    out = df.select(*columns) if columns else df
-    out.write.mode("append").parquet(path)
-    return path
+def version_name(stamp: str = "") -> str:
+    """``v_[{batch stamp}_]{write time ns}_{id}``: sorts by batch, then by write time,
+    so a re-run of the same batch supersedes the earlier one."""
+    return f"v_{stamp + '_' if stamp else ''}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+
+
+def current_version(spark: SparkSession, base: str) -> str | None:
+    """Path of the latest committed (``_SUCCESS``) version under ``base``, if any."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(base)):
+        return None
+    names = sorted((st.getPath().getName() for st in fs.listStatus(path(base))
+                    if st.getPath().getName().startswith("v_")), reverse=True)
+    return next((f"{base}/{n}" for n in names if fs.exists(path(f"{base}/{n}/_SUCCESS"))), None)
 
 
-def publish_version(df: DataFrame, base: str) -> str:
-    """Full replace: write a fresh version directory under ``base`` and
-    return it. The previous version stays readable until the caller
-    switches to the new one."""
-    path = f"{base.rstrip('/')}/v_{uuid.uuid4().hex}"
+def publish_version(df: DataFrame, base: str, stamp: str = "") -> str:
+    """Full replace: write a fresh version directory under ``base`` and return it. It
+    becomes the current one when Spark commits it; the previous one stays readable."""
+    path = f"{base.rstrip('/')}/{version_name(stamp)}"
     df.write.mode("errorifexists").parquet(path)
     return path
 
 
 def replace_table(spark: SparkSession, df: DataFrame, base: str) -> DataFrame:
-    """``to_sql(if_exists='replace')``: new version, read back."""
-    return spark.read.parquet(publish_version(df, base))
+    """``to_sql(if_exists='replace')``: new version, read back as any later reader would."""
+    publish_version(df, base)
+    return spark.read.parquet(current_version(spark, base.rstrip("/")))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -83,3 +94,9 @@ def ensure_namespaces(spark: SparkSession, names: Sequence[str] = ("staging", "c
     for n in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {n}")
     return sorted(d.name for d in spark.catalog.listDatabases())
+
+
+def register_table(df: DataFrame, name: str, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and register it as the external table ``namespace.table``."""
+    df.write.mode("overwrite").option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)

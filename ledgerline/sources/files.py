@@ -1,158 +1,140 @@
-"""Transaction files: CSV directories (and Excel workbooks via
-``sources.xlsx``) with a per-file header check and reject sets.
-
-A distributed scan reads every file with an all-string schema and
-``header=false``. The header of each file is its first row: the row with
-the smallest ``monotonically_increasing_id`` among rows of the file's first
-split (ids increase in row order inside a task, and a split never mixes two
-files' row orders). The header table (one row per file) is built from the
-first splits only and broadcast back onto the data rows, which are then
-mapped to columns *by header name*, per file: files with reordered or
-extra columns load correctly and files missing a required column are
-rejected as a whole. A file with a header and no data rows produces no
-rows and no reject.
+"""Transaction files: CSV directories (Excel workbooks via ``sources.xlsx``)
+with a per-file header check and reject sets.
+
+* The header of a file is its first non-blank line. One scan of the text
+  lines takes it: the line with the smallest row id among the lines of the
+  file's first split, found by one aggregate of that same scan.
+* The header table (one row per file: positions of the required columns,
+  names that are missing) is written once. It also tells how wide the widest
+  file is, so the data scan's schema has as many columns as are needed,
+  however many that is.
+* The data scan lets the CSV reader drop each file's header line, meets its
+  file's header row by path, and picks the required columns by position:
+  reordered and extra columns load correctly.
+* A file without every required column, or without any line, is rejected as a
+  whole; a row whose date does not parse is rejected alone.
+
+Quotes are doubled inside quoted fields. A quoted field may hold line breaks
+only with ``multi_line=True``; such files are not split, so the default reads
+one record per line.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.dates import ntz, with_mixed_dates
 from ledgerline.functions.text import safe_double, safe_long, trim_ws
-from ledgerline.operators.joins import broadcast_if_small
+from ledgerline.operators.joins import small
 from ledgerline.schemas import REQUIRED_FILE_COLUMNS
-from ledgerline.session import BROADCAST_LIMIT_BYTES
+from ledgerline.session import work_path
 
-MAX_FILE_COLUMNS = 32
-# Upper bound of one header-table row (file path + up to 32 short names).
-HEADER_ROW_BYTES = 8192
+CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+REJECTED_FILES = "file_path string, reject_reason string, n_rows long"
 
 
-def wide_string_schema(n: int = MAX_FILE_COLUMNS) -> T.StructType:
+def wide_strings(n: int) -> T.StructType:
     return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
 
 
-def read_csv_lines(spark: SparkSession, path: str, n_cols: int = MAX_FILE_COLUMNS) -> DataFrame:
-    """All rows of all CSV files under ``path`` (recursively) as strings,
-    with ``file_path`` and ``block_start`` of the split they came from."""
-    df = (spark.read.schema(wide_string_schema(n_cols))
-          .option("header", False).option("mode", "PERMISSIVE")
-          .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-          .csv(path))
-    return with_file_columns(df)
-
-
-def with_file_columns(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_block_start").alias("block_start"))
-
-
-def _per_file_side(df: DataFrame, n_files: int | None) -> DataFrame:
-    """Broadcast a one-row-per-file table when the file count (known from
-    the listing) proves it small; otherwise leave the choice to AQE."""
-    if n_files is not None and n_files * HEADER_ROW_BYTES <= BROADCAST_LIMIT_BYTES:
-        return F.broadcast(df)
-    return broadcast_if_small(df)
-
-
-def _file_count(df: DataFrame) -> int | None:
-    try:
-        return len(df.inputFiles())
-    except Exception:
-        return None
-
-
-def header_table(rows: DataFrame, required: Sequence[str],
-                 n_files: int | None = None) -> DataFrame:
-    """One row per file: ``file_path, __hrid`` (row id of the header line),
-    ``header`` (trimmed names) and ``missing`` (required names absent).
-
-    The header id is a hash aggregate over longs; the header cells are then
-    fetched with a broadcast probe on ``(file_path, __rid)``, so no array
-    values are sorted or shuffled.
-    """
-    first = (rows.where(F.col("block_start") == 0)
-                 .groupBy("file_path").agg(F.min("__rid").alias("__hrid")))
-    cells = (rows.where(F.col("block_start") == 0)
-                 .select("file_path", F.col("__rid").alias("__hrid"), "cells")
-                 .join(_per_file_side(first, n_files), ["file_path", "__hrid"], "left_semi"))
-    header = F.filter(F.transform("cells", lambda x: trim_ws(x)), lambda x: x.isNotNull())
-    req = F.array(*[F.lit(c) for c in required])
-    return (cells.select("file_path", "__hrid", header.alias("header"))
-                 .withColumn("missing", F.array_except(req, F.col("header"))))
-
-
-def attach_header(lines: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Data rows (header lines removed) with their file's ``header`` and
-    ``missing`` arrays attached (broadcast of one row per file)."""
-    cells = F.array(*[c for c in lines.columns if c.startswith("_c")])
-    rows = lines.select("file_path", "block_start", cells.alias("cells"),
-                        F.monotonically_increasing_id().alias("__rid"))
-    n_files = _file_count(lines)
-    headers = header_table(rows, required, n_files)
-    return (rows.join(_per_file_side(headers, n_files), "file_path", "inner")
-                .where(F.col("__rid") != F.col("__hrid"))
-                .drop("__hrid", "block_start", "__rid"))
-
-
-def by_name(data: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pick each named column from the row's cells by its header position."""
-    sel = []
-    for c in columns:
-        pos = F.array_position("header", c).cast("int")
-        sel.append(F.when(pos > 0, F.try_element_at("cells", pos)).alias(c))
-    return data.select("file_path", *sel)
-
-
-def _missing_text():
+def _load(spark: SparkSession, fmt: str, paths: Sequence[str], glob: str, **options) -> DataFrame:
+    reader = spark.read.format(fmt).option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    return reader.load(list(paths))
+
+
+def list_files(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv") -> DataFrame:
+    """``(file_path, modified, length)`` of the files, from the listing alone."""
+    return _load(spark, "binaryFile", paths, glob).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("modificationTime").alias("modified"), "length")
+
+
+def column_positions(header: Column, required: Sequence[str]) -> list[Column]:
+    """``pos`` (1-based position of each required name, 0 if absent) and ``missing``."""
+    return [F.array(*[F.array_position(header, c).cast("int") for c in required]).alias("pos"),
+            F.array_except(F.array(*[F.lit(c) for c in required]), header).alias("missing")]
+
+
+def header_table(spark: SparkSession, paths: Sequence[str], required: Sequence[str]) -> tuple[DataFrame, int, int]:
+    """(``file_path, pos, missing``, number of files, columns of the widest file)."""
+    lines = _load(spark, "text", paths, "*.csv").select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("rid"), F.regexp_replace("value", "^﻿", "").alias("line"))
+    first = (lines.where((F.col("at") == 0) & (F.trim("line") != ""))
+             .groupBy("file_path").agg(F.min(F.struct("rid", "line")).alias("first"))
+             .select("file_path", F.col("first.line").alias("line"),
+                     F.size(F.split("first.line", ",", -1)).alias("width")))
+    path = work_path(spark, "file-headers")
+    first.write.parquet(path)
+    first = spark.read.schema(first.schema).parquet(path)
+    n_files, width = first.agg(F.count(F.lit(1)), F.coalesce(F.max("width"), F.lit(1))).first()
+    cells = F.from_csv("line", F.lit(", ".join(f"_c{i} string" for i in range(width))), CSV_OPTIONS)
+    header = F.filter(F.transform(F.array(*[cells[f"_c{i}"] for i in range(width)]), trim_ws), lambda x: x.isNotNull())
+    table = first.select("file_path", header.alias("header")).select(
+        "file_path", *column_positions(F.col("header"), required))
+    return table, n_files, width
+
+
+def pick(data: DataFrame, required: Sequence[str]) -> DataFrame:
+    """``data`` (``file_path, cells, pos``) with the required columns by name."""
+    return data.select("file_path", *[F.when(F.get("pos", F.lit(i)) > 0, F.get("cells", F.get("pos", F.lit(i)) - 1)).alias(c)
+                                      for i, c in enumerate(required)])
+
+
+def missing_text() -> Column:
     return F.concat(F.lit("missing columns: "), F.array_join("missing", ", "))
 
 
-def ingest_lines(lines: DataFrame, batch_ts: str,
-                 required: Sequence[str] = REQUIRED_FILE_COLUMNS
-                 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Load transaction rows from raw file lines.
-
-    Returns ``(good, rejected_rows, rejected_files)``:
-
-    * files without every required column are rejected whole
-      (``rejected_files``: file_path, reject_reason, n_rows);
-    * rows whose date does not parse go to ``rejected_rows``
-      (``reject_reason = 'invalid_date'``), the rest are typed, get
-      ``dtmcrt = transaction_date`` and ``dtmload = batch_ts``.
-    """
-    data = attach_header(lines, required)
-    ok = F.size("missing") == 0
-    rejected_files = (data.where(~ok).groupBy("file_path", "missing")
-                          .agg(F.count(F.lit(1)).alias("n_rows"))
-                          .select("file_path", _missing_text().alias("reject_reason"),
-                                  "n_rows"))
-    picked = with_mixed_dates(by_name(data.where(ok), list(required)),
-                              "transaction_date", "__parsed_date")
-    typed = picked.select(
+def typed(picked: DataFrame, batch_ts: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows): typed columns, ``dtmcrt`` = the transaction's date and
+    ``dtmload`` = ``batch_ts``; rows whose date does not parse have ``reject_reason``."""
+    rows = with_mixed_dates(picked, "transaction_date", "__parsed").select(
         "file_path",
         safe_long("transaction_id").alias("transaction_id"),
         safe_long("account_id").alias("account_id"),
-        F.col("__parsed_date").alias("transaction_date"),
+        F.col("__parsed").alias("transaction_date"),
         F.col("transaction_date").alias("__date_text"),
         safe_double("amount").alias("amount"),
-        F.col("transaction_type").alias("transaction_type"),
+        "transaction_type",
         safe_long("branch_id").alias("branch_id"),
     )
-    good = (typed.where(F.col("transaction_date").isNotNull())
-                 .drop("__date_text")
-                 .withColumn("dtmcrt", F.col("transaction_date"))
-                 .withColumn("dtmload", ntz(batch_ts)))
-    rejected_rows = (typed.where(F.col("transaction_date").isNull())
-                          .withColumn("reject_reason", F.lit("invalid_date")))
-    return good, rejected_rows, rejected_files
-
-
-def ingest_csv_dir(spark: SparkSession, path: str, batch_ts: str,
-                   required: Sequence[str] = REQUIRED_FILE_COLUMNS):
-    """Batch load of every CSV file under ``path`` (see ``ingest_lines``)."""
-    return ingest_lines(read_csv_lines(spark, path), batch_ts, required)
+    good = (rows.where(F.col("transaction_date").isNotNull()).drop("__date_text")
+            .withColumn("dtmcrt", F.col("transaction_date")).withColumn("dtmload", ntz(batch_ts)))
+    bad = rows.where(F.col("transaction_date").isNull()).withColumn("reject_reason", F.lit("invalid_date"))
+    return good, bad
+
+
+def ingest_csv(spark: SparkSession, paths: Sequence[str], batch_ts: str,
+               required: Sequence[str] = REQUIRED_FILE_COLUMNS,
+               multi_line: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Load the CSV files under ``paths`` (directories or files): ``(good rows, rejected rows,
+    rejected files)``; rejected files are ``file_path, reject_reason, n_rows``."""
+    headers, n_files, width = header_table(spark, paths, required)
+    reader = spark.read.schema(wide_strings(width)).options(**CSV_OPTIONS)
+    lines = (reader.option("header", True).option("multiLine", multi_line)
+             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(list(paths)))
+    data = lines.select(F.col("_metadata.file_path").alias("file_path"),
+                        F.array(*[f"_c{i}" for i in range(width)]).alias("cells"))
+    complete = F.size("missing") == 0
+    good, bad = typed(pick(data.join(small(headers.where(complete), n_files), "file_path"), required), batch_ts)
+    incomplete = headers.where(~complete)
+    counted = data.select("file_path").join(small(incomplete, n_files).select("file_path"), "file_path") \
+        .groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+    listed = list_files(spark, paths).select("file_path")
+    rejected = (incomplete.join(counted, "file_path", "left")
+                .select("file_path", missing_text().alias("reject_reason"),
+                        F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"))
+                .unionByName(listed.join(headers.select("file_path"), "file_path", "left_anti")
+                             .select("file_path", F.lit("no header line").alias("reject_reason"),
+                                     F.lit(0).cast("long").alias("n_rows"))))
+    return good, bad, rejected
+
+
+def ingest_csv_dir(spark: SparkSession, path: str, batch_ts: str, **options):
+    """Batch load of every CSV file under ``path`` (see ``ingest_csv``)."""
+    return ingest_csv(spark, [path], batch_ts, **options)

@@ -148,3 +148,8 @@ def bank_rows(rows: DataFrame, drop_last: bool = True) -> DataFrame:
         safe_long(F.element_at("cells", 1)).alias("Rank"),
         F.element_at(F.element_at("links", 2), -1).alias("Country"),
         safe_double(mc).alias("MC_USD_Billion"))
+
+
+def banks(pages: DataFrame) -> DataFrame:
+    """``(Rank, Country, MC_USD_Billion)`` from the first table body of every page."""
+    return bank_rows(extract_rows(pages)).drop("page_id", "row_no")

@@ -3,9 +3,9 @@
 A workbook is a zip container and cannot be split, so each file is one
 unit of work: Spark lists and reads the files (``binaryFile``), a
 ``mapInPandas`` task unpacks each with the stdlib (``zipfile`` + XML; no
-Excel library is needed) and emits its rows as strings in the same shape
-the CSV reader produces, so the per-file header check and typing of
-``sources.files`` apply unchanged. Date-formatted numeric cells are turned
+Excel library is needed) and streams its rows out as arrays of strings; the
+per-file header check, typing and reject sets are those of ``sources.files``.
+A workbook that cannot be read is a rejected file, not the end of the job. Date-formatted numeric cells are turned
 into ``yyyy-MM-dd HH:mm:ss`` text. Legacy binary ``.xls`` is not read.
 """
 
@@ -15,13 +15,21 @@ import datetime as dt
 import io
 import re
 import zipfile
+from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.sources.files import MAX_FILE_COLUMNS
+from ledgerline.functions.text import trim_ws
+from ledgerline.operators.joins import small
+from ledgerline.schemas import REQUIRED_FILE_COLUMNS
+from ledgerline.session import work_path
+from ledgerline.sources import files
+
+COLUMNS = ["file_path", "row_no", "cells", "error"]
+ROWS_PER_BATCH = 5000
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
@@ -71,8 +79,8 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
     return out
 
 
-def workbook_rows(content: bytes) -> list[list[str | None]]:
-    """Rows of the first sheet as lists of strings (None for empty cells)."""
+def workbook_rows(content: bytes) -> Iterator[list[str | None]]:
+    """Rows of the first sheet, one after the other, as lists of strings (None: empty cell)."""
     z = zipfile.ZipFile(io.BytesIO(content))
     shared: list[str] = []
     if "xl/sharedStrings.xml" in z.namelist():
@@ -80,50 +88,96 @@ def workbook_rows(content: bytes) -> list[list[str | None]]:
         for si in sst.findall("m:si", _NS):
             shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
     dates = _date_styles(z)
-    sheet = ET.fromstring(z.read(_first_sheet_path(z)))
-    rows = []
-    for r in sheet.iter(f"{{{_NS['m']}}}row"):
-        vals: dict[int, str | None] = {}
-        for k, c in enumerate(r.findall("m:c", _NS)):
-            idx = _col_index(c.get("r")) if c.get("r") else k
-            t = c.get("t", "n")
-            v = c.find("m:v", _NS)
-            if t == "s" and v is not None:
-                val = shared[int(v.text)]
-            elif t == "inlineStr":
-                val = "".join(x.text or "" for x in c.iter(f"{{{_NS['m']}}}t"))
-            elif v is None:
-                val = None
-            elif t == "b":
-                val = "True" if v.text == "1" else "False"
-            elif t == "n" and int(c.get("s", "0")) in dates:
-                val = (_EXCEL_EPOCH + dt.timedelta(days=float(v.text))).strftime(
-                    "%Y-%m-%d %H:%M:%S")
-            else:
-                val = v.text
-                if t == "n" and val is not None and re.fullmatch(r"-?\d+\.0", val):
-                    val = val[:-2]
-            vals[idx] = val
-        width = max(vals) + 1 if vals else 0
-        rows.append([vals.get(i) for i in range(width)])
-    return rows
-
-
-def read_xlsx_lines(spark: SparkSession, path: str, n_cols: int = MAX_FILE_COLUMNS) -> DataFrame:
-    """Rows of every ``.xlsx`` under ``path`` in the CSV line shape:
-    ``_c0.._cN`` strings, ``file_path``, ``block_start`` (always 0)."""
-    cols = [f"_c{i}" for i in range(n_cols)]
-    schema = ", ".join(f"{c} string" for c in cols) + ", file_path string, block_start long"
+    row_tag = f"{{{_NS['m']}}}row"
+    with z.open(_first_sheet_path(z)) as sheet:
+        for _, r in ET.iterparse(sheet):
+            if r.tag == row_tag:
+                yield _cells(r, shared, dates)
+                r.clear()
+
+
+def _cells(r: ET.Element, shared: list[str], dates: set[int]) -> list[str | None]:
+    vals: dict[int, str | None] = {}
+    for k, c in enumerate(r.findall("m:c", _NS)):
+        idx = _col_index(c.get("r")) if c.get("r") else k
+        t = c.get("t", "n")
+        v = c.find("m:v", _NS)
+        if t == "s" and v is not None:
+            val = shared[int(v.text)]
+        elif t == "inlineStr":
+            val = "".join(x.text or "" for x in c.iter(f"{{{_NS['m']}}}t"))
+        elif v is None:
+            val = None
+        elif t == "b":
+            val = "True" if v.text == "1" else "False"
+        elif t == "n" and int(c.get("s", "0")) in dates:
+            val = (_EXCEL_EPOCH + dt.timedelta(days=float(v.text))).strftime("%Y-%m-%d %H:%M:%S")
+        else:
+            val = v.text
+            if t == "n" and val is not None and re.fullmatch(r"-?\d+\.0", val):
+                val = val[:-2]
+        vals[idx] = val
+    return [vals.get(i) for i in range(max(vals) + 1 if vals else 0)]
+
+
+def read_workbooks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``(file_path, row_no, cells, error)``: the rows of every ``.xlsx`` under ``paths``, or one
+    row with ``error`` for a workbook that cannot be read (after the rows before the fault)."""
 
     def run(batches):
         for pdf in batches:
-            out = []
-            for p, content in zip(pdf["path"], pdf["content"]):
-                for row in workbook_rows(bytes(content)):
-                    row = (row + [None] * n_cols)[:n_cols]
-                    out.append(row + [p, 0])
-            yield pd.DataFrame(out, columns=cols + ["file_path", "block_start"], dtype=object)
-
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
-             .option("recursiveFileLookup", True).load(path).select("path", "content"))
-    return files.mapInPandas(run, schema).withColumn("block_start", F.col("block_start"))
+            for path, content in zip(pdf["file_path"], pdf["content"]):
+                rows, n, error = [], 0, None
+                source = workbook_rows(bytes(content))
+                while error is None:
+                    try:
+                        row = next(source, None)
+                    except Exception as e:  # a broken workbook must not end the others
+                        error = f"unreadable workbook: {type(e).__name__}"
+                        break
+                    if row is None:
+                        break
+                    n += 1
+                    rows.append((path, n, row, None))
+                    if len(rows) == ROWS_PER_BATCH:
+                        yield pd.DataFrame(rows, columns=COLUMNS)
+                        rows = []
+                if error:
+                    rows.append((path, 0, None, error))
+                if rows:
+                    yield pd.DataFrame(rows, columns=COLUMNS)
+
+    # a workbook is one unit of work: one file per input row, its rows streamed out
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", True)
+             .load(list(paths)).select(F.col("_metadata.file_path").alias("file_path"), "content"))
+    return files.mapInPandas(run, "file_path string, row_no long, cells array<string>, error string")
+
+
+def ingest_xlsx(spark: SparkSession, paths: Sequence[str], batch_ts: str,
+                required: Sequence[str] = REQUIRED_FILE_COLUMNS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Load the workbooks under ``paths``: ``(good rows, rejected rows, rejected files)`` as
+    ``files.ingest_csv`` returns them. A workbook that cannot be read to its end, has no row or
+    lacks a required column is rejected as a whole."""
+    path = work_path(spark, "workbook-rows")
+    read_workbooks(spark, paths).write.parquet(path)  # workbooks are unpacked once
+    rows = spark.read.parquet(path)
+    broken = rows.where(F.col("error").isNotNull()).select("file_path", "error")
+    header = F.transform("cells", lambda x: trim_ws(F.coalesce(x, F.lit(""))))
+    headers = (rows.where("row_no = 1").select("file_path", *files.column_positions(header, required))
+               .join(broken.select("file_path"), "file_path", "left_anti"))
+    n_files = headers.count()
+    data = rows.where("row_no > 1").select("file_path", "cells")
+    complete = F.size("missing") == 0
+    good, bad = files.typed(files.pick(data.join(small(headers.where(complete), n_files), "file_path"), required), batch_ts)
+    known = rows.select("file_path").distinct()
+    empty = files.list_files(spark, paths, "*.xlsx").select("file_path").join(known, "file_path", "left_anti")
+    incomplete = headers.where(~complete)
+    counted = data.join(small(incomplete, n_files).select("file_path"), "file_path") \
+        .groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("long").alias("n_rows")
+    rejected = (incomplete.join(counted, "file_path", "left")
+                .select("file_path", files.missing_text().alias("reject_reason"),
+                        F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"))
+                .unionByName(broken.select("file_path", F.col("error").alias("reject_reason"), zero))
+                .unionByName(empty.select("file_path", F.lit("no header line").alias("reject_reason"), zero)))
+    return good, bad, rejected

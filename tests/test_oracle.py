@@ -9,8 +9,8 @@ from oracle_compare import compare, duck
 
 import __spark_entry__ as E
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+from ledgerline.plans.catalog import QUERIES
+from ledgerline.plans.oracle import SQL
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +20,8 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import incremental, marts
 from ledgerline.operators.dedup import latest_per_key, latest_transaction_order
-from ledgerline.operators.joins import broadcast_if_small
+from ledgerline.operators.joins import SMALL_ROWS, small
 from ledgerline.plans import scenario
 from ledgerline.schemas import SPEC_BY_NAME
 
@@ -62,35 +62,54 @@ def test_mart_aggregates_fact_before_join(spark):
     assert "keys=[TransactionDateID" in p2        # fact reduced per day
 
 
-def test_broadcast_only_below_checked_size(spark):
+def test_broadcast_only_of_counted_rows(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         big = spark.range(10 ** 10).withColumnRenamed("id", "k")
-        small = spark.range(100).withColumnRenamed("id", "k")
-        j_small = plan(big.join(broadcast_if_small(small), "k"), "simple")
-        j_big = plan(small.join(broadcast_if_small(big), "k"), "simple")
+        few = spark.range(100).withColumnRenamed("id", "k")
+        j_few = plan(big.join(small(few, 100), "k"), "simple")
+        j_many = plan(big.join(small(few, SMALL_ROWS + 1), "k"), "simple")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "BroadcastHashJoin" in j_small
-    assert "BroadcastHashJoin" not in j_big and "SortMergeJoin" in j_big
+    assert "BroadcastHashJoin" in j_few
+    assert "BroadcastHashJoin" not in j_many and "SortMergeJoin" in j_many
 
 
-def test_core_table_name_mapping():
-    from ledgerline.schemas import core_table_for
-    assert core_table_for("customer") == "DimCustomer"
-    assert core_table_for("DimAccount") == "DimAccount"
-    assert core_table_for("factTransaction") == "FactTransaction"
-    assert core_table_for("other") == "other"
+def test_loaded_keys_leave_before_ranking(spark):
+    r = scenario.raw(spark, SF_SMALL)
+    core = scenario.first_load(spark, SF_SMALL, raw_tables=r)
+    old = spark.createDataFrame([(1,)], "TransactionID long")
+    from ledgerline.operators.facts import fact_transaction
+    df = fact_transaction(r["transaction"], core.dim_account, core.dim_branch, core.dim_date,
+                          "2002-01-01 00:00:00", target=old)
+    lines = plan(df, "simple").splitlines()
+    window = min(i for i, s in enumerate(lines) if "Window" in s)
+    anti = min(i for i, s in enumerate(lines) if "LeftAnti" in s)
+    assert anti > window   # the anti join is below the ranking
 
 
-def test_hot_customer_is_split_by_aqe(spark, tmp_dir, monkeypatch):
+def test_daily_bars_aggregate_by_hash(spark):
+    from ledgerline.operators import bronze
+    p = plan(bronze.bars_from_events(spark.read.parquet(f"{SF_SMALL}/events.parquet")), "simple")
+    assert "HashAggregate" in p and "SortAggregate" not in p and "ObjectHashAggregate" not in p
+
+
+def test_dates_are_parsed_once(spark):
+    from ledgerline.functions.dates import with_mixed_dates
+    t = scenario.transaction_texts(spark, SF_SMALL).select("transaction_id", "date_text")
+    df = with_mixed_dates(t, "date_text", "d").where("d is not null").where("d > '1995-01-01'")
+    p = plan(df, "simple")
+    assert p.index("Filter") < p.index("Generate explode")   # the filter does not cross the parse
+    assert p.count("gettimestamp") == 2                      # a shape's pattern and its fallback, once
+
+
+def test_hot_customer_is_split_by_aqe(spark, tmp_dir):
     """One customer owns a third of all accounts. With the core tables read
     back from storage (as the whole run does) and the customer table too
     large to broadcast, the mart join on CustomerID is a shuffle join that
     AQE splits for the hot key; the result is unchanged."""
-    monkeypatch.setattr(marts, "broadcast_if_small", lambda df, *a, **k: df)
     conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",

@@ -86,3 +86,27 @@ def test_run_writes_rejects_and_log(spark):
     assert log["CustomerMart"] == spark.read.parquet(written["CustomerMart"]).count()
     assert log["rejects_transaction"] == 0 and log["rejects_customer"] == 0
     assert len(log) == len(written)
+
+
+def test_files_are_taken_once_by_the_run(spark, tmp_dir):
+    drop = os.path.join(tmp_dir, "in")
+    os.makedirs(drop)
+    head = "transaction_id,account_id,transaction_date,amount,transaction_type,branch_id\n"
+    src = adapter.source_tables(spark, SF_SMALL)
+    one = src["transaction"].orderBy("transaction_id").first()
+    row = lambda i: f"{i},{one.account_id},03-01-1997,10,Deposit,{one.branch_id}\n"
+    for name, text in (("a.csv", head + row(10 ** 12)), ("bad.csv", "transaction_id\n1\n")):
+        with open(os.path.join(drop, name), "w") as f:
+            f.write(text)
+    base = work_path(spark, "wh_files")
+    first = run_all(spark, src, base, "2010-01-01 00:00:00", files_dir=drop)
+    assert spark.read.parquet(first["rejects_files"]).count() == 1
+    with open(os.path.join(drop, "b.csv"), "w") as f:
+        f.write(head + row(10 ** 12 + 1))
+    second = run_all(spark, src, base, "2010-01-02 00:00:00", files_dir=drop)
+    assert spark.read.parquet(second["files_taken"]).count() == 3
+    third = run_all(spark, src, base, "2010-01-03 00:00:00", files_dir=drop)
+    assert "files_taken" not in third   # nothing new
+    shape = scenario.first_load(spark, SF_SMALL).fact
+    ids = [r.TransactionID for r in read_fact(spark, base, shape).where("TransactionID >= 1000000000000").collect()]
+    assert sorted(ids) == [10 ** 12, 10 ** 12 + 1]

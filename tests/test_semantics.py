@@ -14,8 +14,8 @@ from ledgerline.operators import bronze, incremental, merge, quality
 from ledgerline.operators.joins import anti_new_keys
 from ledgerline.schemas import TableSpec
 from ledgerline.sources import html
-from ledgerline.sources.files import ingest_csv_dir, ingest_lines
-from ledgerline.sources.xlsx import read_xlsx_lines, workbook_rows
+from ledgerline.sources.files import ingest_csv_dir
+from ledgerline.sources.xlsx import ingest_xlsx, workbook_rows
 
 
 def T(s):
@@ -221,12 +221,85 @@ def test_xlsx_ingest(spark, tmp_dir):
     p = os.path.join(tmp_dir, "t.xlsx")
     _xlsx(p, [HEADER.split(","), [1, 10, "21-01-2024 14:00:00", 100, "Deposit", 4],
               [2, 11, "bad", 5, "Payment", 1]])
-    assert workbook_rows(open(p, "rb").read())[1][0] == "1"
-    good, bad_rows, bad_files = ingest_lines(read_xlsx_lines(spark, tmp_dir), "2024-03-01 00:00:00")
+    assert list(workbook_rows(open(p, "rb").read()))[1][0] == "1"
+    good, bad_rows, bad_files = ingest_xlsx(spark, [tmp_dir], "2024-03-01 00:00:00")
     assert [(r.transaction_id, r.amount) for r in good.collect()] == [(1, 100.0)]
     assert bad_rows.count() == 1 and bad_files.count() == 0
 
 
+def test_bad_workbooks_do_not_stop_the_others(spark, tmp_dir):
+    rows = [HEADER.split(","), [1, 10, "21-01-2024", 100, "Deposit", 4]]
+    _xlsx(os.path.join(tmp_dir, "a.xlsx"), rows)
+    _xlsx(os.path.join(tmp_dir, "empty.xlsx"), [])
+    _xlsx(os.path.join(tmp_dir, "missing.xlsx"), [["transaction_id"], [5]])
+    _write(os.path.join(tmp_dir, "broken.xlsx"), "no workbook")
+    whole = open(os.path.join(tmp_dir, "a.xlsx"), "rb").read()
+    sheet = zipfile.ZipFile(os.path.join(tmp_dir, "a.xlsx")).read("xl/worksheets/sheet1.xml")
+    with zipfile.ZipFile(os.path.join(tmp_dir, "torn.xlsx"), "w") as z:   # breaks off after its rows
+        z.writestr("xl/worksheets/sheet1.xml", sheet[:-20])
+    assert whole
+    wide = [[f"c{i}" for i in range(20)] + HEADER.split(","), ["v"] * 20 + [2, 11, "22-01-2024", 7, "Payment", 1]]
+    _xlsx(os.path.join(tmp_dir, "wide.xlsx"), wide)
+    good, bad_rows, bad_files = ingest_xlsx(spark, [tmp_dir], "2024-03-01 00:00:00")
+    assert sorted((r.transaction_id, r.branch_id) for r in good.collect()) == [(1, 4), (2, 1)]
+    assert bad_rows.count() == 0
+    got = {os.path.basename(r.file_path): (r.reject_reason, r.n_rows) for r in bad_files.collect()}
+    assert got == {"broken.xlsx": ("unreadable workbook: BadZipFile", 0),
+                   "torn.xlsx": ("unreadable workbook: ParseError", 0), "empty.xlsx": ("no header line", 0),
+                   "missing.xlsx": ("missing columns: account_id, transaction_date, amount, transaction_type, "
+                                    "branch_id", 1)}
+
+
+def test_wide_and_quoted_files(spark, tmp_dir):
+    extra = ",".join(f"x{i}" for i in range(60))
+    _write(os.path.join(tmp_dir, "wide.csv"), f"{extra},{HEADER}\n" + ",".join("v" * 60)
+           + ',1,10,21-01-2024,100,"Dep ""x"", y",4\n')
+    _write(os.path.join(tmp_dir, "quoted_header.csv"), '\ufeff"transaction_id","account_id",transaction_date,'
+           'amount,transaction_type,"branch_id"\n2,11,22-01-2024,5,"a, b",7\n')
+    _write(os.path.join(tmp_dir, "blank.csv"), "\n\n")
+    _write(os.path.join(tmp_dir, "only_header.csv"), HEADER + "\n")
+    good, bad_rows, bad_files = ingest_csv_dir(spark, tmp_dir, "2024-03-01 00:00:00")
+    got = {r.transaction_id: (r.transaction_type, r.branch_id) for r in good.collect()}
+    assert got == {1: ('Dep "x", y', 4), 2: ("a, b", 7)}
+    assert bad_rows.count() == 0
+    assert [(os.path.basename(r.file_path), r.reject_reason) for r in bad_files.collect()] == [
+        ("blank.csv", "no header line")]
+
+
+def test_quoted_line_breaks_with_multi_line(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "m.csv"), HEADER + '\n1,10,21-01-2024,100,"two\nlines",4\n2,11,22-01-2024,5,x,7\n')
+    good, bad_rows, _ = ingest_csv_dir(spark, tmp_dir, "2024-03-01 00:00:00", multi_line=True)
+    assert {r.transaction_id: r.transaction_type for r in good.collect()} == {1: "two\nlines", 2: "x"}
+    assert bad_rows.count() == 0
+
+
+def test_update_keeps_rows_whose_city_is_missing(spark):
+    target = spark.createDataFrame(
+        [(1, "A", "X", "OLD", "S", 30, "M", "e", T("2024-01-01 00:00:00"), None)],
+        "CustomerID long, CustomerName string, Address string, CityName string, StateName string, Age int, "
+        "Gender string, Email string, dtmload timestamp_ntz, dtmupd timestamp_ntz")
+    cust = spark.createDataFrame(
+        [(1, "new", "y", 99, 31, "f", "e2", T("2024-01-01 00:00:00"), T("2024-02-02 00:00:00"))],
+        "customer_id long, customer_name string, address string, city_id long, age int, gender string, "
+        "email string, dtmcrt timestamp_ntz, dtmload timestamp_ntz")
+    lookup = "dtmcrt timestamp_ntz, dtmload timestamp_ntz"
+    city = spark.createDataFrame([], f"city_id long, city_name string, state_id long, {lookup}")
+    state = spark.createDataFrame([], f"state_id long, state_name string, {lookup}")
+    out = merge.update_dim_customer(target, cust, city, state, "2024-03-01 00:00:00")
+    assert out.collect() == target.collect()
+
+
+def test_same_batch_lands_one_snapshot(spark, tmp_dir):
+    from ledgerline.plans.bronze_run import run_bronze
+    rows = [("AAA", T(f"2024-01-0{d} 10:00:00"), float(d), d) for d in range(1, 8)]
+    ticks = spark.createDataFrame(rows, "c string, ts timestamp_ntz, v double, id long")
+    bars = bronze.daily_bars(ticks, "c", "ts", "v", "id")
+    for _ in range(2):
+        run_bronze(spark, bars, bronze.tickers_frame(spark, ["AAA", "ZZZ"]), tmp_dir, "2024-01-08 06:00:00")
+    assert bronze.read_bronze(spark, os.path.join(tmp_dir, "bronze")).count() == 5
+    assert spark.read.parquet(os.path.join(tmp_dir, "rejects")).count() == 1
+
+
 def test_customer_rejects_missing_city(spark):
     from ledgerline.operators.dimensions import customer_rejects, dim_customer
     cust = spark.createDataFrame([

@@ -54,7 +54,7 @@ def test_namespaces(spark):
 
 def test_versioned_store_reads_latest(spark, tmp_dir):
     store = VersionedStore(spark, tmp_dir)
-    shape = spark.createDataFrame([], "k long")
+    shape = "k long"
     assert store.read("t", shape).count() == 0
     store.write("t", spark.range(3).withColumnRenamed("id", "k"), "20240101_000000")
     store.write("t", spark.range(5).withColumnRenamed("id", "k"), "20240102_000000")
@@ -63,7 +63,7 @@ def test_versioned_store_reads_latest(spark, tmp_dir):
 
 def test_rerun_of_same_batch_supersedes(spark, tmp_dir):
     store = VersionedStore(spark, tmp_dir)
-    shape = spark.createDataFrame([], "k long")
+    shape = "k long"
     for n in (3, 4, 2):   # three writes with the same batch stamp
         store.write("t", spark.range(n).withColumnRenamed("id", "k"), "20240101_000000")
     assert store.read("t", shape).count() == 2
@@ -92,4 +92,36 @@ def test_cli_warehouse_and_banks(spark, tmp_dir, capsys):
     assert cli.main(["banks", "--banks", banks, "--rates", rates, "--out",
                      os.path.join(tmp_dir, "bo"), "--batch-ts", "2026-01-14 15:22:30"]) == 0
     log = writers.read_run_log(spark, os.path.join(tmp_dir, "bo", "run_log"))
-    assert log.count() == 8
+    assert log.count() == 6
+
+
+def test_later_reader_finds_the_current_version(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "t")
+    assert writers.current_version(spark, base) is None
+    for n in (4, 7):
+        assert writers.replace_table(spark, spark.range(n), base).count() == n
+    os.makedirs(os.path.join(base, "v_99999999999999999999_dead"))   # never committed
+    assert spark.read.parquet(writers.current_version(spark, base)).count() == 7
+
+
+def test_partitioned_store_forgets_an_emptied_month(spark, tmp_dir):
+    from ledgerline.plans.warehouse_run import PartitionedStore
+    store = PartitionedStore(spark, tmp_dir)
+    rows = spark.createDataFrame([(1, 202401), (2, 202402)], "k long, m int")
+    store.write(rows, F.col("m"), "20240301_000000", [202401, 202402])
+    moved = spark.createDataFrame([(1, 202402), (2, 202402)], "k long, m int")
+    store.write(moved, F.col("m"), "20240302_000000", [202401, 202402])
+    assert sorted(store.leaves()) == ["202402"]
+    assert sorted(tuple(r) for r in store.read(rows).collect()) == [(1, 202402), (2, 202402)]
+
+
+def test_shared_folder_is_required_outside_local_mode(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from ledgerline import session
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None),
+                           sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"))
+    with pytest.raises(RuntimeError):
+        session.shared_dir(fake)

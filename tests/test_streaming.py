@@ -36,6 +36,21 @@ def test_each_file_taken_once(spark, tmp_dir):
     assert [r.transaction_id for r in stream.read_rejects(spark, out).collect()] == [4]
 
 
+def test_rejected_files_are_recorded_and_new_checkpoint_keeps_old_rows(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "drop", "in"), work_path(spark, "s_out")
+    _drop(src, "a.csv", ["1,10,21-01-2024 14:00:00,100,Deposit,4\n"])
+    with open(os.path.join(src, "bad.csv"), "w") as f:
+        f.write("transaction_id,amount\n7,1\n")
+    stream.run_file_ingest(spark, f"{tmp_dir}/drop/*/*.csv", out, work_path(spark, "s_ckpt"), "2024-02-01 00:00:00")
+    rej = stream.read_rejected_files(spark, out).collect()
+    assert [(os.path.basename(r.file_path), r.n_rows) for r in rej] == [("bad.csv", 1)]
+    # another stream (its own checkpoint) into the same output replaces nothing
+    other = os.path.join(tmp_dir, "other", "in")
+    _drop(other, "b.csv", ["2,10,22-01-2024,50,Deposit,4\n"])
+    stream.run_file_ingest(spark, f"{tmp_dir}/other/*/*.csv", out, work_path(spark, "s_ckpt"), "2024-02-02 00:00:00")
+    assert sorted(r.transaction_id for r in stream.read_staged(spark, out).collect()) == [1, 2]
+
+
 def test_parameterised_reads_match(spark):
     core = scenario.first_load(spark, SF_SMALL)
     mart = marts.customer_mart(core.dim_customer, core.dim_account, core.fact)
