@@ -51,6 +51,11 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]
 ANY = "|".join((EMAIL, IBAN, DATE, SSN, PHONE, CARD, IP))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _noise(key: str, domain: str, r: Column, value: Column) -> Column:
     """60 bits of SHA-256 of key, domain, round and the other half."""
     digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(domain), r.cast("string"), value.cast("string")), 256)
@@ -85,15 +90,17 @@ def _padded(n: Column, width: Column) -> Column:
 
 def _refill(shape: Column, digits: Column) -> Column:
     """``shape`` with its digits replaced, in order, by ``digits`` (as many)."""
-    def put(s, c):
-        digit = c.rlike("[0-9]")
-        return F.struct(F.concat(s["out"], F.when(digit, F.substr(digits, s["n"], F.lit(1))).otherwise(c)).alias("out"),
-                        F.when(digit, s["n"] + 1).otherwise(s["n"]).alias("n"))
-    return F.aggregate(_chars(shape), F.struct(F.lit("").alias("out"), F.lit(1).alias("n")), put, lambda s: s["out"])
+    def fill(new):
+        def put(s, c):
+            digit = c.rlike("[0-9]")
+            return F.struct(F.concat(s["out"], F.when(digit, F.substr(new, s["n"], F.lit(1))).otherwise(c)).alias("out"),
+                            F.when(digit, s["n"] + 1).otherwise(s["n"]).alias("n"))
+        return F.aggregate(_chars(shape), F.struct(F.lit("").alias("out"), F.lit(1).alias("n")), put, lambda s: s["out"])
+    return _let(digits, fill)
 
 
 def luhn_digit(payload: Column) -> Column:
-    """The check digit for a string of digits."""
+    """The check digit for a string of digits (a bound value)."""
     n = F.length(payload)
 
     def add(total, i):
@@ -104,22 +111,24 @@ def luhn_digit(payload: Column) -> Column:
 
 
 def _digit_string(key: str, domain: str, s: Column) -> Column:
-    """A permutation of the digit strings of each length (1 to 36)."""
+    """A permutation of the digit strings of each length (1 to 36; a bound value)."""
     n = F.length(s)
     left = F.floor(n / 2).cast("int")
     power = lambda k: F.element_at(F.array(*[F.lit(10 ** i) for i in range(19)]), k + 1)
     a, b = F.substr(s, F.lit(1), left), F.substr(s, left + 1, n - left)
-    p = feistel(key, domain, F.when(left > 0, a.cast("long")).otherwise(F.lit(0).cast("long")), power(left), b.cast("long"),
-                power(n - left))
-    return F.concat(F.when(left > 0, _padded(p["a"], left)).otherwise(""), _padded(p["b"], n - left))
+    halves = feistel(key, domain, F.when(left > 0, a.cast("long")).otherwise(F.lit(0).cast("long")), power(left),
+                     b.cast("long"), power(n - left))
+    return _let(halves, lambda p: F.concat(F.when(left > 0, _padded(p["a"], left)).otherwise(""), _padded(p["b"], n - left)))
 
 
 def card(key: str, s: Column) -> Column:
-    d = _digits(s)
-    payload = F.substr(d, F.lit(1), F.length(d) - 1)
-    new = _digit_string(key, "card", payload)
-    valid = luhn_digit(payload) == F.substr(d, F.length(d), F.lit(1))
-    return F.when(valid, _refill(s, F.concat(new, luhn_digit(new))))
+    def of_digits(d):
+        def of_payload(payload):
+            valid = luhn_digit(payload) == F.substr(d, F.length(d), F.lit(1))
+            return F.when(valid, _let(_digit_string(key, "card", payload),
+                                      lambda new: _refill(s, F.concat(new, luhn_digit(new)))))
+        return _let(F.substr(d, F.lit(1), F.length(d) - 1), of_payload)
+    return _let(_digits(s), of_digits)
 
 
 def _mod97(s: Column) -> Column:
@@ -131,43 +140,52 @@ def _mod97(s: Column) -> Column:
 
 
 def iban(key: str, s: Column) -> Column:
-    plain = F.regexp_replace(s, " ", "")
-    country, account = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5))
-    valid = _mod97(F.concat(account, F.substr(plain, F.lit(1), F.lit(4)))) == 1
-    numbers = _digits(account)
-    new = F.when(F.length(numbers) > 0, _refill(account, _digit_string(key, "iban", numbers))).otherwise(account)
-    check = _padded(98 - _mod97(F.concat(new, country, F.lit("00"))), F.lit(2))
-    text = F.concat(country, check, new)
-
-    def put(out, c):  # the blanks go back to their places
-        return F.struct(F.concat(out["out"], F.when(c == " ", c).otherwise(F.substr(text, out["n"], F.lit(1)))).alias("out"),
-                        F.when(c == " ", out["n"]).otherwise(out["n"] + 1).alias("n"))
-    spaced = F.aggregate(_chars(s), F.struct(F.lit("").alias("out"), F.lit(1).alias("n")), put, lambda x: x["out"])
-    return F.when(valid & F.length(plain).between(15, 34), spaced)
+    def of_plain(plain):
+        country = F.substr(plain, F.lit(1), F.lit(2))
+
+        def of_account(account):
+            valid = (_mod97(F.concat(account, F.substr(plain, F.lit(1), F.lit(4)))) == 1) & F.length(plain).between(15, 34)
+            numbers = _let(_digits(account), lambda d: F.when(
+                F.length(d) > 0, _refill(account, _digit_string(key, "iban", d))).otherwise(account))
+
+            def spaced(text):  # the blanks go back to their places
+                def put(out, c):
+                    blank = c == " "
+                    return F.struct(F.concat(out["out"], F.when(blank, c).otherwise(F.substr(text, out["n"], F.lit(1)))).alias("out"),
+                                    F.when(blank, out["n"]).otherwise(out["n"] + 1).alias("n"))
+                return F.aggregate(_chars(s), F.struct(F.lit("").alias("out"), F.lit(1).alias("n")), put, lambda x: x["out"])
+            whole = _let(numbers, lambda new: _let(
+                F.concat(country, _padded(98 - _mod97(F.concat(new, country, F.lit("00"))), F.lit(2)), new), spaced))
+            return F.when(valid, whole)
+        return _let(F.substr(plain, F.lit(5)), of_account)
+    return _let(F.regexp_replace(s, " ", ""), of_plain)
 
 
 def ssn(key: str, s: Column) -> Column:
     area, group, serial = (F.substr(s, F.lit(a), F.lit(n)).cast("int") for a, n in ((1, 3), (5, 2), (8, 4)))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     index = F.when(area > 666, area - 2).otherwise(area - 1)  # 0 to 897
-    p = feistel(key, "ssn", index * 99 + group - 1, 898 * 99, serial - 1, 9999)
-    new = F.floor(p["a"] / 99)
-    return F.when(valid, F.concat_ws("-", _padded(F.when(new >= 665, new + 2).otherwise(new + 1), F.lit(3)),
-                                     _padded(p["a"] % 99 + 1, F.lit(2)), _padded(p["b"] + 1, F.lit(4))))
+
+    def text(p):
+        new = F.floor(p["a"] / 99)
+        return F.concat_ws("-", _padded(F.when(new >= 665, new + 2).otherwise(new + 1), F.lit(3)),
+                           _padded(p["a"] % 99 + 1, F.lit(2)), _padded(p["b"] + 1, F.lit(4)))
+    return F.when(valid, _let(feistel(key, "ssn", index * 99 + group - 1, 898 * 99, serial - 1, 9999), text))
 
 
 def phone(key: str, s: Column) -> Column:
     prefix = F.regexp_extract(s, r"^\+1[ -]?", 0)
-    rest = F.substr(s, F.length(prefix) + 1)
-    return F.concat(prefix, _refill(rest, _digit_string(key, "phone", _digits(rest))))
+    return _let(F.substr(s, F.length(prefix) + 1), lambda rest: _let(_digits(rest), lambda d: F.concat(
+        prefix, _refill(rest, _digit_string(key, "phone", d)))))
 
 
 def ip(key: str, s: Column) -> Column:
-    o = F.transform(F.split(s, r"\."), lambda x: x.cast("int"))
-    valid = F.forall(o, lambda x: x <= 255)
-    p = feistel(key, "ip", F.get(o, 0) * 256 + F.get(o, 1), 65536, F.get(o, 2) * 256 + F.get(o, 3), 65536)
-    parts = [F.floor(p["a"] / 256), p["a"] % 256, F.floor(p["b"] / 256), p["b"] % 256]
-    return F.when(valid, F.concat_ws(".", *[x.cast("string") for x in parts]))
+    def of_octets(o):
+        valid = F.forall(o, lambda x: x <= 255)
+        halves = feistel(key, "ip", F.get(o, 0) * 256 + F.get(o, 1), 65536, F.get(o, 2) * 256 + F.get(o, 3), 65536)
+        return F.when(valid, _let(halves, lambda p: F.concat_ws(".", *[x.cast("string") for x in (
+            F.floor(p["a"] / 256), p["a"] % 256, F.floor(p["b"] / 256), p["b"] % 256)])))
+    return _let(F.transform(F.split(s, r"\."), lambda x: x.cast("int")), of_octets)
 
 
 def date(key: str, s: Column) -> Column:
@@ -178,12 +196,15 @@ def date(key: str, s: Column) -> Column:
     day = F.to_date(F.try_to_timestamp(
         F.concat_ws("-", at((1, 4), (7, 4)), at((6, 2), (4, 2)), at((9, 2), (1, 2))), F.lit("yyyy-MM-dd")))
     origin = F.lit("1900-01-01").cast("date")
-    index = F.datediff(day, origin)
-    p = feistel(key, "date", F.floor(index / DATE_DAYS[1]), DATE_DAYS[0], index % DATE_DAYS[1], DATE_DAYS[1])
-    new = F.date_add(origin, (p["a"] * DATE_DAYS[1] + p["b"]).cast("int"))
-    y, m, d = (F.date_format(new, f) for f in ("yyyy", "MM", "dd"))
-    valid = day.isNotNull() & index.between(0, DATE_DAYS[0] * DATE_DAYS[1] - 1)
-    return F.when(valid, F.when(year_first, F.concat(y, sep, m, sep, d)).otherwise(F.concat(d, sep, m, sep, y)))
+
+    def of_index(index):
+        def text(new):
+            y, m, d = (F.date_format(new, f) for f in ("yyyy", "MM", "dd"))
+            return F.when(year_first, F.concat(y, sep, m, sep, d)).otherwise(F.concat(d, sep, m, sep, y))
+        halves = feistel(key, "date", F.floor(index / DATE_DAYS[1]), DATE_DAYS[0], index % DATE_DAYS[1], DATE_DAYS[1])
+        new = _let(halves, lambda p: F.date_add(origin, (p["a"] * DATE_DAYS[1] + p["b"]).cast("int")))
+        return F.when(index.between(0, DATE_DAYS[0] * DATE_DAYS[1] - 1), _let(new, text))
+    return _let(F.datediff(day, origin), of_index)  # null if there is no such day
 
 
 def email(key: str, s: Column) -> Column:
@@ -194,15 +215,15 @@ def email(key: str, s: Column) -> Column:
     def step(text, r):
         chars = _chars(text)
         other = F.array_join(F.filter(chars, lambda c, i: i % 2 != r % 2), "")
-        noise = F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), r.cast("string"), F.length(text).cast("string"), other), 256)
+        seed = F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), r.cast("string"), F.length(text).cast("string"), other), 256)
 
-        def shift(c, i):
+        def shift(noise, c, i):
             # 7 hexadecimal digits per place, from a hash of its own
             n = F.conv(F.substring(F.sha2(F.concat(noise, i.cast("string")), 256), 1, 7), 16, 10).cast("long")
             turn = lambda first, size: F.chr(F.pmod(F.ascii(c) - first + n, F.lit(size)) + first)
             return (F.when(i % 2 != r % 2, c).when(c.rlike("[0-9]"), turn(48, 10)).when(c.rlike("[a-z]"), turn(97, 26))
                     .when(c.rlike("[A-Z]"), turn(65, 26)).otherwise(c))
-        return F.array_join(F.transform(chars, shift), "")
+        return _let(seed, lambda noise: F.array_join(F.transform(chars, lambda c, i: shift(noise, c, i)), ""))
     return F.concat(F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), local, step), F.lit("@"), domain)
 
 
