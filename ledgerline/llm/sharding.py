@@ -28,7 +28,7 @@ from ledgerline.llm.common import running_total, table, written
 
 SHARDS = 40
 ROUNDS = 12
-ROWS_PER_BUCKET = 1000
+ROWS_PER_BUCKET = 200
 OVERHEAD = 16
 
 
@@ -51,25 +51,42 @@ def propagate(groups: DataFrame, capacity: list[int], rounds: int = ROUNDS) -> D
     spark, k = groups.sparkSession, len(capacity)
     # scattered start: the j-th linked document of all goes to shard j mod k
     start = F.col("upto") - F.col("cnt")
-    share = (F.floor(F.col("cnt") / k)
-             + F.when(F.pmod(F.col("shard") - start, F.lit(k)) < F.col("cnt") % k, 1).otherwise(0))
-    state = written(groups.select("g", "cnt", "upto", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("shard"))
-                    .select("g", "shard", share.cast("long").alias("cnt")).where("cnt > 0"), "shard-state")
-    for _ in range(rounds):
-        target = (state.groupBy("g")
-                  .agg(F.max(F.struct("cnt", F.xxhash64("g", "shard"), "shard")).alias("t"))
-                  .select(F.col("g").alias("__g"), F.col("t.shard").alias("to"), F.col("t.cnt").alias("pull")))
-        moves = state.join(target, state["g"] == target["__g"]).drop("__g")
-        load, flow = np.zeros(k, dtype=np.int64), np.zeros((k, k), dtype=np.int64)
+    step = F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("cnt"), F.lit(k)) - 1)).alias("step")
+    share = F.floor(F.col("cnt") / k) + F.when(F.col("step") < F.col("cnt") % k, 1).otherwise(0)
+    state = written(groups.select("g", "cnt", start.alias("start"), step)
+                    .select("g", F.pmod(F.col("start") + F.col("step"), F.lit(k)).cast("int").alias("shard"),
+                            share.cast("long").alias("cnt")), "shard-state")
+    load = np.zeros(k, dtype=np.int64)
+    for a, c in state.groupBy("shard").agg(F.sum("cnt")).collect():  # one row per shard
+        load[a] = c
+    idle = 0
+    for turn in range(rounds):
+        free = np.maximum(np.asarray(capacity) - load, 0)
+        room = F.element_at(F.array(*[F.lit(int(x)) for x in free]), F.col("shard") + 1)
+        # odd turns: only towards shards with room, so that what a full shard holds up finds another
+        open_ = room > 0 if turn % 2 else F.lit(True)
+        pull = F.struct("cnt", F.xxhash64("g", "shard").alias("tie"), "shard", room.alias("room"))
+        target = (state.groupBy("g").agg(F.max(F.when(open_, pull)).alias("t"), F.sum("cnt").alias("total"))
+                  .where("t is not null").select(F.col("g").alias("__g"), "t", "total"))
+        better = F.struct("cnt", F.xxhash64("g", "shard")) < F.struct("t.cnt", "t.tie")
+        fits = F.col("total") - F.col("t.cnt") <= F.col("t.room")
+        moves = (state.join(target, state["g"] == target["__g"], "left")
+                 .select("g", "shard", "cnt", "total",
+                         F.when(better | fits, F.col("t.shard")).otherwise(F.col("shard")).alias("to")))
+        flow = np.zeros((k, k), dtype=np.int64)
         for a, b, c in moves.groupBy("shard", "to").agg(F.sum("cnt")).collect():  # at most k * k rows
-            load[a] += c
             flow[a, b] += c
-        quota = flow_quotas(flow, np.maximum(np.asarray(capacity) - load, 0))
-        if not quota.any():
+        quota = flow_quotas(flow, free)
+        idle = 0 if quota.any() else idle + 1
+        if idle == 2:
             break
+        if not quota.any():
+            continue
+        load += quota.sum(axis=0) - quota.sum(axis=1)
         rows = [(int(a), int(b), int(quota[a, b])) for a, b in zip(*np.nonzero(quota))]
         allowed = F.broadcast(spark.createDataFrame(rows, "shard int, to int, quota long"))
-        line = Window.partitionBy("shard", "to").orderBy(F.desc("pull"), "g")
+        # small groups first: they can be brought together whole
+        line = Window.partitionBy("shard", "to").orderBy("total", "g")
         first = line.rowsBetween(Window.unboundedPreceding, -1)
         gone = F.least(F.col("cnt"), F.greatest(F.col("quota") - F.coalesce(F.sum("cnt").over(first), F.lit(0)),
                                                 F.lit(0)))
@@ -98,17 +115,22 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
                        capacity, rounds)
     load = {s: c for s, c in ranges.groupBy("shard").agg(F.sum("cnt")).collect()}  # one row per shard
 
-    # members: rank in their group -> the group's shards in order
-    bounds = (ranges.withColumn("hi", F.sum("cnt").over(Window.partitionBy("g").orderBy("shard")))
-              .groupBy("g").agg(F.sort_array(F.collect_list(F.struct("hi", "shard"))).alias("bounds"))
-              .join(counts.where("cnt > 1"), "g"))
+    # members: rank in their group -> the group's shards in order. Groups above a thousandth of
+    # all rows, at most 1000 of them, meet their documents by broadcast; the rest by shuffle
+    bounds = written(ranges.withColumn("hi", F.sum("cnt").over(Window.partitionBy("g").orderBy("shard")))
+                     .groupBy("g").agg(F.sort_array(F.collect_list(F.struct("hi", "shard"))).alias("bounds"))
+                     .join(counts.where("cnt > 1"), "g").withColumnRenamed("g", "__g"), "shard-bounds")
+    is_hot = F.col("cnt") > max(ROWS_PER_BUCKET, n // 1000)
+    hot, cold = F.broadcast(bounds.where(is_hot)), bounds.where(~is_hot)
     part = F.pmod(F.xxhash64("doc_id", "size", F.lit(7)), F.lit(2 ** 40))
-    j = rows.join(bounds.withColumnRenamed("g", "__g"), F.col("g") == F.col("__g"), "left").drop("__g")
+    same = F.col("g") == F.col("__g")
+    j = (rows.join(hot, same).unionByName(
+        rows.join(hot.select("__g"), same, "left_anti").join(cold, same, "left")).drop("__g"))
     # only groups too large for one window are ranked in several buckets
     inside = F.when(F.col("cnt") > ROWS_PER_BUCKET,
                     F.pmod(part, F.floor(F.col("cnt") / ROWS_PER_BUCKET) + 1)).otherwise(F.lit(0))
     members = running_total(j.where("bounds is not null").withColumn("one", F.lit(1)), ["g"], ["doc_id"],
-                            "one", "rank", inside, 2 ** 40)
+                            "one", "rank", inside, _buckets(n) + 1)
     members = members.select(
         "doc_id", "size", "text_crc32",
         F.element_at(F.filter("bounds", lambda b: b["hi"] >= F.col("rank")), 1)["shard"].alias("shard"))
