@@ -40,6 +40,7 @@ SIMILARITY = 0.8
 BLOCKS = (6, 6, 6, 6, 5, 5, 5, 5, 5, 5, 5, 5)  # bits
 RADIUS = 2 * len(BLOCKS) - 1
 BROADCAST_ROWS = 500_000
+WINDOWS_PER_TASK = 2000
 
 
 def words_of(text: Column) -> Column:
@@ -55,13 +56,35 @@ def shingles(words: Column, k: int) -> Column:
         F.array().cast("array<bigint>"))
 
 
+# For 4 bits of a hash: one 16-bit counter lane per bit.
+LANES = [sum((v >> j & 1) << 16 * j for j in range(4)) for v in range(16)]
+
+
 def simhash(hashes: Column) -> Column:
-    """Bit b is set if over half of the hashes have it."""
-    def bit(acc, b):
-        ones = F.size(F.filter(hashes, lambda h: F.call_function("shiftright", h, b).bitwiseAND(F.lit(1)) == 1))
-        return F.when(ones * 2 > F.size(hashes),
-                      acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))).otherwise(acc)
-    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), bit)
+    """Bit b is set if over half of the hashes have it. Four bits are counted at a time, in
+    16-bit lanes of a long; more hashes than a lane can count are counted bit by bit."""
+    n = F.size(hashes)
+    zero = F.lit(0).cast("long")
+
+    def lane_sums(k):
+        return F.aggregate(hashes, zero, lambda acc, h: acc + F.element_at(
+            F.array(*[F.lit(x).cast("long") for x in LANES]),
+            (F.call_function("shiftrightunsigned", h, k * 4).bitwiseAND(F.lit(15)) + 1).cast("int")))
+
+    def with_bit(acc, b, ones):
+        return F.when(ones * 2 > n, acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))).otherwise(acc)
+
+    def of_lanes(lanes):
+        return F.aggregate(F.sequence(F.lit(0), F.lit(63)), zero, lambda acc, b: with_bit(
+            acc, b, F.call_function("shiftrightunsigned", F.get(lanes, F.call_function("shiftright", b, F.lit(2))), b % 4 * 16)
+            .bitwiseAND(F.lit(65535))))
+
+    def of_bits():
+        return F.aggregate(F.sequence(F.lit(0), F.lit(63)), zero, lambda acc, b: with_bit(acc, b, F.size(
+            F.filter(hashes, lambda h: F.call_function("shiftright", h, b).bitwiseAND(F.lit(1)) == 1))))
+    lanes = F.transform(F.sequence(F.lit(0), F.lit(15)), lane_sums)
+    fast = F.get(F.transform(F.array(lanes), of_lanes), F.lit(0))  # the lanes are summed once
+    return F.when(n <= 32767, fast).otherwise(of_bits())
 
 
 def _blocks() -> list[tuple[int, int]]:
@@ -138,7 +161,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, simila
                .select("doc_id", "digest", F.col("at.start").alias("start"), F.col("at.len").alias("len"),
                        F.slice("all", F.col("at.start") + 1, F.col("at.len") - size + 1).alias("hs")))
         windows = cut if windows is None else windows.unionByName(cut)
-    windows = written(windows.withColumn("fp", simhash(F.col("hs"))), "decontam-fingerprints")
+    # few rows with much work each: dealt out evenly, not gathered by their size in bytes
+    windows = written(windows, "decontam-shingles")
+    windows = written(windows.repartition(max(1, windows.count() // WINDOWS_PER_TASK))
+                      .withColumn("fp", simhash(F.col("hs"))), "decontam-fingerprints")
 
     index = (items.select("item", "item_id", F.col("len").alias("__len"), "m", F.col("fp").alias("item_fp"),
                           F.col("hs").alias("item_hs"), F.inline(block_values(F.col("fp"), True)))
