@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.session import work_path
 
@@ -36,6 +38,22 @@ def own(df: DataFrame, c: str) -> Column:
     return df["`" + c.replace("`", "``") + "`"]
 
 
+def with_score(docs: DataFrame, score, out: str) -> DataFrame:
+    """``docs`` with the double column ``out``: ``score()`` is made once per task and turns the
+    texts of a batch (an Arrow array) into as many numbers. Columns travel under plain names."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    text = f"c{names.index('text')}"
+
+    def run(batches):
+        scorer = score()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scorer(batch.column(text)), pa.float64())],
+                                             names=[*batch.schema.names, "score"])
+    schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
+    return plain.mapInArrow(run, schema).toDF(*names, out)
+
+
 SMALL_ROWS = 100_000
 
 

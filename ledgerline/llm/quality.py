@@ -30,15 +30,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerline.llm.common import fresh, held_out, table
+from ledgerline.llm.common import fresh, held_out, table, with_score
 from ledgerline.llm.sampling import labelled, sample_rows, smallest_hashes
 
 MAX_POSITIVES = 3000
 MAX_UNLABELLED = 6000
 THRESHOLD = 0.3
 HIDDEN = 24
+SLICE = 256  # rows whose features are in memory at once
 
 # Character classes: each string is one class of ASCII characters; bytes of multi-byte
 # characters are a class of their own, as are all characters not named here.
@@ -111,6 +111,7 @@ class Network:
         back = slope[:, None] * u * (1 - h * h)
         grads = [z.T @ back + decay * w, back.sum(axis=0), h.T @ slope + decay * u, np.array([slope.sum()])]
         self.t += 1
+        self.p = list(self.p)
         for i, g in enumerate(grads):
             self.m[i] = 0.9 * self.m[i] + 0.1 * g
             self.v[i] = 0.999 * self.v[i] + 0.001 * g * g
@@ -158,14 +159,26 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 0, steps: int =
     return max(0.05, at - 2 * math.sqrt(at * (1 - at) / max(1, min(hu, len(unl) - hu))))
 
 
+def risk(net: Network, pos: np.ndarray, unl: np.ndarray, prior: float) -> float:
+    """The non-negative unbiased risk of prepared rows."""
+    zp, zu = net.logit(pos), net.logit(unl)
+    negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    return float(prior * np.logaddexp(0, -zp).mean() + max(0.0, negative))
+
+
 def fit(pos: np.ndarray, unl: np.ndarray, seed: int = 1, steps: int = 1500, size: int = 256) -> Network | None:
-    """Minimise the non-negative risk with the logistic loss."""
+    """Minimise the non-negative risk with the logistic loss on four fifths of the rows; the
+    parameters with the least risk on the last fifth are kept."""
     if not len(pos) or not len(unl):
         return None
     prior = estimate_prior(pos, unl)
     rng, net = np.random.default_rng(seed), Network(np.r_[pos, unl], seed)
-    pos, unl = net.prepare(pos), net.prepare(unl)
-    for i, j in _batches(rng, len(pos), len(unl), steps, size):
+    pos, unl = rng.permutation(net.prepare(pos)), rng.permutation(net.prepare(unl))
+    n_p, n_u = max(1, len(pos) // 5), max(1, len(unl) // 5)
+    held = (pos[:n_p], unl[:n_u])
+    pos, unl = (pos[n_p:], unl[n_u:]) if len(pos) > 1 and len(unl) > 1 else (pos, unl)
+    best, kept = math.inf, net.p
+    for t, (i, j) in enumerate(_batches(rng, len(pos), len(unl), steps, size), start=1):
         p, u = pos[i], unl[j]
         zp, zu = net.logit(p), net.logit(u)
         sp, su = sigmoid(zp), sigmoid(zu)
@@ -175,6 +188,11 @@ def fit(pos: np.ndarray, unl: np.ndarray, seed: int = 1, steps: int = 1500, size
         else:  # undo what made the negative part less than zero
             slope = np.r_[prior * sp / len(i), -su / len(j)]
         net.step(np.r_[p, u], slope)
+        if t % 25 == 0 or t == steps:
+            now = risk(net, *held, prior)
+            if now < best:
+                best, kept = now, net.p
+    net.p = list(kept)
     return net
 
 
@@ -192,26 +210,19 @@ def train(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
     return fit(x[y == 1], x[y == 0])
 
 
-def _scorer(net: Network | None, out: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if net is None:
-                s = np.full(batch.num_rows, 0.5)
-            elif batch.num_rows:
-                s = sigmoid(net.logit(net.prepare(
-                    np.stack([features(t.as_py()) for t in batch.column("text")])))).astype(np.float64)
-            else:
-                s = np.empty(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())],
-                                             names=[*batch.schema.names, out])
-    return run
+def _scorer(net: Network | None):
+    def scores(texts: pa.Array) -> np.ndarray:
+        s = np.full(len(texts), 0.5)
+        for i in range(0, len(texts) if net else 0, SLICE):
+            x = np.stack([features(t.as_py()) for t in texts[i:i + SLICE]])
+            s[i:i + SLICE] = sigmoid(net.logit(net.prepare(x)))
+        return s
+    return lambda: scores
 
 
 def score(docs: DataFrame, labels: DataFrame, out: str = "quality_score", **options) -> DataFrame:
     """``docs`` with the score added as column ``out``."""
-    net = train(docs, labels, **options)
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
-    return docs.mapInArrow(_scorer(net, out), schema)
+    return with_score(docs, _scorer(train(docs, labels, **options)), out)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:

@@ -30,9 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerline.llm.common import held_out, table
+from ledgerline.llm.common import held_out, table, with_score
 from ledgerline.llm.sampling import labelled, sample_rows, smallest_hashes
 
 WINDOW, STRIDE = 64, 32
@@ -388,15 +387,14 @@ class Scorer:
             np.maximum.at(worst, owner[i:i + CHUNK], self.net.forward(self.table, idx, mask))
 
 
-def _scorer(net, out: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Scorer(net) if isinstance(net, BiGRU) else None
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            s = model.scores(texts) if model and texts else np.full(len(texts), 0.0 if model else net)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())],
-                                             names=[*batch.schema.names, out])
-    return run
+def _scorer(net):
+    """``net``: a network, or the constant that every text gets."""
+    def start():
+        if not isinstance(net, BiGRU):
+            return lambda texts: np.full(len(texts), net)
+        model = Scorer(net)
+        return lambda texts: model.scores(texts.to_pylist())
+    return start
 
 
 def score(docs: DataFrame, labels: DataFrame, out: str = "toxicity", **options) -> DataFrame:
@@ -404,8 +402,7 @@ def score(docs: DataFrame, labels: DataFrame, out: str = "toxicity", **options)
     net = train(docs, labels, **options)
     if isinstance(net, BiGRU):
         net.m = net.v = None  # not needed to score
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
-    return docs.mapInArrow(_scorer(net, out), schema)
+    return with_score(docs, _scorer(net), out)
 
 
 def op1_toxicity(spark, sf_dir) -> DataFrame:
