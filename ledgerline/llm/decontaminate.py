@@ -87,6 +87,16 @@ def simhash(hashes: Column) -> Column:
     return F.when(n <= 32767, fast).otherwise(of_bits())
 
 
+def occurrences(hashes: Column) -> Column:
+    """The multiset as a set: the first of equal hashes as it is, the n-th hashed with n."""
+    repeated = F.transform(hashes, lambda h, i: _nth(h, F.size(F.filter(F.slice(hashes, F.lit(1), i), lambda x: x == h))))
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), hashes).otherwise(repeated)
+
+
+def _nth(h: Column, n: Column) -> Column:
+    return F.when(n == 0, h).otherwise(F.xxhash64(h, n))
+
+
 def _blocks() -> list[tuple[int, int]]:
     """(first bit, bits) of each block."""
     return [(sum(BLOCKS[:i]), n) for i, n in enumerate(BLOCKS)]
@@ -164,10 +174,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, simila
     # few rows with much work each: dealt out evenly, not gathered by their size in bytes
     windows = written(windows, "decontam-shingles")
     windows = written(windows.repartition(max(1, windows.count() // WINDOWS_PER_TASK))
-                      .withColumn("fp", simhash(F.col("hs"))), "decontam-fingerprints")
+                      .select("doc_id", "digest", "start", "len", simhash(F.col("hs")).alias("fp"),
+                              occurrences(F.col("hs")).alias("hs")), "decontam-fingerprints")
 
     index = (items.select("item", "item_id", F.col("len").alias("__len"), "m", F.col("fp").alias("item_fp"),
-                          F.col("hs").alias("item_hs"), F.inline(block_values(F.col("fp"), True)))
+                          occurrences(F.col("hs")).alias("item_hs"), F.inline(block_values(F.col("fp"), True)))
              .withColumnsRenamed({"block": "__block", "value": "__value"}))
     looked = windows.select("*", F.inline(block_values(F.col("fp"), False)))
     differ = F.col("fp").bitwiseXOR(F.col("item_fp"))
@@ -177,8 +188,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, simila
     pairs = looked.join(index, (F.col("len") == F.col("__len")) & (F.col("block") == F.col("__block"))
                         & (F.col("value") == F.col("__value"))).where(
         (F.bit_count(differ) <= RADIUS) & ~met_before)
-    both = F.aggregate(F.array_distinct("item_hs"), F.lit(0), lambda acc, h: acc + F.least(
-        F.size(F.filter("hs", lambda x: x == h)), F.size(F.filter("item_hs", lambda x: x == h))))
+    both = F.size(F.array_intersect("hs", "item_hs"))
     found = (pairs.select("doc_id", "digest", "item_id", "start", F.col("len").alias("words"),
                           F.bit_count(differ).alias("distance"), both.alias("both"), "m")
              .withColumn("similarity", F.col("both") / (2 * F.col("m") - F.col("both")))
