@@ -28,7 +28,7 @@ from ledgerline.llm.common import running_total, table, written
 
 SHARDS = 40
 ROUNDS = 12
-ROWS_PER_BUCKET = 200
+ROWS_PER_BUCKET = 64
 OVERHEAD = 16
 
 
