@@ -40,6 +40,7 @@ from ledgerline.session import work_path
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
 LEVEL = 3
+PAGES_PER_BATCH = 256
 # Fixed values of the Zstandard seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -184,10 +185,20 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, frame_byte
                    bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Write the bundles to ``folder``; returns the written index of their records."""
     rows = with_references(pages, min_bytes)
-    return written(rows.mapInArrow(_writer(folder, frame_bytes, bundle_bytes), INDEX), "warc-index")
+    conf, key = pages.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(PAGES_PER_BATCH))  # pages are large rows: few travel to Python at once
+    try:
+        return written(rows.mapInArrow(_writer(folder, frame_bytes, bundle_bytes), INDEX), "warc-index")
+    finally:
+        conf.set(key, before)
 
 
-def _reader(folder: str):
+HEADERS = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+           "bundle string, frame int, offset long")
+
+
+def _reader(folder: str, contents: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         bundle = BundleReader(folder, pdf["bundle"].iloc[0])
         data = bundle.frame(int(pdf["frame"].iloc[0]))
@@ -204,18 +215,19 @@ def _reader(folder: str):
                         pdf["bundle"].iloc[0], int(pdf["frame"].iloc[0]), offset))
         out = pd.DataFrame(out, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type",
                                          "refers_to", "payload", "bundle", "frame", "offset"])
-        return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+        out = out.astype({"page_id": "Int64", "refers_to": "Int64"})
+        return out if contents else out.drop(columns=["url", "payload"])
     return run
 
 
-def read_archives(index: DataFrame, folder: str) -> DataFrame:
-    """All records named by ``index``, one frame at a time: headers, payload (responses), place."""
-    return index.groupBy("bundle", "frame").applyInPandas(
-        _reader(folder), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
-                         "refers_to long, payload binary, bundle string, frame int, offset long")
+def read_archives(index: DataFrame, folder: str, contents: bool = True) -> DataFrame:
+    """All records named by ``index``, read one frame at a time, payloads held against their
+    digests: headers, place and, with ``contents``, the url and (responses) the payload."""
+    columns = HEADERS + ", url string, payload binary" if contents else HEADERS
+    return index.groupBy("bundle", "frame").applyInPandas(_reader(folder, contents), columns)
 
 
 def op2_warc(spark, sf_dir) -> DataFrame:
     folder = work_path(spark, "llm", "warc")
     index = write_archives(table(spark, sf_dir, "pages"), folder)
-    return read_archives(index, folder).drop("url", "payload")
+    return read_archives(index, folder, contents=False)
