@@ -4,8 +4,10 @@ Every source gets a target share of the budget. Its documents are shuffled and q
 of a document has the virtual finish time (words of its source queued up to and including it)
 / (the source's target). All copies are put in one global order of finish times, cut where
 the running total of words passes the budget. A long document at the cut can leave its source
-short of the target, so each short source then takes up to ``FILL_ROUNDS`` further whole
-documents, each the longest that still fits.
+short of the target, so each short source then takes further whole documents, each the longest
+that still fits: the first ``FILL_ROUNDS`` in any case, and as many more as it needs until it
+lacks less than the mean of the documents that fitted its gap, or no document fits. The picks
+are found from the counts of equal sizes, so their number does not matter.
 
 DataFrame functions only. Documents are reduced to a narrow row (id, source, size, text
 digest) before anything is shuffled. The two global orders (the queue of a source that may
@@ -124,31 +126,45 @@ def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS, weights: tuple[int, ...
                            | ((finish(F.lit(i)) == at) & (F.col("rank") <= rank)), 1).otherwise(0)
                     for i in range(max_repeats))
     u = u.withColumn("copies", F.when(F.col("size") > 0, taken).otherwise(0).cast("int"))
-    extra = small(_fill(u, max_repeats, sources), FILL_ROUNDS * sources).select(F.col("rank").alias("__rank"), F.col("last.doc_id").alias("__id"),
-                                         F.col("last.digest").alias("__digest"), F.lit(1).alias("extra"))
+    picks = written(_fill(u, max_repeats, sources, 16 ** digits - 1 - spread, 16 ** digits), "mix-fill")
+    extra = small(picks, picks.count()).select(F.col("rank").alias("__rank"), F.col("doc_id").alias("__id"),
+                                               F.col("digest").alias("__digest"), F.lit(1).alias("extra"))
     return (u.join(extra, (F.col("rank") == F.col("__rank")) & (F.col("digest") == F.col("__digest"))
                    & F.col("doc_id").eqNullSafe(F.col("__id")), "left")
             .select("doc_id", "source", "digest", "rows", "size", "source_size", "target",
                     (F.col("copies") + F.coalesce("extra", F.lit(0))).alias("copies")))
 
 
-def _fill(u: DataFrame, max_repeats: int, sources: int) -> DataFrame:
-    """(rank, gap, last): the documents that short sources take beyond the cut. Picks of one
-    source fall strictly in (words, h, doc_id, digest), so none is picked twice."""
-    key = F.struct("words", "h", "doc_id", "digest")
-    gap = F.first("target") - F.sum(F.col("words") * F.col("copies"))
-    gaps = u.groupBy("rank").agg(gap.alias("gap")).where("gap > 0").withColumn(
-        "last", F.lit(None).cast(u.select(key.alias("k")).schema["k"].dataType))
-    more = u.where((F.col("copies") < max_repeats) & (F.col("words") > 0))
-    picks = None
-    for _ in range(FILL_ROUNDS):
-        best = (more.join(small(gaps, sources), "rank")
-                .where((F.col("words") <= F.col("gap")) & (F.col("last").isNull() | (key < F.col("last"))))
-                .groupBy("rank").agg(F.max(key).alias("pick")))
-        gaps = written(gaps.join(best, "rank").select("rank", (F.col("gap") - F.col("pick.words")).alias("gap"),
-                                                      F.col("pick").alias("last")), "mix-fill")
-        picks = gaps if picks is None else picks.unionByName(gaps)
-    return picks
+def _fill(u: DataFrame, max_repeats: int, sources: int, spread, buckets: int) -> DataFrame:
+    """(rank, doc_id, digest): the documents that short sources take beyond the cut, in falling
+    order of (words, h, doc_id, digest); ``spread`` deals rows to ``buckets`` in that order of h."""
+    gap = F.floor(F.first("target") - F.sum(F.col("words") * F.col("copies")))
+    gaps = u.groupBy("rank").agg(gap.alias("gap")).where("gap > 0")
+    more = (u.where((F.col("copies") < max_repeats) & (F.col("words") > 0))
+            .join(small(gaps, sources), "rank").where("words <= gap")
+            .select("rank", "gap", "words", "h", "doc_id", "digest"))
+    classes = more.groupBy("rank", "words").agg(F.first("gap").alias("gap"), F.count(F.lit(1)).alias("n"))
+    by_size = classes.groupBy("rank").agg(
+        F.first("gap").alias("gap"), F.ceil(F.sum(F.col("words") * F.col("n")) / F.sum("n")).alias("near"),
+        F.sort_array(F.collect_list(F.struct("words", "n")), asc=False).alias("sizes"))
+    took = F.array().cast("array<struct<words:bigint,n:bigint,k:bigint>>")
+    start = F.struct(F.col("gap"), F.lit(0).cast("long").alias("picks"), took.alias("took"))
+
+    def take(s, c):
+        fit = F.least(c["n"], F.floor(s["gap"] / c["words"]))
+        short = F.when(s["gap"] >= F.col("near"), F.floor((s["gap"] - F.col("near")) / c["words"]) + 1).otherwise(0)
+        k = F.least(fit, F.greatest(F.lit(FILL_ROUNDS) - s["picks"], short, F.lit(0)))
+        row = F.struct(c["words"].alias("words"), c["n"].alias("n"), k.alias("k"))
+        return F.struct((s["gap"] - k * c["words"]).alias("gap"), (s["picks"] + k).alias("picks"),
+                        F.when(k > 0, F.concat(s["took"], F.array(row))).otherwise(s["took"]).alias("took"))
+    sizes = written(by_size.select("rank", F.inline(F.aggregate("sizes", start, take, lambda s: s["took"]))), "mix-sizes")
+    of_size = small(sizes, sizes.count())
+    taken = more.join(of_size, ["rank", "words"])
+    # sizes taken in part: the first k, ranked in buckets
+    part = running_total(taken.where("k < n").withColumn("one", F.lit(1)), ["rank", "words"],
+                         [F.desc("h"), F.desc("doc_id"), F.desc("digest")], "one", "place", spread, buckets)
+    keys = ("rank", "doc_id", "digest")
+    return taken.where("k = n").select(*keys).unionByName(part.where("place <= k").select(*keys))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

@@ -70,3 +70,20 @@ def test_odd_rows_and_rows_taken(spark):
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
     only = df.where("text is null")
     assert [r["copies"] for r in mixing.mix(only).select("copies", F.lit(1)).collect()] == [0]
+
+
+def test_long_document_at_the_cut_leaves_no_source_short(spark):
+    rows = []
+    for source in "abcde":
+        rows += [(len(rows) + i, "x " * (90 + i % 20), None, source, 0) for i in range(600)]
+        rows += [(len(rows), "x " * 20_000, None, source, 0)]
+    df = spark.createDataFrame(rows, DOCS)
+    for seed in ("mix", "s1", "s2", "s3"):
+        plan = mixing.mix(df, seed=seed).collect()
+        taken, target = defaultdict(int), {}
+        for r in plan:
+            assert 0 <= r["copies"] <= 3
+            taken[r["source"]] += r["copies"] * r["size"]
+            target[r["source"]] = r["target"]
+        assert all(target[s] - taken[s] <= 110 for s in target)
+    assert len(plan) == len(rows)
