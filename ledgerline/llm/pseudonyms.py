@@ -15,7 +15,10 @@ values in all documents and every run with the key:
   73,170 days: the day is permuted within that range and written in the same format;
 * e-mail addresses: letters and digits of the local part are permuted in place.
 
-What looks alike but does not validate stays as it is. Each permutation is a balanced Feistel
+What looks alike but does not validate stays as it is. A card or IBAN may stand next to other
+groups of digits or words ("4111 1111 1111 1111 12/27"): in a run of groups between blanks the
+longest spans that validate are the values, and only these are replaced. Spans grouped as cards are
+printed, and IBANs of their country's length, go first: one span in ten passes Luhn by chance. Each permutation is a balanced Feistel
 network over two halves of the value's own range: a' = (a + f(key, round, b)) mod A, then the
 halves swap roles, ``ROUNDS`` times, with f from SHA-256. Adding modulo a half's size can be
 undone, so it is a bijection and no two values share a pseudonym.
@@ -48,7 +51,16 @@ PHONE = r"(?<![\w-])(?:(?:\+1[ -]?)?\(\d{3}\) ?|(?:\+1[ -])?\d{3}[ -])\d{3}[ -]\
 IP = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 DATE = r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-ANY = "|".join((EMAIL, IBAN, DATE, SSN, PHONE, CARD, IP))
+# Where cards and IBANs are looked for: a whole run of digit groups, with what follows if that rules
+# the last group out, and at every possible start the longest that looks like an IBAN.
+CARD_RUN = r"(?<![\w.-])(?=(?:\d[ -]?){12}\d)\d++(?:[ -]\d++)*+(?:[\w-]|\.\d)?"
+CARD_SHAPE = r"\d+|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5}"  # as cards are printed
+IBAN_RUN = rf"(?=({IBAN}))\b[A-Z]{{2}}\d{{2}}"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 
 
 def _let(value: Column, body) -> Column:
@@ -237,15 +249,70 @@ def pseudonym(key: str, s: Column) -> Column:
     return out
 
 
+def _card_spans(run: Column) -> Column:
+    """Spans of whole groups between blanks that are cards, without overlap: those grouped as
+    cards are printed first, then the longest."""
+    def of_tokens(t):
+        def at(i):
+            def span(n):
+                text = F.array_join(F.slice(t, i + 1, n), " ")
+                digits = F.length(_digits(text))
+                fits = (i + n <= F.size(t)) & digits.between(13, 19) & text.rlike(f"^{CARD}$")
+                valid = F.when(fits, _let(_digits(text), lambda d: luhn_digit(F.substr(d, F.lit(1), F.length(d) - 1))
+                                          == F.substr(d, F.length(d), F.lit(1))))
+                return F.when(valid, F.struct((~text.rlike(f"^(?:{CARD_SHAPE})$")).alias("odd"), (-digits).alias("order"),
+                                              i.alias("at"), n.alias("n"), text.alias("text")))
+            return F.filter(F.transform(F.sequence(F.lit(1), F.lit(19)), span), lambda x: x.isNotNull())
+        found = F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), F.size(t) - 1), at)))
+        none = F.array().cast("array<struct<odd:boolean,order:int,at:int,n:int,text:string>>")
+
+        def put(kept, x):
+            clash = F.exists(kept, lambda y: (x["at"] < y["at"] + y["n"]) & (y["at"] < x["at"] + x["n"]))
+            return F.when(clash, kept).otherwise(F.concat(kept, F.array(x)))
+        return F.transform(F.aggregate(found, none, put), lambda x: x["text"])
+    return _let(F.split(run, " ", -1), of_tokens)
+
+
+def _iban_span(run: Column) -> Column:
+    """The start of ``run`` that is an IBAN, of its country's length or else the longest; or null."""
+    length = F.create_map(*[F.lit(x) for n, names in IBAN_LENGTHS.items() for c in names.split() for x in (c, n)])
+
+    def of_tokens(t):
+        def span(n):
+            text = F.array_join(F.slice(t, F.lit(1), n), " ")
+            valid = _let(F.regexp_replace(text, " ", ""), lambda p: F.length(p).between(15, 34) & (
+                _mod97(F.concat(F.substr(p, F.lit(5)), F.substr(p, F.lit(1), F.lit(4)))) == 1))
+            size = F.length(F.regexp_replace(text, " ", ""))
+            usual = F.coalesce(size == F.element_at(length, F.substr(text, F.lit(1), F.lit(2))), F.lit(False))
+            return F.when(text.rlike(f"^{IBAN}$") & valid, F.struct(usual.alias("usual"), n.alias("n"), text.alias("text")))
+        return F.array_max(F.transform(F.sequence(F.lit(1), F.size(t)), span))["text"]
+    return _let(F.split(run, " ", -1), of_tokens)
+
+
+def _any(text: Column) -> Column:
+    """The pattern of a text: cards and IBANs stand in it as the values found in the text."""
+    def values(found, before, after):
+        # all of digits, capitals, blanks and hyphens; longer ones first
+        found = F.array_sort(F.array_distinct(found), lambda a, b: F.length(b) - F.length(a))
+        return F.when(F.size(found) > 0, F.concat(F.lit(f"{before}(?:"), F.array_join(found, "|"), F.lit(f"){after}|"))).otherwise("")
+    cards = F.when(text.rlike(CARD_RUN), _let(F.flatten(F.transform(
+        F.regexp_extract_all(text, F.lit(CARD_RUN), 0), _card_spans)), lambda x: values(x, r"(?<![\w.-])", r"(?![\w-]|\.\d)")))
+    ibans = F.when(text.rlike(IBAN), _let(F.filter(F.transform(
+        F.regexp_extract_all(text, F.lit(IBAN_RUN), 1), _iban_span), lambda x: x.isNotNull()), lambda x: values(x, r"\b", r"\b")))
+    return F.concat(F.lit(f"({EMAIL}|"), F.coalesce(ibans, F.lit("")), F.lit(f"{DATE}|{SSN}|{PHONE}|"),
+                    F.coalesce(cards, F.lit("")), F.lit(f"{IP})"))
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY, column: str = "text") -> DataFrame:
     """``docs`` with the values in ``column`` replaced and ``replaced`` counted."""
     text = F.col(column)
     maybe = text.rlike("[0-9]|@")
-    old, new, pieces = (fresh(docs, n) for n in ("__old", "__new", "__pieces"))
-    found = docs.withColumn(old, F.when(maybe, F.regexp_extract_all(text, F.lit(f"({ANY})"), 1)))
+    any_, old, new, pieces = (fresh(docs, n) for n in ("__any", "__old", "__new", "__pieces"))
+    found = docs.withColumn(any_, F.when(maybe, _any(text)))
+    found = found.withColumn(old, F.regexp_extract_all(text, F.col(any_), 1))
     found = found.withColumn(new, F.transform(old, lambda m: pseudonym(key, m)))
     hit = F.exists(new, lambda x: x.isNotNull())
-    found = found.withColumn(pieces, F.when(hit, F.split(text, ANY, -1)))
+    found = found.withColumn(pieces, F.when(hit, F.split(text, F.col(any_), -1)))
     whole = F.concat(F.array_join(F.transform(F.sequence(F.lit(1), F.size(old)), lambda i: F.concat(
         F.element_at(pieces, i), F.coalesce(F.element_at(new, i), F.element_at(old, i)))), ""),
         F.element_at(pieces, -1))

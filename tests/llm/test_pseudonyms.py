@@ -71,6 +71,26 @@ def test_equal_values_stay_linked_and_keys_differ(spark):
     assert apply(spark, [c], key="other")[0][0] != new[0]
 
 
+def test_values_beside_other_groups(spark):
+    c, amex, phone = "4111 1111 1111 1111", "3782 822463 10005", "743-555-3824"
+    texts = [c, f"{c} 12/27", "4111111111111111 123", f"3 {c}", "4111111111111111 77 items", f"12 34 56 {c}", f"{c} 12a", amex,
+             f"{amex} 123", f"{c} 77 5500 0000 0000 0004", phone, f"5 {phone} 12 345"]
+    out, n = apply(spark, texts)
+    new, compact, new_amex = out[0], out[0].replace(" ", ""), out[7]
+    assert new != c and luhn(compact)
+    assert out[1:9] == [f"{new} 12/27", f"{compact} 123", f"3 {new}", f"{compact} 77 items", f"12 34 56 {new}", f"{new} 12a",
+                        new_amex, f"{new_amex} 123"]
+    assert out[9].startswith(f"{new} 77 ") and luhn(out[9][23:].replace(" ", "")) and out[9] != texts[9]
+    assert out[11] == f"5 {out[10]} 12 345" and n == [1] * 9 + [2, 1, 1]
+    ibans = ["AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "PL61 1090 1014 0000 0712 1981 2874",
+             "DE89370400440532013000"]
+    alone, _ = apply(spark, ibans)
+    for around in ("{} EUR", "{} USD 50", "AB12 {} IS", "pay {} TO ME"):
+        out, n = apply(spark, [around.format(i) for i in ibans])
+        assert out == [around.format(a) for a in alone] and n == [1] * 4
+    assert all(a != b and mod97(b) == 1 for a, b in zip(ibans, alone))
+
+
 def test_feistel_is_a_permutation(spark):
     a, b = 7, 13
     df = spark.range(a * b).select(P.feistel("k", "d", F.floor(F.col("id") / b), a, F.col("id") % b, b).alias("p"))
