@@ -2,16 +2,18 @@
 
 A document is contaminated by a benchmark item if one of its windows of as many words as the
 item has a weighted (multiset) Jaccard similarity of at least ``SIMILARITY`` on shingles of
-``SHINGLE`` words. Words are runs of letters and digits, lower-cased.
+``SHINGLE`` words. A document of fewer words than the item has one window, all its words. Words are
+runs of letters and digits, lower-cased.
 
-1. Windows. A similar window shares at least 2s/(1+s) of the item's shingles. A join of all
+1. Windows. A similar window shares at least 2s/(1+s) of the item's shingles (a window of fewer
+   shingles: s/(1+s) of both together). A join of all
    shingles of all documents with the benchmark's, and a count per document, item and range of
    positions, leaves exactly the starts of windows that can still reach that; every other
    window's similarity is below the threshold, so nothing is lost.
 2. Fingerprints. Each of these windows and each item gets a 64-bit SimHash of its shingles.
 3. Multi-index Hamming blocks. The 64 bits are cut into 12 blocks. Two fingerprints within
    ``RADIUS`` = 23 bits differ by at most one bit in some block, so items are indexed under
-   every block's value and its one-bit neighbours, and windows of the item's length look up
+   every block's value and its one-bit neighbours, and windows for the item's length look up
    their 12 values: all pairs within the radius are found.
 4. The exact similarity of each pair found decides.
 
@@ -23,8 +25,8 @@ DataFrame functions only. The benchmark's shingles are broadcast while they are
 once, to meet the windows found.
 
 Cases: an item of fewer words than a shingle is one shingle of all its words; an item without
-words matches nothing; null and empty texts, and texts shorter than an item, have no window of
-its size; rows equal in doc_id and text are one document; repeated items count once; empty
+words matches nothing, nor does a text of fewer words than a shingle of the item (null and empty
+texts among them); rows equal in doc_id and text are one document; repeated items count once; empty
 tables give an empty result. Other columns are not read.
 """
 
@@ -146,6 +148,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, simila
     if anchors is None:  # no item has a word
         return docs.sparkSession.createDataFrame([], "doc_id long, digest long, item_id long, start int, words int, "
                                                      "distance int, similarity double")
+    # a document of fewer words than the item is one window, of so many shingles less
+    missing = F.greatest(F.col("len") - F.col("n"), F.lit(0))
+    anchors = anchors.withColumn("need", F.when(missing > 0, F.ceil(
+        (2 * F.col("m") - missing) * F.lit(share / 2) - F.lit(1e-9)).cast("int")).otherwise(F.col("need")))
     # per document and item: the anchors that are the first of `need` within a window's length,
     # and all starts of windows that hold such a run
     pos, need = F.col("pos"), F.col("need")
@@ -155,7 +161,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, simila
     runs = (anchors.groupBy("doc_id", "digest", "item", "len", "m", "need", "n")
             .agg(F.sort_array(F.collect_set("pos")).alias("pos"))
             .where(F.size("pos") >= need)
-            .select("doc_id", "digest", "len", F.filter(starts, lambda s: s + F.col("len") <= F.col("n")).alias("starts")))
+            .select("doc_id", "digest", "len", F.filter(starts, lambda s: (s == 0) | (s + F.col("len") <= F.col("n"))).alias("starts")))
     wanted = (runs.select("doc_id", "digest", F.explode("starts").alias("start"), "len")
               .groupBy("doc_id", "digest").agg(F.collect_set(F.struct("len", "start")).alias("wanted")))
     wanted = written(wanted, "decontam-windows").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"),
@@ -188,10 +194,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, simila
     pairs = looked.join(index, (F.col("len") == F.col("__len")) & (F.col("block") == F.col("__block"))
                         & (F.col("value") == F.col("__value"))).where(
         (F.bit_count(differ) <= RADIUS) & ~met_before)
-    both = F.size(F.array_intersect("hs", "item_hs"))
-    found = (pairs.select("doc_id", "digest", "item_id", "start", F.col("len").alias("words"),
-                          F.bit_count(differ).alias("distance"), both.alias("both"), "m")
-             .withColumn("similarity", F.col("both") / (2 * F.col("m") - F.col("both")))
+    both, held = F.size(F.array_intersect("hs", "item_hs")), F.size("hs")
+    found = (pairs.select("doc_id", "digest", "item_id", "start", (F.col("len") - F.col("m") + held).alias("words"),
+                          F.bit_count(differ).alias("distance"), both.alias("both"), (F.col("m") + held).alias("m"))
+             .withColumn("similarity", F.col("both") / (F.col("m") - F.col("both")))
              .where(F.col("similarity") >= similarity))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "words", "distance")).alias("b")
     return found.groupBy("doc_id", "digest", "item_id").agg(best).select(

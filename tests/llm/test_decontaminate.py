@@ -95,3 +95,33 @@ def test_clean_documents_and_empty_tables(spark):
     assert D.contaminated(df.where("false"), b).count() == 0
     assert D.contaminated(df, b.where("false")).count() == 0
     assert D.clean_documents(df, b.where("false")).count() == len(docs)
+
+
+def test_documents_shorter_than_the_item(spark):
+    rng = random.Random(12)
+    items = [(i, words(rng, rng.randrange(3, 60)), 0) for i in range(40)] + [(90, "p q " * 12, 0)]
+    docs = [(900, "p q " * 11, "en", "a", 1), (901, "p q", "en", "a", 1), (902, "p", "en", "a", 1)]
+    for i, text, _ in items:
+        w = text.split()
+        for cut in (1, 2, 5, 9):
+            docs += [(len(docs), " ".join(w[:-cut]), "en", "a", 1), (len(docs) + 1, " ".join(w[cut:]), "en", "a", 1)]
+            edited = w[cut:]
+            if edited:
+                edited[rng.randrange(len(edited))] = "edited"
+            docs.append((len(docs), " ".join(edited), "en", "a", 1))
+    want = set()
+    for i, text, *_ in docs:
+        d = plain_words(text)
+        for j, b, _ in items:
+            w = plain_words(b)
+            k = min(5, len(w))
+            of_doc, of_item = (Counter(tuple(x[a:a + k]) for a in range(len(x) - k + 1)) for x in (d, w))
+            both = sum((of_doc & of_item).values())
+            similarity = both / (sum(of_doc.values()) + sum(of_item.values()) - both)
+            if len(d) < len(w) and similarity >= 0.8:
+                want.add((i, j, 0, len(d), round(similarity, 9)))
+    sizes = {j: len(plain_words(b)) for j, b, _ in items}
+    got = D.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, BENCH)).collect()
+    got = {(r["doc_id"], r["item_id"], r["start"], r["words"], round(r["similarity"], 9)) for r in got
+           if r["words"] < sizes[r["item_id"]]}
+    assert got == want and len(want) > 100
