@@ -1,6 +1,7 @@
 """Queries of the training-data operators and the SQL of those that SQL can express."""
 
-from ledgerline.llm import decontaminate, kdtree, line_dedup, mixing, pseudonyms, quality, sharding, simhash_dedup, toxicity, warc
+from ledgerline.llm import (decontaminate, kdtree, line_dedup, mixing, pseudonyms, quality, sharding, simhash_dedup,
+                            superminhash, toxicity, warc)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -13,10 +14,12 @@ QUERIES = {
     "op8_pseudonyms": pseudonyms.op8_pseudonyms,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_shard": sharding.op10_shard,
+    "op11_superminhash": superminhash.op11_superminhash,
 }
 
 SQL = {
     "op3_kdtree_topk": kdtree.OP3_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
     "op5_mix_sources": mixing.OP5_SQL,
+    "op11_superminhash": superminhash.OP11_SQL,
 }
