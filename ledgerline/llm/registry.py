@@ -1,7 +1,7 @@
 """Queries of the training-data operators and the SQL of those that SQL can express."""
 
-from ledgerline.llm import (decontaminate, kdtree, line_dedup, mixing, pseudonyms, quality, sharding, simhash_dedup,
-                            superminhash, toxicity, warc)
+from ledgerline.llm import (decontaminate, kdtree, line_dedup, mixing, periodic_runs, pseudonyms, quality, sharding,
+                            simhash_dedup, superminhash, toxicity, warc)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_shard": sharding.op10_shard,
     "op11_superminhash": superminhash.op11_superminhash,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 
 SQL = {
@@ -22,4 +23,5 @@ SQL = {
     "op4_line_dedup": line_dedup.OP4_SQL,
     "op5_mix_sources": mixing.OP5_SQL,
     "op11_superminhash": superminhash.OP11_SQL,
+    "op12_periodic_runs": periodic_runs.OP12_SQL,
 }
