@@ -1,6 +1,6 @@
 """Queries of the training-data operators and the SQL of those that SQL can express."""
 
-from ledgerline.llm import (decontaminate, kdtree, line_dedup, mixing, periodic_runs, pseudonyms, quality, sharding,
+from ledgerline.llm import (decontaminate, dual_tree, kdtree, line_dedup, mixing, periodic_runs, pseudonyms, quality, sharding,
                             simhash_dedup, superminhash, toxicity, warc)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op10_shard": sharding.op10_shard,
     "op11_superminhash": superminhash.op11_superminhash,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_dual_tree": dual_tree.op13_dual_tree,
 }
 
 SQL = {
@@ -24,4 +25,5 @@ SQL = {
     "op5_mix_sources": mixing.OP5_SQL,
     "op11_superminhash": superminhash.OP11_SQL,
     "op12_periodic_runs": periodic_runs.OP12_SQL,
+    "op13_dual_tree": dual_tree.OP13_SQL,
 }
