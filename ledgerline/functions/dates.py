@@ -34,119 +34,185 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Shapes of date text and the parse patterns tried for each, in order.
-# A shape is checked with one regex; only its patterns are attempted, so a
-# row costs a few regex tests and at most two parse attempts. Day-first
-# wins over month-first; year-first text is read year-month-day first.
-_TIME_RX = r"( \d{1,2}:\d{2}(:\d{2})?)?"
-_TIME = "[ H:mm[:ss]]"
-_SHAPES = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}" + _TIME_RX + "$", ("yyyy-M-d" + _TIME, "yyyy-d-M" + _TIME)),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}(:\d{2})?$", ("yyyy-M-d'T'H:mm[:ss]",)),
-    (r"^\d{4}/\d{1,2}/\d{1,2}" + _TIME_RX + "$", ("yyyy/M/d" + _TIME, "yyyy/d/M" + _TIME)),
-    (r"^\d{1,2}-\d{1,2}-\d{4}" + _TIME_RX + "$", ("d-M-yyyy" + _TIME, "M-d-yyyy" + _TIME)),
-    (r"^\d{1,2}/\d{1,2}/\d{4}" + _TIME_RX + "$", ("d/M/yyyy" + _TIME, "M/d/yyyy" + _TIME)),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4}" + _TIME_RX + "$", ("d.M.yyyy" + _TIME,)),
-    (r"^\d{8}$", ("yyyyMMdd",)),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}" + _TIME_RX + "$", ("d-MMM-yyyy" + _TIME,)),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}" + _TIME_RX + "$", ("d MMM yyyy" + _TIME,)),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}[AP]M$", ("d MMM yyyy ha",)),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}[AP]M$", ("d MMM yyyy h:mma",)),
-    (r"^\d{1,2} [A-Za-z]{4,} \d{4}" + _TIME_RX + "$", ("d MMMM yyyy" + _TIME,)),
-    (r"^[A-Za-z]{3} \d{1,2},? \d{4}" + _TIME_RX + "$", ("MMM d yyyy" + _TIME,
-                                                       "MMM d, yyyy" + _TIME)),
-)
-
-
-def _expand_two_digit_year(s: Column) -> Column:
-    """``d/M/yy[ rest]`` -> ``d/M/yyyy[ rest]`` with a fixed century pivot.
-
-    Two chained replacements (below the pivot -> 20yy, else 19yy); each
-    refers to its input once, so the expression stays small when the
-    parser refers to the result many times.
-    """
-    pivot = TWO_DIGIT_YEAR_PIVOT
-    lo = f"(?:[0-{pivot // 10 - 1}]\\d|{pivot // 10}[0-{pivot % 10 - 1}])"
-    hi = f"(?:{pivot // 10}[{pivot % 10}-9]|[{pivot // 10 + 1}-9]\\d)"
-    head = r"^(\d{1,2}[-/.]\d{1,2}[-/.])"
-    tail = r"(\s.*)?$"
-    s = F.regexp_replace(s, head + "(" + lo + ")" + tail, "$120$2$3")
-    return F.regexp_replace(s, head + "(" + hi + ")" + tail, "$119$2$3")
-
-
-_EPOCH_NTZ = "1970-01-01 00:00:00"
-
-
-def _try_parse_ntz(s: Column, pattern) -> Column:
-    """``try_to_timestamp`` read as wall-clock time, whatever the session
-    time zone: the text is parsed as UTC and the instant's UTC wall clock is
-    rebuilt as ``timestamp_ntz`` (no DST gap can shift it). ``pattern`` is
-    a string or a string column (null pattern -> null)."""
-    pat = F.lit(pattern) if isinstance(pattern, str) else pattern
-    t = F.try_to_timestamp(F.concat(s, F.lit(" +0000")), F.concat(pat, F.lit(" Z")))
-    return F.timestamp_add("MICROSECOND", F.unix_micros(t), ntz(_EPOCH_NTZ))
-
-
-def normalize_date_text(c) -> Column:
-    """Text prepared for ``parse_normalized_dates``: trimmed, single
-    spaces, AM/PM markers upper-cased and glued ("3 p.m." -> "3PM"),
-    two-digit years widened."""
-    s = F.trim(_col(c))
-    s = F.regexp_replace(s, r"\s+", " ")
-    s = F.regexp_replace(s, r"(?i)(\d)\s*a\.?m\.?$", "$1AM")
-    s = F.regexp_replace(s, r"(?i)(\d)\s*p\.?m\.?$", "$1PM")
-    return _expand_two_digit_year(s)
-
-
-def date_shape(c) -> Column:
-    """Index (1-based) of the first shape in ``_SHAPES`` the normalized
-    text matches; null when none does."""
-    s = _col(c)
-    idx = None
-    for i, (rx, _) in enumerate(_SHAPES, start=1):
-        idx = F.when(s.rlike(rx), F.lit(i)) if idx is None else idx.when(s.rlike(rx), F.lit(i))
-    return idx
-
-
-def parse_shaped_dates(c, shape) -> Column:
-    """Parse normalized text whose shape index is known: the shape's first
-    pattern, then its fallback (day-first, then month-first). At most two
-    parse calls appear in the generated code."""
-    s, idx = _col(c), _col(shape)
-    first = F.array(*[F.lit(p[0]) for _, p in _SHAPES])
-    second = F.array(*[F.lit(p[1] if len(p) > 1 else None).cast("string") for _, p in _SHAPES])
-    return F.coalesce(_try_parse_ntz(s, F.try_element_at(first, idx)),
-                      _try_parse_ntz(s, F.try_element_at(second, idx)))
-
-
-def parse_normalized_dates(c) -> Column:
-    """Parse normalized date text (see ``normalize_date_text``); bad -> null."""
-    return parse_shaped_dates(c, date_shape(c))
+# Words of date texts. Weekdays and the words between the parts say nothing new.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september",
+          "october", "november", "december")
+WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+FILLERS = ("-", "/", ".", ",", ";", "'", "at", "on", "and", "ad", "m", "t", "of", "st", "nd", "rd", "th")
+UTC_NAMES = ("z", "utc", "gmt")
+
+_MONTH_NUMBERS = {**{m: i for i, m in enumerate(MONTHS, 1)}, **{m[:3]: i for i, m in enumerate(MONTHS, 1)}, "sept": 9}
+_DROPPED = (*FILLERS, *WEEKDAYS, *(d[:3] for d in WEEKDAYS))
+
+
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once. The lambda runs outside generated code."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def date_tokens(c) -> Column:
+    """Runs of digits, runs of letters and single other characters of the text, lower-cased,
+    without white space; "p.m." counts as "pm"."""
+    s = F.lower(_col(c))
+    s = F.when(s.contains("."), F.regexp_replace(s, r"(?<![a-z])([ap])\.\s?m\.?(?![a-z])", "$1m")).otherwise(s)
+    return F.regexp_extract_all(s, F.lit(r"\d+|[a-z]+|[^\sa-z\d]"), F.lit(0))
+
+
+def _clock(t: Column) -> Column:
+    """The time of day among the tokens ``t``: the places of its first and last token (from 0;
+    -1 and -2 without a time), hour, minute, second, fraction, minutes east of UTC, and
+    whether it is one (a broken time of day makes the text unreadable)."""
+    def at(i) -> Column:
+        return F.get(t, i)
+
+    def number(i) -> Column:
+        return at(i).try_cast("int")
+
+    def parts(p: Column) -> Column:
+        colon, half = p["colon"], p["half"]
+        sec = F.coalesce(at(colon + 2) == ":", F.lit(False))
+        frac = sec & F.coalesce((at(colon + 4) == ".") & number(colon + 5).isNotNull(), F.lit(False))
+        last = F.when(colon < 0, half).otherwise(colon + F.when(frac, 5).when(sec, 3).otherwise(1))
+        return F.struct(
+            F.when(colon < 0, F.greatest(half - 1, F.lit(-1))).otherwise(colon - 1).alias("first"),
+            F.when((half > last) & (half == last + 1), half).otherwise(last).alias("last"),
+            F.when(colon < 0, number(half - 1)).otherwise(number(colon - 1)).alias("h"),
+            F.when(colon < 0, F.lit(0)).otherwise(number(colon + 1)).alias("mi"),
+            F.when(sec, number(colon + 3)).otherwise(F.lit(0)).alias("s"),
+            F.when(frac, F.rpad(F.substring(at(colon + 5), 1, 6), 6, "0").cast("int")).otherwise(F.lit(0)).alias("us"),
+            at(half).alias("half"))
+
+    def zoned(q: Column) -> Column:
+        z = q["last"] + 1
+        sign = F.when(at(z) == "+", 1).when(at(z) == "-", -1)
+        digits = at(z + 1)
+        split = F.coalesce((F.length(digits) == 2) & (at(z + 2) == ":"), F.lit(False))
+        east = (F.when(split, number(z + 1) * 60 + number(z + 3))
+                .when(F.length(digits) == 4, F.floor(number(z + 1) / 100) * 60 + number(z + 1) % 100)
+                .when(F.length(digits) == 2, number(z + 1) * 60)).cast("int")
+        named = at(z).isin(*UTC_NAMES)
+        offset = sign * east
+        h = (F.when(q["half"].isNull(), q["h"]).when(q["h"] > 12, F.lit(None))
+             .otherwise(q["h"] % 12 + F.when(q["half"] == "pm", 12).otherwise(0)))
+        return F.struct(
+            q["first"].alias("first"),
+            F.when(named, z).when(offset.isNotNull(), z + F.when(split, 3).otherwise(1)).otherwise(q["last"]).alias("last"),
+            h.alias("h"), q["mi"].alias("mi"), q["s"].alias("s"), q["us"].alias("us"),
+            F.coalesce(offset, F.lit(0)).alias("east"),
+            F.coalesce(h.between(0, 23) & q["mi"].between(0, 59) & q["s"].between(0, 59), F.lit(False)).alias("valid"))
+
+    none = F.struct(F.lit(-1).alias("first"), F.lit(-2).alias("last"), *[F.lit(0).alias(x) for x in ("h", "mi", "s", "us", "east")],
+                    F.lit(True).alias("valid"))
+    place = lambda x: F.array_position(t, x).cast("int") - 1
+    half = F.greatest(place("am"), place("pm"))
+    spots = F.struct(place(":").alias("colon"), half.alias("half"))
+    return _bind(spots, lambda p: F.when((p["colon"] < 0) & (p["half"] < 0), none)
+                 .otherwise(_bind(parts(p), zoned)))
+
+
+def _assembled(kept: Column, clock: Column) -> Column:
+    """The time stamp that the numbers and month names ``kept`` and the time of day mean."""
+    def text(i: int) -> Column:
+        return F.get(kept, F.lit(i))
+
+    def number(i: int) -> Column:
+        return text(i).try_cast("int")
+
+    def size(i: int) -> Column:
+        return F.length(text(i))
+
+    months = F.create_map(*[x for k, v in _MONTH_NUMBERS.items() for x in (F.lit(k), F.lit(v))])
+    n = F.size(kept)
+    named = [F.try_element_at(months, text(i)) for i in range(3)]
+    a, b, c = (number(i) for i in range(3))
+    # a year: four digits, or more than any day
+    year0, year1 = (size(0) == 4) | (a > 31), (size(1) == 4) | (b > 31)
+    nothing = F.lit(None).cast("int")
+
+    def ymd(y, m, d, hour=None, minute=None, second=None) -> Column:
+        zero = F.lit(0)
+        return F.struct(y.cast("int").alias("y"), m.cast("int").alias("m"), d.cast("int").alias("d"),
+                        (zero if hour is None else hour.cast("int")).alias("h"),
+                        (zero if minute is None else minute.cast("int")).alias("mi"),
+                        (zero if second is None else second.cast("int")).alias("s"))
+
+    one = F.lit(1)
+    part = lambda i, first, length: F.substring(text(i), first, length)
+    no_name = F.coalesce(*named).isNull()
+    day_first = ymd(c, F.when(b <= 12, b).otherwise(a), F.when(b <= 12, a).otherwise(b))
+    iso = ymd(a, F.when(b <= 12, b).otherwise(c), F.when(b <= 12, c).otherwise(b))
+    iso_hour = ymd(a, F.when(b <= 12, b).otherwise(c), F.when(b <= 12, c).otherwise(b), number(3))
+    short_year = ymd(a, F.when(c <= 12, c).otherwise(b), F.when(c <= 12, b).otherwise(c))
+    no_month = part(0, 5, 2).try_cast("int") > 12
+    packed = lambda *t: ymd(part(0, 1, 4), F.when(no_month, part(0, 7, 2)).otherwise(part(0, 5, 2)),
+                            F.when(no_month, part(0, 5, 2)).otherwise(part(0, 7, 2)), *t)
+    widths = size(0) <= 2
+    date = (
+        F.when((n == 3) & no_name,
+               F.when(size(0) == 4, iso).when(widths & (a > 31), short_year)
+               .when(widths & ((size(2) <= 2) | (size(2) == 4)), day_first))
+        .when((n == 4) & no_name & (size(0) == 4) & (size(3) <= 2) & (clock["last"] < 0), iso_hour)
+        .when((n == 3) & named[0].isNotNull(), F.when(year1, ymd(b, named[0], c)).otherwise(ymd(c, named[0], b)))
+        .when((n == 3) & named[1].isNotNull(), F.when(year0, ymd(a, named[1], c)).otherwise(ymd(c, named[1], a)))
+        .when((n == 3) & named[2].isNotNull(), F.when(year1, ymd(b, named[2], a)).otherwise(ymd(a, named[2], b)))
+        .when((n == 2) & named[0].isNotNull(), ymd(F.when(size(1) == 4, b), named[0], one))
+        .when((n == 2) & named[1].isNotNull(), ymd(F.when(size(0) == 4, a), named[1], one))
+        .when((n == 2) & (size(0) == 8) & size(1).isin(4, 6) & (clock["last"] < 0),
+              packed(part(1, 1, 2), part(1, 3, 2), F.when(size(1) == 6, part(1, 5, 2)).otherwise(F.lit("0"))))
+        .when(n == 2, F.when(size(0) == 4, ymd(a, b, one)).when(size(1) == 4, ymd(b, a, one)))
+        .when(n == 1, F.when(size(0) == 4, ymd(a, one, one)).when(size(0) == 8, packed())
+              .when(size(0) == 6, ymd(part(0, 5, 2), part(0, 3, 2), part(0, 1, 2)))
+              .when(size(0) == 12, packed(part(0, 9, 2), part(0, 11, 2)))
+              .when(size(0) == 14, packed(part(0, 9, 2), part(0, 11, 2), part(0, 13, 2)))))
+
+    def stamp(d: Column) -> Column:
+        year = F.when(d["y"] < 100, d["y"] + F.when(d["y"] < TWO_DIGIT_YEAR_PIVOT, 2000).otherwise(1900)).otherwise(d["y"])
+        seconds = (d["s"] + clock["s"]).cast("decimal(16,6)") + (clock["us"] / 1_000_000).cast("decimal(16,6)")
+        made = F.try_make_timestamp_ntz(year, d["m"], d["d"], d["h"] + clock["h"], d["mi"] + clock["mi"],
+                                        seconds.cast("decimal(16,6)"))
+        return F.when(clock["valid"] & (d["s"] < 60) & d["y"].isNotNull(), F.timestamp_add("MINUTE", -clock["east"], made))
+
+    return _bind(date, stamp)
+
+
+def _from_tokens(t: Column) -> Column:
+    def dated(clock: Column) -> Column:
+        rest = F.when(clock["last"] < 0, t).otherwise(F.concat(
+            F.slice(t, F.lit(1), F.greatest(clock["first"], F.lit(0))),
+            F.slice(t, F.greatest(clock["last"] + 2, F.lit(1)), F.greatest(F.size(t) - clock["last"] - 1, F.lit(0)))))
+        return _bind(F.filter(rest, lambda x: ~x.isin(*_DROPPED)), lambda kept: _assembled(kept, clock))
+    return _bind(_clock(t), dated)
 
 
 def parse_mixed_dates(c) -> Column:
-    """Parse text holding dates in mixed formats, day first; bad -> null.
-    Result type is ``timestamp_ntz``.
-
-    One expression for convenience; on large data prefer
-    ``with_mixed_dates``, which normalizes in its own projection so the
-    parser refers to a column instead of repeating the normalization.
+    """Text holding a date in any of many forms, day first, as ``timestamp_ntz``; bad -> null.
+
+    The text is cut into tokens (``date_tokens``): numbers, words, signs. The time of day is
+    found by its colons or its am/pm; weekdays and filling words are dropped; what stays must be
+    numbers and at most one month name, and their number, order and digits say which is which:
+      * a year has four digits, or is larger than any day; two digits below the pivot are 20xx;
+      * year first: year, month, day (year, day, month if the second number is no month);
+      * else day, month, year (month first if the second number is no month);
+      * beside a month name one number is the year, the other the day; no day: the first;
+      * 8, 12 or 14 digits: year to day, minute or second; 6 digits: day, month, year; four: a year.
+    A time with a zone ("Z", "UTC", "+05:30", "-0330") is given as the UTC wall-clock time; other
+    zone names, broken times of day and anything else that is not understood give null.
+    Fractions of a second are cut to microseconds. No session setting changes the result.
+
+    Departures from the batch loader's own parser, which reads year, day, month where a
+    year-first text has an am/pm or 12 or 14 digits, and moves its century with the current
+    year: here year-first text is always year, month, day, and the pivot is fixed.
     """
-    return parse_normalized_dates(normalize_date_text(c))
+    return _bind(date_tokens(c), _from_tokens)
 
 
 def with_mixed_dates(df, src: str, out: str):
     """``df`` with ``out`` = ``src`` parsed as mixed-format day-first dates.
 
-    The text is parsed once per row: each costly value (normalized text, shape
-    index) is bound by a one-element ``transform``, and the result comes out of
-    an ``explode`` of one element, which later filters on ``out`` do not cross,
-    so the parse is neither repeated nor inlined into conditions. The lambdas
-    run outside generated code, which keeps that code small.
+    The result comes out of an ``explode`` of one element, which later filters on ``out`` do
+    not cross, so the parse is neither repeated nor inlined into conditions.
     """
-    parsed = F.transform(F.array(normalize_date_text(src)), lambda s: F.get(
-        F.transform(F.array(date_shape(s)), lambda i: parse_shaped_dates(s, i)), F.lit(0)))
-    return df.select("*", F.explode(parsed).alias(out))
+    return df.select("*", F.explode(F.transform(F.array(date_tokens(src)), _from_tokens)).alias(out))
 
 
 def date_id(c) -> Column:

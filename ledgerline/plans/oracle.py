@@ -483,25 +483,41 @@ FROM supplier"""
 
 # --- dates and formats --------------------------------------------------------------
 
-TEXTS_CTE = """texts AS (
-  SELECT *, CASE transaction_id % 10
-      WHEN 1 THEN strftime(transaction_date, '%d-%m-%Y %H:%M:%S')
-      WHEN 2 THEN strftime(transaction_date, '%Y-%m-%d')
-      WHEN 3 THEN strftime(transaction_date, '%d/%m/%Y')
-      WHEN 4 THEN strftime(transaction_date, '%Y%m%d')
-      WHEN 5 THEN strftime(transaction_date, '%d-%b-%Y')
-      WHEN 6 THEN strftime(transaction_date, '%-d/%-m/%y')
-      ELSE '31-02-' || strftime(transaction_date, '%Y') END AS date_text
+# Text of a line number (transaction_id % 10) by account_id % 3, and the patterns
+# that read such a text.
+_TEXT_FORMS = {
+    1: ("%d-%m-%Y %H:%M:%S", "%Y-%m-%dT%H:%M:%S.%gZ", "%Y-%m-%dT%H:%M:%S+05:30"),
+    2: ("%Y-%m-%d", "%Y-%b-%d", "%Y/%m/%d %H:%M:%S.%g"),
+    3: ("%d/%m/%Y", "%a, %d %b %Y", "%d.%m.%Y %H:%M"),
+    4: ("%Y%m%d", "%Y%m%d%H%M%S", "%Y%m%dT%H%M"),
+    5: ("%d-%b-%Y", "%B %-d, %Y", "%d-%B-%Y %I:%M %p"),
+    6: ("%-d/%-m/%y", "%-d %b %Y", "%A %-d %B %Y"),
+}
+
+
+def _text_case() -> str:
+    lines = []
+    for n, forms in _TEXT_FORMS.items():
+        of = [f"strftime(transaction_date{' + INTERVAL 330 MINUTE' if f.endswith('+05:30') else ''}, '{f}')" for f in forms]
+        lines.append(f"WHEN {n} THEN CASE account_id % 3 WHEN 0 THEN {of[0]} WHEN 1 THEN {of[1]} ELSE {of[2]} END")
+    return "CASE transaction_id % 10 " + "\n      ".join(lines) + " ELSE '31-02-' || strftime(transaction_date, '%Y') END"
+
+
+def _text_read() -> str:
+    """Every text is tried with the patterns whose own output it is."""
+    tries = []
+    for f in (f for forms in _TEXT_FORMS.values() for f in forms):
+        shift = " - INTERVAL 330 MINUTE" if f.endswith("+05:30") else ""
+        read = f"try_strptime(date_text, '{f}')"
+        written = f"strftime({read}, '{f}')"
+        tries.append(f"CASE WHEN {written} = date_text THEN {read}{shift} END")
+    return "COALESCE(" + ",\n    ".join(tries) + ")"
+
+
+TEXTS_CTE = f"""texts AS (
+  SELECT *, {_text_case()} AS date_text
   FROM transaction_src),
-parsed AS (
-  SELECT *, CASE WHEN regexp_full_match(date_text, '\\d{1,2}/\\d{1,2}/\\d{2}')
-                 THEN try_strptime(date_text, '%d/%m/%y')
-                 ELSE COALESCE(try_strptime(date_text, '%d-%m-%Y %H:%M:%S'),
-                               try_strptime(date_text, '%Y-%m-%d'),
-                               try_strptime(date_text, '%d/%m/%Y'),
-                               try_strptime(date_text, '%Y%m%d'),
-                               try_strptime(date_text, '%d-%b-%Y')) END AS parsed
-  FROM texts)"""
+parsed AS (SELECT *, {_text_read()} AS parsed FROM texts)"""
 
 SQL["parse_mixed_dates"] = with_src("SELECT transaction_id, date_text, parsed FROM parsed",
                                     TEXTS_CTE)

@@ -152,20 +152,37 @@ def fact_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- derived inputs for the banks, files and scalar-function queries ---------
 
-# Text formats the test transactions are written in, chosen
-# by line number (transaction_id % 10); line 7 gets an impossible date.
-DATE_TEXT_FORMATS = ((1, "dd-MM-yyyy HH:mm:ss"), (2, "yyyy-MM-dd"), (3, "dd/MM/yyyy"),
-                     (4, "yyyyMMdd"), (5, "dd-MMM-yyyy"), (6, "d/M/yy"))
+# Text formats the test transactions are written in, chosen by line number
+# (transaction_id % 10) and account (account_id % 3); line 7 gets an impossible date. A format
+# ending in an offset gets the wall-clock time of that zone.
+DATE_TEXT_FORMATS = (
+    (1, ("dd-MM-yyyy HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd'T'HH:mm:ss'+05:30'")),
+    (2, ("yyyy-MM-dd", "yyyy-MMM-dd", "yyyy/MM/dd HH:mm:ss.SSS")),
+    (3, ("dd/MM/yyyy", "EEE, dd MMM yyyy", "dd.MM.yyyy HH:mm")),
+    (4, ("yyyyMMdd", "yyyyMMddHHmmss", "yyyyMMdd'T'HHmm")),
+    (5, ("dd-MMM-yyyy", "MMMM d, yyyy", "dd-MMMM-yyyy hh:mm a")),
+    (6, ("d/M/yy", "d MMM yyyy", "EEEE d MMMM yyyy")),
+)
+OFFSET_MINUTES = 330
+
+
+def _date_text(fmt: str):
+    ts = F.col("transaction_date")
+    if fmt.endswith("'+05:30'"):
+        ts = F.timestamp_add("MINUTE", F.lit(OFFSET_MINUTES), ts)
+    return F.date_format(ts, fmt)
 
 
 def transaction_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source transactions with ``date_text``: the transaction date as
-    text in one of several formats (and some invalid)."""
+    text in one of many forms (and some invalid)."""
     t = adapter.source_tables(spark, sf_dir)["transaction"]
-    line = F.col("transaction_id") % 10
+    line, variant = F.col("transaction_id") % 10, F.col("account_id") % 3
     txt = F.concat(F.lit("31-02-"), F.date_format("transaction_date", "yyyy"))
-    for n, fmt in reversed(DATE_TEXT_FORMATS):
-        txt = F.when(line == n, F.date_format("transaction_date", fmt)).otherwise(txt)
+    for n, formats in reversed(DATE_TEXT_FORMATS):
+        of_line = F.when(variant == 0, _date_text(formats[0])).when(variant == 1, _date_text(formats[1])) \
+            .otherwise(_date_text(formats[2]))
+        txt = F.when(line == n, of_line).otherwise(txt)
     return t.withColumn("date_text", txt)
 
 
