@@ -25,8 +25,8 @@ def to_money(c) -> Column:
 def signed_amount(type_col, amount_col) -> Column:
     """+amount for a deposit, -amount otherwise, null amount -> 0.
 
-    The type is compared case-insensitively and without trailing blanks,
-    so ``DEPOSIT`` (as the core layer stores it) counts as a deposit.
+    The type is compared under the library's collation, so ``DEPOSIT`` (as the
+    core layer stores it) or ``deposit `` counts as a deposit.
     """
     amt = _col(amount_col)
     return F.when(ci_equals(type_col, CREDIT_TYPE), F.coalesce(amt, F.lit(0).cast(MONEY))) \

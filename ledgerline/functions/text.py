@@ -35,15 +35,19 @@ def safe_double(c) -> Column:
     return _col(c).try_cast("double")
 
 
-def norm_upper(c) -> Column:
-    """Upper-case and right-trim: how a case-insensitive collation with
-    trailing-blank padding compares text."""
-    return F.upper(F.rtrim(_col(c)))
+# The collation that text is compared under: case and trailing blanks do not count.
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def collated(c) -> Column:
+    """Text whose comparisons, groups and joins ignore case and trailing blanks; the text itself
+    stays as it is."""
+    return F.collate(_col(c), COLLATION)
 
 
 def ci_equals(c, literal: str) -> Column:
-    """Case-insensitive equality against a literal, null -> false."""
-    return F.coalesce(norm_upper(c) == F.lit(literal.upper().rstrip()), F.lit(False))
+    """Equality with a literal under the collation, null -> false."""
+    return F.coalesce(collated(c) == F.lit(literal), F.lit(False))
 
 
 def object_path(prefix: str, company, stamp) -> Column:

@@ -9,7 +9,6 @@ without data does not stop the others, it lands in the reject set.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline.operators import bronze
 from ledgerline.sinks import writers
@@ -30,19 +29,17 @@ def run_bronze(spark: SparkSession, bars: DataFrame, tickers: DataFrame, out_dir
     log = f"{out_dir}/run_log"
     msg = dict(STAGES)
 
-    def step(seq: int, stage: str, rows: DataFrame | None = None) -> None:
+    def step(seq: int, stage: str, rows: int | None = None) -> None:
         writers.append_run_log(spark, log, run_id, seq, stage, batch_ts, msg[stage], rows)
 
     step(1, "pipeline_start")
     step(2, "ingestion_start")
-    landed = bronze.last_sessions(bronze.for_tickers(bars, tickers), SESSIONS)
+    landed, landed_rows = writers.counted(bronze.last_sessions(bronze.for_tickers(bars, tickers), SESSIONS))
     bronze.write_bronze(landed, f"{out_dir}/bronze", batch_ts)
     missing = bronze.missing_tickers(bars, tickers).withColumn(
         "snapshot_ts", bronze.snapshot_stamp(batch_ts))
     (missing.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_ts").parquet(f"{out_dir}/rejects"))
-    snap = bronze.read_bronze(spark, f"{out_dir}/bronze").where(
-        F.col("snapshot_ts") == bronze.snapshot_stamp(batch_ts))
-    step(3, "ingestion_end", snap.agg(F.count(F.lit(1)).alias("rows")))
+    step(3, "ingestion_end", landed_rows.get["rows"])
     step(4, "pipeline_end")
     return {"bronze": f"{out_dir}/bronze", "rejects": f"{out_dir}/rejects", "run_log": log}

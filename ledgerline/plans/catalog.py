@@ -6,6 +6,7 @@ builds a lazy plan; the driver collects it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import (FORMAT_COMPACT, FORMAT_ISO_SECONDS, FORMAT_LOG,
                                         FORMAT_SNAPSHOT, date_id, with_mixed_dates)
 from ledgerline.functions.money import signed_amount
-from ledgerline.functions.text import drop_last_char, safe_double, safe_long
+from ledgerline.functions.text import collated, drop_last_char, safe_double, safe_long
 from ledgerline.operators import bronze, fx, marts, merge, quality
 from ledgerline.operators import dimensions as dims
 from ledgerline.operators import incremental as inc
@@ -205,14 +206,42 @@ def q_daily_summary_range(spark, sf_dir):
 
 @query("balance_per_customer_sql")
 def q_balance_per_customer_sql(spark, sf_dir):
-    return marts.balance_per_customer_sql(spark, q_customer_mart(spark, sf_dir),
-                                          "Customer#000000007")
+    """The stored procedure called by SQL."""
+    name = marts.create_balance_per_customer(q_customer_mart(spark, sf_dir))
+    return spark.sql(f"SELECT * FROM {name}(:name)", args={"name": "customer#000000007  "})
 
 
 @query("daily_summary_range_sql")
 def q_daily_summary_range_sql(spark, sf_dir):
-    return marts.daily_summary_range_sql(spark, q_daily_summary(spark, sf_dir),
-                                         "19970101", "19971231")
+    """The stored procedure called by SQL."""
+    name = marts.create_daily_summary_range(q_daily_summary(spark, sf_dir))
+    return spark.sql(f"SELECT * FROM {name}(:lo, :hi)", args={"lo": "19970101", "hi": "19971231"})
+
+
+@query("daily_summary_range_pruned")
+def q_daily_summary_range_pruned(spark, sf_dir):
+    """The daily summary of a range from the stored fact, of which only the range's months are read."""
+    base = work_path(spark, "warehouse")
+    warehouse_run.run_all(spark, adapter.source_tables(spark, sf_dir), base, B)
+    shape = scenario.first_load(spark, sf_dir).fact
+    return marts.daily_range_of_fact(warehouse_run.read_fact_by_month(spark, base, shape),
+                                     warehouse_run.read_table(spark, base, "core/DimDate"), "19970101", "19971231")
+
+
+@query("collated_balances")
+def q_collated_balances(spark, sf_dir):
+    """Balances by customer name where types and names are spelled in several ways (case, trailing
+    blanks): sums by type and joins by name follow the collation."""
+    core = scenario.first_load(spark, sf_dir)
+    spelled = core.fact.withColumn("TransactionType", F.when(F.col("TransactionID") % 3 == 0, F.lower("TransactionType"))
+                                   .when(F.col("TransactionID") % 3 == 1, F.concat("TransactionType", F.lit("  ")))
+                                   .otherwise(F.col("TransactionType")))
+    mart = marts.customer_mart(core.dim_customer, core.dim_account, spelled)
+    asked = scenario.raw(spark, sf_dir)["customer"].select(
+        collated(F.concat(F.lower("customer_name"), F.repeat(F.lit(" "), (F.col("customer_id") % 4).cast("int")))).alias("__name"))
+    j = mart.join(asked, collated("CustomerName") == F.col("__name"))
+    return j.groupBy("CustomerID").agg(F.count(F.lit(1)).alias("n_accounts"),
+                                       F.sum("CurrentBalance").cast("decimal(18,2)").alias("balance"))
 
 
 @query("customer_rejects")
@@ -710,21 +739,67 @@ def q_warehouse_second_run(spark, sf_dir):
     return warehouse_run.read_staged_transactions(spark, base)
 
 
+def _two_runs(spark, sf_dir):
+    base = work_path(spark, "warehouse")
+    first, second = adapter.two_runs(spark, sf_dir)
+    warehouse_run.run_all(spark, first, base, adapter.PREV_RUN_END)
+    return warehouse_run.run_all(spark, second, base, B)
+
+
+@query("mart_incremental")
+def q_mart_incremental(spark, sf_dir):
+    """The customer mart that a second run brought up to date from the fact's changed months."""
+    return spark.read.parquet(_two_runs(spark, sf_dir)["CustomerMart"])
+
+
+@query("mart_incremental_daily")
+def q_mart_incremental_daily(spark, sf_dir):
+    """The daily summary that a second run brought up to date from the fact's changed months."""
+    return spark.read.parquet(_two_runs(spark, sf_dir)["DailySummaryMart"])
+
+
+class _Stopped(Exception):
+    pass
+
+
+@query("warehouse_recovered_run")
+def q_warehouse_recovered_run(spark, sf_dir):
+    """Staged transactions after a second run, with files, that stopped when it had written its
+    fact and was started again."""
+    base = work_path(spark, "warehouse")
+    folder = scenario.write_transaction_files(spark, sf_dir, work_path(spark, "daily_files"), adapter.FILE_ID_OFFSET)
+    first, second = adapter.two_runs(spark, sf_dir)
+    warehouse_run.run_all(spark, first, base, adapter.PREV_RUN_END)
+
+    def stop(name: str) -> None:
+        if name == "FactTransaction":
+            raise _Stopped
+
+    try:
+        warehouse_run.run_all(spark, second, base, B, files_dir=folder, on_write=stop)
+    except _Stopped:
+        pass
+    warehouse_run.run_all(spark, second, base, B, files_dir=folder)
+    return warehouse_run.read_staged_transactions(spark, base)
+
+
 @query("namespaces")
 def q_namespaces(spark, sf_dir):
-    """One table of each layer registered in its namespace, counted through the catalog."""
+    """One table of each layer registered in its namespace, counted through the catalog. The
+    namespaces are new ones, so no table of the session's catalog is touched."""
     from ledgerline.sinks.writers import ensure_namespaces, register_table
 
-    layers = ensure_namespaces(spark)
+    own = {n: f"{n}_{uuid.uuid4().hex[:8]}" for n in ("staging", "core", "mart")}
+    layers = ensure_namespaces(spark, tuple(own.values()))
     core = scenario.first_load(spark, sf_dir)
     tables = {"staging.branch_raw": scenario.raw(spark, sf_dir)["branch"], "core.dimbranch": core.dim_branch,
               "mart.dailysummarymart": marts.daily_summary(core.fact, core.dim_date)}
     out = None
     for name, df in tables.items():
-        t = register_table(df, name, work_path(spark, "namespaces"))
         namespace, table = name.split(".")
+        t = register_table(df, f"{own[namespace]}.{table}", work_path(spark, "namespaces"))
         c = t.agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(namespace).alias("namespace"), F.lit(table).alias("table_name"),
-            F.lit(namespace in layers).alias("listed"), "n_rows")
+            F.lit(own[namespace] in layers).alias("listed"), "n_rows")
         out = c if out is None else out.unionByName(c)
     return out

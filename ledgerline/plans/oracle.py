@@ -775,19 +775,74 @@ SQL["warehouse_run_files"] = (SQL["customer_mart"].replace("transaction_raw AS (
   FROM transaction_src WHERE transaction_id % 10 <> 7),
 bounds AS (""", 1))
 
-SQL["warehouse_second_run"] = with_src(f"""
-SELECT {_SPEC_COLS['transaction']}, dtmload FROM first_run s WHERE NOT EXISTS (
-  SELECT 1 FROM second_src src WHERE src.transaction_id = s.transaction_id AND src.dtmupd > s.dtmload)
-UNION ALL
-SELECT {_SPEC_COLS['transaction']}, {BATCH_TS} AS dtmload FROM second_src
-WHERE dtmcrt > {PREV_RUN_END} OR COALESCE(dtmupd, TIMESTAMP '1900-01-01') > {PREV_RUN_END}""", f"""
+# Sources of two runs; the rows that the first run staged; the staged rows after the second one.
+_TWO_RUNS = f"""
 first_run AS (
   SELECT * EXCLUDE (dtmupd), {PREV_RUN_END} AS dtmload FROM transaction_src WHERE dtmcrt < {PREV_RUN_END}),
 second_src AS (
   SELECT * REPLACE (
     CASE WHEN year(dtmcrt) = 1995 AND month(dtmcrt) = 3 THEN dtmcrt + INTERVAL 2 MONTH ELSE dtmcrt END AS dtmcrt,
     CASE WHEN year(dtmcrt) = 1995 AND month(dtmcrt) = 3 THEN TIMESTAMP '2001-06-01' ELSE dtmupd END AS dtmupd)
-  FROM transaction_src)""")
+  FROM transaction_src),
+second_run AS (
+  SELECT {_SPEC_COLS['transaction']}, dtmload FROM first_run s WHERE NOT EXISTS (
+    SELECT 1 FROM second_src src WHERE src.transaction_id = s.transaction_id AND src.dtmupd > s.dtmload)
+  UNION ALL
+  SELECT {_SPEC_COLS['transaction']}, {BATCH_TS} AS dtmload FROM second_src
+  WHERE dtmcrt > {PREV_RUN_END} OR COALESCE(dtmupd, TIMESTAMP '1900-01-01') > {PREV_RUN_END})"""
+
+SQL["warehouse_second_run"] = with_src(f"SELECT {_SPEC_COLS['transaction']}, dtmload FROM second_run", _TWO_RUNS)
+
+SQL["warehouse_recovered_run"] = with_src(f"""
+SELECT {_SPEC_COLS['transaction']}, dtmload FROM second_run
+UNION ALL
+SELECT transaction_id + 1000000000000, account_id, transaction_date, amount, transaction_type, branch_id,
+       transaction_date AS dtmcrt, {BATCH_TS} AS dtmload
+FROM transaction_src WHERE transaction_id % 10 <> 7""", _TWO_RUNS)
+
+
+def _ranked(name: str, source: str, where: str) -> str:
+    return f"""{name} AS (
+  SELECT * FROM (
+    SELECT t.*, d.DateID, row_number() OVER (
+             PARTITION BY t.transaction_id ORDER BY t.transaction_date DESC NULLS LAST, t.amount DESC NULLS LAST,
+             t.branch_id ASC NULLS FIRST, t.transaction_type ASC NULLS FIRST) AS rn
+    FROM {source} t JOIN dim_date d ON CAST(t.transaction_date AS DATE) = d.FullDate WHERE {where}) WHERE rn = 1)"""
+
+
+# The fact after both runs: rows keep their account and day, amounts follow the latest staged change.
+_FACT_TWO_RUNS = f""",
+{_TWO_RUNS},
+{_ranked('fact_one', 'first_run', "t.account_id IN (SELECT account_id FROM account_src WHERE dtmcrt < " + PREV_RUN_END
+         + ") AND t.branch_id IN (SELECT branch_id FROM branch_src WHERE dtmcrt < " + PREV_RUN_END + ")")},
+{_ranked('fact_two', 'second_run', "t.account_id IN (SELECT account_id FROM account_src) AND t.branch_id IN "
+         "(SELECT branch_id FROM branch_src) AND t.transaction_id NOT IN (SELECT transaction_id FROM fact_one)")},
+{latest_cte('change_one', 'first_run', 'transaction')},
+{latest_cte('change_two', f"(SELECT * FROM second_run WHERE dtmload > {PREV_RUN_END})", 'transaction')},
+fact_rows AS (SELECT transaction_id, account_id, DateID FROM fact_one
+              UNION ALL SELECT transaction_id, account_id, DateID FROM fact_two),
+fact_after AS (
+  SELECT f.transaction_id AS TransactionID, f.account_id AS AccountID, f.DateID AS TransactionDateID,
+         CAST(CASE WHEN c2.transaction_id IS NOT NULL THEN c2.amount ELSE c1.amount END AS DECIMAL(18,2)) AS Amount,
+         upper(CASE WHEN c2.transaction_id IS NOT NULL THEN c2.transaction_type ELSE c1.transaction_type END) AS TransactionType
+  FROM fact_rows f LEFT JOIN change_one c1 ON f.transaction_id = c1.transaction_id
+       LEFT JOIN change_two c2 ON f.transaction_id = c2.transaction_id)
+"""
+
+
+def _after_two_runs(query: str) -> str:
+    """A mart's SQL with its last SELECT over the fact after both runs."""
+    head, tail = query[:query.rindex("\nSELECT ")], query[query.rindex("\nSELECT "):]
+    return head + _FACT_TWO_RUNS + tail.replace("JOIN fact f", "JOIN fact_after f").replace("FROM fact f", "FROM fact_after f")
+
+
+SQL["mart_incremental"] = _after_two_runs(SQL["customer_mart"])
+SQL["mart_incremental_daily"] = _after_two_runs(SQL["daily_summary"])
+SQL["daily_summary_range_pruned"] = SQL["daily_summary_range"]
+SQL["collated_balances"] = (
+    SQL["customer_mart"].replace("\nSELECT c.CustomerID", "\nSELECT CustomerID, count(*) AS n_accounts, "
+                                 "CAST(sum(CurrentBalance) AS DECIMAL(18,2)) AS balance FROM (SELECT c.CustomerID", 1)
+    + ") GROUP BY CustomerID")
 
 SQL["namespaces"] = with_core("""
 SELECT 'staging' AS namespace, 'branch_raw' AS table_name, true AS listed, count(*) AS n_rows FROM branch_raw

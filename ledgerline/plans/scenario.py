@@ -197,12 +197,35 @@ def _file_columns(t: DataFrame) -> DataFrame:
                     F.col("date_text").alias("transaction_date"), "amount", "transaction_type", "branch_id")
 
 
+def _rename_parts(spark: SparkSession, folder: str, end: str, name) -> None:
+    """Give the part files of ``folder`` that end in ``end`` the names ``name(number)``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(st.getPath().toString() for st in fs.listStatus(hadoop(folder))
+                   if st.getPath().getName().startswith("part-") and st.getPath().getName().endswith(end))
+    for i, part in enumerate(parts):
+        fs.rename(hadoop(part), hadoop(f"{folder}/{name(i)}"))
+
+
+def _indexed_columns(t: DataFrame) -> DataFrame:
+    """The columns of a file that a data frame was saved to with its index, and that has a gap:
+    two header cells are blank, and both columns hold values."""
+    return t.select(F.monotonically_increasing_id().alias(" "), "transaction_id", "account_id",
+                    F.col("date_text").alias("transaction_date"), F.lit(999).alias("  "), "amount", "transaction_type",
+                    "branch_id")
+
+
 def write_transaction_files(spark: SparkSession, sf_dir: str, base: str, id_offset: int = 0) -> str:
     """Write the test transactions as CSV files under ``base``: good files (columns reordered,
-    40 extra columns, doubled quotes, mixed date texts) and one file that lacks ``branch_id``.
+    40 extra columns, doubled quotes, mixed date texts), good files with blank header cells and
+    with blanks and brackets in their names, and one file that lacks ``branch_id``.
     ``id_offset`` is added to the transaction ids."""
     t = transaction_texts(spark, sf_dir).withColumn("transaction_id", F.col("transaction_id") + id_offset)
-    (_file_columns(t).repartition(3).write.option("header", True).option("escape", '"').csv(f"{base}/good"))
+    plain = F.col("account_id") % 2 == 0
+    _file_columns(t.where(plain)).repartition(3).write.option("header", True).option("escape", '"').csv(f"{base}/good")
+    (_indexed_columns(t.where(~plain)).repartition(2).write.option("header", True).option("emptyValue", "")
+     .csv(f"{base}/from a frame"))
+    _rename_parts(spark, f"{base}/from a frame", ".csv", lambda i: f"day {i + 1} [new].csv")
     bad = (t.where(F.col("transaction_id") % 10 == 1)
             .select("transaction_id", "account_id", F.col("date_text").alias("transaction_date"),
                     "amount", "transaction_type"))
@@ -218,11 +241,7 @@ def write_transaction_workbooks(spark: SparkSession, sf_dir: str, base: str) ->
     xlsx_sink.write_workbooks(text, f"{base}/books").write.parquet(work_path(spark, "workbook-listing"))
     names = adapter.source_tables(spark, sf_dir)["branch"].select("branch_name").coalesce(1)
     names.write.text(f"{base}/broken")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(base).getFileSystem(spark._jsc.hadoopConfiguration())
-    for st in fs.listStatus(hadoop(f"{base}/broken")):
-        if st.getPath().getName().startswith("part-"):
-            fs.rename(st.getPath(), hadoop(f"{base}/broken/broken.xlsx"))
+    _rename_parts(spark, f"{base}/broken", ".txt", lambda i: "broken.xlsx")
     return base
 
 

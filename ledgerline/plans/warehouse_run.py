@@ -1,17 +1,17 @@
-"""Whole daily run: staging -> core -> marts, on versioned Parquet tables.
+"""Whole daily run: staging -> core -> marts, on Parquet tables, committed as one.
 
-Plain Parquet tables take no ``UPDATE``/``DELETE``, so every table write is
-a new version directory (``sinks.writers``); a version is current once Spark
-has committed it. Readers open the latest committed version, and a version
-being read is never overwritten. Marks for every table are read before
-anything is written.
+Plain Parquet tables take no ``UPDATE``/``DELETE``, so every write is a new directory, and the run's
+manifest (``sinks.run_state``), written last, makes all of them current together: rows, files taken,
+marks and log. A run that stops half way changes nothing and is simply started again. Marks for
+every table are read before anything is written.
 
-The fact and the staged transactions grow without bound, so they are not
-copied per run: they are partitioned by month and each month is versioned on
-its own (``PartitionedStore``). A run writes only the months it changed and
-one small manifest, month -> directory, that replaces the previous one; a
-month that a run empties is absent from it. Their marks are kept in a small
-table written with the run, so no run scans them for a maximum.
+The fact and the staged transactions grow without bound, so they are not copied per run: they are
+partitioned by month, and a run writes only the months it changed; a month that a run empties is
+absent from the manifest. Their marks are kept with the state, so no run scans them for a maximum.
+
+The marts do not read the fact again: the rows of the changed months as they were (counted out) and
+as they are (counted in) give the change of every account's and every day's total, which are kept
+as tables of their own (``operators.marts``). Row counts come from the writes themselves.
 
 Order of work (the reference's task chain): all staging tables, then the
 transaction files, then core inserts (customer, branch, account, fact) and
@@ -20,12 +20,13 @@ updates, then both marts. Each table is one Spark job; AQE sizes the shuffles.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.dates import DEFAULT_MARK, FORMAT_SNAPSHOT
+from ledgerline.functions.dates import DEFAULT_MARK, FORMAT_SNAPSHOT, ntz
 from ledgerline.operators import dimensions as dims
 from ledgerline.operators import incremental as inc
 from ledgerline.operators import marts, merge
@@ -33,72 +34,13 @@ from ledgerline.operators.facts import fact_rejects, fact_transaction
 from ledgerline.schemas import STAGING_TABLES
 from ledgerline.session import work_path
 from ledgerline.sinks import writers
+from ledgerline.sinks.run_state import Run, State
 from ledgerline.sources import files, xlsx
 
-MANIFEST = "part string, leaf string"
-MARKS = "table_name string, mark string"
 FILES_TAKEN = "file_path string, modified timestamp, length long"
-NULL_PART = "__HIVE_DEFAULT_PARTITION__"
-
-
-class VersionedStore:
-    """Versioned Parquet tables under one base path (any Hadoop file system)."""
-
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base.rstrip("/")
-
-    def current(self, table: str) -> str | None:
-        return writers.current_version(self.spark, f"{self.base}/{table}")
-
-    def read(self, table: str, schema) -> DataFrame:
-        """Latest committed version, or an empty frame with the given schema."""
-        path = self.current(table)
-        if path is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
-
-    def write(self, table: str, df: DataFrame, stamp: str) -> str:
-        return writers.publish_version(df, f"{self.base}/{table}", stamp)
-
-
-class PartitionedStore:
-    """A table partitioned by one value, versioned partition by partition.
-
-    ``{base}/data/v_../__part={value}/part-*.parquet`` holds what one run wrote;
-    ``{base}/manifests/v_..`` is one small table (part, leaf) per run, the latest of
-    which is the current state. Values are calendar months, so a manifest has as
-    many rows as months.
-    """
-
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base.rstrip("/")
-        self.manifests = VersionedStore(spark, self.base)
-
-    def leaves(self) -> dict[str, str]:
-        return {r["part"]: r["leaf"] for r in self.manifests.read("manifests", MANIFEST).collect()}
-
-    def read(self, shape: DataFrame, values=None) -> DataFrame:
-        """Current rows (of the given partition values only, if given)."""
-        keep = None if values is None else {NULL_PART if v is None else str(v) for v in values}
-        paths = [p for v, p in sorted(self.leaves().items()) if keep is None or v in keep]
-        if not paths:
-            return self.spark.createDataFrame([], shape.schema)
-        return self.spark.read.schema(shape.schema).parquet(*paths)
-
-    def write(self, df: DataFrame, part: Column, stamp: str, touched: list) -> str:
-        """Replace the partitions ``touched`` by the rows of ``df``."""
-        path = f"{self.base}/data/{writers.version_name(stamp)}"
-        df.withColumn("__part", part).write.mode("errorifexists").partitionBy("__part").parquet(path)
-        gone = {NULL_PART if v is None else str(v) for v in touched}
-        leaves = {p: leaf for p, leaf in self.leaves().items() if p not in gone}
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        fs = hadoop(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        for st in fs.listStatus(hadoop(path)):
-            name = st.getPath().getName()
-            if name.startswith("__part="):
-                leaves[name[len("__part="):]] = f"{path}/{name}"
-        self.manifests.write("manifests", self.spark.createDataFrame(sorted(leaves.items()), MANIFEST).coalesce(1), stamp)
-        return path
+# Files of a run are listed to the driver and loaded so many at a time.
+FILES_AT_ONCE = 1000
+FACT, STAGED = "core/FactTransaction", "staging/transaction_raw"
 
 
 # Staging tables stored month-partitioned (by month of ``dtmcrt``).
@@ -109,22 +51,29 @@ def created_month(c: str = "dtmcrt") -> Column:
     return (F.year(c) * 100 + F.month(c)).cast("int")
 
 
-def _upsert_partitioned(pstore: "PartitionedStore", staged: DataFrame, src: DataFrame, spec, mark: str,
-                        batch_ts: str, stamp: str, appended: DataFrame | None = None) -> str:
+def _upsert_partitioned(run: Run, shape, src: DataFrame, spec, mark: str, batch_ts: str,
+                        appended: DataFrame | None = None) -> str:
     """Staging upsert that rewrites only the months it changes: months of staged rows the
     purge removes, of newly extracted rows and of ``appended`` rows (from files). The purge
-    test needs one scan of the staged key/load/create columns."""
-    cols = list(spec.columns) + ["dtmload"]
+    test needs one scan of the staged key/load/create columns. Returns the new mark."""
+    name, cols = f"staging/{spec.raw_name}", list(spec.columns) + ["dtmload"]
     extract = inc.incremental_extract(src, spec, mark, batch_ts).select(*cols)
     if appended is not None:
         extract = extract.unionByName(appended.select(*cols))
+    staged = run.read_parts(name, shape)
     purged = inc.staging_purged(staged.select(spec.key, "dtmload", "dtmcrt"), src, spec.key)
     touched = (extract.select(created_month().alias("m"))
                .unionByName(purged.select(created_month().alias("m"))).distinct())
     # bounded by calendar months: a small driver-side list
     months = [r["m"] for r in touched.collect()]
-    kept = inc.staging_purge(pstore.read(staged, months), src, spec.key).select(*cols)
-    return pstore.write(kept.unionByName(extract), created_month(), stamp, months)
+    kept = inc.staging_purge(run.read_parts(name, shape, months), src, spec.key).select(*cols)
+    latest = run.write_parts(name, kept.unionByName(extract), created_month(), months, latest="dtmload")
+    return _later(mark, latest)
+
+
+def _later(mark: str, latest) -> str:
+    """The later of a mark and a time stamp, cut to seconds as marks are."""
+    return mark if latest is None else max(mark, latest.strftime("%Y-%m-%d %H:%M:%S"))
 
 
 def fact_month(c: str = "TransactionDateID") -> Column:
@@ -133,7 +82,12 @@ def fact_month(c: str = "TransactionDateID") -> Column:
 
 def read_fact(spark: SparkSession, base: str, shape: DataFrame) -> DataFrame:
     """The current ``FactTransaction`` of a warehouse under ``base``."""
-    return PartitionedStore(spark, f"{base.rstrip('/')}/core/FactTransaction").read(shape)
+    return State(spark, base).read_parts(FACT, shape.schema)
+
+
+def read_fact_by_month(spark: SparkSession, base: str, shape: DataFrame) -> DataFrame:
+    """The same with its month (``yyyyMM``) as the partition column ``__part``."""
+    return State(spark, base).read_by_part(FACT, shape.schema)
 
 
 STAGED_TRANSACTIONS = ("transaction_id long, account_id long, transaction_date timestamp_ntz, amount double, "
@@ -142,8 +96,15 @@ STAGED_TRANSACTIONS = ("transaction_id long, account_id long, transaction_date t
 
 def read_staged_transactions(spark: SparkSession, base: str) -> DataFrame:
     """The current ``transaction_raw`` of a warehouse under ``base``."""
-    shape = spark.createDataFrame([], STAGED_TRANSACTIONS)
-    return PartitionedStore(spark, f"{base.rstrip('/')}/staging/transaction_raw").read(shape)
+    return State(spark, base).read_parts(STAGED, STAGED_TRANSACTIONS)
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A current whole table, such as ``mart/CustomerMart``."""
+    path = State(spark, base).path(name)
+    if path is None:
+        raise ValueError(f"no run has written {name}")
+    return spark.read.parquet(path)
 
 
 def _stamp(spark: SparkSession, batch_ts: str) -> str:
@@ -162,191 +123,177 @@ def _concurrently(tasks: dict, workers: int = 4) -> dict:
         return {k: f.result() for k, f in futures.items()}
 
 
-def _take_files(spark: SparkSession, store: VersionedStore, folder: str, batch_ts: str,
-                stamp: str) -> tuple[DataFrame | None, dict[str, str]]:
-    """Rows of the files under ``folder`` that no earlier run took, and the paths written:
-    the list of files taken (path, time, length) and both reject sets."""
-    taken = store.read("staging/files_taken", FILES_TAKEN)
+def _take_files(run: Run, folder: str, batch_ts: str) -> DataFrame | None:
+    """Rows of the files under ``folder`` that no earlier run took (None without such files).
+    Writes the list of files taken (path, time, length) and both reject sets."""
+    spark, key = run.spark, ["file_path", "modified", "length"]
+    taken = run.read("staging/files_taken", FILES_TAKEN)
     listed = files.list_files(spark, [folder], "*.csv").unionByName(files.list_files(spark, [folder], "*.xlsx"))
-    new = listed.join(taken, ["file_path", "modified", "length"], "left_anti")
-    paths = [r["file_path"] for r in new.select("file_path").collect()]  # the files of one day
-    parts = [ingest(spark, [p for p in paths if p.endswith(end)], batch_ts)
-             for end, ingest in ((".csv", files.ingest_csv), (".xlsx", xlsx.ingest_xlsx))
-             if any(p.endswith(end) for p in paths)]
-    if not parts:
-        return None, {}
-    good, bad, rejected = map(list, zip(*parts))
-    union = lambda dfs: dfs[0] if len(dfs) == 1 else dfs[0].unionByName(dfs[1])
-    path = work_path(spark, "file-transactions")
-    union(good).drop("file_path").write.parquet(path)
-    written = {
-        "rejects_file_rows": store.write("rejects/file_rows", union(bad).withColumnRenamed("__date_text", "date_text"), stamp),
-        "rejects_files": store.write("rejects/files", union(rejected), stamp),
-        "files_taken": store.write("staging/files_taken", taken.unionByName(new), stamp),
-    }
-    return spark.read.parquet(path), written
+    listing = work_path(spark, "new-files")
+    listed.join(taken, key, "left_anti").write.parquet(listing)
+    new = spark.read.parquet(listing)
+    n = new.count()
+    if not n:
+        return None
+    # some at a time, so that neither the list of paths nor a plan grows with an old folder
+    chunks = -(-n // FILES_AT_ONCE)
+    out: dict[str, list[str]] = {"rows": [], "bad": [], "files": []}
+    for chunk in range(chunks):
+        mine = new.where(F.pmod(F.xxhash64("file_path"), F.lit(chunks)) == chunk)
+        paths = [r["path"] for r in mine.select("path").collect()]
+        for end, ingest in ((".csv", files.ingest_csv), (".xlsx", xlsx.ingest_xlsx)):
+            own = [files.literal_path(p) for p in paths if p.endswith(end)]
+            if not own:
+                continue
+            good, bad, rejected = ingest(spark, own, batch_ts)
+            parts = {"rows": good.drop("file_path"), "bad": bad.withColumnRenamed("__date_text", "date_text"), "files": rejected}
+            for what, df in parts.items():
+                path = work_path(spark, f"file-{what}")
+                df.write.parquet(path)
+                out[what].append(path)
+    run.write("rejects/file_rows", spark.read.parquet(*out["bad"]), "rejects_file_rows")
+    run.write("rejects/files", spark.read.parquet(*out["files"]), "rejects_files")
+    run.write("staging/files_taken", taken.unionByName(new.select(*key)))
+    return spark.read.parquet(*out["rows"])
+
+
+def changed_fact_rows(run: Run, schema, months: list) -> DataFrame:
+    """The signed change of the fact in a run that wrote ``months``: their rows before it count
+    out (``__sign`` -1), their rows after it count in. Nothing else of the fact is read."""
+    cols = ("AccountID", "TransactionDateID", "TransactionType", "Amount")
+    sides = [state.read_parts(FACT, schema, months).select(*cols, F.lit(sign).alias("__sign"))
+             for state, sign in ((run, -1), (run.now, 1))]
+    return sides[0].unionByName(sides[1])
 
 
 def run_all(spark: SparkSession, sources: dict[str, DataFrame], base: str, batch_ts: str,
-            files_dir: str | None = None) -> dict[str, str]:
+            files_dir: str | None = None, on_write: Callable[[str], None] | None = None) -> dict[str, str]:
     """One daily run over ``sources`` (the six source tables with ``dtmcrt``/``dtmupd``) and,
     if given, the transaction files (CSV, Excel) under ``files_dir`` that no earlier run took;
-    they are appended after the table's own rows. Returns the path of every version written.
+    they are appended after the table's own rows. Returns the path of every table written.
+    ``on_write(name)`` is called after every write; if it raises, the run stops uncommitted.
 
     Dependencies: staging tables are independent of each other; the date
     dimension needs staging; customer, branch and account need the date
     dimension; the fact needs account and branch; marts and reject sets
     need the fact. Steps without a dependency between them run together.
     """
-    store = VersionedStore(spark, base)
-    stamp = _stamp(spark, batch_ts)
-    written: dict[str, str] = {}
-    kept_marks = {r["table_name"]: r["mark"] for r in store.read("marks", MARKS).collect()}
+    run = Run(spark, base, _stamp(spark, batch_ts), on_write)
 
     # staging: marks first, then one upsert per table
-    staged_now, pstores = {}, {}
-    for s in STAGING_TABLES:
-        shape = sources[s.name].select(*s.columns).withColumn(
-            "dtmload", F.lit(None).cast("timestamp_ntz"))
-        if s.name in MONTH_PARTITIONED_STAGING:
-            pstores[s.name] = PartitionedStore(spark, f"{store.base}/staging/{s.raw_name}")
-            staged_now[s.name] = pstores[s.name].read(shape)
-        else:
-            staged_now[s.name] = store.read(f"staging/{s.raw_name}", shape.schema)
-    marks = _concurrently({s.name: (lambda s=s: inc.read_mark(staged_now[s.name]))
-                           for s in STAGING_TABLES if s.name not in pstores})
-    marks.update({n: kept_marks.get(n, DEFAULT_MARK) for n in pstores})
-    file_rows, file_paths = _take_files(spark, store, files_dir, batch_ts, stamp) if files_dir else (None, {})
+    shapes = {s.name: sources[s.name].select(*s.columns).withColumn("dtmload", ntz(batch_ts)).schema for s in STAGING_TABLES}
+    by_month = MONTH_PARTITIONED_STAGING
+    staged_now = {s.name: run.read(f"staging/{s.raw_name}", shapes[s.name]) for s in STAGING_TABLES if s.name not in by_month}
+    marks = _concurrently({n: (lambda n=n: inc.read_mark(staged_now[n])) for n in staged_now})
+    marks.update({n: run.mark(n, DEFAULT_MARK) for n in by_month})
+    file_rows = _take_files(run, files_dir, batch_ts) if files_dir else None
 
     def upsert(s):
-        if s.name in pstores:
-            return _upsert_partitioned(pstores[s.name], staged_now[s.name], sources[s.name], s,
-                                       marks[s.name], batch_ts, stamp, file_rows)
-        new = inc.staging_upsert(staged_now[s.name], sources[s.name], s, marks[s.name], batch_ts)
-        return store.write(f"staging/{s.raw_name}", new, stamp)
-
-    paths = _concurrently({s.raw_name: (lambda s=s: upsert(s)) for s in STAGING_TABLES})
-    written.update(paths)
-    written.update(file_paths)
-    raw = {s.name: (pstores[s.name].read(staged_now[s.name]) if s.name in pstores
-                    else spark.read.parquet(paths[s.raw_name]))
+        if s.name in by_month:
+            run.set_mark(s.name, _upsert_partitioned(run, shapes[s.name], sources[s.name], s, marks[s.name], batch_ts, file_rows))
+        else:
+            run.write(f"staging/{s.raw_name}", inc.staging_upsert(staged_now[s.name], sources[s.name], s, marks[s.name], batch_ts))
+
+    _concurrently({s.raw_name: (lambda s=s: upsert(s)) for s in STAGING_TABLES})
+    raw = {s.name: (run.now.read_parts if s.name in by_month else run.now.read)(f"staging/{s.raw_name}", shapes[s.name])
            for s in STAGING_TABLES}
 
     # core: date dimension, marks, inserts, then updates
     dd_new = dims.dim_date_covering((raw["account"], "date_opened"), (raw["transaction"], "transaction_date"))
-    dd_old = store.read("core/DimDate", dd_new.schema)
-    dd = dd_old.unionByName(dd_new.join(dd_old.select("DateID"), "DateID", "left_anti"))
-    written["DimDate"] = store.write("core/DimDate", dd, stamp)
-    dim_date = spark.read.parquet(written["DimDate"])
+    dd_old = run.read("core/DimDate", dd_new.schema)
+    run.write("core/DimDate", dd_old.unionByName(dd_new.join(dd_old.select("DateID"), "DateID", "left_anti")))
+    dim_date = run.now.read("core/DimDate", dd_new.schema)
 
-    shapes = {
+    new = {
         "DimCustomer": dims.dim_customer(raw["customer"], raw["city"], raw["state"], batch_ts),
         "DimBranch": dims.dim_branch(raw["branch"], batch_ts),
         "DimAccount": dims.dim_account(raw["account"], dim_date, batch_ts),
     }
-    old = {n: store.read(f"core/{n}", df.schema) for n, df in shapes.items()}
-    fact_shape = fact_transaction(raw["transaction"], shapes["DimAccount"], shapes["DimBranch"],
-                                  dim_date, batch_ts)
-    fact_store = PartitionedStore(spark, f"{store.base}/core/FactTransaction")
-    old["FactTransaction"] = fact_store.read(fact_shape)
-    core_marks = _concurrently({n: (lambda n=n: inc.read_mark(old[n])) for n in shapes})
-    core_marks["FactTransaction"] = kept_marks.get("FactTransaction", DEFAULT_MARK)
+    old = {n: run.read(f"core/{n}", df.schema) for n, df in new.items()}
+    fact_schema = fact_transaction(raw["transaction"], new["DimAccount"], new["DimBranch"], dim_date, batch_ts).schema
+    core_marks = _concurrently({n: (lambda n=n: inc.read_mark(old[n])) for n in new})
+    core_marks["FactTransaction"] = run.mark("FactTransaction", DEFAULT_MARK)
 
     def load_customer():
         cust = old["DimCustomer"].unionByName(dims.dim_customer(
             raw["customer"], raw["city"], raw["state"], batch_ts, target=old["DimCustomer"]))
-        cust = merge.update_dim_customer(cust, raw["customer"], raw["city"], raw["state"],
-                                         batch_ts, core_marks["DimCustomer"])
-        return store.write("core/DimCustomer", cust, stamp)
+        return run.write("core/DimCustomer", merge.update_dim_customer(
+            cust, raw["customer"], raw["city"], raw["state"], batch_ts, core_marks["DimCustomer"]))
 
     def load_branch():
-        br = old["DimBranch"].unionByName(dims.dim_branch(raw["branch"], batch_ts,
-                                                          target=old["DimBranch"]))
-        br = merge.update_dim_branch(br, raw["branch"], batch_ts, core_marks["DimBranch"])
-        return store.write("core/DimBranch", br, stamp)
+        br = old["DimBranch"].unionByName(dims.dim_branch(raw["branch"], batch_ts, target=old["DimBranch"]))
+        return run.write("core/DimBranch", merge.update_dim_branch(br, raw["branch"], batch_ts, core_marks["DimBranch"]))
 
     def load_account():
-        acct = old["DimAccount"].unionByName(dims.dim_account(
-            raw["account"], dim_date, batch_ts, target=old["DimAccount"]))
-        acct = merge.update_dim_account(acct, raw["account"], batch_ts, core_marks["DimAccount"])
-        return store.write("core/DimAccount", acct, stamp)
+        acct = old["DimAccount"].unionByName(dims.dim_account(raw["account"], dim_date, batch_ts, target=old["DimAccount"]))
+        return run.write("core/DimAccount", merge.update_dim_account(acct, raw["account"], batch_ts, core_marks["DimAccount"]))
 
-    written.update(_concurrently({"DimCustomer": load_customer, "DimBranch": load_branch,
-                                  "DimAccount": load_account}))
+    _concurrently({"DimCustomer": load_customer, "DimBranch": load_branch, "DimAccount": load_account})
+    dim = {n: run.now.read(f"core/{n}", df.schema) for n, df in new.items()}
 
-    dim_account = spark.read.parquet(written["DimAccount"])
-    dim_branch = spark.read.parquet(written["DimBranch"])
-    keys = old["FactTransaction"].select("TransactionID", "TransactionDateID")
+    keys = run.read_parts(FACT, fact_schema).select("TransactionID", "TransactionDateID")
     # the new rows are ranked once: they give the list of months and the rows to write
     new_path = work_path(spark, "new-facts")
-    fact_transaction(raw["transaction"], dim_account, dim_branch, dim_date, batch_ts, target=keys).write.parquet(new_path)
-    inserted = spark.read.schema(fact_shape.schema).parquet(new_path)
+    fact_transaction(raw["transaction"], dim["DimAccount"], dim["DimBranch"], dim_date, batch_ts, target=keys).write.parquet(new_path)
+    inserted = spark.read.schema(fact_schema).parquet(new_path)
     changed = merge.changes_after(raw["transaction"], "transaction_id",
-                                  core_marks["FactTransaction"]).select(
-        F.col("transaction_id").alias("TransactionID"))
+                                  core_marks["FactTransaction"]).select(F.col("transaction_id").alias("TransactionID"))
     touched = (inserted.select(fact_month().alias("m"))
-               .unionByName(keys.join(changed, "TransactionID", "left_semi")
-                                .select(fact_month().alias("m")))
+               .unionByName(keys.join(changed, "TransactionID", "left_semi").select(fact_month().alias("m")))
                .distinct())
     # bounded by calendar months in the data: a small driver-side list
     months = [r["m"] for r in touched.collect()]
-    part_old = fact_store.read(fact_shape, months)
-    fact = merge.update_fact_transaction(part_old.unionByName(inserted), raw["transaction"],
+    fact = merge.update_fact_transaction(run.read_parts(FACT, fact_schema, months).unionByName(inserted), raw["transaction"],
                                          batch_ts, core_marks["FactTransaction"])
-    written["FactTransaction"] = fact_store.write(fact, fact_month(), stamp, months)
-
-    # marks of the two growing tables: the latest load time of the rows this run wrote
-    new_marks = {n: max(m, inc.read_mark(written_rows)) for n, m, written_rows in (
-        ("transaction", marks["transaction"], _written(spark, written["transaction_raw"], staged_now["transaction"])),
-        ("FactTransaction", core_marks["FactTransaction"], _written(spark, written["FactTransaction"], fact_shape)))}
-    store.write("marks", spark.createDataFrame(sorted(new_marks.items()), MARKS).coalesce(1), stamp)
-
-    # marts (full rebuild into new versions) and reject sets of this run
-    fact_now = fact_store.read(fact_shape)
-    dim_customer = spark.read.parquet(written["DimCustomer"])
-    written.update(_concurrently({
-        "CustomerMart": lambda: store.write(
-            "mart/CustomerMart", marts.customer_mart(dim_customer, dim_account, fact_now), stamp),
-        "DailySummaryMart": lambda: store.write(
-            "mart/DailySummaryMart", marts.daily_summary(fact_now, dim_date), stamp),
-        "rejects_customer": lambda: store.write(
-            "rejects/customer",
-            dims.customer_rejects(raw["customer"], raw["city"], raw["state"]), stamp),
-        "rejects_transaction": lambda: store.write(
-            "rejects/transaction",
-            fact_rejects(raw["transaction"], dim_account, dim_branch, dim_date), stamp),
-    }))
-
-    _log_run(spark, store, written, stamp, batch_ts)
-    return written
-
-
-def _written(spark: SparkSession, path: str, shape: DataFrame) -> DataFrame:
-    """The rows of one written run of a partitioned table (none if it wrote no partition)."""
-    return spark.read.schema(shape.schema).option("recursiveFileLookup", True).parquet(path)
-
-
-def _rows_written(spark: SparkSession, path: str) -> DataFrame:
-    """One-row frame ``rows``: rows in a written version (0 for a run that
-    wrote no partition). Counted by Spark from the files' footers, not collected."""
-    return (spark.read.schema("__any int").option("recursiveFileLookup", True).parquet(path)
-            .agg(F.count(F.lit(1)).alias("rows")))
-
-
-def _log_run(spark: SparkSession, store: "VersionedStore", written: dict[str, str],
-             stamp: str, batch_ts: str) -> None:
-    """Append one record per table written: ``run_log(run_id, seq, stage, ts,
-    message, rows)`` with the rows of the version this run wrote. All
-    records are one union written in one job."""
-    recs = None
-    for seq, (stage, path) in enumerate(written.items(), start=1):
-        rec = _rows_written(spark, path).select(
-            F.lit(stamp).alias("run_id"), F.lit(seq).alias("seq"), F.lit(stage).alias("stage"),
-            F.lit(batch_ts).cast("timestamp_ntz").alias("ts"),
-            F.lit(f"{stage} written").alias("message"), F.col("rows").cast("long").alias("rows"))
-        recs = rec if recs is None else recs.unionByName(rec)
-    recs.coalesce(1).write.mode("append").parquet(f"{store.base}/run_log")
+    latest = run.write_parts(FACT, fact, fact_month(), months, latest="dtmload")
+    run.set_mark("FactTransaction", _later(core_marks["FactTransaction"], latest))
+
+    # marts from the changes of the fact, and reject sets of this run
+    change = changed_fact_rows(run, fact_schema, months)
+
+    def load_customer_mart():
+        nets = run.read("mart/account_net", marts.ACCOUNT_NET)
+        run.write("mart/account_net", marts.add_account_changes(nets, change))
+        return run.write("mart/CustomerMart", marts.customer_balances(
+            dim["DimCustomer"], dim["DimAccount"], run.now.read("mart/account_net", marts.ACCOUNT_NET)))
+
+    def load_daily_mart():
+        days = run.read("mart/day_total", marts.DAY_TOTAL)
+        run.write("mart/day_total", marts.add_day_changes(days, change))
+        return run.write("mart/DailySummaryMart", marts.daily_totals(
+            run.now.read("mart/day_total", marts.DAY_TOTAL), dim_date))
+
+    _concurrently({
+        "CustomerMart": load_customer_mart,
+        "DailySummaryMart": load_daily_mart,
+        "rejects_customer": lambda: run.write(
+            "rejects/customer", dims.customer_rejects(raw["customer"], raw["city"], raw["state"]), "rejects_customer"),
+        "rejects_transaction": lambda: run.write(
+            "rejects/transaction", fact_rejects(raw["transaction"], dim["DimAccount"], dim["DimBranch"], dim_date),
+            "rejects_transaction"),
+    })
+    _log_run(run, batch_ts)
+    run.commit()
+    return {n: run.written[n] for n in _logged(run)}
+
+
+# Order of the log: the tables of the chain; what keeps the marts up to date is not a stage.
+STAGES = (*[s.raw_name for s in STAGING_TABLES], "rejects_file_rows", "rejects_files", "files_taken", "DimDate",
+          "DimCustomer", "DimBranch", "DimAccount", "FactTransaction", "CustomerMart", "DailySummaryMart",
+          "rejects_customer", "rejects_transaction")
+
+
+def _logged(run: Run) -> list[str]:
+    return [n for n in STAGES if n in run.written]
+
+
+def _log_run(run: Run, batch_ts: str) -> None:
+    """One record per table written, ``run_log(run_id, seq, stage, ts, message, rows)``, with the
+    rows that its write counted; a batch that is run again replaces its own records."""
+    rows = [(run.stamp, seq, n, f"{n} written", run.counts[n]) for seq, n in enumerate(_logged(run), start=1)]
+    log = run.spark.createDataFrame(rows, "run_id string, seq int, stage string, message string, rows long").coalesce(1)
+    run.add_part("run_log", run.stamp, log.select("run_id", "seq", "stage", ntz(batch_ts).alias("ts"), "message", "rows"))
 
 
 def read_run_log(spark: SparkSession, base: str) -> DataFrame:
-    return writers.read_run_log(spark, f"{base.rstrip('/')}/run_log")
+    return State(spark, base).read_parts("run_log", writers.RUN_LOG_SCHEMA)

@@ -11,7 +11,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import FORMAT_LOG, ntz
@@ -71,17 +71,19 @@ def log_line(ts_col: str = "ts", message_col: str = "message", fmt: str = FORMAT
     return F.concat(F.date_format(ts_col, fmt), F.lit(" : "), F.col(message_col))
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and the observation that counts its rows (``["rows"]``) while an action runs over it."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def append_run_log(spark: SparkSession, path: str, run_id: str, seq: int, stage: str,
-                   ts: str, message: str, rows: DataFrame | None = None) -> None:
-    """Append one stage record. ``rows`` (optional) is a one-row frame with
-    a ``rows`` column (a count computed by Spark), so the record carries the
-    stage's row count without collecting data."""
-    src = rows if rows is not None else spark.range(1).select(
-        F.lit(None).cast("long").alias("rows"))
-    rec = src.select(F.lit(run_id).alias("run_id"), F.lit(seq).alias("seq"),
-                     F.lit(stage).alias("stage"), ntz(ts).alias("ts"),
-                     F.lit(message).alias("message"),
-                     F.col("rows").cast("long").alias("rows"))
+                   ts: str, message: str, rows: int | None = None) -> None:
+    """Append one stage record; ``rows`` is the stage's row count, if it has one."""
+    rec = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(seq).alias("seq"),
+                                F.lit(stage).alias("stage"), ntz(ts).alias("ts"),
+                                F.lit(message).alias("message"),
+                                F.lit(rows).cast("long").alias("rows"))
     rec.coalesce(1).write.mode("append").parquet(path)
 
 
@@ -97,6 +99,7 @@ def ensure_namespaces(spark: SparkSession, names: Sequence[str] = ("staging", "c
 
 
 def register_table(df: DataFrame, name: str, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` and register it as the external table ``namespace.table``."""
-    df.write.mode("overwrite").option("path", path).saveAsTable(name)
+    """Write ``df`` to ``path`` and register it as the external table ``namespace.table``; a
+    table of that name is not replaced."""
+    df.write.mode("errorifexists").option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)

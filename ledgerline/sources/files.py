@@ -5,7 +5,9 @@ with a per-file header check and reject sets.
   lines takes it: the line with the smallest row id among the lines of the
   file's first split, found by one aggregate of that same scan.
 * The header table (one row per file: positions of the required columns,
-  names that are missing) is written once. It also tells how wide the widest
+  names that are missing) is written once. A header cell without a name (the
+  index column of a saved data frame, a gap in the middle) keeps its place, so
+  the columns after it keep theirs. The table also tells how wide the widest
   file is, so the data scan's schema has as many columns as are needed,
   however many that is.
 * The data scan lets the CSV reader drop each file's header line, meets its
@@ -14,6 +16,10 @@ with a per-file header check and reject sets.
 * A file without every required column, or without any line, is rejected as a
   whole; a row whose date does not parse is rejected alone.
 
+File names are taken literally: blanks, brackets and signs of patterns in them
+have no meaning. ``file_path`` is the name as Spark's metadata gives it (URL
+encoded); ``list_files`` also gives the plain name as ``path``.
+
 Quotes are doubled inside quoted fields. A quoted field may hold line breaks
 only with ``multi_line=True``; such files are not split, so the default reads
 one record per line.
@@ -21,6 +27,7 @@ one record per line.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,10 +55,15 @@ def _load(spark: SparkSession, fmt: str, paths: Sequence[str], glob: str, **opti
     return reader.load(list(paths))
 
 
+def literal_path(path: str) -> str:
+    """``path`` for a reader that takes patterns, so that it means this one file."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv") -> DataFrame:
-    """``(file_path, modified, length)`` of the files, from the listing alone."""
+    """``(file_path, path, modified, length)`` of the files, from the listing alone."""
     return _load(spark, "binaryFile", paths, glob).select(
-        F.col("_metadata.file_path").alias("file_path"), F.col("modificationTime").alias("modified"), "length")
+        F.col("_metadata.file_path").alias("file_path"), "path", F.col("modificationTime").alias("modified"), "length")
 
 
 def column_positions(header: Column, required: Sequence[str]) -> list[Column]:
@@ -74,7 +86,8 @@ def header_table(spark: SparkSession, paths: Sequence[str], required: Sequence[s
     first = spark.read.schema(first.schema).parquet(path)
     n_files, width = first.agg(F.count(F.lit(1)), F.coalesce(F.max("width"), F.lit(1))).first()
     cells = F.from_csv("line", F.lit(", ".join(f"_c{i} string" for i in range(width))), CSV_OPTIONS)
-    header = F.filter(F.transform(F.array(*[cells[f"_c{i}"] for i in range(width)]), trim_ws), lambda x: x.isNotNull())
+    # a cell without a name stays as '', which no required name equals
+    header = F.transform(F.array(*[cells[f"_c{i}"] for i in range(width)]), lambda x: trim_ws(F.coalesce(x, F.lit(""))))
     table = first.select("file_path", header.alias("header")).select(
         "file_path", *column_positions(F.col("header"), required))
     return table, n_files, width

@@ -266,6 +266,44 @@ def test_wide_and_quoted_files(spark, tmp_dir):
         ("blank.csv", "no header line")]
 
 
+def test_blank_header_cells_keep_their_place(spark, tmp_dir):
+    """A saved data frame with its index, and a gap in the middle of the header."""
+    _write(os.path.join(tmp_dir, "index.csv"), f",{HEADER}\n0,1,10,21-01-2024,100,Deposit,4\n1,2,11,22-01-2024,5,x,7\n")
+    _write(os.path.join(tmp_dir, "gap.csv"), "transaction_id,account_id,transaction_date,,amount,transaction_type,branch_id,\n"
+           "11,22,2024-01-15,999,500,Deposit,3,\n12,22,2024-01-15,,7,,3\n")
+    _write(os.path.join(tmp_dir, "quoted.csv"), f'"","  ",{HEADER}\na,b,3,12,23-01-2024,8,Payment,9\n')
+    good, bad_rows, bad_files = ingest_csv_dir(spark, tmp_dir, "2024-03-01 00:00:00")
+    got = {r.transaction_id: (r.account_id, r.amount, r.transaction_type, r.branch_id) for r in good.collect()}
+    assert got == {1: (10, 100.0, "Deposit", 4), 2: (11, 5.0, "x", 7), 11: (22, 500.0, "Deposit", 3),
+                   12: (22, 7.0, None, 3), 3: (12, 8.0, "Payment", 9)}
+    assert bad_rows.count() == 0 and bad_files.count() == 0
+
+
+def test_file_names_are_taken_literally(spark, tmp_dir):
+    names = ["my file.csv", "a+b.csv", "100%.csv", "per%20cent.csv", "day [1].csv", "{x}.csv", "star*.csv", "q?.csv", "plain.csv"]
+    for i, name in enumerate(names):
+        _write(os.path.join(tmp_dir, name), f"{HEADER}\n{i},10,21-01-2024,100,Deposit,4\n")
+    listed = {r.path: r.file_path for r in files.list_files(spark, [tmp_dir]).collect()}
+    assert sorted(os.path.basename(p) for p in listed) == sorted(names)
+    for i, name in enumerate(names):   # each file alone, by its own name
+        path = next(p for p in listed if p.endswith("/" + name))
+        good, _, rejected = files.ingest_csv(spark, [files.literal_path(path)], "2024-03-01 00:00:00")
+        assert [(r.transaction_id, r.file_path) for r in good.collect()] == [(i, listed[path])], name
+        assert rejected.count() == 0
+
+
+def test_collation_ignores_case_and_trailing_blanks(spark):
+    from ledgerline.functions.money import signed_amount
+    from ledgerline.functions.text import collated
+
+    rows = [(1, "Deposit", 5), (2, "DEPOSIT  ", 5), (3, "deposit ", 5), (4, " deposit", 5), (5, None, 5), (6, "Payment", 5)]
+    df = spark.createDataFrame(rows, "k int, t string, a int").withColumn("a", F.col("a").cast("decimal(18,2)"))
+    got = {r.k: float(r.s) for r in df.select("k", signed_amount("t", "a").alias("s")).collect()}
+    assert got == {1: 5, 2: 5, 3: 5, 4: -5, 5: -5, 6: -5}
+    assert sorted(r["count"] for r in df.groupBy(collated("t").alias("t")).count().collect()) == [1, 1, 1, 3]
+    assert {r.t for r in df.where(collated("t") == "deposit").collect()} == {"Deposit", "DEPOSIT  ", "deposit "}   # kept as written
+
+
 def test_quoted_line_breaks_with_multi_line(spark, tmp_dir):
     _write(os.path.join(tmp_dir, "m.csv"), HEADER + '\n1,10,21-01-2024,100,"two\nlines",4\n2,11,22-01-2024,5,x,7\n')
     good, bad_rows, _ = ingest_csv_dir(spark, tmp_dir, "2024-03-01 00:00:00", multi_line=True)

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import ntz
 from ledgerline.operators import fx, quality
-from ledgerline.plans.warehouse_run import VersionedStore
-from ledgerline.sinks import writers
+from ledgerline.sinks import run_state, writers
 
 
 def test_rate_file_last_row_wins(spark, tmp_dir):
@@ -38,9 +37,10 @@ def test_parquet_parts_bounded(spark, tmp_dir):
 
 def test_run_log_line_format(spark, tmp_dir):
     path = os.path.join(tmp_dir, "log")
-    rows = spark.range(10).agg(F.count(F.lit(1)).alias("rows"))
+    seen, rows = writers.counted(spark.range(10))
+    seen.write.parquet(os.path.join(tmp_dir, "ten"))
     writers.append_run_log(spark, path, "r1", 1, "start", "2026-01-14 15:22:30", "hello")
-    writers.append_run_log(spark, path, "r1", 2, "extract", "2026-01-14 15:22:31", "done", rows)
+    writers.append_run_log(spark, path, "r1", 2, "extract", "2026-01-14 15:22:31", "done", rows.get["rows"])
     log = writers.read_run_log(spark, path).withColumn("line", writers.log_line())
     got = [(r.seq, r.rows, r.line) for r in log.orderBy("seq").collect()]
     assert got == [(1, None, "2026-Jan-14-15:22:30 : hello"),
@@ -52,21 +52,50 @@ def test_namespaces(spark):
     assert {"staging", "core", "mart"} <= set(names)
 
 
-def test_versioned_store_reads_latest(spark, tmp_dir):
-    store = VersionedStore(spark, tmp_dir)
-    shape = "k long"
-    assert store.read("t", shape).count() == 0
-    store.write("t", spark.range(3).withColumnRenamed("id", "k"), "20240101_000000")
-    store.write("t", spark.range(5).withColumnRenamed("id", "k"), "20240102_000000")
-    assert store.read("t", shape).count() == 5
+def _run(spark, base, rows, stamp="20240101_000000", commit=True):
+    run = run_state.Run(spark, base, stamp)
+    run.write("t", spark.range(rows).withColumnRenamed("id", "k"))
+    if commit:
+        run.commit()
+    return run
+
+
+def test_state_is_the_latest_committed_run(spark, tmp_dir):
+    count = lambda: run_state.State(spark, tmp_dir).read("t", "k long").count()
+    assert count() == 0
+    _run(spark, tmp_dir, 3)
+    assert count() == 3
+    stopped = _run(spark, tmp_dir, 9, "20240102_000000", commit=False)
+    assert count() == 3 and stopped.now.read("t", "k long").count() == 9 and stopped.counts == {"t": 9}
+    _run(spark, tmp_dir, 5, "20240102_000000")
+    assert count() == 5
 
 
 def test_rerun_of_same_batch_supersedes(spark, tmp_dir):
-    store = VersionedStore(spark, tmp_dir)
-    shape = "k long"
-    for n in (3, 4, 2):   # three writes with the same batch stamp
-        store.write("t", spark.range(n).withColumnRenamed("id", "k"), "20240101_000000")
-    assert store.read("t", shape).count() == 2
+    for n in (3, 4, 2):   # three runs with the same batch stamp
+        _run(spark, tmp_dir, n)
+    assert run_state.State(spark, tmp_dir).read("t", "k long").count() == 2
+
+
+def test_unfinished_manifest_is_passed_over(spark, tmp_dir):
+    _run(spark, tmp_dir, 3)
+    os.makedirs(os.path.join(tmp_dir, "runs", "v_000000000002"))   # stopped while committing
+    assert run_state.State(spark, tmp_dir).read("t", "k long").count() == 3
+    _run(spark, tmp_dir, 4)
+    assert run_state.State(spark, tmp_dir).read("t", "k long").count() == 4
+
+
+def test_second_run_at_the_same_time_fails(spark, tmp_dir, monkeypatch):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    a, b = (run_state.Run(spark, tmp_dir, "20240101_000000") for _ in range(2))
+    for run in (a, b):
+        run.write("t", spark.range(2).withColumnRenamed("id", "k"))
+    monkeypatch.setattr(run_state, "_manifests", lambda *_: [])   # both looked before either committed
+    a.commit()
+    with pytest.raises(AnalysisException):
+        b.commit()
 
 
 def test_cli_warehouse_and_banks(spark, tmp_dir, capsys):
@@ -104,15 +133,18 @@ def test_later_reader_finds_the_current_version(spark, tmp_dir):
     assert spark.read.parquet(writers.current_version(spark, base)).count() == 7
 
 
-def test_partitioned_store_forgets_an_emptied_month(spark, tmp_dir):
-    from ledgerline.plans.warehouse_run import PartitionedStore
-    store = PartitionedStore(spark, tmp_dir)
+def test_state_forgets_an_emptied_month(spark, tmp_dir):
     rows = spark.createDataFrame([(1, 202401), (2, 202402)], "k long, m int")
-    store.write(rows, F.col("m"), "20240301_000000", [202401, 202402])
     moved = spark.createDataFrame([(1, 202402), (2, 202402)], "k long, m int")
-    store.write(moved, F.col("m"), "20240302_000000", [202401, 202402])
-    assert sorted(store.leaves()) == ["202402"]
-    assert sorted(tuple(r) for r in store.read(rows).collect()) == [(1, 202402), (2, 202402)]
+    for stamp, df in (("20240301_000000", rows), ("20240302_000000", moved)):
+        run = run_state.Run(spark, tmp_dir, stamp)
+        latest = run.write_parts("t", df, F.col("m"), [202401, 202402], latest="m")
+        run.commit()
+    state = run_state.State(spark, tmp_dir)
+    assert latest == 202402 and sorted(state.parts("t")) == ["202402"]
+    assert sorted(tuple(r) for r in state.read_parts("t", rows.schema).collect()) == [(1, 202402), (2, 202402)]
+    by_part = state.read_by_part("t", rows.schema)
+    assert [r["__part"] for r in by_part.collect()] == [202402, 202402]
 
 
 def test_shared_folder_is_required_outside_local_mode(spark, monkeypatch):

@@ -55,11 +55,13 @@ def test_parameterised_reads_match(spark):
     core = scenario.first_load(spark, SF_SMALL)
     mart = marts.customer_mart(core.dim_customer, core.dim_account, core.fact)
     a = marts.balance_per_customer(mart, "customer#000000007").collect()
-    b = marts.balance_per_customer_sql(spark, mart, "customer#000000007").collect()
+    name = marts.create_balance_per_customer(mart)
+    b = spark.sql(f"SELECT * FROM {name}('CUSTOMER#000000007 ')").collect()
     assert sorted(a) == sorted(b) and len(a) > 0
     daily = marts.daily_summary(core.fact, core.dim_date)
     x = marts.daily_summary_range(daily, "19970101", "19970131").collect()
-    y = marts.daily_summary_range_sql(spark, daily, "19970101", "19970131").collect()
+    name = marts.create_daily_summary_range(daily)
+    y = spark.sql(f"SELECT * FROM {name}('19970101', '19970131')").collect()
     assert sorted(x) == sorted(y) and len(x) > 0
 
 
