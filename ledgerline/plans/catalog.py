@@ -28,6 +28,7 @@ from ledgerline.session import work_path
 from ledgerline.sinks import writers
 from ledgerline.sources import files, html, xlsx
 from ledgerline.streaming import file_ingest as stream
+from ledgerline.streaming import latest_versions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -673,7 +674,38 @@ def _stream_run(spark, sf_dir):
 @query("stream_file_ingest")
 def q_stream_file_ingest(spark, sf_dir):
     out = _stream_run(spark, sf_dir)
-    return stream.read_staged(spark, out).drop("txn_month", "batch_id")
+    return stream.read_staged(spark, out).drop("batch_id")
+
+
+@query("stream_daily_totals")
+def q_stream_daily_totals(spark, sf_dir):
+    """Totals per day in which every transaction id counts once, with its latest version, held
+    in the state of a second stream over the staged rows."""
+    out, totals = _stream_run(spark, sf_dir), work_path(spark, "stream_totals")
+    latest_versions.run_daily_totals(spark, f"{out}/staged", totals, work_path(spark, "totals_ckpt"))
+    return latest_versions.read_daily_totals(spark, totals)
+
+
+def _stream_both_kinds(spark, sf_dir):
+    """CSV files and workbooks (with a broken one) dropped into the same folders."""
+    base = scenario.write_transaction_files(spark, sf_dir, work_path(spark, "drop"), adapter.FILE_ID_OFFSET)
+    scenario.write_transaction_workbooks(spark, sf_dir, base)
+    out = work_path(spark, "stream_out")
+    stream.run_file_ingest(spark, f"{base}/*/*.{{csv,xlsx}}", out, work_path(spark, "stream_ckpt"), B,
+                           max_files_per_trigger=4)
+    return out
+
+
+@query("stream_mixed_files")
+def q_stream_mixed_files(spark, sf_dir):
+    return stream.read_staged(spark, _stream_both_kinds(spark, sf_dir)).drop("batch_id")
+
+
+@query("stream_mixed_rejects")
+def q_stream_mixed_rejects(spark, sf_dir):
+    rejected = stream.read_rejected_files(spark, _stream_both_kinds(spark, sf_dir))
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_files"),
+                                                 F.sum("n_rows").cast("bigint").alias("n_rows"))
 
 
 @query("stream_rejected_files")

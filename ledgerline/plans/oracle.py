@@ -849,3 +849,17 @@ SELECT 'staging' AS namespace, 'branch_raw' AS table_name, true AS listed, count
 UNION ALL SELECT 'core', 'dimbranch', true, count(*) FROM dim_branch
 UNION ALL SELECT 'mart', 'dailysummarymart', true, count(DISTINCT f.TransactionDateID)
   FROM fact f JOIN dim_date d ON f.TransactionDateID = d.DateID""")
+
+# --- streams: versions in state, both kinds of files ---------------------------------------
+
+SQL["stream_daily_totals"] = with_src(f"""
+SELECT CAST(transaction_date AS DATE) AS TransactionDate, count(*) AS TotalTransactions,
+       CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS TotalTransactionAmount
+FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id
+                                   ORDER BY transaction_date DESC NULLS LAST, amount DESC NULLS LAST,
+                                            branch_id ASC NULLS FIRST, transaction_type ASC NULLS FIRST) AS rn
+      FROM ({_FILE_GOOD}) g) WHERE rn = 1 GROUP BY CAST(transaction_date AS DATE)""")
+SQL["stream_mixed_files"] = with_src(
+    _FILE_GOOD + "\nUNION ALL\n" + _FILE_GOOD.replace("SELECT transaction_id,", "SELECT transaction_id + 1000000000000,", 1))
+SQL["stream_mixed_rejects"] = SQL["file_isolation"] + """
+UNION ALL SELECT 'unreadable workbook: BadZipFile', CAST(1 AS BIGINT), CAST(0 AS BIGINT)"""
