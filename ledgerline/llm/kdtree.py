@@ -1,6 +1,6 @@
 """Exact top-k search by inner product with one KD-tree per shard.
 
-Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of their id. Each shard builds a
+Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of their row. Each shard builds a
 KD-tree: median splits along the widest side, leaves of ``LEAF_ROWS``, a tight bounding box
 per node. A query walks the tree best first by the largest inner product that a node's box
 allows, and stops when no open box can reach its current k-th score. Boxes that could tie
@@ -14,8 +14,9 @@ Components are floor(scale * x). Scores are exact: sums below 2^53 are computed
 larger ones in Python integers without pruning; a score beyond a long saturates.
 
 Cases: vectors that are null or hold a null or non-finite component take no part, nor do rows
-without id; rows that share an id count once, with the smallest vector; only vectors of equal
-length are compared; fewer candidates than k give fewer rows. Other columns are not read.
+without id; rows that share an id are rows of their own, each a candidate of all others and, if
+the id asks, a query of its own, ranked from 1; only vectors of equal length are compared; fewer
+candidates than k give fewer rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ QUERY_EVERY = 20
 SHARD_ROWS = 8192
 QUERY_ROWS = 2048
 LEAF_ROWS = 256
-RESULT = "query_id long, vec_id long, score long"
+RESULT = "query_row long, query_id long, vec_id long, score long"
 
 
 class KDTree:
@@ -67,14 +68,15 @@ class KDTree:
         return np.maximum(queries, 0) @ self.hi.T + np.minimum(queries, 0) @ self.lo.T
 
 
-def search(tree: KDTree, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray,
-           k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best k per query among scores of at least ``floor``: (query number, id, score)."""
-    ids = ids[tree.order]
+def search(tree: KDTree, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, query_rows: np.ndarray,
+           floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best k per query among scores of at least ``floor``: (query number, id, score). ``rows``
+    tells a query's own row from the others."""
+    ids, rows = ids[tree.order], rows[tree.order]
     bounds = tree.bounds(queries)
     out_q, out_i, out_s = [], [], []
     for n, q in enumerate(queries):
-        kth, me, bound = floor[n], query_ids[n], bounds[n]
+        kth, me, bound = floor[n], query_rows[n], bounds[n]
         scores, found = np.empty(0), np.empty(0, dtype=np.int64)
         heap = [(-bound[0], 0)]
         while heap and -heap[0][0] >= kth:
@@ -89,7 +91,7 @@ def search(tree: KDTree, ids: np.ndarray, queries: np.ndarray, query_ids: np.nda
             near = s >= kth
             if near.any():
                 i = ids[a:b][near]
-                other = i != me
+                other = rows[a:b][near] != me
                 scores, found = np.r_[scores, s[near][other]], np.r_[found, i[other]]
                 if len(scores) >= k:
                     kth = max(kth, np.partition(scores, -k)[-k])
@@ -104,13 +106,13 @@ def search(tree: KDTree, ids: np.ndarray, queries: np.ndarray, query_ids: np.nda
     return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_s).astype(np.int64)
 
 
-def _exact_search(points, ids, queries, query_ids, k):
+def _exact_search(points, ids, rows, queries, query_rows, k):
     """Large components: Python integers, every pair."""
     limit = 2 ** 63 - 1
     p = [[int(x) for x in row] for row in points]
     out = []
     for n, q in enumerate([[int(x) for x in row] for row in queries]):
-        scored = sorted((-sum(a * b for a, b in zip(q, row)), int(i)) for row, i in zip(p, ids) if i != query_ids[n])
+        scored = sorted((-sum(a * b for a, b in zip(q, row)), int(i)) for row, i, r in zip(p, ids, rows) if r != query_rows[n])
         out += [(n, i, max(-limit - 1, min(limit, -s))) for s, i in scored[:k]]
     q, i, s = zip(*out) if out else ((), (), ())
     return np.array(q, dtype=np.int64), np.array(i, dtype=np.int64), np.array(s, dtype=np.int64)
@@ -120,15 +122,16 @@ def _matrix(column: pd.Series, dim: int) -> np.ndarray:
     return np.array(column.tolist(), dtype=np.float64).reshape(len(column), dim)
 
 
-def _top(points, ids, queries, query_ids, floor, k, leaf_rows) -> pd.DataFrame:
+def _top(points, ids, rows, queries, query_ids, query_rows, floor, k, leaf_rows) -> pd.DataFrame:
     reach = max(np.abs(points).max(initial=0.0), np.abs(queries).max(initial=0.0))
     if not len(points) or not len(queries):
         q, i, s = (np.empty(0, np.int64),) * 3
     elif reach * reach * max(1, points.shape[1]) >= 2.0 ** 53:
-        q, i, s = _exact_search(points, ids, queries, query_ids, k)
+        q, i, s = _exact_search(points, ids, rows, queries, query_rows, k)
     else:
-        q, i, s = search(KDTree(points, leaf_rows), ids, queries, query_ids, floor, k)
-    return pd.DataFrame({"query_id": query_ids[q] if len(q) else i, "vec_id": i, "score": s})
+        q, i, s = search(KDTree(points, leaf_rows), ids, rows, queries, query_rows, floor, k)
+    return pd.DataFrame({"query_row": query_rows[q] if len(q) else i, "query_id": query_ids[q] if len(q) else i,
+                         "vec_id": i, "score": s})
 
 
 def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale: int = SCALE,
@@ -138,8 +141,8 @@ def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale:
         ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)))
     x = F.transform("embedding", lambda c: c.cast("double") * F.lit(float(scale)))
     v = (vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & good)
-         .groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min(x).alias("x"))
-         .withColumn("dim", F.size("x")))
+         .select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x"), F.size("embedding").alias("dim"),
+                 F.monotonically_increasing_id().alias("row")))
     v = written(v, "kd-vectors")
     sizes = {r["dim"]: r for r in v.groupBy("dim").agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("vec_id") % query_every == 0, 1)).alias("q")).collect()}
@@ -148,33 +151,35 @@ def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale:
     per_dim = lambda f: F.element_at(F.create_map(*[F.lit(int(y)) for d, r in sizes.items() for y in (d, f(r))]),
                                      F.col("dim"))
     shards, blocks = per_dim(lambda r: r["n"] // shard_rows + 1), per_dim(lambda r: r["q"] // query_rows + 1)
-    v = v.withColumn("shard", F.pmod(F.xxhash64("vec_id"), shards).cast("int"))
+    v = v.withColumn("shard", F.pmod(F.xxhash64("row"), shards).cast("int"))
     is_query = F.col("vec_id") % query_every == 0
 
     def home(pdf: pd.DataFrame) -> pd.DataFrame:
-        points, ids = np.floor(_matrix(pdf["x"], int(pdf["dim"].iloc[0]))), pdf["vec_id"].to_numpy()
+        points = np.floor(_matrix(pdf["x"], int(pdf["dim"].iloc[0])))
+        ids, rows = pdf["vec_id"].to_numpy(), pdf["row"].to_numpy()
         mine = ids % query_every == 0
-        return _top(points, ids, points[mine], ids[mine], np.full(mine.sum(), -np.inf), k, leaf_rows)
+        return _top(points, ids, rows, points[mine], ids[mine], rows[mine], np.full(mine.sum(), -np.inf), k, leaf_rows)
 
     first = written(v.groupBy("dim", "shard").applyInPandas(home, RESULT), "kd-home")
-    floors = (first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
-              .where(F.col("n") >= k).select("query_id", F.col("kth").cast("double").alias("kth")))
-    queries = (v.where(is_query).join(floors, F.col("vec_id") == F.col("query_id"), "left")
-               .select("dim", F.col("shard").alias("home"), "vec_id", "x", "kth",
-                       F.pmod(F.xxhash64("vec_id", F.lit(1)), blocks).cast("int").alias("block"),
+    floors = (first.groupBy("query_row").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
+              .where(F.col("n") >= k).select("query_row", F.col("kth").cast("double").alias("kth")))
+    queries = (v.where(is_query).join(floors, F.col("row") == F.col("query_row"), "left")
+               .select("dim", F.col("shard").alias("home"), "vec_id", "row", "x", "kth",
+                       F.pmod(F.xxhash64("row", F.lit(1)), blocks).cast("int").alias("block"),
                        F.explode(F.sequence(F.lit(0), (shards - 1).cast("int"))).alias("shard"))
                .where("shard <> home"))
-    rows = v.select(*[F.col(c).alias(c) for c in ("dim", "shard", "vec_id", "x")],  # names of its own
+    rows = v.select(*[F.col(c).alias(c) for c in ("dim", "shard", "vec_id", "row", "x")],  # names of its own
                     F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("block"))
 
     def away(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         dim = int((c if len(c) else q)["dim"].iloc[0])
-        return _top(np.floor(_matrix(c["x"], dim)), c["vec_id"].to_numpy(), np.floor(_matrix(q["x"], dim)),
-                    q["vec_id"].to_numpy(), q["kth"].fillna(-np.inf).to_numpy(), k, leaf_rows)
+        return _top(np.floor(_matrix(c["x"], dim)), c["vec_id"].to_numpy(), c["row"].to_numpy(),
+                    np.floor(_matrix(q["x"], dim)), q["vec_id"].to_numpy(), q["row"].to_numpy(),
+                    q["kth"].fillna(-np.inf).to_numpy(), k, leaf_rows)
 
     keys = ("dim", "shard", "block")
     other = rows.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(away, RESULT)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return (first.unionByName(other).withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
@@ -185,14 +190,14 @@ def op3_kdtree_topk(spark, sf_dir) -> DataFrame:
 
 OP3_SQL = r"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id,
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id,
              CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+      FROM v q JOIN v c ON q.r <> c.r AND len(q.x) = len(c.x)
       WHERE q.vec_id % 20 = 0),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY s.r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """

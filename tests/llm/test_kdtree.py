@@ -11,18 +11,14 @@ SCHEMA = "vec_id long, embedding array<float>, label int, x int"
 
 
 def brute(rows, k=20):
-    vec = {}
-    for i, v, *_ in rows:
-        if i is None or v is None or any(c is None or not math.isfinite(c) for c in v):
-            continue
-        f = [float(np.float32(c)) * 64 for c in v]
-        vec[i] = min(vec[i], f) if i in vec else f
-    vec = {i: [math.floor(c) for c in v] for i, v in vec.items()}
+    vec = [(i, [math.floor(float(np.float32(c)) * 64) for c in v]) for i, v, *_ in rows
+           if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
     out = []
-    for q in (i for i in vec if i % 20 == 0):
-        scored = sorted((-sum(a * b for a, b in zip(vec[q], v)), i) for i, v in vec.items()
-                        if i != q and len(v) == len(vec[q]))
-        out += [(q, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)]
+    for own, (q, x) in enumerate(vec):
+        if q % 20 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(x, v)), i) for n, (i, v) in enumerate(vec)
+                            if n != own and len(v) == len(x))
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
@@ -63,7 +59,7 @@ def test_tree_prunes_and_boxes_are_tight():
         assert (tree.points[a:b].min(0) == tree.lo[n]).all() and (tree.points[a:b].max(0) == tree.hi[n]).all()
         opened += tree.left[n] < 0
     q, ids = points[:50], np.arange(4000)
-    _, found, scores = kdtree.search(tree, ids, q, ids[:50], np.full(50, -np.inf), 10)
+    _, found, scores = kdtree.search(tree, ids, ids, q, ids[:50], np.full(50, -np.inf), 10)
     for n in range(50):
         s = points @ q[n]
         s[n] = -np.inf
@@ -73,6 +69,18 @@ def test_tree_prunes_and_boxes_are_tight():
     assert (best[:, 0] >= (points @ q.T).max(axis=0)).all()
 
 
+def test_every_row_is_a_candidate_and_equals_the_sql(spark):
+    """Rows that share an id, with equal and other vectors, as queries and as candidates."""
+    import duckdb
+
+    rows = [(20, [1.0], 0, 0), (1, [0.1], 0, 0), (1, [5.0], 0, 0), (2, [1.0], 0, 0), (20, [3.0], 0, 0), (1, [5.0], 0, 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(map(tuple, kdtree.top_k(df).collect()))
+    assert got == brute(rows) and (20, 1, 1, 320 * 64) in got
+    embeddings = df.toArrow()  # noqa: F841  read by the SQL
+    assert sorted(duckdb.sql(kdtree.OP3_SQL).fetchall()) == got
+
+
 def test_empty(spark):
     assert kdtree.top_k(spark.createDataFrame([], SCHEMA)).count() == 0
     assert kdtree.top_k(spark.createDataFrame([(20, [1.0], 0, 0)], SCHEMA)).count() == 0
