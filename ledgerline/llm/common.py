@@ -76,7 +76,7 @@ def held_out(doc_id: Column) -> Column:
 PREFIX_ROWS = 4096
 
 
-def _totals_before(sums: DataFrame, group: list[str], b: str, out: str, buckets: int) -> DataFrame:
+def totals_before(sums: DataFrame, group: list[str], b: str, out: str, buckets: int) -> DataFrame:
     """(group, b, out): the total of ``__sum`` over the group's smaller ``b``, in windows of at
     most ``PREFIX_ROWS`` rows."""
     coarse = f"{b}_" if buckets > PREFIX_ROWS else None
@@ -88,7 +88,7 @@ def _totals_before(sums: DataFrame, group: list[str], b: str, out: str, buckets:
     if not coarse:
         return inner
     above = f"{out}_"
-    upper = _totals_before(sums.groupBy(*within).agg(F.sum("__sum").alias("__sum")), group, coarse, above,
+    upper = totals_before(sums.groupBy(*within).agg(F.sum("__sum").alias("__sum")), group, coarse, above,
                            buckets // PREFIX_ROWS + 1)
     return inner.join(upper, within).select(*group, b, (F.col(out) + F.col(above)).alias(out))
 
@@ -106,7 +106,7 @@ def running_total(df: DataFrame, group: list[str], order: list[str], value: str,
     """
     b, base = "__bucket", "__base"
     df = df.withColumn(b, F.pmod(spread, F.lit(buckets)))
-    sums = _totals_before(df.groupBy(*group, b).agg(F.sum(value).alias("__sum")), group, b, base, buckets)
+    sums = totals_before(df.groupBy(*group, b).agg(F.sum(value).alias("__sum")), group, b, base, buckets)
     w = (Window.partitionBy(*group, b).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (df.join(sums, [*group, b])

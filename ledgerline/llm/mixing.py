@@ -4,10 +4,9 @@ Every source gets a target share of the budget. Its documents are shuffled and q
 of a document has the virtual finish time (words of its source queued up to and including it)
 / (the source's target). All copies are put in one global order of finish times, cut where
 the running total of words passes the budget. A long document at the cut can leave its source
-short of the target, so each short source then takes further whole documents, each the longest
-that still fits: the first ``FILL_ROUNDS`` in any case, and as many more as it needs until it
-lacks less than the mean of the documents that fitted its gap, or no document fits. The picks
-are found from the counts of equal sizes, so their number does not matter.
+short of the target, so each short source then takes further whole documents, always the longest
+that still fits, until none does. The picks are found from the counts of equal sizes, so their
+number does not matter.
 
 DataFrame functions only. Documents are reduced to a narrow row (id, source, size, text
 digest) before anything is shuffled. The two global orders (the queue of a source that may
@@ -26,12 +25,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fresh, own, running_total, small, table, word_count, written
+from ledgerline.llm.common import fresh, own, running_total, small, table, totals_before, word_count, written
 
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 ROWS_PER_BUCKET = 2000
-FILL_ROUNDS = 3
 
 
 def source_targets(sizes: DataFrame, budget_share: float = 1.0, max_repeats: int = MAX_REPEATS,
@@ -106,12 +104,12 @@ def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS, weights: tuple[int, ...
               .select("rank", "words", F.explode(F.array(*[finish(F.lit(i)) for i in range(max_repeats)]))
                       .alias("finish"))
               .withColumn("bin", F.floor(F.col("finish") * per_unit)))
-    upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = (copies.groupBy("bin").agg(F.sum("words").alias("w"))
-            .select("bin", F.sum("w").over(upto).alias("upto"), "w")
-            .where(F.col("upto") > total)
-            .agg(F.min(F.struct("bin", (F.col("upto") - F.col("w")).alias("before"))).alias("e"))
-            .first()["e"])
+    # bins grow with the documents, so their prefix sums are taken in coarser bins above them
+    bins = written(copies.groupBy("bin").agg(F.sum("words").alias("__sum")), "mix-bins")
+    last_bin = bins.agg(F.max("bin")).first()[0] or 0
+    edge = (bins.join(totals_before(bins, [], "bin", "before", last_bin + 1), "bin")
+            .where(F.col("before") + F.col("__sum") > total)
+            .agg(F.min(F.struct("bin", "before")).alias("e")).first()["e"])
     if edge is None:  # everything fits
         taken = F.lit(max_repeats)
     else:
@@ -145,17 +143,14 @@ def _fill(u: DataFrame, max_repeats: int, sources: int, spread, buckets: int) ->
             .select("rank", "gap", "words", "h", "doc_id", "digest"))
     classes = more.groupBy("rank", "words").agg(F.first("gap").alias("gap"), F.count(F.lit(1)).alias("n"))
     by_size = classes.groupBy("rank").agg(
-        F.first("gap").alias("gap"), F.ceil(F.sum(F.col("words") * F.col("n")) / F.sum("n")).alias("near"),
-        F.sort_array(F.collect_list(F.struct("words", "n")), asc=False).alias("sizes"))
+        F.first("gap").alias("gap"), F.sort_array(F.collect_list(F.struct("words", "n")), asc=False).alias("sizes"))
     took = F.array().cast("array<struct<words:bigint,n:bigint,k:bigint>>")
-    start = F.struct(F.col("gap"), F.lit(0).cast("long").alias("picks"), took.alias("took"))
+    start = F.struct(F.col("gap"), took.alias("took"))
 
     def take(s, c):
-        fit = F.least(c["n"], F.floor(s["gap"] / c["words"]))
-        short = F.when(s["gap"] >= F.col("near"), F.floor((s["gap"] - F.col("near")) / c["words"]) + 1).otherwise(0)
-        k = F.least(fit, F.greatest(F.lit(FILL_ROUNDS) - s["picks"], short, F.lit(0)))
+        k = F.least(c["n"], F.floor(s["gap"] / c["words"]))
         row = F.struct(c["words"].alias("words"), c["n"].alias("n"), k.alias("k"))
-        return F.struct((s["gap"] - k * c["words"]).alias("gap"), (s["picks"] + k).alias("picks"),
+        return F.struct((s["gap"] - k * c["words"]).alias("gap"),
                         F.when(k > 0, F.concat(s["took"], F.array(row))).otherwise(s["took"]).alias("took"))
     sizes = written(by_size.select("rank", F.inline(F.aggregate("sizes", start, take, lambda s: s["took"]))), "mix-sizes")
     of_size = small(sizes, sizes.count())
@@ -189,7 +184,7 @@ def op5_mix_sources(spark, sf_dir) -> DataFrame:
 
 
 OP5_SQL = r"""
-WITH u AS (
+WITH RECURSIVE u AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
          md5(CAST(doc_id AS VARCHAR) || ':mix') AS h
@@ -218,17 +213,17 @@ g AS (SELECT doc_id, size, sum(size) OVER (ORDER BY finish, rank
 k AS (SELECT doc_id, sum(size) AS taken FROM g
       WHERE upto <= (SELECT sum(source_size) FROM s) GROUP BY doc_id),
 m AS (SELECT q.*, coalesce(k.taken, 0) AS cut FROM q LEFT JOIN k USING (doc_id)),
-p0 AS (SELECT rank, any_value(target) - sum(cut) AS gap, NULL::STRUCT(a BIGINT, b VARCHAR, c BIGINT) AS last
-       FROM m GROUP BY rank HAVING any_value(target) - sum(cut) > 0),
-""" + "".join(f"""p{i} AS (
+p AS (
+  SELECT rank, CAST(floor(any_value(target) - sum(cut)) AS BIGINT) AS gap, NULL::STRUCT(a BIGINT, b VARCHAR, c BIGINT) AS last
+  FROM m GROUP BY rank HAVING any_value(target) - sum(cut) > 0
+  UNION ALL
   SELECT rank, gap - best.a AS gap, best AS last
-  FROM (SELECT m.rank, any_value(p.gap) AS gap, max({{'a': m.size, 'b': md5(m.doc_id || ':mix'), 'c': m.doc_id}}) AS best
-        FROM m JOIN p{i - 1} p USING (rank)
+  FROM (SELECT m.rank, any_value(p.gap) AS gap, max({'a': m.size, 'b': md5(m.doc_id || ':mix'), 'c': m.doc_id}) AS best
+        FROM m JOIN p USING (rank)
         WHERE m.size > 0 AND m.cut < 3 * m.size AND m.size <= p.gap
-          AND (p.last IS NULL OR {{'a': m.size, 'b': md5(m.doc_id || ':mix'), 'c': m.doc_id}} < p.last)
+          AND (p.last IS NULL OR {'a': m.size, 'b': md5(m.doc_id || ':mix'), 'c': m.doc_id} < p.last)
         GROUP BY m.rank)),
-""" for i in range(1, FILL_ROUNDS + 1)) + """x AS (""" + " UNION ALL ".join(
-    f"SELECT last.c AS doc_id FROM p{i}" for i in range(1, FILL_ROUNDS + 1)) + """)
+x AS (SELECT last.c AS doc_id FROM p WHERE last IS NOT NULL)
 SELECT m.doc_id, m.size, m.source_size, m.target,
        CAST(m.cut + CASE WHEN x.doc_id IS NULL THEN 0 ELSE m.size END AS BIGINT) AS taken
 FROM m LEFT JOIN x USING (doc_id)
