@@ -17,8 +17,10 @@ values in all documents and every run with the key:
 
 What looks alike but does not validate stays as it is. A card or IBAN may stand next to other
 groups of digits or words ("4111 1111 1111 1111 12/27"): in a run of groups between blanks the
-longest spans that validate are the values, and only these are replaced. Spans grouped as cards are
-printed, and IBANs of their country's length, go first: one span in ten passes Luhn by chance. Each permutation is a balanced Feistel
+longest spans that validate are the values, and only these are replaced; IBANs of their country's
+length go first. One span in ten passes Luhn by chance, so a part of a longer run is a card only if it
+starts as an issuer's numbers of its length do, is grouped as cards are printed, and does not lie in a
+row of four-digit groups that is not made of such cards: tables of numbers stay. Each permutation is a balanced Feistel
 network over two halves of the value's own range: a' = (a + f(key, round, b)) mod A, then the
 halves swap roles, ``ROUNDS`` times, with f from SHA-256. Adding modulo a half's size can be
 undone, so it is a bijection and no two values share a pseudonym.
@@ -55,6 +57,10 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]
 # the last group out, and at every possible start the longest that looks like an IBAN.
 CARD_RUN = r"(?<![\w.-])(?=(?:\d[ -]?){12}\d)\d++(?:[ -]\d++)*+(?:[\w-]|\.\d)?"
 CARD_SHAPE = r"\d+|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5}"  # as cards are printed
+# First digits and lengths of the issuers' numbers.
+ISSUERS = (r"4(?:\d{12}|\d{15}|\d{18})", r"5[1-5]\d{14}", r"2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}", r"3[47]\d{13}",
+           r"3(?:0[0-5]|[689]\d)\d{11}", r"35(?:2[89]|[3-8]\d)\d{12}", r"6(?:011|5\d\d|4[4-9]\d)\d{12}", r"62\d{14,17}")
+ISSUED = "|".join(ISSUERS)
 IBAN_RUN = rf"(?=({IBAN}))\b[A-Z]{{2}}\d{{2}}"
 IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -253,11 +259,28 @@ def _card_spans(run: Column) -> Column:
     """Spans of whole groups between blanks that are cards, without overlap: those grouped as
     cards are printed first, then the longest."""
     def of_tokens(t):
+        four = lambda i: F.coalesce(F.get(t, i).rlike(r"^\d{4}$"), F.lit(False))
+
+        def of_issuer(text):
+            return text.rlike(f"^(?:{CARD_SHAPE})$") & _let(_digits(text), lambda d: d.rlike(f"^(?:{ISSUED})$")
+                                                            & (luhn_digit(F.substr(d, F.lit(1), F.length(d) - 1))
+                                                               == F.substr(d, F.length(d), F.lit(1))))
+
+        def in_part(text, i, n):
+            """Whether a part of a longer run can be a card: an issuer's, and in a row of four-digit
+            groups the next ones, on either side, are again the four groups of an issuer's card."""
+            groups = lambda at: F.array_join(F.slice(t, F.greatest(at, F.lit(0)) + 1, F.lit(4)), " ")
+            after = ~four(i + n) | of_issuer(groups(i + n))
+            before = F.when(i < 1, F.lit(True)).otherwise(~four(i - 1) | ((i >= 4) & of_issuer(groups(i - 4))))
+            in_fours = text.rlike(r"^\d{4}( \d{4}){3}$")
+            return of_issuer(text) & (~in_fours | (after & before))
+
         def at(i):
             def span(n):
                 text = F.array_join(F.slice(t, i + 1, n), " ")
                 digits = F.length(_digits(text))
-                fits = (i + n <= F.size(t)) & digits.between(13, 19) & text.rlike(f"^{CARD}$")
+                fits = ((i + n <= F.size(t)) & digits.between(13, 19) & text.rlike(f"^{CARD}$")
+                        & ((n == F.size(t)) | in_part(text, i, n)))
                 valid = F.when(fits, _let(_digits(text), lambda d: luhn_digit(F.substr(d, F.lit(1), F.length(d) - 1))
                                           == F.substr(d, F.length(d), F.lit(1))))
                 return F.when(valid, F.struct((~text.rlike(f"^(?:{CARD_SHAPE})$")).alias("odd"), (-digits).alias("order"),
