@@ -201,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
     good = labelled(docs, labels, "quality").where("y = 1")
     web = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
     picks = [smallest_hashes(good, max_positives, 1, F.lit(1)), smallest_hashes(web, max_unlabelled, 2, F.lit(0))]
-    rows = sample_rows(docs, picks).mapInArrow(_feature_rows, "x binary, y int").toArrow()
+    rows = sample_rows(docs, picks, [max_positives, max_unlabelled]).select("text", "y").mapInArrow(_feature_rows, "x binary, y int").toArrow()
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), dtype=np.float32).reshape(len(rows), N_FEATURES)
     y = rows.column("y").to_numpy()
     # the order rows arrive in must not matter

@@ -24,7 +24,13 @@ def smallest_hashes(ids: DataFrame, limit: int, seed: int, tag: Column) -> DataF
             .select("doc_id", tag.alias("y")))
 
 
-def sample_rows(docs: DataFrame, picks: list[DataFrame]) -> DataFrame:
-    """(text, y) of the picked documents. The picks are limited in number, so they are broadcast."""
-    ids = reduce(DataFrame.unionByName, picks)
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "y")
+def sample_rows(docs: DataFrame, picks: list[DataFrame], limits: list[int]) -> DataFrame:
+    """(text, y, h) of the picked documents, at most ``limits`` rows of each pick, in the order of a
+    hash ``h``. Equal texts of an id count once, so an id that many rows share neither fills the
+    sample nor reaches the driver whole. The picks are limited in number, so they are broadcast."""
+    def rows(ids: DataFrame, limit: int) -> DataFrame:
+        found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").withColumn("d", F.xxhash64("text"))
+        found = found.groupBy("doc_id", "d", "y").agg(F.first("text").alias("text"))
+        h = F.xxhash64("doc_id", "d", F.lit(11))
+        return found.select("text", "y", h.alias("h")).orderBy("h").limit(limit)
+    return reduce(DataFrame.unionByName, (rows(*x) for x in zip(picks, limits)))

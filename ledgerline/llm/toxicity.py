@@ -11,7 +11,8 @@ network picks the worst of a text's windows, and gradients (written out by hand,
 through that one. Embeddings start from how surprisingly often a word or n-gram occurs in
 toxic training texts and learn slowly, those seen in few texts stay zero, and words are
 dropped at random: what is rare could only be learnt by heart. The fit uses at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled texts, by a
-hash order of their ids, and ``MAX_WINDOWS`` windows of each; scoring runs in tasks over every
+hash order of their ids, and all windows of each; of either kind, only the first texts of that
+order whose windows together are at most ``MAX_WINDOWS``. Scoring runs in tasks over every
 window of every text. The projection of a word into the gates does not depend on its
 neighbours, so tasks compute it once per distinct word and keep a bounded cache.
 
@@ -28,14 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import held_out, table, with_score
 from ledgerline.llm.sampling import labelled, sample_rows, smallest_hashes
 
 WINDOW, STRIDE = 64, 32
-MAX_TOXIC, MAX_CLEAN, MAX_WINDOWS = 1500, 3000, 10
+MAX_TOXIC, MAX_CLEAN, MAX_WINDOWS = 1500, 3000, 60_000
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 16, 1 << 16
 EMBED, STATES, ATTENTION = 8, 12, 8
 DROP, DECAY, SLOW = 0.15, 0.05, 0.1
@@ -214,18 +215,14 @@ def _sums(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 # --- training ---------------------------------------------------------------------------
 
 def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """At most MAX_WINDOWS windows per sampled text, evenly spread, as lists of words."""
+    """All windows of the sampled texts, as lists of words."""
     for batch in batches:
-        windows, y = [], []
-        for text, label in zip(batch.column("text"), batch.column("y")):
-            words = words_of(text.as_py())
-            starts = window_starts(len(words))
-            if len(starts) > MAX_WINDOWS:
-                starts = starts[np.linspace(0, len(starts) - 1, MAX_WINDOWS).astype(int)]
-            windows.append([b" ".join(words[s:s + WINDOW]) for s in starts])
-            y.append(label.as_py())
-        yield pa.RecordBatch.from_arrays([pa.array(windows, pa.list_(pa.binary())), pa.array(y, pa.int32())],
-                                         names=["windows", "y"])
+        for i in range(batch.num_rows):
+            words = words_of(batch.column("text")[i].as_py())
+            windows = [b" ".join(words[s:s + WINDOW]) for s in window_starts(len(words))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([windows], pa.list_(pa.binary())), batch.column("y").slice(i, 1), batch.column("h").slice(i, 1),
+                 pa.array([len(windows)], pa.int64())], names=["windows", "y", "h", "n"])
 
 
 def _index(windows: list[bytes], vocabulary: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -311,12 +308,17 @@ def fit(texts: list[list[bytes]], y: np.ndarray, seed: int = 0, batch: int = 192
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN):
+def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN,
+          max_windows: int = MAX_WINDOWS):
     """A network, or a constant share where the labels don't hold both classes."""
     known = labelled(docs, labels, "toxic")
     picks = [smallest_hashes(known.where(F.col("y") == c), n, 3, F.lit(c))
              for c, n in ((0, max_clean), (1, max_toxic))]
-    rows = sample_rows(docs, picks).mapInArrow(_training_windows, "windows array<binary>, y int").toArrow()
+    rows = sample_rows(docs, picks, [max_clean, max_toxic]).mapInArrow(
+        _training_windows, "windows array<binary>, y int, h long, n long")
+    # whole texts while their windows fit; the window holds the sampled texts of one label
+    upto = Window.partitionBy("y").orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") <= max_windows).select("windows", "y").toArrow()
     pairs = sorted(zip(rows.column("windows").to_pylist(), rows.column("y").to_pylist()))
     y = np.array([p[1] for p in pairs], dtype=np.int64)
     if not (y == 1).any() or not (y == 0).any():

@@ -140,3 +140,38 @@ def test_odd_rows(spark, module, out):
     if module is quality:
         kept = quality.keep_good(with_clashes(df.select("doc_id", "text", "lang", "source", "n_chars")), lab)
         assert "quality_score" in kept.columns and len(set(kept.columns)) == len(kept.columns)
+
+
+# --- samples
+
+def test_a_hot_id_does_not_fill_the_sample(spark):
+    from ledgerline.llm.sampling import sample_rows
+
+    docs = spark.createDataFrame([(1, "same")] * 200 + [(1, f"other {i}") for i in range(300)] + [(i, f"text {i}") for i in range(2, 12)],
+                                 "doc_id long, text string")
+    picks = [spark.createDataFrame([(i, i % 2) for i in range(1, 12) if i % 2 == y], "doc_id long, y int") for y in (0, 1)]
+    got = sample_rows(docs, picks, [5, 40]).collect()
+    assert sorted(r["y"] for r in got) == [0] * 5 + [1] * 40
+    assert len({r["text"] for r in got}) == 45 and len({r["h"] for r in got}) == 45
+    assert sorted(map(tuple, got)) == sorted(map(tuple, sample_rows(docs.repartition(7), picks, [5, 40]).collect()))
+
+
+def test_training_reads_whole_texts(spark, monkeypatch):
+    """All windows of a sampled text; whole texts only, while their windows fit."""
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y: seen.append((texts, y)) or 0.5)
+    sizes = {i: 10 + 40 * i for i in range(1, 60)}
+    docs = spark.createDataFrame([(i, " ".join(f"t{i}w{j}" for j in range(n))) for i, n in sizes.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in sizes], "doc_id long, quality int, toxic int")
+    toxicity.train(docs, labels)
+    texts, y = seen[0]
+    whole = [sum(len(toxicity.window_starts(sizes[i])) for i in sizes if zlib.crc32(str(i).encode()) % 5 and i % 2 == c) for c in (0, 1)]
+    assert [sum(len(t) for t, l in zip(texts, y) if l == c) for c in (0, 1)] == whole
+    toxicity.train(docs, labels, max_windows=100)
+    texts, y = seen[1]
+    for c in (0, 1):
+        own = [t for t, l in zip(texts, y) if l == c]
+        assert 0 < sum(map(len, own)) <= 100
+        for t in own:   # every window of the text is there
+            i = int(t[0].split()[0][1:].split(b"w")[0])
+            assert len(t) == len(toxicity.window_starts(sizes[i]))
