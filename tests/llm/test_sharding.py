@@ -50,12 +50,62 @@ def test_groups_share_a_shard_when_they_fit(spark):
     assert len(where["hot"]) <= 4  # 700 rows need three shards of about 260
 
 
+def split_groups(rows, docs):
+    text, where = dict(docs), defaultdict(set)
+    for r in rows:
+        where[text[r["doc_id"]]].add(r["shard"])
+    return [k for k, v in where.items() if len(v) > 1]
+
+
 def test_all_linked(spark):
     docs = [(i, f"pair {i // 2}") for i in range(400)]
     rows = sharding.shard(spark.createDataFrame(docs, "doc_id long, text string"), shards=8).collect()
     check(rows, docs, 8)
-    at = {r["doc_id"]: r["shard"] for r in rows}
-    assert sum(at[i] != at[i + 1] for i in range(0, 400, 2)) <= 40
+    assert split_groups(rows, docs) == []
+
+
+def test_small_groups_and_nothing_else_stay_whole(spark):
+    """6,000 groups of two or three, 40 shards, no free row: every group fits a shard."""
+    rng = random.Random(7)
+    docs = [t for g in range(6000) for t in [f"group {g}"] * rng.choice([2, 3])]
+    rng.shuffle(docs)
+    docs = list(enumerate(docs))
+    rows = sharding.shard(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    check(rows, docs, 40)
+    assert split_groups(rows, docs) == []
+
+
+def test_room_that_no_whole_group_can_use(spark):
+    """Pairs only, and an odd number of rows to a shard: one row of each shard is left over."""
+    docs = [(i, f"pair {i // 2}") for i in range(200)]
+    rows = sharding.shard(spark.createDataFrame(docs, "doc_id long, text string"), shards=8).collect()
+    check(rows, docs, 8)
+    assert len(split_groups(rows, docs)) <= 4
+
+
+def test_gather_makes_room():
+    rng = random.Random(2)
+    for _ in range(300):
+        k, counts = 5, {}
+        for _ in range(rng.randrange(4, 30)):
+            key = (rng.randrange(5), rng.randrange(1, 7))
+            counts[key] = counts.get(key, 0) + 1
+        room = [rng.randrange(4) for _ in range(k)]
+        sizes = [rng.randrange(1, 6) for _ in range(rng.randrange(1, 4))]
+        at, moves = sharding.gather(room, counts, sizes)
+        after, left = list(room), Counter(counts)
+        for (a, u, b), n in moves.items():
+            assert n > 0 and a != b
+            after[a] += u * n
+            after[b] -= u * n
+            left[a, u] -= n
+            assert left[a, u] + sum(m for (x, v, y), m in moves.items() if (y, v) == (a, u)) >= 0
+        for s, z in zip(at, sorted(sizes, reverse=True)):
+            if s is not None:
+                after[s] -= z
+        assert min(after) >= 0 and sum(n * u for (s, u), n in counts.items()) >= 0
+    at, moves = sharding.gather([1, 1], {(0, 3): 2, (1, 2): 2}, [2])
+    assert at in ([0], [1]) and moves
 
 
 def test_odd_rows(spark):
