@@ -41,13 +41,6 @@ def dim_date_covering(*date_cols: tuple[DataFrame, str]) -> DataFrame:
     return dim_date_between(bounds.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
 
 
-def dim_date_range(spark, start: str, end: str) -> DataFrame:
-    """Date dimension for a fixed calendar range (``yyyy-MM-dd`` bounds)."""
-    b = spark.range(1).select(F.to_date(F.lit(start)).alias("lo"),
-                              F.to_date(F.lit(end)).alias("hi"))
-    return dim_date_between(b)
-
-
 def _stamp(df: DataFrame, batch_ts: str) -> DataFrame:
     return (df.withColumn("dtmload", ntz(batch_ts))
               .withColumn("dtmupd", F.lit(None).cast("timestamp_ntz")))

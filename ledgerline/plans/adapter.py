@@ -28,6 +28,8 @@ the day after its last change. The scenario constants below are fixed.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,14 +69,34 @@ def _updated(key: Column, created: Column) -> Column:
 
 
 def _audit(df: DataFrame, key: str, created: Column) -> DataFrame:
-    return (df.withColumn("dtmcrt", created.cast("timestamp_ntz"))
-              .withColumn("dtmupd", _updated(F.col(key), F.col("dtmcrt"))))
+    made = created.cast("timestamp_ntz")
+    return df.select("*", made.alias("dtmcrt"), _updated(F.col(key), made).alias("dtmupd"))
 
 
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six source tables with ``dtmcrt`` and ``dtmupd``."""
+class Tables(Mapping):
+    """Tables by name, each built when it is first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+    def map(self, change: Callable[[DataFrame], DataFrame]) -> "Tables":
+        return Tables({n: (lambda n=n: change(self[n])) for n in self})
+
+
+def _customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
-    customer = _audit(c.select(
+    return _audit(c.select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.col("c_mktsegment").alias("address"),
@@ -86,32 +108,37 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
          .alias("email"),
     ), "customer_id", _key_day(F.col("customer_id")))
 
-    n = _read(spark, sf_dir, "nation")
-    city = _audit(n.select(
+
+def _city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _audit(_read(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("city_id"),
         F.col("n_name").alias("city_name"),
         F.col("n_regionkey").cast("bigint").alias("state_id"),
     ), "city_id", _key_day(F.col("city_id")))
 
-    r = _read(spark, sf_dir, "region")
-    state = _audit(r.select(
+
+def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _audit(_read(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("bigint").alias("state_id"),
         F.col("r_name").alias("state_name"),
     ), "state_id", _key_day(F.col("state_id")))
 
-    s = _read(spark, sf_dir, "supplier")
+
+def _branch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s, n = _read(spark, sf_dir, "supplier"), _read(spark, sf_dir, "nation")
     # nation has 25 rows by construction of the data set: a bounded lookup
     nation_names = F.broadcast(n.select(F.col("n_nationkey").alias("__nk"),
                                         F.col("n_name").alias("branch_location")))
-    branch = _audit(
+    return _audit(
         s.join(nation_names, F.col("s_nationkey") == F.col("__nk"), "left")
          .select(F.col("s_suppkey").alias("branch_id"),
                  F.col("s_name").alias("branch_name"),
                  F.col("branch_location")),
         "branch_id", _key_day(F.col("branch_id")))
 
-    o = _read(spark, sf_dir, "orders")
-    account = _audit(o.select(
+
+def _account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _audit(_read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("account_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderstatus").alias("account_type"),
@@ -120,11 +147,12 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("o_orderpriority").alias("status"),
     ), "account_id", F.col("date_opened"))
 
-    li = _read(spark, sf_dir, "lineitem")
+
+def _transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     ttype = F.lit(None).cast("string")
     for flag, name in reversed(TYPE_BY_FLAG):
         ttype = F.when(F.col("l_returnflag") == flag, F.lit(name)).otherwise(ttype)
-    transaction = _audit(li.select(
+    return _audit(_read(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
         F.col("l_orderkey").alias("account_id"),
         F.col("l_shipdate").alias("transaction_date"),
@@ -133,8 +161,14 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("l_suppkey").alias("branch_id"),
     ), "transaction_id", F.col("transaction_date"))
 
-    return {"customer": customer, "city": city, "state": state,
-            "branch": branch, "account": account, "transaction": transaction}
+
+_SOURCES = {"customer": _customer, "city": _city, "state": _state, "branch": _branch, "account": _account,
+            "transaction": _transaction}
+
+
+def source_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The six source tables with ``dtmcrt`` and ``dtmupd``."""
+    return Tables({n: (lambda make=make: make(spark, sf_dir)) for n, make in _SOURCES.items()})
 
 
 def staged_load_time(df: DataFrame) -> Column:
@@ -143,25 +177,17 @@ def staged_load_time(df: DataFrame) -> Column:
                        F.lit(1)).cast("timestamp_ntz")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """Staging tables ``*_raw`` as the core stage reads them."""
-    out = {}
-    for name, df in source_tables(spark, sf_dir).items():
-        out[name] = df.withColumn("dtmload", staged_load_time(df)).drop("dtmupd")
-    return out
+    return source_tables(spark, sf_dir).map(lambda df: df.withColumn("dtmload", staged_load_time(df)).drop("dtmupd"))
 
 
-def staged_before_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def staged_before_run(sources: Tables) -> Tables:
     """Staging state before the run under test: rows created before
     ``PREV_RUN_END``, each staged by the monthly run after its creation."""
-    out = {}
-    for name, df in source_tables(spark, sf_dir).items():
-        out[name] = (df.where(F.col("dtmcrt") < ntz(PREV_RUN_END))
-                       .withColumn("dtmload", F.timestamp_add(
-                           "MONTH", F.lit(1), F.date_trunc("MONTH", F.col("dtmcrt")))
-                           .cast("timestamp_ntz"))
-                       .drop("dtmupd"))
-    return out
+    return sources.map(lambda df: df.where(F.col("dtmcrt") < ntz(PREV_RUN_END)).withColumn(
+        "dtmload", F.timestamp_add("MONTH", F.lit(1), F.date_trunc("MONTH", F.col("dtmcrt"))).cast("timestamp_ntz"))
+        .drop("dtmupd"))
 
 
 def branches_with_orphans(raw_branch: DataFrame) -> DataFrame:
@@ -184,7 +210,7 @@ def two_runs(spark: SparkSession, sf_dir: str) -> tuple[dict, dict]:
     """Source tables of two successive runs. The first sees the rows created before
     ``PREV_RUN_END``, none updated. The second sees all rows with their updates, and the
     transactions created in ``MOVED_MONTH`` re-dated by some months at ``MOVED_AT``."""
-    second = source_tables(spark, sf_dir)
+    second = dict(source_tables(spark, sf_dir))
     first = {n: df.where(F.col("dtmcrt") < ntz(PREV_RUN_END))
              .withColumn("dtmupd", F.lit(None).cast("timestamp_ntz")) for n, df in second.items()}
     year, month = MOVED_MONTH

@@ -149,6 +149,34 @@ def q_merge_fact(spark, sf_dir):
                                          scenario.EXISTING_MARK)
 
 
+def _bucketed_fact(spark, existing):
+    """The existing fact as a table of its own, bucketed by the transaction id."""
+    from ledgerline.sinks.bucketed import save_bucketed
+    from ledgerline.sinks.writers import ensure_namespaces
+
+    namespace = f"core_{uuid.uuid4().hex[:8]}"
+    ensure_namespaces(spark, (namespace,))
+    return save_bucketed(existing["FactTransaction"], f"{namespace}.fact_transaction",
+                         work_path(spark, "bucketed"), "TransactionID", 16)
+
+
+@query("new_keys_fact_bucketed")
+def q_new_keys_fact_bucketed(spark, sf_dir):
+    """New fact rows against a fact that lies bucketed by its key and is not moved."""
+    r = scenario.raw(spark, sf_dir)
+    core = scenario.first_load(spark, sf_dir, raw_tables=r)
+    fact = _bucketed_fact(spark, scenario.existing_core(spark, sf_dir, r))
+    return fact_transaction(r["transaction"], core.dim_account, core.dim_branch, core.dim_date, B, target=fact)
+
+
+@query("merge_type1_fact_bucketed")
+def q_merge_fact_bucketed(spark, sf_dir):
+    """The type-1 merge into a fact that lies bucketed by its key and is not moved."""
+    r = scenario.raw(spark, sf_dir)
+    fact = _bucketed_fact(spark, scenario.existing_core(spark, sf_dir, r))
+    return merge.update_fact_transaction(fact, r["transaction"], B, scenario.EXISTING_MARK)
+
+
 @query("merge_type1_customer_orphans")
 def q_merge_customer_orphans(spark, sf_dir):
     """Changed customers whose city is missing keep their row."""
@@ -260,7 +288,8 @@ def q_dim_customer_orphans(spark, sf_dir):
 # --- staging family ------------------------------------------------------------
 
 def _src_stg(spark, sf_dir):
-    return adapter.source_tables(spark, sf_dir), adapter.staged_before_run(spark, sf_dir)
+    src = adapter.source_tables(spark, sf_dir)
+    return src, adapter.staged_before_run(src)
 
 
 @query("scan_project")
@@ -271,7 +300,7 @@ def q_scan_project(spark, sf_dir):
 
 @query("high_water_mark")
 def q_high_water_mark(spark, sf_dir):
-    stg = adapter.staged_before_run(spark, sf_dir)
+    _, stg = _src_stg(spark, sf_dir)
     out = None
     for s in STAGING_TABLES:
         m = inc.high_water_mark(stg[s.name]).select(F.lit(s.name).alias("table_name"), "mark")

@@ -863,3 +863,6 @@ SQL["stream_mixed_files"] = with_src(
     _FILE_GOOD + "\nUNION ALL\n" + _FILE_GOOD.replace("SELECT transaction_id,", "SELECT transaction_id + 1000000000000,", 1))
 SQL["stream_mixed_rejects"] = SQL["file_isolation"] + """
 UNION ALL SELECT 'unreadable workbook: BadZipFile', CAST(1 AS BIGINT), CAST(0 AS BIGINT)"""
+
+SQL["new_keys_fact_bucketed"] = SQL["new_keys_fact"]
+SQL["merge_type1_fact_bucketed"] = SQL["merge_type1_fact"]

@@ -6,7 +6,8 @@ functions here are what ``__spark_entry__.queries()`` registers.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,37 +22,48 @@ from ledgerline.session import work_path
 from ledgerline.sinks import xlsx as xlsx_sink
 
 
-@dataclass
 class Core:
-    """Core tables of one load (lazy)."""
+    """Core tables of one load into an empty core, each built when it is first asked for."""
 
-    dim_date: DataFrame
-    dim_customer: DataFrame
-    dim_branch: DataFrame
-    dim_account: DataFrame
-    fact: DataFrame
+    def __init__(self, raw_tables: Mapping, batch_ts: str):
+        self._raw, self._batch = raw_tables, batch_ts
 
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return dim_date_for(self._raw)
 
-def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        r = self._raw
+        return dims.dim_customer(r["customer"], r["city"], r["state"], self._batch)
+
+    @cached_property
+    def dim_branch(self) -> DataFrame:
+        return dims.dim_branch(self._raw["branch"], self._batch)
+
+    @cached_property
+    def dim_account(self) -> DataFrame:
+        return dims.dim_account(self._raw["account"], self.dim_date, self._batch)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return fact_transaction(self._raw["transaction"], self.dim_account, self.dim_branch, self.dim_date, self._batch)
+
+
+def raw(spark: SparkSession, sf_dir: str) -> adapter.Tables:
     return adapter.raw_tables(spark, sf_dir)
 
 
-def dim_date_for(raw_tables: dict[str, DataFrame]) -> DataFrame:
+def dim_date_for(raw_tables: Mapping) -> DataFrame:
     """Calendar covering every opening day and transaction day."""
     acct = raw_tables["account"]
     return dims.dim_date_covering((acct, "date_opened"), (raw_tables["transaction"], "transaction_date"))
 
 
 def first_load(spark: SparkSession, sf_dir: str, batch_ts: str = adapter.BATCH_TS,
-               raw_tables: dict | None = None) -> Core:
+               raw_tables: Mapping | None = None) -> Core:
     """All core tables loaded into an empty core."""
-    r = raw_tables or raw(spark, sf_dir)
-    dd = dim_date_for(r)
-    cust = dims.dim_customer(r["customer"], r["city"], r["state"], batch_ts)
-    br = dims.dim_branch(r["branch"], batch_ts)
-    acct = dims.dim_account(r["account"], dd, batch_ts)
-    fact = fact_transaction(r["transaction"], acct, br, dd, batch_ts)
-    return Core(dd, cust, br, acct, fact)
+    return Core(raw_tables or raw(spark, sf_dir), batch_ts)
 
 
 # Columns replaced by placeholders in the rows that are already in core,
@@ -66,23 +78,19 @@ def _stale() -> dict:
     }
 
 
-def existing_core(spark: SparkSession, sf_dir: str, raw_tables: dict | None = None) -> dict:
+def existing_core(spark: SparkSession, sf_dir: str, raw_tables: Mapping | None = None) -> adapter.Tables:
     """Core tables as a previous run left them: every third key, loaded at
     ``CORE_LOADED_AT``, with stale values in the updatable columns."""
-    full = first_load(spark, sf_dir, adapter.CORE_LOADED_AT, raw_tables)
-    tables = {"DimCustomer": (full.dim_customer, "CustomerID"),
-              "DimBranch": (full.dim_branch, "BranchID"),
-              "DimAccount": (full.dim_account, "AccountID"),
-              "FactTransaction": (full.fact, "TransactionID")}
-    out = {}
-    stale = _stale()
-    for name, (df, key) in tables.items():
-        df = df.where(adapter.is_existing(F.col(key)))
-        for col, val in stale[name].items():
-            df = df.withColumn(col, val)
-        out[name] = df.withColumn("dtmload", ntz(adapter.CORE_LOADED_AT))
-    out["DimDate"] = full.dim_date
-    return out
+    full, stale = first_load(spark, sf_dir, adapter.CORE_LOADED_AT, raw_tables), _stale()
+
+    def left(name: str, table: str, key: str) -> DataFrame:
+        df = getattr(full, table).where(adapter.is_existing(F.col(key)))
+        return df.withColumns({**stale[name], "dtmload": ntz(adapter.CORE_LOADED_AT)})
+
+    keys = {"DimCustomer": ("dim_customer", "CustomerID"), "DimBranch": ("dim_branch", "BranchID"),
+            "DimAccount": ("dim_account", "AccountID"), "FactTransaction": ("fact", "TransactionID")}
+    return adapter.Tables({**{n: (lambda n=n, t=t, k=k: left(n, t, k)) for n, (t, k) in keys.items()},
+                           "DimDate": lambda: full.dim_date})
 
 
 # The mark of every existing core table: they were all loaded at that time.
@@ -222,8 +230,8 @@ def write_transaction_files(spark: SparkSession, sf_dir: str, base: str, id_offs
     ``id_offset`` is added to the transaction ids."""
     t = transaction_texts(spark, sf_dir).withColumn("transaction_id", F.col("transaction_id") + id_offset)
     plain = F.col("account_id") % 2 == 0
-    _file_columns(t.where(plain)).repartition(3).write.option("header", True).option("escape", '"').csv(f"{base}/good")
-    (_indexed_columns(t.where(~plain)).repartition(2).write.option("header", True).option("emptyValue", "")
+    _file_columns(t.where(plain)).repartition(6).write.option("header", True).option("escape", '"').csv(f"{base}/good")
+    (_indexed_columns(t.where(~plain)).repartition(4).write.option("header", True).option("emptyValue", "")
      .csv(f"{base}/from a frame"))
     _rename_parts(spark, f"{base}/from a frame", ".csv", lambda i: f"day {i + 1} [new].csv")
     bad = (t.where(F.col("transaction_id") % 10 == 1)

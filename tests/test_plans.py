@@ -162,3 +162,38 @@ def test_day_extract_filter_reaches_scan(spark, tmp_dir):
         (F.to_date("dtmcrt") > d)
         | (F.to_date(F.coalesce("dtmupd", F.lit("1900-01-01").cast("timestamp_ntz"))) > d))
     assert df.count() == ref.count()
+
+
+def test_bucketed_fact_is_not_exchanged(spark, tmp_dir):
+    """New-key test and merge against a table bucketed by its key: only the changes are shuffled."""
+    from ledgerline.operators import merge
+    from ledgerline.operators.joins import anti_new_keys
+    from ledgerline.sinks.bucketed import buckets_for, save_bucketed
+    from ledgerline.sinks.writers import ensure_namespaces
+
+    assert [buckets_for(n) for n in (0, 10 ** 7, 41 * 10 ** 6, 10 ** 11)] == [8, 8, 16, 32768]
+    r = scenario.raw(spark, SF_SMALL)
+    ensure_namespaces(spark, ("bucketed_test",))
+    fact = save_bucketed(scenario.existing_core(spark, SF_SMALL, r)["FactTransaction"], "bucketed_test.fact",
+                         os.path.join(tmp_dir, "fact"), "TransactionID", 16)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (anti_new_keys(r["transaction"], fact, "transaction_id", "TransactionID"),
+                   merge.update_fact_transaction(fact, r["transaction"], "2002-01-01 00:00:00", scenario.EXISTING_MARK)):
+            tree = plan(df, "simple").splitlines()
+            scan = next(i for i, s in enumerate(tree) if "bucketed_test.fact" in s)
+            depth = len(tree[scan]) - len(tree[scan].lstrip(" :+-"))
+            above = []   # the nodes between the scan and its join
+            for s in reversed(tree[:scan]):
+                d = len(s) - len(s.lstrip(" :+-"))
+                if d < depth:
+                    above.append(s)
+                    depth = d
+                if "SortMergeJoin" in s:
+                    break
+            assert any("SortMergeJoin" in s for s in above)
+            assert not any("Exchange" in s for s in above), above
+            assert "Bucketed: true" in plan(df, "formatted") or "SelectedBucketsCount: 16 out of 16" in plan(df, "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.sql("DROP DATABASE bucketed_test CASCADE")
