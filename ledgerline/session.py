@@ -87,6 +87,19 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "ledgerline", *parts, uuid.uuid4().hex])
 
 
+# Hadoop's names of a store that pyarrow knows by another one.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_file_system(uri: str):
+    """(pyarrow file system, path) of a folder that Spark names by ``uri``, for tasks that write
+    files of their own."""
+    import pyarrow.fs
+
+    scheme, sep, rest = uri.partition("://")
+    return pyarrow.fs.FileSystem.from_uri(f"{ARROW_SCHEMES.get(scheme, scheme)}{sep}{rest}")
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python helpers can list local test dirs."""
     if path.startswith("file:"):

@@ -157,3 +157,14 @@ def test_shared_folder_is_required_outside_local_mode(spark, monkeypatch):
                            sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"))
     with pytest.raises(RuntimeError):
         session.shared_dir(fake)
+
+
+def test_arrow_file_system_knows_hadoop_names(monkeypatch, tmp_dir):
+    import pyarrow.fs
+
+    from ledgerline import session
+    asked = []
+    monkeypatch.setattr(pyarrow.fs, "FileSystem", type("FS", (), {"from_uri": staticmethod(lambda uri: asked.append(uri) or (None, uri))}))
+    for uri in ("s3a://bucket/a b", "hdfs://host:1/x", "file:///tmp/x", "/tmp/x"):
+        session.arrow_file_system(uri)
+    assert asked == ["s3://bucket/a b", "hdfs://host:1/x", "file:///tmp/x", "/tmp/x"]
