@@ -29,18 +29,19 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.fs
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import table, written
-from ledgerline.session import work_path
+from ledgerline.session import arrow_file_system, work_path
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
 LEVEL = 3
 PAGES_PER_BATCH = 256
+READ_BYTES = 16 << 20  # record bytes that one task reads back
+MAX_READ_TASKS = 50_000
 # Fixed values of the Zstandard seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -84,7 +85,7 @@ class BundleWriter:
     """Appends frames to one bundle file and closes it with its seek table."""
 
     def __init__(self, folder: str):
-        fs, path = pyarrow.fs.FileSystem.from_uri(folder)
+        fs, path = arrow_file_system(folder)
         fs.create_dir(path, recursive=True)
         self.name = f"{uuid.uuid4().hex}.warc.zst"
         self.out = fs.open_output_stream(f"{path}/{self.name}", compression=None)
@@ -107,7 +108,7 @@ class BundleReader:
     """Random access to a bundle by the seek table at its end."""
 
     def __init__(self, folder: str, name: str):
-        fs, path = pyarrow.fs.FileSystem.from_uri(folder)
+        fs, path = arrow_file_system(folder)
         self.file = fs.open_input_file(f"{path}/{name}")
         end = self.file.size()
         n, flags, magic = struct.unpack("<IBI", self.file.read_at(9, end - 9))
@@ -224,7 +225,10 @@ def read_archives(index: DataFrame, folder: str, contents: bool = True) -> DataF
     """All records named by ``index``, read one frame at a time, payloads held against their
     digests: headers, place and, with ``contents``, the url and (responses) the payload."""
     columns = HEADERS + ", url string, payload binary" if contents else HEADERS
-    return index.groupBy("bundle", "frame").applyInPandas(_reader(folder, contents), columns)
+    # the index is narrow, what it names is not: frames are dealt out by the bytes behind them
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = min(MAX_READ_TASKS, total // READ_BYTES + 1)
+    return index.repartition(tasks, "bundle", "frame").groupBy("bundle", "frame").applyInPandas(_reader(folder, contents), columns)
 
 
 def op2_warc(spark, sf_dir) -> DataFrame:
