@@ -70,3 +70,13 @@ def test_empty_table_writes_nothing(spark):
     index = warc.write_archives(spark.createDataFrame([], PAGES), folder)
     assert warc.read_archives(index, folder).count() == 0
     assert not pyarrow.fs.LocalFileSystem().get_file_info(pyarrow.fs.FileSelector(folder))
+
+
+def test_frames_are_dealt_out_to_readers(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    folder = tempfile.mkdtemp(prefix="warc-")
+    index = warc.write_archives(spark.createDataFrame(pages(), PAGES), folder, frame_bytes=2000)
+    monkeypatch.setattr(warc, "READ_BYTES", 20_000)
+    parts = warc.read_archives(index, folder).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 3 and sum(r["count"] for r in parts) == len(pages())
