@@ -73,7 +73,7 @@ def test_a_run_stopped_after_any_write_is_started_again(spark, tmp_dir):
     assert len(names) > 18
 
     # the state, all that a restart starts from, is untouched after every single write
-    for stop_at in ("city_raw", "files_taken", "transaction_raw", "FactTransaction", "account_net", "run_log"):
+    for stop_at in ("files_taken", "FactTransaction", "run_log"):
         assert stop_at in names
 
         def stop(name, stop_at=stop_at):
