@@ -73,3 +73,34 @@ def test_a_block_of_ids_is_one_call_to_the_state():
     changes = list(p.handleInputRows((0,), iter([later, rows[4]]), None))
     assert [(c.n, c.amount) for c in changes] == [(-1, 3.0), (1, 1.0)]
     assert held.calls == 4 and len(held.value[0]) == 50
+
+
+def test_orphan_accounts_replace_the_shuffle_by_account(spark):
+    from ledgerline.operators.facts import fact_rejects, fact_transaction, orphan_accounts
+
+    day = dt.datetime(2024, 1, 5)
+    cols = ("transaction_id long, account_id long, transaction_date timestamp_ntz, amount double, transaction_type string, "
+            "branch_id long, dtmcrt timestamp_ntz, dtmload timestamp_ntz")
+    t = spark.createDataFrame([(1, 10, day, 1.0, "a", 1, day, day), (2, 11, day, 1.0, "a", 1, day, day), (3, None, day, 1.0, "a", 1, day, day),
+                               (None, 10, day, 1.0, "a", 1, day, day), (4, 10, day, 1.0, "a", 2, day, day), (4, 10, day, 2.0, "b", 1, day, day),
+                               (2, 11, day, 1.0, "a", 1, day, day)], cols)
+    account, branch = spark.createDataFrame([(10,)], "AccountID long"), spark.createDataFrame([(1,)], "BranchID long")
+    dim_date = spark.createDataFrame([(day.date(), 20240105)], "FullDate date, DateID int")
+    orphans = orphan_accounts(t, account)
+    assert [r[0] for r in orphans.collect()] == [11]
+    for make in (lambda **o: fact_transaction(t, account, branch, dim_date, "2024-02-01 00:00:00", **o),
+                 lambda **o: fact_rejects(t, account, branch, dim_date, **o)):
+        plain, stored = (sorted(map(str, make(**o).collect())) for o in ({}, {"orphans": orphans}))
+        assert plain == stored and plain
+
+
+def test_a_first_load_writes_the_fact_once(spark, tmp_dir, monkeypatch):
+    from conftest import SF_SMALL
+    from ledgerline.plans import adapter, warehouse_run as W
+
+    asked, real = [], W.work_path
+    monkeypatch.setattr(W, "work_path", lambda s, *parts: asked.append(parts[0]) or real(s, *parts))
+    sources = adapter.source_tables(spark, SF_SMALL)
+    for stamp in ("2010-01-01 00:00:00", "2010-01-02 00:00:00"):
+        W.run_all(spark, sources, os.path.join(tmp_dir, "dwh"), stamp)
+    assert asked == ["orphan-accounts", "orphan-accounts", "new-facts"]
