@@ -104,3 +104,39 @@ def test_a_first_load_writes_the_fact_once(spark, tmp_dir, monkeypatch):
     for stamp in ("2010-01-01 00:00:00", "2010-01-02 00:00:00"):
         W.run_all(spark, sources, os.path.join(tmp_dir, "dwh"), stamp)
     assert asked == ["orphan-accounts", "orphan-accounts", "new-facts"]
+
+
+def test_texts_put_in_order_agree_with_the_forms(spark):
+    times = {"dmy": ("", " 7:05", " 23:59:59", " 24:00"), "ymd": ("", " 07:05", " 10:11:12.5", "T10:11", "T10:11:12.123Z"), "packed": ("", "101112", "T1011")}
+    texts = [f"{d}{x}{m}{x}{y}{t}" for d in ("5", "05", "13", "31") for m in ("2", "02", "13", "Feb", "february") for y in ("2024", "99")
+             for x in "-/. " for t in times["dmy"]]
+    texts += [f"1999{x}{m}{x}{d}{t}" for m in ("2", "13", "feb") for d in ("5", "30") for x in "-/ " for t in times["ymd"]]
+    texts += [f"{d}{t}" for d in ("20240229", "20230229", "20241301", "20240431") for t in times["packed"]]
+    texts += ["Feb 5, 2024", "February 5 2024 7:05", "Foo 5, 2024", "05-\x012-2024"]
+    s = F.col("s")
+
+    def by_form(c):
+        return dates._bind(dates._plain(c), lambda s: dates._bind(dates._form(s), lambda form: F.when(
+            form.isNotNull(), dates._from_form(s, form)).otherwise(dates._bind(dates.date_tokens(c), dates._from_tokens))))
+
+    df = spark.createDataFrame([(t,) for t in texts], "s string").repartition(4)
+    got = df.select("s", dates.parse_mixed_dates(s).alias("d"), by_form(s).alias("by_form")).collect()
+    assert [r for r in got if r.d != r.by_form and not r.s.startswith("05-\x01")] == [] and sum(r.d is not None for r in got) > 100
+    # a common text is read without a pattern: it has no other reading than its order
+    usual = spark.createDataFrame([("21-01-2024 14:00:00",), ("January 5, 2024",), ("20240121T1030",), ("2024-01-21T10:00:00.123Z",)], "s string")
+    alone = usual.select(dates._bind(s, lambda t: dates._in_order(t, F.lit(None).cast("timestamp_ntz"))).alias("d")).collect()
+    assert [r.d for r in alone] == [dt.datetime(2024, 1, 21, 14), dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 21, 10, 30),
+                                    dt.datetime(2024, 1, 21, 10, 0, 0, 123000)]
+
+
+def test_a_file_is_written_from_packed_rows(spark, tmp_dir):
+    from conftest import SF_SMALL
+    from ledgerline.plans import scenario
+
+    t = scenario.transaction_texts(spark, SF_SMALL)
+    rows = scenario._dealt(t, os.path.join(tmp_dir, "rows"))
+    assert {k: len(v) for k, v in rows.items()} == {"good": 6, "frame": 4, "bad": 1}
+    assert all("Exchange" not in df._jdf.queryExecution().executedPlan().toString() and df.rdd.getNumPartitions() == 1
+               for some in rows.values() for df in some)
+    assert sum(df.count() for k in ("good", "frame") for df in rows[k]) == t.where("account_id is not null").count()
+    assert rows["bad"][0].count() == t.where("transaction_id % 10 = 1").count()
