@@ -39,6 +39,7 @@ MAX_UNLABELLED = 6000
 THRESHOLD = 0.3
 HIDDEN = 24
 SLICE = 256  # rows whose features are in memory at once
+COLUMNS = 64  # features whose mean and spread are taken at once
 
 # Character classes: each string is one class of ASCII characters; bytes of multi-byte
 # characters are a class of their own, as are all characters not named here.
@@ -85,16 +86,24 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 class Network:
     """Standardised features, one hidden layer of tanh units, logistic output."""
 
-    def __init__(self, x: np.ndarray, seed: int, hidden: int = HIDDEN):
-        rng = np.random.default_rng(seed)
-        self.mean, self.scale = x.mean(axis=0), 1 / (x.std(axis=0) + 0.01)
+    def __init__(self, *samples: np.ndarray, seed: int, hidden: int = HIDDEN):
+        rng, width = np.random.default_rng(seed), samples[0].shape[1]
+        # some columns at a time: the samples together are the most that the driver holds
+        means, scales = [], []
+        for i in range(0, width, COLUMNS):
+            block = np.concatenate([x[:, i:i + COLUMNS] for x in samples])
+            means.append(block.mean(axis=0))
+            scales.append(1 / (block.std(axis=0) + 0.01))
+        self.mean, self.scale = np.concatenate(means), np.concatenate(scales)
         self.p = [w.astype(np.float32) for w in (
-            rng.normal(0, 1 / math.sqrt(x.shape[1]), (x.shape[1], hidden)), np.zeros(hidden),
+            rng.normal(0, 1 / math.sqrt(width), (width, hidden)), np.zeros(hidden),
             rng.normal(0, 1 / math.sqrt(hidden), hidden), np.zeros(1))]
         self.m, self.v, self.t = [np.zeros_like(w) for w in self.p], [np.zeros_like(w) for w in self.p], 0
 
     def prepare(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) * self.scale, -8, 8)
+        z = x - self.mean
+        z *= self.scale
+        np.clip(z, -8, 8, out=z)
         z[:, -N_STATISTICS:] *= 3  # few against hundreds of pair rates
         return z
 
@@ -131,20 +140,21 @@ def _batches(rng, n_p: int, n_u: int, steps: int, size: int):
 def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 0, steps: int = 400) -> float:
     """Share of positives among the unlabelled rows, by the best bin of top scores."""
     rng = np.random.default_rng(seed)
-    pos, unl = rng.permutation(pos), rng.permutation(unl)
+    at_p, at_u = rng.permutation(len(pos)), rng.permutation(len(unl))   # rows are copied only where they are used
     hp, hu = max(1, len(pos) // 2), max(1, len(unl) // 2)
     scores = []
     for a, b in ((slice(None, hp), slice(None, hu)), (slice(hp, None), slice(hu, None))):
-        fit_p, fit_u = pos[a], unl[b]
+        fit_p, fit_u = pos[at_p[a]], unl[at_u[b]]
         if not len(fit_p) or not len(fit_u):
             return 0.5
-        net = Network(np.r_[fit_p, fit_u], seed)
+        net = Network(fit_p, fit_u, seed=seed)
         fit_p, fit_u = net.prepare(fit_p), net.prepare(fit_u)
         for i, j in _batches(rng, len(fit_p), len(fit_u), steps, 256):
             sp, su = sigmoid(net.logit(fit_p[i])), sigmoid(net.logit(fit_u[j]))
             net.step(np.r_[fit_p[i], fit_u[j]], np.r_[(sp - 1) / len(i), su / len(j)])
-        rest_p, rest_u = (pos[hp:], unl[hu:]) if a.start is None else (pos[:hp], unl[:hu])
-        scores.append((np.sort(net.logit(net.prepare(rest_p))), np.sort(net.logit(net.prepare(rest_u)))))
+        del fit_p, fit_u
+        rest_p, rest_u = (at_p[hp:], at_u[hu:]) if a.start is None else (at_p[:hp], at_u[:hu])
+        scores.append((np.sort(net.logit(net.prepare(pos[rest_p]))), np.sort(net.logit(net.prepare(unl[rest_u])))))
     found = []
     for sp, su in scores:
         # a bin: all scores of at least c; it must be wide enough for the bound to mean something
@@ -172,8 +182,9 @@ def fit(pos: np.ndarray, unl: np.ndarray, seed: int = 1, steps: int = 1500, size
     if not len(pos) or not len(unl):
         return None
     prior = estimate_prior(pos, unl)
-    rng, net = np.random.default_rng(seed), Network(np.r_[pos, unl], seed)
-    pos, unl = rng.permutation(net.prepare(pos)), rng.permutation(net.prepare(unl))
+    rng, net = np.random.default_rng(seed), Network(pos, unl, seed=seed)
+    pos = net.prepare(pos[rng.permutation(len(pos))])
+    unl = net.prepare(unl[rng.permutation(len(unl))])
     n_p, n_u = max(1, len(pos) // 5), max(1, len(unl) // 5)
     held = (pos[:n_p], unl[:n_u])
     pos, unl = (pos[n_p:], unl[n_u:]) if len(pos) > 1 and len(unl) > 1 else (pos, unl)
@@ -202,12 +213,21 @@ def train(docs: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES
     web = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
     picks = [smallest_hashes(good, max_positives, 1, F.lit(1)), smallest_hashes(web, max_unlabelled, 2, F.lit(0))]
     rows = sample_rows(docs, picks, [max_positives, max_unlabelled]).select("text", "y").mapInArrow(_feature_rows, "x binary, y int").toArrow()
-    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), dtype=np.float32).reshape(len(rows), N_FEATURES)
-    y = rows.column("y").to_numpy()
-    # the order rows arrive in must not matter
+    x, y = np.empty((len(rows), N_FEATURES), np.float32), rows.column("y").to_numpy()
+    done = 0
+    for chunk in rows.column("x").chunks:
+        for v in chunk:
+            x[done] = np.frombuffer(v.as_py(), dtype=np.float32)
+            done += 1
+    rows = chunk = v = None
+    pa.default_memory_pool().release_unused()
+    return fit(*_by_label(x, y))
+
+
+def _by_label(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positives, unlabelled rows): the order rows arrive in must not matter."""
     order = np.lexsort((x[:, -8], x[:, -7], y)) if len(y) else np.empty(0, int)
-    x, y = x[order], y[order]
-    return fit(x[y == 1], x[y == 0])
+    return x[order[y[order] == 1]], x[order[y[order] == 0]]
 
 
 def _scorer(net: Network | None):

@@ -175,3 +175,17 @@ def test_training_reads_whole_texts(spark, monkeypatch):
         for t in own:   # every window of the text is there
             i = int(t[0].split()[0][1:].split(b"w")[0])
             assert len(t) == len(toxicity.window_starts(sizes[i]))
+
+
+def test_quality_network_takes_its_samples_apart():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    pos, unl = (rng.normal(0, 1, (n, quality.N_FEATURES)).astype(np.float32) for n in (2000, 4000))
+    both = np.concatenate([pos, unl])
+    tracemalloc.start()
+    net = quality.Network(pos, unl, seed=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(net.mean, both.mean(axis=0)) and np.array_equal(net.scale, 1 / (both.std(axis=0) + 0.01))
+    assert peak < both.nbytes / 2   # the samples are not copied whole
