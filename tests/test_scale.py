@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import io
 import os
+import zipfile
 
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from ledgerline.functions import dates
 from ledgerline.sinks.run_state import State
-from ledgerline.sinks.xlsx import workbook
+from ledgerline.sinks.xlsx import workbook, write_workbooks
 from ledgerline.sources import files, xlsx
 from ledgerline.streaming.latest_versions import LatestVersion
 
@@ -140,3 +142,52 @@ def test_a_file_is_written_from_packed_rows(spark, tmp_dir):
                for some in rows.values() for df in some)
     assert sum(df.count() for k in ("good", "frame") for df in rows[k]) == t.where("account_id is not null").count()
     assert rows["bad"][0].count() == t.where("transaction_id % 10 = 1").count()
+
+
+def test_a_plain_sheet_is_cut_by_its_tags_alone(monkeypatch):
+    """No tree and no expression a cell for inline texts, whatever signs are in them; the same rows as from the tree."""
+    rows = [[f"a{i}", None if i % 5 else "", f"x & <{i}> \"ü€\"", "&amp;", " "] for i in range(4000)]
+    content = workbook(iter(rows))
+    with zipfile.ZipFile(io.BytesIO(content)) as z, z.open("xl/worksheets/sheet1.xml") as sheet:
+        assert list(xlsx._sheet_rows(sheet, [], set())) == rows
+    for other in ("_sheet_rows", "_cells", "_plain_cells"):
+        monkeypatch.setattr(xlsx, other, None)
+    assert list(xlsx.workbook_rows(content)) == rows
+
+
+def test_other_sheets_are_cut_as_their_tree_says():
+    main = xlsx._NS["m"]
+    cells = ['<c r="B1" t="s"><v>1</v></c>', '<c s="1"><v>45000.5</v></c>', '<c r="D1"><v>3.0</v></c>', '<c t="str"><f>A1</f><v>x</v></c>',
+             '<c><f t="shared" si="0">A1</f><v>7</v></c>', "<c><v/></c>", '<c t="inlineStr"/>', '<c t="n"><is><t>x</t></is></c>',
+             '<c t="inlineStr"><is><t>a&#10;b</t></is></c>', '<c t="inlineStr"><is><r><t>ri</t></r><r><t>ch</t></r></is></c>',
+             '<c t="inlineStr"><is><t>l\r\nm</t></is></c>', '<c t="inlineStr"><is><t>a&amp;b</t></is></c>', '<c t="b"><v>1</v></c>', "<c/>",
+             '<c t="inlineStr"><is><t><![CDATA[<row>]]></t></is></c>', '<c t="s"><v>9</v></c>', '<c s="1"><v>x</v></c>',
+             '<c t="inlineStr"><is><t>&no;</t></is></c>', '<c t="inlineStr"><is><t>\x01</t></is></c>', "<c><v>1</c>", '<c t="n" t="n"><v>1</v></c>']
+
+    def outcome(rows):
+        out = []
+        try:
+            for row in rows:
+                out.append(row)
+        except Exception as e:
+            return type(e).__name__
+        return out
+
+    for cell in cells:
+        for start in ("<row>", '<row r="1" spans="1:3" x:d="0.25">', '<row r="1"/>\n<row>'):
+            sheet = (f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{main}" xmlns:x="urn:x"><sheetData><row><c/></row>{start}'
+                     f"{cell}<c t=\"inlineStr\"><is><t>z</t></is></c></row></sheetData><pageMargins/></worksheet>").encode()
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w") as z:
+                z.writestr("xl/worksheets/sheet1.xml", sheet)
+                z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>s0</t></si><si><t>s1</t></si></sst>')
+                z.writestr("xl/styles.xml", f'<styleSheet xmlns="{main}"><cellXfs><xf numFmtId="0"/><xf numFmtId="22"/></cellXfs></styleSheet>')
+            assert outcome(xlsx.workbook_rows(packed.getvalue())) == outcome(xlsx._sheet_rows(io.BytesIO(sheet), ["s0", "s1"], {1})), cell
+
+
+def test_workbooks_are_written_by_columns(spark, tmp_dir):
+    df = spark.createDataFrame([("1", "a & <b>", None), (None, "", "ü")], "x string, y string, z string").coalesce(1)
+    done = write_workbooks(df, os.path.join(tmp_dir, "books"), max_rows=1).collect()
+    assert [r["rows"] for r in done] == [1, 1]
+    got = [list(xlsx.workbook_rows(open(r["path"], "rb").read())) for r in done]
+    assert got == [[["x", "y", "z"], ["1", "a & <b>", None]], [["x", "y", "z"], [None, "", "ü"]]]
