@@ -7,6 +7,7 @@ import io
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -191,3 +192,100 @@ def test_workbooks_are_written_by_columns(spark, tmp_dir):
     assert [r["rows"] for r in done] == [1, 1]
     got = [list(xlsx.workbook_rows(open(r["path"], "rb").read())) for r in done]
     assert got == [[["x", "y", "z"], ["1", "a & <b>", None]], [["x", "y", "z"], [None, "", "ü"]]]
+
+
+def test_offsets_and_halves_of_the_day_are_read_in_order(spark):
+    times = ("1:05", "01:05", "12:00", "12:59", "11:60", "13:00", "0:30")
+    texts = [f"{d}{x}{m}{x}{y} {t} {h}" for d in ("5", "31") for m in ("Feb", "march", "December") for y in ("2024", "0999") for x in "- "
+             for t in times for h in ("AM", "pm")]
+    texts += [f"2024-{m}-{d}T{t}{z}" for m in ("2", "12", "13") for d in ("1", "29", "31") for t in ("0:00:00", "23:59:59", "24:00:00", "7:60:00")
+              for z in ("+05:30", "-00:00", "-11:45", "+17:59", "+18:00", "+05:60")]
+    s = F.col("s")
+    df = spark.createDataFrame([(t,) for t in texts], "s string").repartition(4)
+
+    def by_form(c):
+        return dates._bind(dates._plain(c), lambda s: dates._bind(dates._form(s), lambda form: F.when(
+            form.isNotNull(), dates._from_form(s, form)).otherwise(dates._bind(dates.date_tokens(c), dates._from_tokens))))
+
+    got = df.select("s", dates.parse_mixed_dates(s).alias("d"), by_form(s).alias("by_form")).collect()
+    assert [r for r in got if r.d != r.by_form] == [] and sum(r.d is not None for r in got) > 100
+    usual = spark.createDataFrame([("05-March-1995 12:30 AM",), ("5 Mar 1995 1:05 pm",), ("1995-03-05T01:00:00+05:30",)], "s string")
+    alone = usual.select(dates._bind(s, lambda t: dates._in_order(t, F.lit(None).cast("timestamp_ntz"))).alias("d")).collect()
+    assert [r.d for r in alone] == [dt.datetime(1995, 3, 5, 0, 30), dt.datetime(1995, 3, 5, 13, 5), dt.datetime(1995, 3, 4, 19, 30)]
+
+
+def _typed_files(spark, folder):
+    """Files of several layouts, wide and ragged ones among them, and what is read of them."""
+    head = "transaction_id,account_id,transaction_date,amount,transaction_type,branch_id"
+    wide = ",".join(f"x{i}" for i in range(30))
+    texts = {"a": f"{head}\n1,10,21-01-2024,5,Deposit,4\n2,10,21-01-2024,5\n3,10,21-01-2024,5,Deposit,4,more,and more\n\n",
+             "b": f"branch_id,{wide},{head.rsplit(',', 1)[0]}\n7,{wide},4,11,22-01-2024,6,\"a, \"\"b\"\"\"\n8,{wide},5\n",
+             "c": "transaction_id,amount\n9,1\n9,2\n", "d": "\n \n"}
+    os.makedirs(folder)
+    for name, text in texts.items():
+        with open(os.path.join(folder, f"{name}.csv"), "w") as f:
+            f.write(text)
+    return folder
+
+
+def test_only_required_columns_are_cut_out_of_the_lines(spark, tmp_dir, monkeypatch):
+    scans, real = [], files.pick
+    monkeypatch.setattr(files, "pick", lambda data, required: scans.append(data) or real(data, required))
+    good, bad, rejected = files.ingest_csv(spark, [_typed_files(spark, os.path.join(tmp_dir, "in"))], "2024-02-01 00:00:00")
+    cols = ("transaction_id", "account_id", "amount", "transaction_type", "branch_id")
+    assert sorted(tuple(r[c] for c in cols) for r in good.collect()) == [
+        (1, 10, 5.0, "Deposit", 4), (2, 10, 5.0, None, None), (3, 10, 5.0, "Deposit", 4), (4, 11, 6.0, 'a, "b"', 7)]
+    assert [(r.transaction_id, r.branch_id) for r in bad.collect()] == [(5, 8)]
+    assert sorted((os.path.basename(r.file_path), r.n_rows) for r in rejected.collect()) == [("c.csv", 2), ("d.csv", 0)]
+    plan = scans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "_c5:string" in plan and "_c31:string" in plan and "_c7:string" not in plan
+    only_bad = os.path.join(tmp_dir, "bad")
+    os.makedirs(only_bad)
+    with open(os.path.join(only_bad, "e.csv"), "w") as f:
+        f.write("x,y\n1,2\n")
+    good, bad, rejected = files.ingest_csv(spark, [only_bad], "2024-02-01 00:00:00")
+    assert (good.count(), bad.count(), [r.n_rows for r in rejected.collect()]) == (0, 0, [1])
+
+
+def test_rows_of_files_are_stored_once_and_packed_rows_not_kept(spark, tmp_dir, monkeypatch):
+    from conftest import SF_SMALL
+    from ledgerline.plans import adapter, scenario, warehouse_run as W
+
+    asked, real = [], scenario.work_path
+    monkeypatch.setattr(scenario, "work_path", lambda s, *parts: asked.append((parts[0], real(s, *parts))) or asked[-1][1])
+    monkeypatch.setattr(W, "work_path", lambda s, *parts: asked.append((parts[0], real(s, *parts))) or asked[-1][1])
+    folder = scenario.write_transaction_files(spark, SF_SMALL, os.path.join(tmp_dir, "in"), adapter.FILE_ID_OFFSET)
+    assert not os.path.exists(dict(asked)["file-rows"])
+    asked.clear()
+    run = W.Run(spark, os.path.join(tmp_dir, "dwh"), "20100101_000000")
+    rows = W._take_files(run, folder, "2010-01-01 00:00:00")
+    assert [what for what, _ in asked] == ["new-files", "typed-rows", "file-files"]
+    assert rows.count() + run.counts["rejects_file_rows"] == spark.read.parquet(dict(asked)["typed-rows"]).count()
+    assert run.counts["rejects_files"] == 1 and run.counts["files_taken"] == 11
+
+
+def test_a_state_of_the_smaller_blocks_is_refused(spark, tmp_dir):
+    from ledgerline.streaming import latest_versions as L
+
+    assert len({i >> L.BLOCK_BITS for i in range(1000)}) == 1   # entries of the state that an epoch reads and writes
+    staged, out, state = (os.path.join(tmp_dir, x) for x in ("staged", "totals", "state"))
+    day = dt.datetime(2024, 1, 5)
+    rows = spark.createDataFrame([(i, 1, day, 1.0, "a", 1, day, day) for i in range(1, 400)],
+                                 "transaction_id long, account_id long, transaction_date timestamp_ntz, amount double, "
+                                 "transaction_type string, branch_id long, dtmcrt timestamp_ntz, dtmload timestamp_ntz")
+    rows.write.parquet(f"{staged}/batch_id=a")
+    spark.conf.set(L.PROVIDER, L.ROCKSDB)
+    try:   # the stream as it was
+        old = (spark.readStream.schema(L.STAGED_SCHEMA).parquet(staged)
+               .select("transaction_id", "transaction_date", "amount", "branch_id", "transaction_type",
+                       F.shiftright("transaction_id", 6).alias("block"))
+               .groupBy("block").transformWithState(L.LatestVersion(), L.CHANGE, "Append", "None"))
+        old.writeStream.outputMode("append").foreachBatch(lambda batch, epoch: batch.collect()).option(
+            "checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset(L.PROVIDER)
+    rows.write.parquet(f"{staged}/batch_id=b")
+    with pytest.raises(Exception, match="KEY_SCHEMA_NOT_COMPATIBLE"):
+        L.run_daily_totals(spark, staged, out, state)
+    L.run_daily_totals(spark, staged, out, f"{state}-new")
+    assert [tuple(r) for r in L.read_daily_totals(spark, out).collect()] == [(day.date(), 399, 399)]
